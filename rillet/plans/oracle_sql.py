@@ -78,8 +78,45 @@ FROM game WHERE {where}
 GROUP BY team, {ws}""")
 
 
-def oracle_sql() -> dict[str, str]:
+_P_LETTERS = r"'[^\p{L}]+'"
+_P_ASCII = r"'[^a-zA-Z'']+'"
+
+
+def _tokens(pattern: str, keep: str = "doc_id") -> str:
+    return (f"(SELECT {keep}, unnest(regexp_split_to_array(text, {pattern})) AS word FROM documents)")
+
+
+def _counts(pattern: str = _P_LETTERS) -> str:
+    return (f"SELECT word, count(*) AS cnt FROM {_tokens(pattern)} WHERE word <> '' GROUP BY word")
+
+
+def word_sql() -> dict[str, str]:
     q: dict[str, str] = {}
+    q["tokenize"] = f"SELECT doc_id, word FROM {_tokens(_P_LETTERS)} WHERE word <> ''"
+    q["tokenize_ascii"] = f"SELECT doc_id, word FROM {_tokens(_P_ASCII)} WHERE word <> ''"
+    q["word_count"] = _counts()
+    q["word_count_text"] = f"SELECT word || ': ' || cnt AS line FROM ({_counts()})"
+    q["line_stats"] = f"""
+SELECT count(*) FILTER (WHERE regexp_replace(value, {_TRIM}, '', 'g') = '') AS n_blank,
+       min(length(value)) AS min_len, max(length(value)) AS max_len,
+       CAST(sum(length(value)) AS BIGINT) AS sum_len, count(*) AS n_lines
+FROM (SELECT unnest(string_split(text, chr(10))) AS value FROM documents)"""
+    q["debugging_word_count"] = (f"SELECT word, cnt FROM ({_counts()}) "
+                                 "WHERE regexp_full_match(word, 'it|PGM')")
+    q["match_stats"] = (f"SELECT count(*) FILTER (WHERE regexp_full_match(word, 'it|PGM')) AS n_matched, "
+                        f"count(*) FILTER (WHERE NOT regexp_full_match(word, 'it|PGM')) AS n_unmatched "
+                        f"FROM ({_counts()})")
+    ts = "(1704067200000 + ((doc_id * 7919) % 3600) * 1000)"
+    ws = _floor_to(ts, 600_000)
+    q["windowed_word_count"] = f"""
+SELECT {_display('ws')} AS window_start, word, count(*) AS cnt
+FROM (SELECT {ws} AS ws, word FROM {_tokens(_P_LETTERS, ts + ' AS t, doc_id')} WHERE word <> '')
+GROUP BY ws, word"""
+    return q
+
+
+def oracle_sql() -> dict[str, str]:
+    q: dict[str, str] = word_sql()
     q["parse_game_events"] = with_game(
         'SELECT event_id, "user", team, score, timestamp_ms FROM game')
     q["parse_error_count"] = with_game(

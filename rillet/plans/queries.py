@@ -10,8 +10,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rillet.operators import scores
-from rillet.sources.derived import game_lines
+from pyspark.sql import functions as F
+
+from rillet.model import ASCII_TOKENIZER_PATTERN, DEBUG_FILTER_PATTERN
+from rillet.operators import scores, words
+from rillet.sources.derived import doc_event_ms, document_texts, game_lines, text_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -52,8 +55,53 @@ def hourly_team_score_range(spark, sf_dir):
     return scores.windowed_team_score(ev, 60)
 
 
+# -- word count ------------------------------------------------------------
+# Tokenising a whole document equals tokenising its lines (a newline is a
+# separator for both patterns), so counts skip the line split.
+
+def tokenize(spark, sf_dir):
+    return words.tokenize(document_texts(spark, sf_dir), "text", keep=["doc_id"])
+
+
+def tokenize_ascii(spark, sf_dir):
+    return words.tokenize(document_texts(spark, sf_dir), "text", ASCII_TOKENIZER_PATTERN, keep=["doc_id"])
+
+
+def word_count(spark, sf_dir):
+    return words.count_words(words.tokenize(document_texts(spark, sf_dir), "text"))
+
+
+def word_count_text(spark, sf_dir):
+    return words.format_counts(word_count(spark, sf_dir))
+
+
+def line_stats(spark, sf_dir):
+    return words.line_stats(text_lines(spark, sf_dir))
+
+
+def debugging_word_count(spark, sf_dir):
+    return words.filter_full_match(word_count(spark, sf_dir), DEBUG_FILTER_PATTERN)
+
+
+def match_stats(spark, sf_dir):
+    return words.match_stats(word_count(spark, sf_dir), DEBUG_FILTER_PATTERN)
+
+
+def windowed_word_count(spark, sf_dir):
+    docs = document_texts(spark, sf_dir).withColumn("event_time", F.timestamp_millis(doc_event_ms()))
+    return words.windowed_counts(words.tokenize(docs, "text", keep=["event_time"]), 10)
+
+
 def queries() -> dict[str, Query]:
     return {
+        "tokenize": tokenize,
+        "tokenize_ascii": tokenize_ascii,
+        "word_count": word_count,
+        "word_count_text": word_count_text,
+        "line_stats": line_stats,
+        "debugging_word_count": debugging_word_count,
+        "match_stats": match_stats,
+        "windowed_word_count": windowed_word_count,
         "parse_game_events": parse_game_events,
         "parse_error_count": parse_error_count,
         "user_score": user_score,
