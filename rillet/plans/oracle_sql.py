@@ -115,8 +115,74 @@ GROUP BY ws, word"""
     return q
 
 
+def _user_window_sums(minutes: int) -> str:
+    ws = _floor_to("timestamp_ms", minutes * 60_000)
+    return f"""
+uts AS (SELECT {ws} AS ws, "user", team, sum(score) AS s FROM game GROUP BY 1, 2, 3),
+pu AS (SELECT ws, "user", sum(s) AS total FROM uts GROUP BY ws, "user"),
+mu AS (SELECT ws, avg(total) AS mean_score FROM pu GROUP BY ws),
+spam AS (SELECT pu.ws, pu."user", pu.total FROM pu JOIN mu ON pu.ws = mu.ws WHERE pu.total > 2.5 * mu.mean_score)"""
+
+
+def _sessions(gap_min: int) -> str:
+    gap = gap_min * 60_000
+    return f"""
+s1 AS (SELECT "user", timestamp_ms AS t,
+              CASE WHEN lag(timestamp_ms) OVER (PARTITION BY "user" ORDER BY timestamp_ms) IS NULL
+                     OR timestamp_ms - lag(timestamp_ms) OVER (PARTITION BY "user" ORDER BY timestamp_ms) >= {gap}
+                   THEN 1 ELSE 0 END AS st
+       FROM game),
+s2 AS (SELECT "user", t, sum(st) OVER (PARTITION BY "user" ORDER BY t, st DESC
+                                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid FROM s1),
+sess AS (SELECT "user", min(t) AS s, max(t) + {gap} AS e, count(*) AS n FROM s2 GROUP BY "user", sid)"""
+
+
+def _user_sessions(gap_min: int) -> str:
+    return with_game(f""",{_sessions(gap_min)}
+SELECT "user", {_display('s')} AS session_start, {_display('e')} AS session_end,
+       (e - s) // 60000 AS minutes, n AS n_events FROM sess""")
+
+
+def _session_mean(gap_min: int, window_min: int) -> str:
+    ws = _floor_to("(e - 1)", window_min * 60_000)
+    return with_game(f""",{_sessions(gap_min)}
+SELECT {_display('ws')} AS window_start, avg((e - s) // 60000) AS mean_duration
+FROM (SELECT {ws} AS ws, e, s FROM sess) GROUP BY ws""")
+
+
+def game_stats_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["spammy_users"] = with_game(f""",{_user_window_sums(60)}
+SELECT {_display('ws')} AS window_start, "user", CAST(total AS BIGINT) AS total_score FROM spam""")
+    q["team_score_no_spam"] = with_game(f""",{_user_window_sums(60)}
+SELECT {_display('ws')} AS window_start, team, CAST(sum(s) AS BIGINT) AS total_score
+FROM uts WHERE NOT EXISTS (SELECT 1 FROM spam WHERE spam.ws = uts.ws AND spam."user" = uts."user")
+GROUP BY ws, team""")
+    q["user_sessions"] = _user_sessions(5)
+    q["user_sessions_gap60"] = _user_sessions(60)
+    q["session_mean"] = _session_mean(5, 30)
+    q["session_mean_gap60"] = _session_mean(60, 30)
+    q["team_level_crossings"] = with_game(f""",
+r AS (SELECT team, event_id, score,
+             sum(score) OVER (PARTITION BY team ORDER BY timestamp_ms, event_id
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS total
+      FROM game)
+SELECT team, event_id, CAST(total AS BIGINT) AS total_score FROM r
+WHERE (total - score) // 5000 < total // 5000""")
+    ws = _floor_to("timestamp_ms", 3_600_000)
+    q["team_level_crossings_windowed"] = with_game(f""",
+r AS (SELECT {ws} AS ws, team, event_id, score,
+             sum(score) OVER (PARTITION BY {ws}, team ORDER BY timestamp_ms, event_id
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS total
+      FROM game)
+SELECT {_display('ws')} AS window_start, team, event_id, CAST(total AS BIGINT) AS total_score FROM r
+WHERE (total - score) // 100 < total // 100""")
+    return q
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = word_sql()
+    q.update(game_stats_sql())
     q["parse_game_events"] = with_game(
         'SELECT event_id, "user", team, score, timestamp_ms FROM game')
     q["parse_error_count"] = with_game(

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillet.model import ASCII_TOKENIZER_PATTERN, DEBUG_FILTER_PATTERN
-from rillet.operators import scores, words
+from rillet.operators import abuse, levels, scores, sessions, words
 from rillet.sources.derived import doc_event_ms, document_texts, game_lines, text_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,8 +92,50 @@ def windowed_word_count(spark, sf_dir):
     return words.windowed_counts(words.tokenize(docs, "text", keep=["event_time"]), 10)
 
 
+# -- game statistics ---------------------------------------------------------
+
+def spammy_users(spark, sf_dir):
+    return abuse.spammy_users(_events(spark, sf_dir, keep=()), 60, 2.5)
+
+
+def team_score_no_spam(spark, sf_dir):
+    return abuse.team_score_without_spammers(_events(spark, sf_dir, keep=()), 60, 2.5)
+
+
+def user_sessions(spark, sf_dir):
+    return sessions.user_sessions(_events(spark, sf_dir, keep=()), 5)
+
+
+def user_sessions_gap60(spark, sf_dir):
+    return sessions.user_sessions(_events(spark, sf_dir, keep=()), 60)
+
+
+def session_mean(spark, sf_dir):
+    return sessions.session_mean(_events(spark, sf_dir, keep=()), 5, 30)
+
+
+def session_mean_gap60(spark, sf_dir):
+    return sessions.session_mean(_events(spark, sf_dir, keep=()), 60, 30)
+
+
+def team_level_crossings(spark, sf_dir):
+    return levels.level_crossings(_events(spark, sf_dir), 5000)
+
+
+def team_level_crossings_windowed(spark, sf_dir):
+    return levels.windowed_level_crossings(_events(spark, sf_dir), 60, 100)
+
+
 def queries() -> dict[str, Query]:
     return {
+        "spammy_users": spammy_users,
+        "team_score_no_spam": team_score_no_spam,
+        "user_sessions": user_sessions,
+        "user_sessions_gap60": user_sessions_gap60,
+        "session_mean": session_mean,
+        "session_mean_gap60": session_mean_gap60,
+        "team_level_crossings": team_level_crossings,
+        "team_level_crossings_windowed": team_level_crossings_windowed,
         "tokenize": tokenize,
         "tokenize_ascii": tokenize_ascii,
         "word_count": word_count,
