@@ -180,8 +180,61 @@ WHERE (total - score) // 100 < total // 100""")
     return q
 
 
+PERSON_CTES = r"""
+person_lines AS (
+  SELECT c_custkey,
+    concat_ws(',  ',
+      CASE WHEN c_custkey % 23 = 0 THEN c_name ELSE replace(c_name, '#', ' ') END,
+      CASE WHEN c_custkey % 19 = 0 THEN 'Male' WHEN c_custkey % 2 = 0 THEN 'M' ELSE 'F' END,
+      CASE WHEN c_custkey % 17 = 0 THEN '' ELSE CAST(c_custkey % 90 AS VARCHAR) END,
+      CASE WHEN c_custkey % 13 = 0 THEN '-60' ELSE CAST(50 + c_custkey % 60 AS VARCHAR) END,
+      CASE WHEN c_custkey % 29 = 0 THEN '5000' ELSE CAST(140 + c_custkey % 60 AS VARCHAR) END) AS value
+  FROM customer
+),
+person_parts AS (SELECT c_custkey, value, string_split(value, ',') AS p FROM person_lines),
+person_fields AS (
+  SELECT c_custkey, value, len(p) AS n,
+    CASE WHEN len(p) = 1 THEN regexp_extract(p[1], '[^ ]* *\z', 0) ELSE regexp_extract(p[1], '[^ ]*\z', 0) END AS f1,
+    CASE WHEN len(p) = 2 THEN regexp_extract(p[2], '[^ ]* *\z', 0) ELSE regexp_extract(p[2], '[^ ]*\z', 0) END AS f2,
+    CASE WHEN len(p) = 3 THEN regexp_extract(p[3], '[^ ]* *\z', 0) ELSE regexp_extract(p[3], '[^ ]*\z', 0) END AS f3,
+    CASE WHEN len(p) = 4 THEN regexp_extract(p[4], '[^ ]* *\z', 0) ELSE regexp_extract(p[4], '[^ ]*\z', 0) END AS f4,
+    CASE WHEN len(p) = 5 THEN regexp_extract(p[5], '[^ ]* *\z', 0) ELSE regexp_extract(p[5], '[^ ]*\z', 0) END AS f5
+  FROM person_parts
+),
+person_checks AS (
+  SELECT c_custkey, value, f1, f2, f3, f4, f5,
+    coalesce(regexp_full_match(f1, '[A-Za-z0-9 ]*'), false) AS name_ok,
+    coalesce(regexp_full_match(f2, '[M|F]'), false) AS sex_ok,
+    coalesce(regexp_full_match(f3, '[0-9]{1,3}'), false) AS age_ok,
+    coalesce(regexp_full_match(f4, '[0-9]{1,3}'), false) AS weight_ok,
+    coalesce(regexp_full_match(f5, '[0-9]{1,3}'), false) AS height_ok,
+    n = 5 AS size_ok
+  FROM person_fields
+),
+person_valid AS (
+  SELECT f1 AS name, f2 AS sex, CAST(f3 AS INTEGER) AS age, CAST(f4 AS INTEGER) AS weight,
+         CAST(f5 AS INTEGER) AS height, CAST(f3 AS INTEGER) < 18 AS minor
+  FROM person_checks WHERE name_ok AND sex_ok AND age_ok AND weight_ok AND height_ok AND size_ok
+)"""
+
+
+def person_sql() -> dict[str, str]:
+    w = f"WITH {PERSON_CTES}\n"
+    q: dict[str, str] = {}
+    q["bio_validate"] = w + """SELECT c_custkey, name_ok, sex_ok, age_ok, weight_ok, height_ok, size_ok,
+       (name_ok AND sex_ok AND age_ok AND weight_ok AND height_ok AND size_ok) AS is_valid FROM person_checks"""
+    q["bio_split"] = w + """SELECT CASE WHEN name_ok AND sex_ok AND age_ok AND weight_ok AND height_ok AND size_ok
+       THEN 'valid' ELSE 'invalid' END AS tag, value FROM person_checks"""
+    q["bio_people"] = w + "SELECT name, sex, age, weight, height, minor FROM person_valid"
+    q["bio_people_text"] = w + """SELECT name || ', ' || sex || ', ' || age || ', ' || weight || ', ' || height
+       || ', ' || CASE WHEN minor THEN 'true' ELSE 'false' END AS line FROM person_valid"""
+    return q
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = word_sql()
+    q.update(person_sql())
+    q["external_echo"] = "SELECT CAST(c_custkey AS VARCHAR) AS key, CAST(c_custkey AS VARCHAR) AS value FROM customer"
     q.update(game_stats_sql())
     q["parse_game_events"] = with_game(
         'SELECT event_id, "user", team, score, timestamp_ms FROM game')

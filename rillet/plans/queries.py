@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillet.model import ASCII_TOKENIZER_PATTERN, DEBUG_FILTER_PATTERN
-from rillet.operators import abuse, levels, scores, sessions, words
-from rillet.sources.derived import doc_event_ms, document_texts, game_lines, text_lines
+from rillet.operators import abuse, external, levels, people, scores, sessions, words
+from rillet.sources.derived import doc_event_ms, document_texts, echo_rows, game_lines, person_lines, text_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -126,8 +126,38 @@ def team_level_crossings_windowed(spark, sf_dir):
     return levels.windowed_level_crossings(_events(spark, sf_dir), 60, 100)
 
 
+# -- person records ------------------------------------------------------------
+
+def bio_validate(spark, sf_dir):
+    return people.validate(person_lines(spark, sf_dir), keep=["c_custkey"])
+
+
+def bio_split(spark, sf_dir):
+    return people.tag_lines(person_lines(spark, sf_dir))
+
+
+def bio_people(spark, sf_dir):
+    return people.valid_people(person_lines(spark, sf_dir))
+
+
+def bio_people_text(spark, sf_dir):
+    return people.people_text(bio_people(spark, sf_dir))
+
+
+# -- external program ------------------------------------------------------------
+
+def external_echo(spark, sf_dir):
+    once = external.pipe_values(echo_rows(spark, sf_dir), ("cat",))
+    return external.pipe_values(once, ("cat",))
+
+
 def queries() -> dict[str, Query]:
     return {
+        "bio_validate": bio_validate,
+        "bio_split": bio_split,
+        "bio_people": bio_people,
+        "bio_people_text": bio_people_text,
+        "external_echo": external_echo,
         "spammy_users": spammy_users,
         "team_score_no_spam": team_score_no_spam,
         "user_sessions": user_sessions,
