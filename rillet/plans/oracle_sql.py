@@ -231,8 +231,25 @@ def person_sql() -> dict[str, str]:
     return q
 
 
+def leaderboard_final_sql(window_min: int = 60, lateness_min: int = 120) -> str:
+    """Last pane total = sum of the rows not dropped; a row arriving in minute m
+    is dropped when the largest event time that arrived before m is >= E + L."""
+    wms, lms = window_min * 60_000, lateness_min * 60_000
+    ws = _floor_to("timestamp_ms", wms)
+    return with_game(f""",
+rows AS (SELECT team, score, timestamp_ms, {ws} AS ws, arrival_ms // 60000 AS am FROM game),
+clock AS (SELECT am, max(timestamp_ms) AS raw FROM rows GROUP BY am),
+clock2 AS (SELECT am, max(raw) OVER (ORDER BY am ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS wm FROM clock),
+clock3 AS (SELECT am, lag(wm) OVER (ORDER BY am) AS wm_before FROM clock2)
+SELECT {_display('ws')} AS window_start, team, CAST(sum(score) AS BIGINT) AS total_score
+FROM rows JOIN clock3 USING (am)
+WHERE wm_before IS NULL OR wm_before < ws + {wms + lms}
+GROUP BY ws, team""")
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = word_sql()
+    q["leaderboard_team_final"] = leaderboard_final_sql()
     q.update(person_sql())
     q["external_echo"] = "SELECT CAST(c_custkey AS VARCHAR) AS key, CAST(c_custkey AS VARCHAR) AS value FROM customer"
     q.update(game_stats_sql())

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillet.model import ASCII_TOKENIZER_PATTERN, DEBUG_FILTER_PATTERN
-from rillet.operators import abuse, external, levels, people, scores, sessions, words
+from rillet.operators import abuse, external, levels, panes, people, scores, sessions, words
 from rillet.sources.derived import doc_event_ms, document_texts, echo_rows, game_lines, person_lines, text_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -151,8 +151,26 @@ def external_echo(spark, sf_dir):
     return external.pipe_values(once, ("cat",))
 
 
+# -- leader board ------------------------------------------------------------------
+
+def _arrivals(spark, sf_dir) -> DataFrame:
+    return scores.parse_game_events(game_lines(spark, sf_dir), keep=("arrival_ms",))
+
+
+def leaderboard_team_panes(spark, sf_dir):
+    return panes.team_panes(_arrivals(spark, sf_dir), window_minutes=60, lateness_minutes=120,
+                            early_minutes=5, late_minutes=10)
+
+
+def leaderboard_team_final(spark, sf_dir):
+    return panes.final_panes(_arrivals(spark, sf_dir), window_minutes=60, lateness_minutes=120,
+                             early_minutes=5, late_minutes=10)
+
+
 def queries() -> dict[str, Query]:
     return {
+        "leaderboard_team_panes": leaderboard_team_panes,
+        "leaderboard_team_final": leaderboard_team_final,
         "bio_validate": bio_validate,
         "bio_split": bio_split,
         "bio_people": bio_people,
