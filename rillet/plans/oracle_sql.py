@@ -247,12 +247,8 @@ WHERE wm_before IS NULL OR wm_before < ws + {wms + lms}
 GROUP BY ws, team""")
 
 
-def oracle_sql() -> dict[str, str]:
-    q: dict[str, str] = word_sql()
-    q["leaderboard_team_final"] = leaderboard_final_sql()
-    q.update(person_sql())
-    q["external_echo"] = "SELECT CAST(c_custkey AS VARCHAR) AS key, CAST(c_custkey AS VARCHAR) AS value FROM customer"
-    q.update(game_stats_sql())
+def game_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
     q["parse_game_events"] = with_game(
         'SELECT event_id, "user", team, score, timestamp_ms FROM game')
     q["parse_error_count"] = with_game(
@@ -268,4 +264,25 @@ def oracle_sql() -> dict[str, str]:
     q["hourly_team_score"] = hourly_team(60)
     lo, hi = _la_option_ms("2024-01-05-00-00"), _la_option_ms("2024-01-20-12-30")
     q["hourly_team_score_range"] = hourly_team(60, f"timestamp_ms > {lo} AND timestamp_ms < {hi}")
+    q["leaderboard_team_final"] = leaderboard_final_sql()
+    return q
+
+
+def oracle_sql() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q.update(game_sql())
+    q.update(word_sql())
+    q.update(game_stats_sql())
+    q.update(person_sql())
+    q["external_echo"] = ("SELECT CAST(c_custkey AS VARCHAR) AS key, CAST(c_custkey AS VARCHAR) AS value "
+                          "FROM customer")
+    # Stream forms: the same results as their batch forms on a bounded input.
+    q["leaderboard_user"] = q["user_score"]
+    q["leaderboard_team_totals"] = q["hourly_team_score"]
+    q["team_level_crossings_stream"] = q["team_level_crossings"]
+    q["spammy_users_stream"] = q["spammy_users"]
+    q["team_score_no_spam_stream"] = q["team_score_no_spam"]
+    q["session_mean_stream"] = q["session_mean"]
+    q["bio_stream_split"] = q["bio_split"]
+    q["bio_table"] = f"WITH {PERSON_CTES}\nSELECT name, sex, age, weight, height FROM person_valid"
     return q

@@ -168,7 +168,10 @@ def leaderboard_team_final(spark, sf_dir):
 
 
 def queries() -> dict[str, Query]:
+    from rillet.plans.streams import STREAM_QUERIES
+
     return {
+        **STREAM_QUERIES,
         "leaderboard_team_panes": leaderboard_team_panes,
         "leaderboard_team_final": leaderboard_team_final,
         "bio_validate": bio_validate,
