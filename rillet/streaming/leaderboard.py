@@ -66,7 +66,9 @@ def team_panes(events: DataFrame, window_minutes: int = TEAM_WINDOW_MINUTES,
 
     The processing-time timeout revisits each open (team, window) every
     ``poll_ms`` so the watermark checks (on-time, close) run even without new
-    rows; the early/late clock is checked on every visit.
+    rows; the early/late clock is checked on every visit.  Pending timeouts
+    keep the query scheduling batches, so run it with a processing-time
+    trigger (a live leader board), not ``availableNow``.
     """
     wms, lms = window_minutes * 60_000, lateness_minutes * 60_000
     ems, lams = early_minutes * 60_000, late_minutes * 60_000
