@@ -12,8 +12,12 @@ _JAVA_TRIM = r"^[\x00-\x20]+|[\x00-\x20]+$"
 _SIGNED_DIGITS = r"^[+-]?[0-9]+$"
 
 
+# Every char from U+0000 to U+0020, for Spark's (non-regex) trim with a char set.
+_JAVA_TRIM_CHARS = "".join(chr(i) for i in range(0x21))
+
+
 def java_trim(c: Column) -> Column:
-    return F.regexp_replace(c, _JAVA_TRIM, "")
+    return F.trim(c, F.lit(_JAVA_TRIM_CHARS))
 
 
 def full_match(c: Column, pattern: str) -> Column:

@@ -20,35 +20,39 @@ from rillet.model import (
 )
 
 
-def _parsed_columns(value: Column) -> dict[str, Column]:
-    parts = F.split(value, ",", -1)
-    score = strict_int(java_trim(F.get(parts, 2)))
-    ms = strict_long(java_trim(F.get(parts, 3)))
-    ok = (F.size(parts) >= 4) & score.isNotNull() & ms.isNotNull()
-    return {
-        "user": java_trim(F.get(parts, 0)),
-        "team": java_trim(F.get(parts, 1)),
-        "score": score,
-        "timestamp_ms": ms,
-        "_ok": ok,
-    }
-
-
 def tag_game_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
-    """Add the parsed fields and a ``parse_ok`` flag; keeps every input column."""
-    cols = _parsed_columns(F.col(value_col))
-    return lines.select("*", *[c.alias(n) for n, c in cols.items()]).withColumnRenamed("_ok", "parse_ok")
+    """Add ``user, team, score, timestamp_ms`` and a ``parse_ok`` flag; keeps every input column.
+
+    Staged projections: the line is split once and each field trimmed and
+    cast once (Catalyst does not collapse projections that would repeat
+    these non-trivial expressions).
+    """
+    base = lines.columns
+    x = lines.withColumn("_parts", F.split(F.col(value_col), ",", -1))
+    x = x.select(*base, F.size("_parts").alias("_n"),
+                 java_trim(F.get(F.col("_parts"), 0)).alias("user"),
+                 java_trim(F.get(F.col("_parts"), 1)).alias("team"),
+                 java_trim(F.get(F.col("_parts"), 2)).alias("_score"),
+                 java_trim(F.get(F.col("_parts"), 3)).alias("_ms"))
+    x = x.select(*base, "_n", "user", "team", strict_int(F.col("_score")).alias("score"),
+                 strict_long(F.col("_ms")).alias("timestamp_ms"))
+    ok = (F.col("_n") >= 4) & F.col("score").isNotNull() & F.col("timestamp_ms").isNotNull()
+    return x.select(*base, "user", "team", "score", "timestamp_ms", ok.alias("parse_ok"))
 
 
 def parse_game_events(lines: DataFrame, value_col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
     """Parse ``user,team,score,ms[,...]`` lines; bad lines are dropped.
 
-    Output: ``*keep, user, team, score, timestamp_ms, event_time``.
+    Output: ``*keep, user, team, score, timestamp_ms, event_time``.  Written as
+    a 0-or-1-output flat map (``inline`` of an empty or one-element array)
+    rather than a filter: a filter on the parsed flag would be pushed below
+    the projections and re-evaluate the line's expression once per field.
     """
     tagged = tag_game_lines(lines, value_col)
-    return (tagged.where("parse_ok")
-            .select(*keep, "user", "team", "score", "timestamp_ms",
-                    event_time_from_ms(F.col("timestamp_ms")).alias("event_time")))
+    row = F.struct(*[F.col(k) for k in keep], "user", "team", "score", "timestamp_ms",
+                   event_time_from_ms(F.col("timestamp_ms")).alias("event_time"))
+    # NULL (bad line) -> no output row
+    return tagged.select(F.inline(F.when(F.col("parse_ok"), F.array(row))))
 
 
 def parse_error_count(lines: DataFrame, value_col: str = "value") -> DataFrame:
