@@ -8,6 +8,9 @@ Plan shape (all shuffles keyed, no cross products):
   anti join of the (window, user, team) sums with the spammers on (window, user),
   then sum by (window, team).
 Pre-aggregating before the anti join means raw events never cross the join.
+The pre-aggregate feeds three branches (user sums, the mean, the anti join),
+so it is written once to the shared checkpoint folder and read back: the
+events are scanned and parsed once, not once per branch.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ from pyspark.sql import functions as F
 
 from rillet.functions.times import display_time
 from rillet.model import SCORE_WEIGHT, TEAM_WINDOW_MINUTES
+from rillet.session import materialize
 
 
 def _with_window_start(events: DataFrame, minutes: int) -> DataFrame:
@@ -42,14 +46,14 @@ def spammers_from_sums(uts: DataFrame, weight: float = SCORE_WEIGHT) -> DataFram
 def spammy_users(events: DataFrame, minutes: int = TEAM_WINDOW_MINUTES,
                  weight: float = SCORE_WEIGHT) -> DataFrame:
     """``window_start, user, total_score``."""
-    sp = spammers_from_sums(user_team_sums(events, minutes), weight)
+    sp = spammers_from_sums(materialize(user_team_sums(events, minutes), "window-user-team-sums"), weight)
     return sp.select(display_time(F.col("ws")).alias("window_start"), "user", "total_score")
 
 
 def team_score_without_spammers(events: DataFrame, minutes: int = TEAM_WINDOW_MINUTES,
                                 weight: float = SCORE_WEIGHT) -> DataFrame:
     """``window_start, team, total_score`` after dropping spammers of the same window."""
-    uts = user_team_sums(events, minutes)
+    uts = materialize(user_team_sums(events, minutes), "window-user-team-sums")
     spammers = spammers_from_sums(uts, weight).select("ws", "user")
     clean = uts.join(spammers, ["ws", "user"], "left_anti")
     sums = clean.groupBy("ws", "team").agg(F.sum("score_sum").alias("total_score"))

@@ -60,3 +60,17 @@ def scratch_path(spark: SparkSession, kind: str) -> str:
     """A fresh folder under the shared checkpoint dir for staged data or sinks."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/rillet/{kind}/{uuid.uuid4().hex}"
+
+
+def materialize(df, kind: str):
+    """Write ``df`` once as Parquet under the shared checkpoint folder and read it back.
+
+    For an intermediate that several branches of one plan consume: it is
+    computed once instead of once per branch, and its lineage is cut, so a
+    lost executor costs a re-read, not a recomputation from the sources.
+    This runs a job now (the caller's function becomes eager).
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, kind)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
