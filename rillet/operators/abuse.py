@@ -58,3 +58,11 @@ def team_score_without_spammers(events: DataFrame, minutes: int = TEAM_WINDOW_MI
     clean = uts.join(spammers, ["ws", "user"], "left_anti")
     sums = clean.groupBy("ws", "team").agg(F.sum("score_sum").alias("total_score"))
     return sums.select(display_time(F.col("ws")).alias("window_start"), "team", "total_score")
+
+
+def observe_spammers(spammers: DataFrame, name: str = "spammers"):
+    """Counter form: ``(spammers, observation)``; ``observation.get['n_spammers']`` after an action."""
+    from pyspark.sql import Observation
+
+    obs = Observation(name)
+    return spammers.observe(obs, F.count(F.lit(1)).alias("n_spammers")), obs
