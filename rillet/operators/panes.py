@@ -40,6 +40,7 @@ from rillet.model import (
 )
 
 INF = float("inf")
+NEVER = 2 ** 62          # tick that is never reached (the global window has no end)
 
 
 @dataclass
@@ -219,7 +220,7 @@ def clock_table(rows: DataFrame, window_ms: int, lateness_ms: int) -> DataFrame:
     return reached(0, "on_time_at").join(reached(lateness_ms, "close_at"), "window_idx")
 
 
-def replay_panes(events: DataFrame, window_minutes: int = TEAM_WINDOW_MINUTES,
+def replay_panes(events: DataFrame, window_minutes: int | None = TEAM_WINDOW_MINUTES,
                  lateness_minutes: int = ALLOWED_LATENESS_MINUTES, early_minutes: int = EARLY_FIRING_MINUTES,
                  late_minutes: int = LATE_FIRING_MINUTES, key: str = "team") -> DataFrame:
     """``team, ws, pane_index, timing, total_score, fired_minute`` from events with
@@ -229,13 +230,23 @@ def replay_panes(events: DataFrame, window_minutes: int = TEAM_WINDOW_MINUTES,
     aggregation, and each replay group then holds at most one row per minute
     of its window's life, however hot the key.
     """
-    window_ms, lateness_ms = window_minutes * 60_000, lateness_minutes * 60_000
-    rows = events.select(
-        F.col(key).alias("team"), "score", "timestamp_ms",
-        F.floor(F.col("arrival_ms") / F.lit(60_000)).cast("bigint").alias("minute"),
-        F.floor(F.col("timestamp_ms") / F.lit(window_ms)).cast("bigint").alias("window_idx"))
-    clocks = clock_table(rows, window_ms, lateness_ms)
-    per_min = rows.groupBy("team", "window_idx", "minute").agg(F.sum("score").alias("score_sum"))
+    global_window = window_minutes is None
+    window_ms = 0 if global_window else window_minutes * 60_000
+    lateness_ms = lateness_minutes * 60_000
+    minute = F.floor(F.col("arrival_ms") / F.lit(60_000)).cast("bigint").alias("minute")
+    if global_window:
+        # One window for all time: no on-time pane, nothing is ever too late,
+        # and pending elements fire when the clock reaches their deadline.
+        rows = events.select(F.col(key).alias("team"), "score", "timestamp_ms", minute,
+                             F.lit(0).cast("bigint").alias("window_idx"))
+        per_min = (rows.groupBy("team", "window_idx", "minute").agg(F.sum("score").alias("score_sum"))
+                   .withColumn("on_time_at", F.lit(NEVER)).withColumn("close_at", F.lit(NEVER)))
+    else:
+        rows = events.select(
+            F.col(key).alias("team"), "score", "timestamp_ms", minute,
+            F.floor(F.col("timestamp_ms") / F.lit(window_ms)).cast("bigint").alias("window_idx"))
+        clocks = clock_table(rows, window_ms, lateness_ms)
+        per_min = rows.groupBy("team", "window_idx", "minute").agg(F.sum("score").alias("score_sum"))
     # The clock table has one row per event-time window of the span (about
     # 720 for a month of hourly windows), independent of the row count, so it
     # is broadcast.  The groups are then spread on both keys with an explicit
@@ -243,8 +254,8 @@ def replay_panes(events: DataFrame, window_minutes: int = TEAM_WINDOW_MINUTES,
     # window_idx alone would put every team of a hot window in one task, and
     # this stage is Python-bound, so it must not be coalesced to a few tasks.
     n_parts = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    g = (per_min.join(F.broadcast(clocks), "window_idx")
-         .repartition(n_parts, "team", "window_idx")
+    g = (per_min if global_window else per_min.join(F.broadcast(clocks), "window_idx"))
+    g = (g.repartition(n_parts, "team", "window_idx")
          .sortWithinPartitions("team", "window_idx", "minute"))
     early, late = early_minutes, late_minutes
 
@@ -311,3 +322,17 @@ def final_panes(events: DataFrame, **kw) -> DataFrame:
     p = replay_panes(events, **kw)
     last = p.groupBy("team", "ws").agg(F.max_by("total_score", "pane_index").alias("total_score"))
     return last.select(display_time(F.col("ws")).alias("window_start"), "team", "total_score")
+
+
+def user_panes(events: DataFrame, delay_minutes: int = LATE_FIRING_MINUTES) -> DataFrame:
+    """``user, pane_index, timing, total_score``: the global-window leader board,
+    firing ``delay_minutes`` after the first unfired element of each user."""
+    p = replay_panes(events, window_minutes=None, early_minutes=delay_minutes, late_minutes=delay_minutes,
+                     key="user")
+    return p.select(F.col("team").alias("user"), "pane_index", "timing", "total_score")
+
+
+def user_final_panes(events: DataFrame, delay_minutes: int = LATE_FIRING_MINUTES) -> DataFrame:
+    """``user, total_score`` of each user's last pane."""
+    p = user_panes(events, delay_minutes)
+    return p.groupBy("user").agg(F.max_by("total_score", "pane_index").alias("total_score"))

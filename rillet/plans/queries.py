@@ -167,6 +167,14 @@ def leaderboard_team_final(spark, sf_dir):
                              early_minutes=5, late_minutes=10)
 
 
+def leaderboard_user_panes(spark, sf_dir):
+    return panes.user_panes(_arrivals(spark, sf_dir), 10)
+
+
+def leaderboard_user_final(spark, sf_dir):
+    return panes.user_final_panes(_arrivals(spark, sf_dir), 10)
+
+
 def queries() -> dict[str, Query]:
     from rillet.plans.streams import STREAM_QUERIES
 
@@ -174,6 +182,8 @@ def queries() -> dict[str, Query]:
         **STREAM_QUERIES,
         "leaderboard_team_panes": leaderboard_team_panes,
         "leaderboard_team_final": leaderboard_team_final,
+        "leaderboard_user_panes": leaderboard_user_panes,
+        "leaderboard_user_final": leaderboard_user_final,
         "bio_validate": bio_validate,
         "bio_split": bio_split,
         "bio_people": bio_people,

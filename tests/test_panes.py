@@ -134,3 +134,33 @@ def test_replay_matches_minute_simulation(spark, seed):
     got = sorted((r.team, r.ws, r.timing, r.total_score) for r in
                  replay_panes(df, window_minutes=60, lateness_minutes=120, early_minutes=5, late_minutes=10).collect())
     assert got == brute_replay(data, 60 * M, 120 * M, 5, 10)
+
+
+def test_global_window_replay_matches_simulation(spark):
+    from rillet.operators.panes import user_panes
+
+    rnd = random.Random(5)
+    data = []
+    for _ in range(400):
+        t = rnd.randint(0, 6 * 60) * M + rnd.randint(0, M - 1)
+        data.append((rnd.choice(["navy", "sky", "hot", "hot"]), rnd.randint(0, 20), t, t + rnd.choice([0, 0, 7 * M])))
+    df = spark.createDataFrame(data, "user string, score int, timestamp_ms long, arrival_ms long")
+    got = sorted((r.user, r.pane_index, r.timing, r.total_score) for r in user_panes(df, 10).collect())
+    # brute force: every minute, fire users whose first pending element is 10+ minutes old, then add arrivals
+    by_minute = {}
+    for u, s, _, arr in data:
+        by_minute.setdefault(arr // M, []).append((u, s))
+    state, out = {}, []
+    for tick in range(min(by_minute), max(by_minute) + 12):
+        for u, st in sorted(state.items()):
+            if st["pending"] and tick >= st["since"] + 10:
+                out.append((u, st["n"], "EARLY", st["total"]))
+                st["n"] += 1
+                st["pending"] = False
+        for u, s in by_minute.get(tick, []):
+            st = state.setdefault(u, {"total": 0, "pending": False, "since": 0, "n": 0})
+            st["total"] += s
+            if not st["pending"]:
+                st["pending"], st["since"] = True, tick
+    assert got == sorted(out)
+    assert all(timing == "EARLY" for _, _, timing, _ in got)
