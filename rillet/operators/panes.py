@@ -149,11 +149,14 @@ def replay_group(arrivals: list[tuple[int, int]], on_time_at: int, close_at: int
     watermark is checked, then the clock, then that minute's elements are
     added.  Returns ``(timing, total, tick)`` per pane.
     """
+    on_time_at = INF if on_time_at >= NEVER else on_time_at
+    close_at = INF if close_at >= NEVER else close_at
     if not arrivals or arrivals[0][0] >= close_at:
         return []                     # every element too late: no state, no pane
     # Drive the machine with the watermark expressed in ticks: w(t) = t, so
     # "w >= E" is "t >= on_time_at" and "w >= E + L" is "t >= close_at".
-    m = PaneMachine(on_time_at, close_at - on_time_at, early_min, late_min)
+    lateness = close_at - on_time_at if close_at < INF else INF
+    m = PaneMachine(on_time_at, lateness, early_min, late_min)
     i, n = 0, len(arrivals)
     t = arrivals[0][0]
     started = False
