@@ -28,11 +28,18 @@ def session_starts(rows: DataFrame, keys: Sequence[str], ts_col: str, gap_ms: in
 
     A row opens a session when the previous row of its key is ``gap_ms`` or
     more earlier (half-open ``[t, t + gap)`` activity intervals that merely
-    touch do not merge).
+    touch do not merge).  Rows with a NULL key or time are dropped.
     """
     keys = list(keys)
     ts = F.col(ts_col)
-    x = rows.withColumn("_chunk", _chunk(ts_col, chunk_ms))
+    # Rows without a time cannot be placed in a session; keys are never NULL
+    # after parsing.  Stating both up front gives the two consumers of the
+    # row-level pass identical plans, so Spark reuses its shuffle.
+    not_null = ts.isNotNull()
+    for k in keys:
+        not_null = not_null & F.col(k).isNotNull()
+    x = rows.where(not_null).withColumn("_chunk", _chunk(ts_col, chunk_ms))
+    x = x.where(F.col("_chunk").isNotNull())
     w_in = Window.partitionBy(*keys, "_chunk").orderBy(ts_col)
     prev = F.lag(ts).over(w_in)
     x = x.withColumn("_inner_start", F.when(prev.isNotNull() & (ts - prev >= gap_ms), ts))
@@ -63,14 +70,22 @@ def running_sum(rows: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
     """Add the inclusive running sum of ``value_col`` per key in ``order_cols`` order.
 
     ``order_cols`` must start with ``ts_col`` (the chunking column) so that
-    chunk order agrees with row order.
+    chunk order agrees with row order.  Rows with a NULL key or time are
+    dropped.
     """
     keys = list(keys)
-    x = rows.withColumn("_chunk", _chunk(ts_col, chunk_ms))
+    not_null = F.col(ts_col).isNotNull()
+    for k in keys:
+        not_null = not_null & F.col(k).isNotNull()
+    x = rows.where(not_null).withColumn("_chunk", _chunk(ts_col, chunk_ms))
+    x = x.where(F.col("_chunk").isNotNull())
     w_in = (Window.partitionBy(*keys, "_chunk").orderBy(*order_cols)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     x = x.withColumn("_local", F.sum(value_col).over(w_in))
-    totals = x.groupBy(*keys, "_chunk").agg(F.sum(value_col).alias("_ctotal"))
+    # A chunk's total is the running value at its last row: taken from the
+    # same row-level pass, so both consumers share one shuffle of the rows.
+    last = F.struct(*[F.col(c) for c in order_cols])
+    totals = x.groupBy(*keys, "_chunk").agg(F.max_by("_local", last).alias("_ctotal"))
     w_c = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*keys, "_chunk", F.coalesce(F.sum("_ctotal").over(w_c), F.lit(0)).alias("_off"))
     out = x.join(offsets, [*keys, "_chunk"])
