@@ -113,3 +113,58 @@ def person_records(spark: SparkSession, opts: PersonOptions) -> None:
     valid, invalid = people.split_lines(lines)
     text_sink.write_text(invalid.withColumnRenamed("value", "line"), f"{opts.output}_invalid")
     text_sink.write_text(people.people_text(people.people(valid)), f"{opts.output}_valid")
+
+
+# -- live (streaming) jobs -------------------------------------------------------
+# Each returns the started StreamingQuery objects; the caller awaits or stops them.
+
+def _processing_time():
+    from rillet.functions.times import display_time
+
+    return display_time(F.unix_millis(F.current_timestamp())).alias("processing_time")
+
+
+def leader_board_stream(spark: SparkSession, opts: LeaderBoardOptions, trigger: str = "10 seconds"):
+    """Q7 + Q8 live: one text-file stream of game lines feeding two queries.
+
+    Teams: exact early/on-time/late panes per hourly window, appended to
+    ``<output>/team_panes`` with the window start, timing and processing time.
+    Users: the global-window running totals (update mode), appended to
+    ``<output>/user_totals`` with the micro-batch id and processing time.
+    """
+    from rillet.functions.times import display_time
+    from rillet.sinks.table import stream_append
+    from rillet.sources.text import stream_lines
+    from rillet.streaming import leaderboard
+    from rillet.session import scratch_path
+
+    events = scores.parse_game_events(stream_lines(spark, opts.input))
+    panes = leaderboard.team_panes(events, opts.team_window_minutes, opts.allowed_lateness_minutes,
+                                   opts.early_minutes, opts.late_minutes)
+    teams = panes.select("team", "total_score", display_time(F.col("ws")).alias("window_start"),
+                         _processing_time(), "timing")
+    users = leaderboard.user_totals(events).select("user", "total_score", _processing_time())
+    q_teams = (stream_append(teams, None, f"{opts.output}/team_panes", scratch_path(spark, "ck-teams"), "append")
+               .trigger(processingTime=trigger).start())
+    q_users = (stream_append(users, None, f"{opts.output}/user_totals", scratch_path(spark, "ck-users"), "update",
+                             with_batch_id=True)
+               .trigger(processingTime=trigger).start())
+    return q_teams, q_users
+
+
+def person_records_stream(spark: SparkSession, opts: PersonOptions, trigger: str = "10 seconds"):
+    """Q14 (``mode='stream_topics'``): valid / invalid raw lines to two text topics;
+    Q15 (``mode='stream_table'``): valid people's five columns appended to a table."""
+    from rillet.session import scratch_path
+    from rillet.sources.text import stream_lines
+    from rillet.streaming import people as people_stream
+
+    lines = stream_lines(spark, opts.input)
+    if opts.mode == "stream_topics":
+        writer = people_stream.split_to_topics(lines, f"{opts.output}_valid", f"{opts.output}_invalid",
+                                               scratch_path(spark, "ck-people"))
+    elif opts.mode == "stream_table":
+        writer = people_stream.to_table(lines, opts.output, scratch_path(spark, "ck-people"))
+    else:
+        raise ValueError(f"unknown stream mode {opts.mode!r}")
+    return writer.trigger(processingTime=trigger).start()

@@ -109,3 +109,50 @@ def test_one_stream_feeds_two_queries(spark):
     users = leaderboard.latest_updates(spark.read.parquet(users_out), ["user"])
     assert users.where("user = 'user18_BananaEmu'").first().total_score == 8
     assert leaderboard.latest_updates(spark.read.parquet(teams_out), ["ws", "team"]).count() == 11
+
+
+def test_live_leader_board_job(spark):
+    import time
+
+    from rillet.model import LeaderBoardOptions
+
+    src = scratch_path(spark, "lb-in")
+    spark.createDataFrame([(x,) for x in GOOD + ["late,BananaEmu,5,1447965690000,x"]], "value string") \
+        .coalesce(1).write.text(src)
+    out = scratch_path(spark, "lb-out")
+    q_teams, q_users = jobs.leader_board_stream(spark, LeaderBoardOptions(src, out), trigger="200 milliseconds")
+    try:
+        deadline = time.time() + 90
+        while time.time() < deadline:
+            try:
+                if spark.read.parquet(out + "/user_totals").count() >= 7:
+                    break
+            except Exception:  # noqa: BLE001 - nothing written yet
+                pass
+            time.sleep(0.5)
+    finally:
+        q_teams.stop()
+        q_users.stop()
+    users = spark.read.parquet(out + "/user_totals")
+    assert set(users.columns) == {"user", "total_score", "processing_time", "batch_id"}
+    assert users.where("user = 'user7_AndroidGreenKookaburra'").first().total_score == 23
+
+
+def test_person_stream_jobs(spark):
+    from rillet.operators.people import INVALID  # noqa: F401
+
+    src = _input(spark, SAMPLE)
+    out = scratch_path(spark, "ps")
+    q = jobs.person_records_stream(spark, PersonOptions(src, out, "stream_table"), trigger="200 milliseconds")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.parquet(out).count() == 16
+    out2 = scratch_path(spark, "ps2")
+    q = jobs.person_records_stream(spark, PersonOptions(src, out2, "stream_topics"), trigger="200 milliseconds")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.text(out2 + "_invalid").count() == 2 and spark.read.text(out2 + "_valid").count() == 16
