@@ -190,37 +190,40 @@ PANE_SCHEMA = T.StructType([
 
 def clock_table(rows: DataFrame, window_ms: int, lateness_ms: int) -> DataFrame:
     """``window_idx, on_time_at, close_at``: the first tick at which the watermark
-    reaches each window's end E and E + L.
-
-    Built from one row per arrival minute (bounded by the time span, not by
-    the data), so the ordered running max over it is a small single-partition
-    window.  After the last minute the input ends and the watermark jumps to
-    +inf, so windows it never reached get the end tick.
+    reaches each window's end E and E + L, for every window that has rows.
+
+    The watermark after minute m is the running max of event times that
+    arrived up to m (a tick is the end of a minute).  Clock rows (one per
+    arrival minute) and window-end rows (two per window with data) are merged
+    in one ordered scan: a window end takes the smallest tick among the clock
+    rows at or after it.  The scan is a single-partition window over rows
+    bounded by the minutes and windows of the span (not by the row count, and
+    an outlier timestamp adds one row, not a range).  Ends the watermark never
+    reaches get the end-of-input tick, where it jumps to +inf.
     """
-    per_min = rows.groupBy("minute").agg(F.max("timestamp_ms").alias("raw"),
-                                         F.min("timestamp_ms").alias("lo"))
-    w_all = Window.orderBy("minute")
-    whole = w_all.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    clk = per_min.select(
-        "minute",
-        F.max("raw").over(w_all.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("wm"),
-        (F.min("lo").over(whole) - 1).alias("start_wm"),
-        F.max("raw").over(whole).alias("max_ts"),
-        (F.max("minute").over(whole) == F.col("minute")).alias("is_last"))
-    clk = clk.withColumn("wm_prev", F.coalesce(F.lag("wm").over(w_all), F.col("start_wm")))
-    max_idx = F.floor(F.col("max_ts") / F.lit(window_ms)).cast("bigint")
-
-    def reached(offset_ms: int, name: str) -> DataFrame:
-        # window j, with end (j+1)*W (+ L), is reached after this minute when
-        # wm_prev < (j+1)*W + offset <= wm; the last minute also takes every later window.
-        lo_j = F.floor((F.col("wm_prev") - offset_ms) / F.lit(window_ms)).cast("bigint")
-        hi_j = (F.floor((F.col("wm") - offset_ms) / F.lit(window_ms)) - 1).cast("bigint")
-        hi_j = F.when(F.col("is_last"), F.greatest(hi_j, max_idx)).otherwise(hi_j)
-        return (clk.where(hi_j >= lo_j)
-                .select(F.explode(F.sequence(lo_j, hi_j)).alias("window_idx"),
-                        (F.col("minute") + 1).alias(name)))
-
-    return reached(0, "on_time_at").join(reached(lateness_ms, "close_at"), "window_idx")
+    per_min = rows.groupBy("minute").agg(F.max("timestamp_ms").alias("raw"))
+    w_min = Window.orderBy("minute").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    clk = per_min.select(F.max("raw").over(w_min).alias("key"), (F.col("minute") + 1).alias("tick"),
+                         F.lit(None).cast("bigint").alias("window_idx"), F.lit(None).cast("string").alias("which"),
+                         F.lit(1).alias("kind"))
+    wins = rows.select("window_idx").distinct()
+    end = (F.col("window_idx") + 1) * F.lit(window_ms)
+    ends = (wins.select(end.alias("key"), F.lit(None).cast("bigint").alias("tick"), "window_idx",
+                        F.lit("on_time_at").alias("which"), F.lit(0).alias("kind"))
+            .unionByName(wins.select((end + F.lit(lateness_ms)).alias("key"), F.lit(None).cast("bigint").alias("tick"),
+                                     "window_idx", F.lit("close_at").alias("which"), F.lit(0).alias("kind"))))
+    # a window-end row sorts before clock rows with the same key, so "following"
+    # includes the clock that reaches it exactly
+    order = Window.orderBy("key", "kind")
+    merged = clk.unionByName(ends).select(
+        "window_idx", "which", "kind",
+        F.min("tick").over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing)).alias("reached"),
+        F.max("tick").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("end_tick"))
+    firsts = merged.where(F.col("kind") == 0).select(
+        "window_idx", "which", F.coalesce("reached", "end_tick").alias("tick"))
+    return firsts.groupBy("window_idx").agg(
+        F.max(F.when(F.col("which") == "on_time_at", F.col("tick"))).alias("on_time_at"),
+        F.max(F.when(F.col("which") == "close_at", F.col("tick"))).alias("close_at"))
 
 
 def replay_panes(events: DataFrame, window_minutes: int | None = TEAM_WINDOW_MINUTES,
@@ -250,7 +253,7 @@ def replay_panes(events: DataFrame, window_minutes: int | None = TEAM_WINDOW_MIN
             F.floor(F.col("timestamp_ms") / F.lit(window_ms)).cast("bigint").alias("window_idx"))
         clocks = clock_table(rows, window_ms, lateness_ms)
         per_min = rows.groupBy("team", "window_idx", "minute").agg(F.sum("score").alias("score_sum"))
-    # The clock table has one row per event-time window of the span (about
+    # The clock table has one row per event-time window with data (about
     # 720 for a month of hourly windows), independent of the row count, so it
     # is broadcast.  The groups are then spread on both keys with an explicit
     # partition count: the clock side is single-partition, a partitioning on

@@ -164,3 +164,18 @@ def test_global_window_replay_matches_simulation(spark):
                 st["pending"], st["since"] = True, tick
     assert got == sorted(out)
     assert all(timing == "EARLY" for _, _, timing, _ in got)
+
+
+def test_replay_with_outlier_event_time(spark):
+    # one corrupt far-future event time (arriving on time) must not blow up the
+    # clock and closes every window after its minute, as the rule says
+    rnd = random.Random(11)
+    data = []
+    for _ in range(300):
+        t = rnd.randint(0, 4 * 60) * M + rnd.randint(0, M - 1)
+        data.append((rnd.choice(["red", "blue"]), rnd.randint(0, 20), t, t + rnd.choice([0, 3 * M])))
+    data.append(("red", 1, 10 ** 13, 120 * M))
+    df = spark.createDataFrame(data, "team string, score int, timestamp_ms long, arrival_ms long")
+    got = sorted((r.team, r.ws, r.timing, r.total_score) for r in
+                 replay_panes(df, window_minutes=60, lateness_minutes=120, early_minutes=5, late_minutes=10).collect())
+    assert got == brute_replay(data, 60 * M, 120 * M, 5, 10)
