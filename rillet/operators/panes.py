@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rillet.functions.times import display_time
+from rillet.session import materialize
 from rillet.model import (
     ALLOWED_LATENESS_MINUTES, EARLY, EARLY_FIRING_MINUTES, LATE, LATE_FIRING_MINUTES, ON_TIME,
     TEAM_WINDOW_MINUTES,
@@ -189,6 +190,7 @@ PANE_SCHEMA = T.StructType([
 
 
 def clock_table(rows: DataFrame, window_ms: int, lateness_ms: int) -> DataFrame:
+    # ``rows``: (window_idx, minute, max_ts), e.g. the per-minute pre-aggregate
     """``window_idx, on_time_at, close_at``: the first tick at which the watermark
     reaches each window's end E and E + L, for every window that has rows.
 
@@ -201,7 +203,7 @@ def clock_table(rows: DataFrame, window_ms: int, lateness_ms: int) -> DataFrame:
     an outlier timestamp adds one row, not a range).  Ends the watermark never
     reaches get the end-of-input tick, where it jumps to +inf.
     """
-    per_min = rows.groupBy("minute").agg(F.max("timestamp_ms").alias("raw"))
+    per_min = rows.groupBy("minute").agg(F.max("max_ts").alias("raw"))
     w_min = Window.orderBy("minute").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     clk = per_min.select(F.max("raw").over(w_min).alias("key"), (F.col("minute") + 1).alias("tick"),
                          F.lit(None).cast("bigint").alias("window_idx"), F.lit(None).cast("string").alias("which"),
@@ -251,8 +253,12 @@ def replay_panes(events: DataFrame, window_minutes: int | None = TEAM_WINDOW_MIN
         rows = events.select(
             F.col(key).alias("team"), "score", "timestamp_ms", minute,
             F.floor(F.col("timestamp_ms") / F.lit(window_ms)).cast("bigint").alias("window_idx"))
-        clocks = clock_table(rows, window_ms, lateness_ms)
-        per_min = rows.groupBy("team", "window_idx", "minute").agg(F.sum("score").alias("score_sum"))
+        # One pre-aggregate feeds the clock, the window list and the replay
+        # groups.  Catalyst would prune it differently per branch and scan the
+        # events three times, so it is written once to the checkpoint folder.
+        per_min = materialize(rows.groupBy("team", "window_idx", "minute").agg(
+            F.sum("score").alias("score_sum"), F.max("timestamp_ms").alias("max_ts")), "pane-minutes")
+        clocks = clock_table(per_min, window_ms, lateness_ms)
     # The clock table has one row per event-time window with data (about
     # 720 for a month of hourly windows), independent of the row count, so it
     # is broadcast.  The groups are then spread on both keys with an explicit
