@@ -214,13 +214,15 @@ def clock_table(rows: DataFrame, window_ms: int, lateness_ms: int) -> DataFrame:
                         F.lit("on_time_at").alias("which"), F.lit(0).alias("kind"))
             .unionByName(wins.select((end + F.lit(lateness_ms)).alias("key"), F.lit(None).cast("bigint").alias("tick"),
                                      "window_idx", F.lit("close_at").alias("which"), F.lit(0).alias("kind"))))
-    # a window-end row sorts before clock rows with the same key, so "following"
-    # includes the clock that reaches it exactly
-    order = Window.orderBy("key", "kind")
+    # Scanned from the largest key down, the smallest tick at or after a row is
+    # a running min (linear; a min over an "unbounded following" frame would be
+    # recomputed per row).  At equal keys clock rows come first in this order,
+    # so a window end sees the clock that reaches it exactly.
+    down = Window.orderBy(F.col("key").desc(), F.col("kind").desc())
     merged = clk.unionByName(ends).select(
         "window_idx", "which", "kind",
-        F.min("tick").over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing)).alias("reached"),
-        F.max("tick").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias("end_tick"))
+        F.min("tick").over(down.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("reached"),
+        F.max("tick").over(Window.partitionBy(F.lit(1))).alias("end_tick"))
     firsts = merged.where(F.col("kind") == 0).select(
         "window_idx", "which", F.coalesce("reached", "end_tick").alias("tick"))
     return firsts.groupBy("window_idx").agg(
