@@ -86,12 +86,12 @@ def team_level_crossings_stream(spark, sf_dir):
 
 def _spam_run(spark, sf_dir):
     _, path = _stage_game(spark, sf_dir, "gamestats")
-    sums_p, spam_p, team_p = (scratch_path(spark, f"gamestats-{k}") for k in ("sums", "spam", "team"))
+    spam_p, team_p = (scratch_path(spark, f"gamestats-{k}") for k in ("spam", "team"))
     ck = scratch_path(spark, "checkpoint")
 
     def writer(lines):
         sums = gamestats.window_user_team_sums(parse_game_events(lines), 60)
-        return gamestats.spam_outputs(sums_p, spam_p, team_p, ck, sums, 2.5)
+        return gamestats.spam_outputs(spam_p, team_p, ck, sums, 2.5)
 
     _run_to_end(spark, path, writer)
     return spam_p, team_p

@@ -25,14 +25,13 @@ def window_user_team_sums(events: DataFrame, window_minutes: int = TEAM_WINDOW_M
             .select(F.unix_millis(F.col("window.start")).alias("ws"), "user", "team", "score_sum"))
 
 
-def spam_outputs(sums_path: str, spam_path: str, team_path: str, checkpoint: str, stream: DataFrame,
+def spam_outputs(spam_path: str, team_path: str, checkpoint: str, stream: DataFrame,
                  weight: float = SCORE_WEIGHT):
     """Write spammers and spam-free team sums for every closed window."""
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            batch.write.mode("append").parquet(sums_path)
             spam = spammers_from_sums(batch, weight)
             spam.write.mode("append").parquet(spam_path)
             clean = batch.join(spam.select("ws", "user"), ["ws", "user"], "left_anti")
