@@ -18,7 +18,6 @@ from rillet.operators.scores import parse_game_events
 from rillet.session import scratch_path
 from rillet.sinks.table import stream_append
 from rillet.sources.derived import game_lines, person_lines
-from rillet.sources.text import stage_lines
 from rillet.streaming import gamestats, leaderboard, levels
 from rillet.streaming import people as people_stream
 from rillet.streaming.runner import run_available_now, stage_and_stream
