@@ -168,3 +168,43 @@ def person_records_stream(spark: SparkSession, opts: PersonOptions, trigger: str
     else:
         raise ValueError(f"unknown stream mode {opts.mode!r}")
     return writer.trigger(processingTime=trigger).start()
+
+
+def game_stats_stream(spark: SparkSession, opts: GameStatsOptions, trigger: str = "10 seconds"):
+    """Q9-Q11 live: spammers and spam-free team sums per closed window
+    (``<output>/spammers``, ``<output>/team_scores``) and mean session length
+    per window (``<output>/session_means``); append mode, default trigger."""
+    from rillet.session import scratch_path
+    from rillet.sinks.table import stream_append
+    from rillet.sources.text import stream_lines
+    from rillet.streaming import gamestats
+
+    events = scores.parse_game_events(stream_lines(spark, opts.input))
+    sums = gamestats.window_user_team_sums(events, opts.fixed_window_minutes)
+    q_spam = (gamestats.spam_outputs(f"{opts.output}/spammers", f"{opts.output}/team_scores",
+                                     scratch_path(spark, "ck-spam"), sums, opts.score_weight)
+              .trigger(processingTime=trigger).start())
+    means = gamestats.session_mean_stream(events, opts.session_gap_minutes, opts.user_activity_window_minutes)
+    q_sessions = (stream_append(means, None, f"{opts.output}/session_means", scratch_path(spark, "ck-sessions"))
+                  .trigger(processingTime=trigger).start())
+    return q_spam, q_sessions
+
+
+def stateful_team_score_stream(spark: SparkSession, opts: StatefulTeamScoreOptions, trigger: str = "10 seconds"):
+    """Q12 live: (team, total) whenever a team's running total passes a multiple
+    of the threshold; keyed state per team.  Lines may carry a trailing event id
+    (used to order rows of one micro-batch); otherwise the event time alone orders them."""
+    from rillet.session import scratch_path
+    from rillet.sinks.table import stream_append
+    from rillet.sources.text import stream_lines
+    from rillet.streaming import levels
+
+    raw = stream_lines(spark, opts.input)
+    parts = F.split("value", ",", -1)
+    raw = raw.withColumn("event_id", F.when(F.size(parts) > 5, F.element_at(parts, -1).try_cast("bigint"))
+                         .otherwise(F.lit(0).cast("bigint")))
+    events = scores.parse_game_events(raw, keep=("event_id",))
+    crossings = levels.level_crossings(events, opts.threshold).select(
+        "team", "event_id", "total_score", _processing_time())
+    return (stream_append(crossings, None, opts.output, scratch_path(spark, "ck-levels"))
+            .trigger(processingTime=trigger).start())

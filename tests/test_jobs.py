@@ -156,3 +156,53 @@ def test_person_stream_jobs(spark):
     finally:
         q.stop()
     assert spark.read.text(out2 + "_invalid").count() == 2 and spark.read.text(out2 + "_valid").count() == 16
+
+
+def _wait_rows(spark, path, n, seconds=90):
+    import time
+
+    deadline = time.time() + seconds
+    while time.time() < deadline:
+        try:
+            if spark.read.parquet(path).count() >= n:
+                return
+        except Exception:  # noqa: BLE001 - nothing written yet
+            pass
+        time.sleep(0.5)
+
+
+def test_live_level_crossings_job(spark):
+    src = _input(spark, ["r,red,99,1,x,0", "r,red,1,2,x,1", "r,red,0,3,x,2", "r,red,100,4,x,3", "r,red,201,5,x,4"])
+    out = scratch_path(spark, "lvl-live")
+    q = jobs.stateful_team_score_stream(spark, StatefulTeamScoreOptions(src, out, 100), trigger="200 milliseconds")
+    try:
+        _wait_rows(spark, out, 3)
+    finally:
+        q.stop()
+    got = sorted((r.event_id, r.total_score) for r in spark.read.parquet(out).collect())
+    assert got == [(1, 100), (3, 200), (4, 401)]
+
+
+def test_live_game_stats_job(spark):
+    from test_abuse import PAIRS
+
+    lines = [f"{u},t,{s},1000,x" for u, s in PAIRS] + ["marker,t,0,7200000,x"]   # pushes the watermark past hour 0
+    src = _input(spark, lines)
+    out = scratch_path(spark, "gs-live")
+    q_spam, q_sess = jobs.game_stats_stream(spark, GameStatsOptions(src, out), trigger="200 milliseconds")
+    try:
+        _wait_rows(spark, out + "/spammers", 2)
+    finally:
+        q_spam.stop()
+        q_sess.stop()
+    assert sorted(r.user for r in spark.read.parquet(out + "/spammers").collect()) == ["Robot-1", "Robot-2"]
+
+
+def test_cli_runs_a_job(spark, capsys):
+    from rillet.cli import main
+
+    src = _input(spark, ["stomach secret Flourish message Flourish here Flourish"])
+    rc = main(["debugging_word_count", "--input", src, "--filter-pattern", "Flourish|stomach",
+               "--expected", '[["Flourish", 3], ["stomach", 1]]'])
+    assert rc == 0 and '"n_matched": 2' in capsys.readouterr().out
+    assert main([]) == 2
