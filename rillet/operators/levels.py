@@ -34,8 +34,13 @@ def level_crossings(events: DataFrame, threshold: int = LEVEL_THRESHOLD, keys: S
 
 
 def windowed_level_crossings(events: DataFrame, window_minutes: int, threshold: int = LEVEL_THRESHOLD,
-                             chunk_ms: int = DEFAULT_CHUNK_MS) -> DataFrame:
-    """``window_start, team, event_id, total_score``: the same state per team and window."""
+                             chunk_ms: int | None = None) -> DataFrame:
+    """``window_start, team, event_id, total_score``: the same state per team and window.
+
+    The window is part of the key, so chunks must be shorter than it to split
+    a hot (team, window): by default a twelfth of the window.
+    """
+    chunk_ms = chunk_ms or max(1, window_minutes * 60_000 // 12)
     w = F.window("event_time", f"{window_minutes} minutes")
     ev = events.withColumn("ws", F.unix_millis(w.start))
     out = level_crossings(ev, threshold, ["ws", "team"], chunk_ms)
