@@ -57,3 +57,11 @@ def window_label(window_col: str = "window"):
     """Display form of a window's start and end, for file names or rows."""
     w = F.col(window_col)
     return F.concat_ws("-", display_time(F.unix_millis(w.start)), display_time(F.unix_millis(w.end)))
+
+
+def publish_topic(stream: DataFrame, bootstrap_servers: str, topic: str, checkpoint: str,
+                  value_col: str = "value"):
+    """Streaming writer publishing ``value_col`` strings to a Kafka topic (start it yourself)."""
+    return (stream.select(F.col(value_col).cast("string").alias("value")).writeStream.format("kafka")
+            .option("kafka.bootstrap.servers", bootstrap_servers).option("topic", topic)
+            .option("checkpointLocation", checkpoint))

@@ -94,3 +94,12 @@ def test_panes_stream_fires_on_time_after_watermark(spark):
         q.stop()
     assert ("red", 0, "ON_TIME", 7) in got
     assert not any(t == "blue" and timing == "ON_TIME" for t, _, timing, _ in got)
+
+
+def test_topic_source_needs_the_kafka_connector(spark):
+    import pytest
+
+    from rillet.sources.text import stream_topic
+
+    with pytest.raises(Exception, match="(?i)kafka"):
+        stream_topic(spark, "localhost:1", "games")
