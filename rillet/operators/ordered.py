@@ -27,7 +27,7 @@ def _chunk(ts_col: str, chunk_ms: int):
 
 
 def session_starts(rows: DataFrame, keys: Sequence[str], ts_col: str, gap_ms: int,
-                   chunk_ms: int = DEFAULT_CHUNK_MS) -> DataFrame:
+                   chunk_ms: int = DEFAULT_CHUNK_MS, extra_order: Sequence[str] = ()) -> DataFrame:
     """Add ``session_start`` (same unit as ``ts_col``, epoch ms) to every row.
 
     A row opens a session when the previous row of its key is ``gap_ms`` or
@@ -44,7 +44,9 @@ def session_starts(rows: DataFrame, keys: Sequence[str], ts_col: str, gap_ms: in
         not_null = not_null & F.col(k).isNotNull()
     x = rows.where(not_null).withColumn("_chunk", _chunk(ts_col, chunk_ms))
     x = x.where(F.col("_chunk").isNotNull())
-    w_in = Window.partitionBy(*keys, "_chunk").orderBy(ts_col)
+    # extra_order: columns that do not change the order (times are unique per
+    # key) but that both consumers then read, keeping their plans identical
+    w_in = Window.partitionBy(*keys, "_chunk").orderBy(ts_col, *extra_order)
     prev = F.lag(ts).over(w_in)
     x = x.withColumn("_inner_start", F.when(prev.isNotNull() & (ts - prev >= gap_ms), ts))
     x = x.withColumn("_local_start", F.max("_inner_start").over(

@@ -19,10 +19,13 @@ def sessions(events: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES,
     huge session is combined per task before its shuffle.
     """
     gap_ms = gap_minutes * 60_000
-    tagged = session_starts(events.select("user", "timestamp_ms"), ["user"], "timestamp_ms",
-                            gap_ms, chunk_ms)
+    # Rows at the same (user, millisecond) are one point of the session scan:
+    # combined map-side first, so a chunk of any user holds at most chunk_ms
+    # distinct points (3.6 million for an hour), however hot or bursty it is.
+    points = events.groupBy("user", "timestamp_ms").agg(F.count(F.lit(1)).alias("_n"))
+    tagged = session_starts(points, ["user"], "timestamp_ms", gap_ms, chunk_ms, extra_order=["_n"])
     s = tagged.groupBy("user", "session_start").agg(
-        F.max("timestamp_ms").alias("_last"), F.count(F.lit(1)).alias("n_events"))
+        F.max("timestamp_ms").alias("_last"), F.sum("_n").alias("n_events"))
     end = F.col("_last") + F.lit(gap_ms)
     return s.select(
         "user", F.col("session_start").alias("start_ms"), end.alias("end_ms"),
