@@ -22,12 +22,45 @@ from pyspark.sql import functions as F
 DEFAULT_CHUNK_MS = 60 * 60_000
 
 
+DEFAULT_TARGET_ROWS = 4_000_000   # rows per chunk above which a cell is split
+_SPLIT_BASE = 1 << 20             # sub-chunks per cell at most; chunk id = cell * base + sub
+
+
 def _chunk(ts_col: str, chunk_ms: int):
     return F.floor(F.col(ts_col) / F.lit(chunk_ms)).cast("bigint")
 
 
+def _with_chunks(rows: DataFrame, keys: list[str], ts_col: str, chunk_ms: int,
+                 target_rows: int | None) -> DataFrame:
+    """Add ``_chunk``: time cells of ``chunk_ms``, and heavy cells cut into sub-chunks.
+
+    A cell (key, time cell) with n > ``target_rows`` rows is cut into
+    ceil(n / target) equal slices of its observed time span, so a key that
+    is hot inside one cell is spread too.  Chunk ids grow with time within a key.  The heavy
+    cells are found by a partial-aggregated count; there are at most
+    total rows / target of them, so that table stays small.
+    """
+    cell = _chunk(ts_col, chunk_ms)
+    x = rows.withColumn("_cell", cell)
+    if not target_rows:
+        return x.withColumn("_chunk", F.col("_cell") * F.lit(_SPLIT_BASE)).drop("_cell")
+    counts = x.groupBy(*keys, "_cell").agg(F.count(F.lit(1)).alias("_n_cell"),
+                                            F.min(ts_col).alias("_lo"), F.max(ts_col).alias("_hi"))
+    heavy = (counts.where(F.col("_n_cell") > target_rows)
+             .select(*keys, "_cell", "_lo", (F.col("_hi") - F.col("_lo") + 1).alias("_span"),
+                     F.least(F.ceil(F.col("_n_cell") / F.lit(target_rows)),
+                             F.lit(_SPLIT_BASE)).cast("bigint").alias("_k")))
+    x = x.join(heavy, [*keys, "_cell"], "left")
+    # equal slices of the cell's observed span (rows at one instant stay together)
+    sub = F.when(F.col("_k").isNull(), F.lit(0)).otherwise(
+        F.floor((F.col(ts_col) - F.col("_lo")) * F.col("_k") / F.col("_span")).cast("bigint"))
+    return (x.withColumn("_chunk", F.col("_cell") * F.lit(_SPLIT_BASE) + sub)
+            .drop("_cell", "_k", "_lo", "_span"))
+
+
 def session_starts(rows: DataFrame, keys: Sequence[str], ts_col: str, gap_ms: int,
-                   chunk_ms: int = DEFAULT_CHUNK_MS, extra_order: Sequence[str] = ()) -> DataFrame:
+                   chunk_ms: int = DEFAULT_CHUNK_MS, extra_order: Sequence[str] = (),
+                   target_rows: int | None = DEFAULT_TARGET_ROWS) -> DataFrame:
     """Add ``session_start`` (same unit as ``ts_col``, epoch ms) to every row.
 
     A row opens a session when the previous row of its key is ``gap_ms`` or
@@ -42,7 +75,7 @@ def session_starts(rows: DataFrame, keys: Sequence[str], ts_col: str, gap_ms: in
     not_null = ts.isNotNull()
     for k in keys:
         not_null = not_null & F.col(k).isNotNull()
-    x = rows.where(not_null).withColumn("_chunk", _chunk(ts_col, chunk_ms))
+    x = _with_chunks(rows.where(not_null), keys, ts_col, chunk_ms, target_rows)
     x = x.where(F.col("_chunk").isNotNull())
     # extra_order: columns that do not change the order (times are unique per
     # key) but that both consumers then read, keeping their plans identical
@@ -72,7 +105,7 @@ def session_starts(rows: DataFrame, keys: Sequence[str], ts_col: str, gap_ms: in
 
 def running_sum(rows: DataFrame, keys: Sequence[str], order_cols: Sequence[str], value_col: str,
                 ts_col: str, out_col: str = "running_total",
-                chunk_ms: int = DEFAULT_CHUNK_MS) -> DataFrame:
+                chunk_ms: int = DEFAULT_CHUNK_MS, target_rows: int | None = DEFAULT_TARGET_ROWS) -> DataFrame:
     """Add the inclusive running sum of ``value_col`` per key in ``order_cols`` order.
 
     ``order_cols`` must start with ``ts_col`` (the chunking column) so that
@@ -83,7 +116,7 @@ def running_sum(rows: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
     not_null = F.col(ts_col).isNotNull()
     for k in keys:
         not_null = not_null & F.col(k).isNotNull()
-    x = rows.where(not_null).withColumn("_chunk", _chunk(ts_col, chunk_ms))
+    x = _with_chunks(rows.where(not_null), keys, ts_col, chunk_ms, target_rows)
     x = x.where(F.col("_chunk").isNotNull())
     w_in = (Window.partitionBy(*keys, "_chunk").orderBy(*order_cols)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))

@@ -95,3 +95,38 @@ def test_chunked_running_sum_matches_brute_force(spark, chunk_ms):
         acc[tm] = acc.get(tm, 0) + s
         want.append((i, acc[tm]))
     assert got == sorted(want)
+
+
+@pytest.mark.parametrize("target", [3, 17])
+def test_heavy_cells_are_split_and_stay_exact(spark, target):
+    rnd = random.Random(target)
+    data = []
+    for u in ("hot", "a"):
+        t = 0
+        for _ in range(400 if u == "hot" else 30):
+            t += rnd.choice([0, 1, 1_000, 20_000, 5 * M, 6 * M])
+            data.append((u, t))
+    ev = _events(spark, data)
+    tagged = ordered.session_starts(ev.select("user", "timestamp_ms"), ["user"], "timestamp_ms", 5 * M,
+                                    chunk_ms=60 * M, target_rows=target)
+    got = rows(tagged.groupBy("user", "session_start").agg(
+        F.max("timestamp_ms").alias("last"), F.count(F.lit(1)).alias("n")), "user", "session_start", "last", "n")
+    want = [(u, s, e - 5 * M, n) for u, s, e, n in _brute_sessions(data, 5 * M)]
+    assert got == want
+    # and the running sum, on the same kind of hot data
+    lv = _lv(spark, [("hot" if i % 5 else "cold", i % 7, t) for i, (_, t) in enumerate(data)])
+    got_sum = rows(ordered.running_sum(lv, ["team"], ["timestamp_ms", "event_id"], "score", "timestamp_ms",
+                                       "total", 60 * M, target), "event_id", "total")
+    acc, want_sum = {}, []
+    for i, (_, t) in sorted(enumerate(data), key=lambda x: (x[1][1], x[0])):
+        tm = "hot" if i % 5 else "cold"
+        acc[tm] = acc.get(tm, 0) + i % 7
+        want_sum.append((i, acc[tm]))
+    assert got_sum == sorted(want_sum)
+
+
+def test_heavy_cell_chunk_ids_grow_with_time(spark):
+    ev = _events(spark, [("hot", t * 1000) for t in range(100)])
+    x = ordered._with_chunks(ev, ["user"], "timestamp_ms", 60 * M, 10)
+    ids = [r._chunk for r in x.orderBy("timestamp_ms").collect()]
+    assert ids == sorted(ids) and len(set(ids)) == 10
