@@ -262,13 +262,14 @@ def replay_panes(events: DataFrame, window_minutes: int | None = TEAM_WINDOW_MIN
             F.sum("score").alias("score_sum"), F.max("timestamp_ms").alias("max_ts")), "pane-minutes")
         clocks = clock_table(per_min, window_ms, lateness_ms)
     # The clock table has one row per event-time window with data (about
-    # 720 for a month of hourly windows), independent of the row count, so it
-    # is broadcast.  The groups are then spread on both keys with an explicit
-    # partition count: the clock side is single-partition, a partitioning on
+    # 720 for a month of hourly windows); AQE broadcasts it after measuring
+    # it (corrupt timestamps could make it large, so no forced broadcast).
+    # The groups are then spread on both keys with an explicit partition
+    # count: the clock side is single-partition, a partitioning on
     # window_idx alone would put every team of a hot window in one task, and
     # this stage is Python-bound, so it must not be coalesced to a few tasks.
     n_parts = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    g = (per_min if global_window else per_min.join(F.broadcast(clocks), "window_idx"))
+    g = (per_min if global_window else per_min.join(clocks, "window_idx"))
     g = (g.repartition(n_parts, "team", "window_idx")
          .sortWithinPartitions("team", "window_idx", "minute"))
     early, late = early_minutes, late_minutes
