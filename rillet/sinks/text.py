@@ -27,7 +27,10 @@ def write_text(df: DataFrame, path: str, line_col: str = "line", num_shards: int
 
 def write_per_window(df: DataFrame, path: str, window_col: str = "window", line_col: str = "line",
                      num_shards: int | None = None, mode: str = "overwrite") -> None:
-    """Files under ``window_start=<start>/window_end=<end>/``; at most ``num_shards`` files per window."""
+    """Files under ``window_start=<start>/window_end=<end>/[shard=<k>/]``.
+
+    With ``num_shards`` each window has up to that many shard folders of one file each.
+    """
     if window_col not in df.columns:
         raise ValueError(f"per-window output needs an interval window column {window_col!r}")
     w = F.col(window_col)
@@ -36,14 +39,15 @@ def write_per_window(df: DataFrame, path: str, window_col: str = "window", line_
         display_time(F.unix_millis(w.end), "UTC", _WINDOW_FMT).alias("window_end"),
         F.col(line_col).alias("value"))
     if num_shards:
-        # An explicit partition count keeps AQE from merging the shards of a
-        # window into one task; each window then gets at most num_shards files.
-        n_parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        shard = F.pmod(F.xxhash64("value"), F.lit(num_shards))
-        out = (out.withColumn("_shard", shard)
-               .repartition(max(n_parts, num_shards), "window_start", "window_end", "_shard").drop("_shard"))
-    else:
-        out = out.repartition("window_start", "window_end")
+        # shard k of a window is the folder .../shard=k, written by one task
+        # (the repartition puts each (window, shard) in one task): one file
+        # per shard, at most num_shards per window, shards written in parallel.
+        shard = F.pmod(F.xxhash64("value"), F.lit(num_shards)).cast("int")
+        out = (out.withColumn("shard", shard)
+               .repartition("window_start", "window_end", "shard"))
+        out.write.mode(mode).partitionBy("window_start", "window_end", "shard").text(path)
+        return
+    out = out.repartition("window_start", "window_end")
     out.write.mode(mode).partitionBy("window_start", "window_end").text(path)
 
 

@@ -67,7 +67,7 @@ def test_hourly_team_score_job(spark):
                                                          start_min="2015-11-19-10-00"))
     lines = sorted(r.value for r in spark.read.text(out).collect())
     assert len(lines) == 5 and lines[0].startswith("window_start: 2015-11-19 12:00:00.000, total_score: ")
-    assert all(len(glob.glob(d + "/part-*")) <= 3 for d in glob.glob(out + "/window_start=*/window_end=*"))
+    assert all(len(glob.glob(d + "/shard=*")) <= 3 for d in glob.glob(out + "/window_start=*/window_end=*"))
 
 
 def test_game_stats_and_levels_jobs(spark):

@@ -25,8 +25,9 @@ def test_per_window_files_with_shards(spark):
     write_windowed_text(df, path)
     dirs = sorted(glob.glob(path + "/window_start=*/window_end=*"))
     assert len(dirs) == 7 and os.path.basename(os.path.dirname(dirs[0])) == "window_start=1970-01-01T00-00-00"
-    assert all(len(glob.glob(d + "/part-*")) <= 3 for d in dirs)
-    assert max(len(glob.glob(d + "/part-*")) for d in dirs) >= 2
+    shards = [glob.glob(d + "/shard=*") for d in dirs]
+    assert all(1 <= len(s) <= 3 for s in shards) and max(len(s) for s in shards) == 3
+    assert all(len(glob.glob(sd + "/part-*")) == 1 for s in shards for sd in s)
     assert spark.read.text(path).count() == 40
 
 
