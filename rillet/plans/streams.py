@@ -5,6 +5,10 @@ Append-mode forms hold the last windows until the watermark passes them; a
 bounded input ends with an end-of-input marker line (event time in 2100,
 filtered from every output) that moves the watermark past all real windows,
 as a bounded source's watermark jumps to +inf when it is exhausted.
+
+Each stream runs in its own session (``newSession``: same cluster, own SQL
+conf) whose shuffle partitions, and so state-store partitions, match the
+cluster's default parallelism; the caller's session conf is left untouched.
 """
 
 from __future__ import annotations
@@ -20,7 +24,8 @@ from rillet.sinks.table import stream_append
 from rillet.sources.derived import game_lines, person_lines
 from rillet.streaming import gamestats, leaderboard, levels
 from rillet.streaming import people as people_stream
-from rillet.streaming.runner import run_available_now, stage_and_stream
+from rillet.sources.text import stage_lines, stream_lines
+from rillet.streaming.runner import run_available_now
 
 END_MARKER_USER = "~end-of-input~"
 END_MARKER_MS = 4102444800000   # 2100-01-01 00:00:00 UTC
@@ -31,11 +36,24 @@ def _parse_with_id(lines: DataFrame) -> DataFrame:
     return parse_game_events(ev, keep=("event_id",))
 
 
+def _stream_session(spark: SparkSession) -> SparkSession:
+    ss = spark.newSession()
+    ss.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    return ss
+
+
+def _stage(spark: SparkSession, lines: DataFrame, kind: str):
+    """Stage ``lines.value`` as text files; return (stream over them in a stream session, path)."""
+    path = scratch_path(spark, f"{kind}-input")
+    stage_lines(lines.select("value"), path)
+    return stream_lines(_stream_session(spark), path), path
+
+
 def _stage_game(spark: SparkSession, sf_dir: str, kind: str, with_ids: bool = False):
     src = game_lines(spark, sf_dir)
     if with_ids:
         src = src.select(F.concat_ws(",", "value", F.col("event_id").cast("string")).alias("value"))
-    return stage_and_stream(src.select("value"), spark, kind)
+    return _stage(spark, src, kind)
 
 
 def _add_end_marker(spark: SparkSession, path: str, name: str) -> None:
@@ -51,10 +69,11 @@ def _run_to_end(spark: SparkSession, path: str, build_writer) -> None:
     it is in 2100; marker 2 makes one more batch, which evicts every window
     before that.  Both runs share the checkpoint, so nothing is read twice.
     """
+    ss = _stream_session(spark)
     _add_end_marker(spark, path, "1")
-    run_available_now(build_writer(spark.readStream.schema("value string").text(path)))
+    run_available_now(build_writer(stream_lines(ss, path)))
     _add_end_marker(spark, path, "2")
-    run_available_now(build_writer(spark.readStream.schema("value string").text(path)))
+    run_available_now(build_writer(stream_lines(ss, path)))
 
 
 def leaderboard_user(spark, sf_dir):
@@ -122,7 +141,7 @@ def session_mean_stream(spark, sf_dir):
 
 
 def bio_stream_split(spark, sf_dir):
-    lines, _ = stage_and_stream(person_lines(spark, sf_dir).select("value"), spark, "people")
+    lines, _ = _stage(spark, person_lines(spark, sf_dir), "people")
     valid_p, invalid_p = scratch_path(spark, "topic-valid"), scratch_path(spark, "topic-invalid")
     ck = scratch_path(spark, "checkpoint")
     run_available_now(people_stream.split_to_topics(lines, valid_p, invalid_p, ck))
@@ -132,7 +151,7 @@ def bio_stream_split(spark, sf_dir):
 
 
 def bio_table(spark, sf_dir):
-    lines, _ = stage_and_stream(person_lines(spark, sf_dir).select("value"), spark, "people")
+    lines, _ = _stage(spark, person_lines(spark, sf_dir), "people")
     out, ck = scratch_path(spark, "people-table"), scratch_path(spark, "checkpoint")
     run_available_now(people_stream.to_table(lines, out, ck))
     return spark.read.parquet(out).select("name", "sex", "age", "weight", "height")
