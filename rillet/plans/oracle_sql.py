@@ -26,18 +26,18 @@ def _la_option_ms(text: str) -> str:
 
 GAME_CTES = f"""
 ev AS (
-  SELECT event_id, user_id, value AS v,
+  SELECT event_id, user_id, value AS v, ts,
          (epoch_us(ts) - (((epoch_us(ts) % 1000) + 1000) % 1000)) // 1000 AS ms
   FROM events
 ),
 game_lines AS (
   SELECT event_id,
     CASE WHEN event_id % 97 = 0
-           THEN 'THIS LINE REPRESENTS CORRUPT DATA AND WILL CAUSE A PARSE ERROR,' || ms || ',' || {_display('ms')}
+           THEN 'THIS LINE REPRESENTS CORRUPT DATA AND WILL CAUSE A PARSE ERROR,' || ms || ',' || CAST(ts AS VARCHAR)
          WHEN event_id % 101 = 0
-           THEN 'user' || (user_id % 40) || ',team' || (user_id % 15) || ',xxx,' || ms || ',' || {_display('ms')}
+           THEN 'user' || (user_id % 40) || ',team' || (user_id % 15) || ',xxx,' || ms || ',' || CAST(ts AS VARCHAR)
          ELSE 'user' || (user_id % 40) || ',team' || (user_id % 15) || ',' || CAST(floor(v) AS INTEGER)
-              || ',' || ms || ',' || {_display('ms')}
+              || ',' || ms || ',' || CAST(ts AS VARCHAR)
     END AS value,
     ms + CASE WHEN event_id % 50 = 0 THEN 600000 ELSE 0 END
        + CASE WHEN event_id % 211 = 0 THEN 10800000 ELSE 0 END AS arrival_ms

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillet.functions.times import display_time, epoch_millis
+from rillet.functions.times import epoch_millis
 from rillet.sources.tables import read_table
 
 # Fixed values of the derivation rules (FIXTURES section 2).
@@ -35,7 +35,7 @@ def game_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     user = F.concat(F.lit("user"), (F.col("user_id") % GAME_USERS).cast("string"))
     team = F.concat(F.lit("team"), (F.col("user_id") % GAME_TEAMS).cast("string"))
     score = F.floor(F.col("value")).cast("int").cast("string")
-    tail = F.concat_ws(",", ms.cast("string"), display_time(ms))
+    tail = F.concat_ws(",", ms.cast("string"), F.col("ts").cast("string"))   # readable field: ts as text
     line = (F.when(F.col("event_id") % CORRUPT_EVERY == 0, F.concat_ws(",", F.lit(CORRUPT_PREFIX), tail))
             .when(F.col("event_id") % BAD_SCORE_EVERY == 0, F.concat_ws(",", user, team, F.lit("xxx"), tail))
             .otherwise(F.concat_ws(",", user, team, score, tail)))
