@@ -103,3 +103,18 @@ def test_topic_source_needs_the_kafka_connector(spark):
 
     with pytest.raises(Exception, match="(?i)kafka"):
         stream_topic(spark, "localhost:1", "games")
+
+
+def test_panes_stream_fires_early_then_on_time(spark):
+    # early/late delays of 30 ms of processing time, so the live clock can be observed
+    src, out, ck = (scratch_path(spark, k) for k in ("in", "out", "ck"))
+    _add(spark, src, ["p,red,3,60000,x"])
+    panes = leaderboard.team_panes(_stream(spark, src), 60, 120, 0.0005, 0.0005, poll_ms=1)
+    q = stream_append(panes, None, out, ck, "append").trigger(processingTime="200 milliseconds").start()
+    try:
+        got = _poll(spark, out, lambda g: ("red", 0, "EARLY", 3) in g)
+        _add(spark, src, ["q,blue,5,4200000,x"])            # moves the watermark past red's window
+        got = _poll(spark, out, lambda g: ("red", 0, "ON_TIME", 3) in g)
+    finally:
+        q.stop()
+    assert ("red", 0, "EARLY", 3) in got and ("red", 0, "ON_TIME", 3) in got
