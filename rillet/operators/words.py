@@ -37,7 +37,7 @@ def format_counts(counts: DataFrame) -> DataFrame:
 def line_stats(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """One row: blank-line counter and the line-length distribution (min, max, sum, count)."""
     v = F.col(value_col)
-    n = F.length(v)
+    n = F.length(v).cast("bigint")
     return lines.agg(
         F.count_if(java_trim(v) == "").alias("n_blank"),
         F.min(n).alias("min_len"),
@@ -56,8 +56,8 @@ def observe_line_stats(lines: DataFrame, value_col: str = "value"):
     observed = lines.observe(
         obs,
         F.count_if(java_trim(v) == "").alias("n_blank"),
-        F.min(F.length(v)).alias("min_len"),
-        F.max(F.length(v)).alias("max_len"),
+        F.min(F.length(v).cast("bigint")).alias("min_len"),
+        F.max(F.length(v).cast("bigint")).alias("max_len"),
         F.sum(F.length(v)).cast("bigint").alias("sum_len"),
         F.count(F.lit(1)).alias("n_lines"),
     )
