@@ -46,6 +46,9 @@ def test_query_matches_oracle(spark, con, key):
     res = con.execute(entry.oracle_sql()[key])
     cols = [d[0] for d in res.description]
     assert sorted(cols) == sorted(df.columns)
+    type_map = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "double": "DOUBLE", "boolean": "BOOLEAN"}
+    duck = {d[0]: str(d[1]) for d in res.description}
+    assert {f.name: type_map.get(f.dataType.simpleString()) for f in df.schema.fields} == duck
     assert got == _norm(res.fetchall(), cols)
 
 
