@@ -90,3 +90,17 @@ def test_text_renderings(spark):
     hourly = scores.windowed_team_score(ev, 60)
     assert scores.hourly_team_text(hourly).first().line == \
         "window_start: 2015-11-19 09:00:00.000, total_score: 3, team: MagentaKangaroo"
+
+
+def test_zone_helpers_across_daylight_saving(spark):
+    from pyspark.sql import functions as F
+
+    from rillet.functions.times import display_time, local_option_to_ms
+
+    # 2015-03-08 10:30 UTC is 03:30 PDT (clocks jumped at 02:00 PST); 09:30 UTC is 01:30 PST
+    df = spark.createDataFrame([(1425810600000,), (1425807000000,)], "ms long")
+    got = [r.t for r in df.select(display_time(F.col("ms")).alias("t")).orderBy("t").collect()]
+    assert got == ["2015-03-08 01:30:00.000", "2015-03-08 03:30:00.000"]
+    r = spark.range(1).select(local_option_to_ms("2015-07-01-12-00", "yyyy-MM-dd-HH-mm").alias("a"),
+                              local_option_to_ms("2015-12-01-12-00", "yyyy-MM-dd-HH-mm").alias("b")).first()
+    assert (r.a, r.b) == (1435777200000, 1449000000000)   # 19:00 UTC (PDT) and 20:00 UTC (PST)
