@@ -2,10 +2,11 @@
 
 A plain ``Window.partitionBy(key).orderBy(t)`` sends every row of a key to one
 task; if one user or team holds a third of all rows, that task holds a third
-of the data.  Here each key's rows are cut into time chunks: the row-level
-window runs per ``(key, chunk)`` (many balanced tasks), and the only
-cross-chunk state is carried through a per-chunk summary whose size is
-bounded by the time span / chunk length, not by the number of rows.
+of the data.  Here each key's rows are cut into time chunks (one-hour cells,
+heavy cells sliced further, see ``_with_chunks``): the row-level window runs
+per ``(key, chunk)`` (many balanced tasks), and the only cross-chunk state
+is carried through a per-chunk summary whose size is bounded by the number
+of chunks, not by the number of rows.
 """
 
 from __future__ import annotations
@@ -15,13 +16,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# The knob: the largest task holds the hottest key's rows of one chunk, and
-# the summary holds one row per (key, chunk with rows).  An hour keeps both
-# small for the game data; with one key holding a third of 100 TB over a
-# month, pick minutes (a month is 43,200 one-minute chunks).
+# Cell length: the summary holds one row per (key, cell with rows), and a
+# cell with more than DEFAULT_TARGET_ROWS rows is sliced, so no task holds
+# much more than that many rows of one key whatever the data volume.
 DEFAULT_CHUNK_MS = 60 * 60_000
-
-
 DEFAULT_TARGET_ROWS = 4_000_000   # rows per chunk above which a cell is split
 _SPLIT_BASE = 1 << 20             # sub-chunks per cell at most; chunk id = cell * base + sub
 
@@ -36,9 +34,10 @@ def _with_chunks(rows: DataFrame, keys: list[str], ts_col: str, chunk_ms: int,
 
     A cell (key, time cell) with n > ``target_rows`` rows is cut into
     ceil(n / target) equal slices of its observed time span, so a key that
-    is hot inside one cell is spread too.  Chunk ids grow with time within a key.  The heavy
-    cells are found by a partial-aggregated count; there are at most
-    total rows / target of them, so that table stays small.
+    is hot inside one cell is spread too.  Chunk ids grow with time within a
+    key.  The heavy cells are found by a partial-aggregated count; there are
+    at most total rows / target of them, so that table stays small (AQE
+    broadcasts it; with none, the join is removed).
     """
     cell = _chunk(ts_col, chunk_ms)
     x = rows.withColumn("_cell", cell)
