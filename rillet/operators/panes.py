@@ -9,9 +9,12 @@ One rule, three forms:
   and an arrival (processing) time.  Processing time advances in one-minute
   ticks, like a stream with a one-minute trigger: the watermark after minute
   ``m`` is the largest event time that arrived up to ``m``.
-* ``rillet.streaming.panes``: the same machine inside
+* ``rillet.streaming.leaderboard.team_panes``: the same machine inside
   ``applyInPandasWithState`` for a live stream.
 
+With no window (``window_minutes=None``, the per-user leader board) there is
+no on-time pane and nothing is ever too late: panes fire only on the clock.
+
 Rule, with window end E, allowed lateness L, watermark w, processing time p:
 1. an element arriving when ``w >= E + L`` is dropped; otherwise it is added
    to the total and, if nothing was pending, starts the pending clock at p;
