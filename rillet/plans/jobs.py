@@ -146,8 +146,7 @@ def leader_board_stream(spark: SparkSession, opts: LeaderBoardOptions, trigger:
     users = leaderboard.user_totals(events).select("user", "total_score", _processing_time())
     q_teams = (stream_append(teams, None, f"{opts.output}/team_panes", scratch_path(spark, "ck-teams"), "append")
                .trigger(processingTime=trigger).start())
-    q_users = (stream_append(users, None, f"{opts.output}/user_totals", scratch_path(spark, "ck-users"), "update",
-                             with_batch_id=True)
+    q_users = (stream_append(users, None, f"{opts.output}/user_totals", scratch_path(spark, "ck-users"), "update")
                .trigger(processingTime=trigger).start())
     return q_teams, q_users
 

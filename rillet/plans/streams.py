@@ -80,7 +80,7 @@ def leaderboard_user(spark, sf_dir):
     lines, _ = _stage_game(spark, sf_dir, "leaderboard-user")
     out, ck = scratch_path(spark, "leaderboard-user-out"), scratch_path(spark, "checkpoint")
     run_available_now(stream_append(leaderboard.user_totals(parse_game_events(lines)), None, out, ck,
-                                    "update", with_batch_id=True))
+                                    "update"))
     return leaderboard.latest_updates(spark.read.parquet(out), ["user"])
 
 
@@ -89,7 +89,7 @@ def leaderboard_team_totals(spark, sf_dir):
     out, ck = scratch_path(spark, "leaderboard-team-out"), scratch_path(spark, "checkpoint")
     totals = leaderboard.team_totals(parse_game_events(lines), 60, 120).select(
         F.unix_millis(F.col("window.start")).alias("ws"), "team", "total_score")
-    run_available_now(stream_append(totals, None, out, ck, "update", with_batch_id=True))
+    run_available_now(stream_append(totals, None, out, ck, "update"))
     last = leaderboard.latest_updates(spark.read.parquet(out), ["ws", "team"])
     return last.select(display_time(F.col("ws")).alias("window_start"), "team", "total_score")
 

@@ -27,17 +27,24 @@ def append_table(df: DataFrame, fields: Mapping[str, Column | str] | None = None
         raise ValueError("append_table needs a path or a table name")
 
 
+def batch_path(path: str, batch_id: int) -> str:
+    """Folder of one micro-batch: rewriting it is idempotent, so a batch that
+    is replayed after a failure replaces its own output instead of adding to it."""
+    return f"{path.rstrip('/')}/batch_id={batch_id}"
+
+
 def stream_append(stream: DataFrame, fields: Mapping[str, Column | str] | None, path: str,
-                  checkpoint: str, output_mode: str = "append", with_batch_id: bool = False):
-    """Streaming form: every micro-batch is appended with ``foreachBatch``.
+                  checkpoint: str, output_mode: str = "append"):
+    """Streaming form: each micro-batch is written to ``<path>/batch_id=<n>``
+    (exactly once: a replayed batch overwrites its folder).  Read back with
+    ``spark.read.parquet(path)``; ``batch_id`` is then a column.
 
     Returns the ``DataStreamWriter`` (the caller picks the trigger and starts it).
     """
     out = select_fields(stream, fields) if fields else stream
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        b = batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")) if with_batch_id else batch
-        b.write.mode("append").parquet(path)
+        batch.write.mode("overwrite").parquet(batch_path(path, batch_id))
 
     return (out.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
             .foreachBatch(write_batch))

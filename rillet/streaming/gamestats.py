@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from rillet.model import SCORE_WEIGHT, SESSION_GAP_MINUTES, SESSION_MEAN_WINDOW_MINUTES, TEAM_WINDOW_MINUTES
 from rillet.operators.abuse import spammers_from_sums
+from rillet.sinks.table import batch_path
 
 
 def window_user_team_sums(events: DataFrame, window_minutes: int = TEAM_WINDOW_MINUTES,
@@ -33,10 +34,10 @@ def spam_outputs(spam_path: str, team_path: str, checkpoint: str, stream: DataFr
         batch.persist()
         try:
             spam = spammers_from_sums(batch, weight)
-            spam.write.mode("append").parquet(spam_path)
+            spam.write.mode("overwrite").parquet(batch_path(spam_path, batch_id))
             clean = batch.join(spam.select("ws", "user"), ["ws", "user"], "left_anti")
             (clean.groupBy("ws", "team").agg(F.sum("score_sum").alias("total_score"))
-             .write.mode("append").parquet(team_path))
+             .write.mode("overwrite").parquet(batch_path(team_path, batch_id)))
         finally:
             batch.unpersist()
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillet.operators.people import INVALID, VALID, people, table_rows, tag_lines
+from rillet.sinks.table import batch_path
 
 
 def split_to_topics(lines: DataFrame, valid_path: str, invalid_path: str, checkpoint: str):
@@ -16,8 +17,11 @@ def split_to_topics(lines: DataFrame, valid_path: str, invalid_path: str, checkp
     def publish(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
         try:
-            batch.where(F.col("tag") == VALID).select("value").write.mode("append").text(valid_path)
-            batch.where(F.col("tag") == INVALID).select("value").write.mode("append").text(invalid_path)
+            # one folder per batch, overwritten if the batch is replayed: exactly once
+            batch.where(F.col("tag") == VALID).select("value").write.mode("overwrite").text(
+                batch_path(valid_path, batch_id))
+            batch.where(F.col("tag") == INVALID).select("value").write.mode("overwrite").text(
+                batch_path(invalid_path, batch_id))
         finally:
             batch.unpersist()
 

@@ -100,9 +100,9 @@ def test_one_stream_feeds_two_queries(spark):
     src = _input(spark, GOOD + LATER)
     ev = parse_game_events(spark.readStream.schema("value string").text(src))
     users_out, teams_out = scratch_path(spark, "t9u"), scratch_path(spark, "t9t")
-    w1 = stream_append(leaderboard.user_totals(ev), None, users_out, scratch_path(spark, "ck"), "update", True)
+    w1 = stream_append(leaderboard.user_totals(ev), None, users_out, scratch_path(spark, "ck"), "update")
     teams = leaderboard.team_totals(ev, 60, 120).select(F.unix_millis("window.start").alias("ws"), "team", "total_score")
-    w2 = stream_append(teams, None, teams_out, scratch_path(spark, "ck"), "update", True)
+    w2 = stream_append(teams, None, teams_out, scratch_path(spark, "ck"), "update")
     q1, q2 = w1.trigger(availableNow=True).start(), w2.trigger(availableNow=True).start()
     q1.awaitTermination()
     q2.awaitTermination()
