@@ -136,5 +136,8 @@ def test_replayed_batch_is_written_once(spark):
     assert spark.read.parquet(out).count() == 2
     commits = sorted(glob.glob(ck.replace("file:", "") + "/commits/[0-9]*"), key=lambda p: int(os.path.basename(p)))
     os.remove(commits[-1])
+    crc = os.path.join(os.path.dirname(commits[-1]), "." + os.path.basename(commits[-1]) + ".crc")
+    if os.path.exists(crc):
+        os.remove(crc)
     run()
     assert spark.read.parquet(out).count() == 2
