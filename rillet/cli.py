@@ -27,6 +27,7 @@ BATCH = {
     "game_stats": (jobs.game_stats, model.GameStatsOptions),
     "stateful_team_score": (jobs.stateful_team_score, model.StatefulTeamScoreOptions),
     "person_records": (jobs.person_records, model.PersonOptions),
+    "external_program": (jobs.external_program, model.ExternalProgramOptions),
 }
 STREAM = {
     "leader_board": (jobs.leader_board_stream, model.LeaderBoardOptions),

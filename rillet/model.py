@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
@@ -150,7 +150,10 @@ class PersonOptions:
 
 @dataclass(frozen=True)
 class ExternalProgramOptions:
+    output: str
+    input: str = ""              # text lines become the values; empty: rows 0..n_rows-1
+    n_rows: int = 10_000
     command: tuple = ("cat",)
+    passes: int = 2              # the program is applied this many times in a row
     timeout_sec: float = 3600.0
     per_row: bool = False
-    extra_args: tuple = field(default_factory=tuple)

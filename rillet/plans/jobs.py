@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillet.model import (
-    DebuggingWordCountOptions, GameStatsOptions, HourlyTeamScoreOptions, LeaderBoardOptions, PersonOptions,
+    DebuggingWordCountOptions, ExternalProgramOptions, GameStatsOptions, HourlyTeamScoreOptions, LeaderBoardOptions, PersonOptions,
     StatefulTeamScoreOptions, UserScoreOptions, WindowedWordCountOptions, WordCountOptions,
 )
 from rillet.operators import abuse, checks, people, scores, sessions, words
@@ -207,3 +207,20 @@ def stateful_team_score_stream(spark: SparkSession, opts: StatefulTeamScoreOptio
         "team", "event_id", "total_score", _processing_time())
     return (stream_append(crossings, None, opts.output, scratch_path(spark, "ck-levels"))
             .trigger(processingTime=trigger).start())
+
+
+def external_program(spark: SparkSession, opts: ExternalProgramOptions) -> None:
+    """Q16: (key, value) rows through an external program ``passes`` times, then
+    written as ``key,value`` lines.  Keys are the row numbers (or 0..n-1)."""
+    from rillet.operators import external
+
+    if opts.input:
+        rows = read_lines(spark, opts.input).select(
+            F.monotonically_increasing_id().cast("string").alias("key"), "value")
+    else:
+        rows = spark.range(opts.n_rows).select(F.col("id").cast("string").alias("key"),
+                                               F.col("id").cast("string").alias("value"))
+    for _ in range(opts.passes):
+        rows = (external.run_per_row(rows, opts.command, opts.timeout_sec) if opts.per_row
+                else external.pipe_values(rows, opts.command, opts.timeout_sec))
+    text_sink.write_text(rows.select(F.concat_ws(",", "key", "value").alias("line")), opts.output)

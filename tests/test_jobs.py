@@ -206,3 +206,12 @@ def test_cli_runs_a_job(spark, capsys):
                "--expected", '[["Flourish", 3], ["stomach", 1]]'])
     assert rc == 0 and '"n_matched": 2' in capsys.readouterr().out
     assert main([]) == 2
+
+
+def test_external_program_job(spark):
+    from rillet.model import ExternalProgramOptions
+
+    out = scratch_path(spark, "echo")
+    jobs.external_program(spark, ExternalProgramOptions(out, n_rows=100))
+    lines = sorted(r.value for r in spark.read.text(out).collect())
+    assert lines == sorted(f"{i},{i}" for i in range(100))
