@@ -130,3 +130,15 @@ def test_heavy_cell_chunk_ids_grow_with_time(spark):
     x = ordered._with_chunks(ev, ["user"], "timestamp_ms", 60 * M, 10)
     ids = [r._chunk for r in x.orderBy("timestamp_ms").collect()]
     assert ids == sorted(ids) and len(set(ids)) == 10
+
+
+def test_hot_key_inside_one_hour_is_spread_over_balanced_chunks(spark):
+    # one user holds 30,000 of 30,300 rows, all within ten minutes of one hour cell
+    rnd = random.Random(9)
+    data = [("hot", rnd.randint(0, 10 * M)) for _ in range(30_000)] + [("cold", rnd.randint(0, 60 * M)) for _ in range(300)]
+    ev = _events(spark, data)
+    x = ordered._with_chunks(ev, ["user"], "timestamp_ms", 60 * M, 1_000)
+    sizes = [r["count"] for r in x.where("user = 'hot'").groupBy("_chunk").count().collect()]
+    assert len(sizes) >= 25 and max(sizes) <= 2_000
+    cold = x.where("user = 'cold'").select("_chunk").distinct().count()
+    assert cold == 1                                     # light cells are not cut
