@@ -26,9 +26,11 @@ SCALE_CONF = {
 
 
 def build_session(master: str | None = None, shuffle_partitions: int = 8,
-                  app_name: str = "rillet") -> SparkSession:
+                  app_name: str = "rillet", extra_conf: dict | None = None) -> SparkSession:
     """Session for tests and the benchmark (``local[*]`` unless told otherwise)."""
     builder = SparkSession.builder.appName(app_name)
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
