@@ -30,6 +30,8 @@ from __future__ import annotations
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -192,45 +194,48 @@ PANE_SCHEMA = T.StructType([
 ])
 
 
-def clock_table(rows: DataFrame, window_ms: int, lateness_ms: int) -> DataFrame:
-    # ``rows``: (window_idx, minute, max_ts), e.g. the per-minute pre-aggregate
+_SUPER = 1024   # event-time buckets per super-bucket of the two-level scan
+
+
+def clock_table(per_min: DataFrame, window_ms: int, lateness_ms: int, bucket_ms: int,
+                end_tick: int) -> DataFrame:
     """``window_idx, on_time_at, close_at``: the first tick at which the watermark
-    reaches each window's end E and E + L, for every window that has rows.
-
-    The watermark after minute m is the running max of event times that
-    arrived up to m (a tick is the end of a minute).  Clock rows (one per
-    arrival minute) and window-end rows (two per window with data) are merged
-    in one ordered scan: a window end takes the smallest tick among the clock
-    rows at or after it.  The scan is a single-partition window over rows
-    bounded by the minutes and windows of the span (not by the row count, and
-    an outlier timestamp adds one row, not a range).  Ends the watermark never
-    reaches get the end-of-input tick, where it jumps to +inf.
+    reaches each window's end E and E + L.
+
+    The watermark after minute m is the largest event time that arrived up to
+    m, so it first reaches E in the minute of the earliest arrival of any
+    event with time >= E: ``on_time_at(E) = 1 + min(arrival minute over event
+    buckets >= E)`` (buckets of ``bucket_ms`` divide both W and L).  That
+    suffix minimum runs as a two-level scan: a running min per super-bucket
+    of 1,024 buckets (many partitions), and a carry from later super-buckets
+    (one row each).  Ends never reached get the end-of-input tick, where the
+    watermark jumps to +inf.
     """
-    per_min = rows.groupBy("minute").agg(F.max("max_ts").alias("raw"))
-    w_min = Window.orderBy("minute").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    clk = per_min.select(F.max("raw").over(w_min).alias("key"), (F.col("minute") + 1).alias("tick"),
-                         F.lit(None).cast("bigint").alias("window_idx"), F.lit(None).cast("string").alias("which"),
-                         F.lit(1).alias("kind"))
-    wins = rows.select("window_idx").distinct()
-    end = (F.col("window_idx") + 1) * F.lit(window_ms)
-    ends = (wins.select(end.alias("key"), F.lit(None).cast("bigint").alias("tick"), "window_idx",
-                        F.lit("on_time_at").alias("which"), F.lit(0).alias("kind"))
-            .unionByName(wins.select((end + F.lit(lateness_ms)).alias("key"), F.lit(None).cast("bigint").alias("tick"),
-                                     "window_idx", F.lit("close_at").alias("which"), F.lit(0).alias("kind"))))
-    # Scanned from the largest key down, the smallest tick at or after a row is
-    # a running min (linear; a min over an "unbounded following" frame would be
-    # recomputed per row).  At equal keys clock rows come first in this order,
-    # so a window end sees the clock that reaches it exactly.
-    down = Window.orderBy(F.col("key").desc(), F.col("kind").desc())
-    merged = clk.unionByName(ends).select(
-        "window_idx", "which", "kind",
-        F.min("tick").over(down.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("reached"),
-        F.max("tick").over(Window.partitionBy(F.lit(1))).alias("end_tick"))
-    firsts = merged.where(F.col("kind") == 0).select(
-        "window_idx", "which", F.coalesce("reached", "end_tick").alias("tick"))
-    return firsts.groupBy("window_idx").agg(
-        F.max(F.when(F.col("which") == "on_time_at", F.col("tick"))).alias("on_time_at"),
-        F.max(F.when(F.col("which") == "close_at", F.col("tick"))).alias("close_at"))
+    per_w, per_l = window_ms // bucket_ms, lateness_ms // bucket_ms
+    null_i, null_s = F.lit(None).cast("bigint"), F.lit(None).cast("string")
+    data = per_min.groupBy("bucket").agg(F.min("minute").alias("a")).select(
+        F.col("bucket").alias("pos"), "a", F.lit(1).alias("kind"), null_i.alias("window_idx"), null_s.alias("which"))
+    wins = per_min.select("window_idx").distinct()
+    end_pos = (F.col("window_idx") + 1) * F.lit(per_w)
+    queries = (wins.select(end_pos.alias("pos"), null_i.alias("a"), F.lit(0).alias("kind"), "window_idx",
+                           F.lit("on_time_at").alias("which"))
+               .unionByName(wins.select((end_pos + F.lit(per_l)).alias("pos"), null_i.alias("a"), F.lit(0).alias("kind"),
+                                        "window_idx", F.lit("close_at").alias("which"))))
+    u = data.unionByName(queries).withColumn("super", F.floor(F.col("pos") / F.lit(_SUPER)).cast("bigint"))
+    # within a super-bucket, scanned from the top down: a running min (linear);
+    # at equal positions data rows come first, so a bucket at E itself counts
+    down = (Window.partitionBy("super").orderBy(F.col("pos").desc(), F.col("kind").desc())
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    u = u.withColumn("within", F.min("a").over(down))
+    supers = u.groupBy("super").agg(F.min("a").alias("sa"))
+    later = supers.select("super", F.min("sa").over(
+        Window.orderBy(F.col("super").desc()).rowsBetween(Window.unboundedPreceding, -1)).alias("later"))
+    q = u.where(F.col("kind") == 0).join(later, "super", "left")
+    first = F.least(F.col("within"), F.col("later"))
+    tick = F.coalesce(first + 1, F.lit(end_tick)).cast("bigint")
+    return q.groupBy("window_idx").agg(
+        F.max(F.when(F.col("which") == "on_time_at", tick)).alias("on_time_at"),
+        F.max(F.when(F.col("which") == "close_at", tick)).alias("close_at"))
 
 
 def replay_panes(events: DataFrame, window_minutes: int | None = TEAM_WINDOW_MINUTES,
@@ -255,22 +260,26 @@ def replay_panes(events: DataFrame, window_minutes: int | None = TEAM_WINDOW_MIN
         per_min = (rows.groupBy("team", "window_idx", "minute").agg(F.sum("score").alias("score_sum"))
                    .withColumn("on_time_at", F.lit(NEVER)).withColumn("close_at", F.lit(NEVER)))
     else:
+        bucket_ms = math.gcd(window_ms, lateness_ms) if lateness_ms else window_ms
         rows = events.select(
             F.col(key).alias("team"), "score", "timestamp_ms", minute,
-            F.floor(F.col("timestamp_ms") / F.lit(window_ms)).cast("bigint").alias("window_idx"))
+            F.floor(F.col("timestamp_ms") / F.lit(window_ms)).cast("bigint").alias("window_idx"),
+            F.floor(F.col("timestamp_ms") / F.lit(bucket_ms)).cast("bigint").alias("bucket"))
         # One pre-aggregate feeds the clock, the window list and the replay
         # groups.  Catalyst would prune it differently per branch and scan the
         # events three times, so it is written once to the checkpoint folder.
-        per_min = materialize(rows.groupBy("team", "window_idx", "minute").agg(
-            F.sum("score").alias("score_sum"), F.max("timestamp_ms").alias("max_ts")), "pane-minutes")
-        clocks = clock_table(per_min, window_ms, lateness_ms)
+        per_min = materialize(rows.groupBy("team", "window_idx", "bucket", "minute").agg(
+            F.sum("score").alias("score_sum")), "pane-minutes")
+        # the end of input: one number, read from the (small) materialized table
+        end_tick = int(per_min.agg(F.max("minute")).first()[0] or 0) + 1
+        clocks = clock_table(per_min, window_ms, lateness_ms, bucket_ms, end_tick)
     # The clock table has one row per event-time window with data (about
     # 720 for a month of hourly windows); AQE broadcasts it after measuring
     # it (corrupt timestamps could make it large, so no forced broadcast).
     # The groups are then spread on both keys with an explicit partition
-    # count: the clock side is single-partition, a partitioning on
-    # window_idx alone would put every team of a hot window in one task, and
-    # this stage is Python-bound, so it must not be coalesced to a few tasks.
+    # count: a partitioning on window_idx alone would put every team of a hot
+    # window in one task, and this stage is Python-bound, so it must not be
+    # coalesced to a few tasks.
     n_parts = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     g = (per_min if global_window else per_min.join(clocks, "window_idx"))
     g = (g.repartition(n_parts, "team", "window_idx")

@@ -179,3 +179,16 @@ def test_replay_with_outlier_event_time(spark):
     got = sorted((r.team, r.ws, r.timing, r.total_score) for r in
                  replay_panes(df, window_minutes=60, lateness_minutes=120, early_minutes=5, late_minutes=10).collect())
     assert got == brute_replay(data, 60 * M, 120 * M, 5, 10)
+
+
+def test_replay_with_lateness_not_a_multiple_of_the_window(spark):
+    rnd = random.Random(23)
+    data = []
+    for _ in range(500):
+        t = rnd.randint(0, 8 * 60) * M + rnd.randint(0, M - 1)
+        data.append((rnd.choice(["red", "blue", "hot", "hot"]), rnd.randint(0, 20), t,
+                     t + rnd.choice([0, 0, 4 * M, 50 * M, 100 * M])))
+    df = spark.createDataFrame(data, "team string, score int, timestamp_ms long, arrival_ms long")
+    got = sorted((r.team, r.ws, r.timing, r.total_score) for r in
+                 replay_panes(df, window_minutes=60, lateness_minutes=90, early_minutes=5, late_minutes=10).collect())
+    assert got == brute_replay(data, 60 * M, 90 * M, 5, 10)
