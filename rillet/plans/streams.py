@@ -4,7 +4,8 @@ with ``availableNow``, return the sink read back.
 Append-mode forms hold the last windows until the watermark passes them; a
 bounded input ends with an end-of-input marker line (event time in 2100,
 filtered from every output) that moves the watermark past all real windows,
-as a bounded source's watermark jumps to +inf when it is exhausted.
+as a bounded source's watermark jumps to +inf when it is exhausted; the
+no-data batch that ``availableNow`` runs last then emits them.
 
 Each stream runs in its own session (``newSession``: same cluster, own SQL
 conf) whose shuffle partitions, and so state-store partitions, match the
@@ -65,15 +66,12 @@ def _add_end_marker(spark: SparkSession, path: str, name: str) -> None:
 def _run_to_end(spark: SparkSession, path: str, build_writer) -> None:
     """Run an append-mode stream over ``path`` until every real window is emitted.
 
-    Marker 1 rides in the first batch with the data, so the watermark after
-    it is in 2100; marker 2 makes one more batch, which evicts every window
-    before that.  Both runs share the checkpoint, so nothing is read twice.
+    The end-of-input marker rides in the batch with the data, so the
+    watermark after it is in 2100; ``availableNow`` then runs one no-data
+    batch that evicts every real window.
     """
-    ss = _stream_session(spark)
-    _add_end_marker(spark, path, "1")
-    run_available_now(build_writer(stream_lines(ss, path)))
-    _add_end_marker(spark, path, "2")
-    run_available_now(build_writer(stream_lines(ss, path)))
+    _add_end_marker(spark, path, "end")
+    run_available_now(build_writer(stream_lines(_stream_session(spark), path)))
 
 
 def leaderboard_user(spark, sf_dir):
