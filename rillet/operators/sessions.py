@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rillet.functions.times import display_time
 from rillet.model import SESSION_GAP_MINUTES, SESSION_MEAN_WINDOW_MINUTES
-from rillet.operators.ordered import DEFAULT_CHUNK_MS, session_starts
+from rillet.operators.ordered import DEFAULT_CHUNK_MS, DEFAULT_TARGET_ROWS, session_starts
 
 
 def sessions(events: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES,
@@ -22,8 +22,12 @@ def sessions(events: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES,
     # Rows at the same (user, millisecond) are one point of the session scan:
     # combined map-side first, so a chunk of any user holds at most chunk_ms
     # distinct points (3.6 million for an hour), however hot or bursty it is.
+    # That bound is already below the heavy-cell target, so the counting pass
+    # that slices heavy cells is skipped here.
     points = events.groupBy("user", "timestamp_ms").agg(F.count(F.lit(1)).alias("_n"))
-    tagged = session_starts(points, ["user"], "timestamp_ms", gap_ms, chunk_ms, extra_order=["_n"])
+    target = None if chunk_ms <= DEFAULT_TARGET_ROWS else DEFAULT_TARGET_ROWS
+    tagged = session_starts(points, ["user"], "timestamp_ms", gap_ms, chunk_ms, extra_order=["_n"],
+                            target_rows=target)
     s = tagged.groupBy("user", "session_start").agg(
         F.max("timestamp_ms").alias("_last"), F.sum("_n").alias("n_events"))
     end = F.col("_last") + F.lit(gap_ms)
