@@ -192,3 +192,23 @@ def test_replay_with_lateness_not_a_multiple_of_the_window(spark):
     got = sorted((r.team, r.ws, r.timing, r.total_score) for r in
                  replay_panes(df, window_minutes=60, lateness_minutes=90, early_minutes=5, late_minutes=10).collect())
     assert got == brute_replay(data, 60 * M, 90 * M, 5, 10)
+
+
+def test_replay_groups_cut_by_arrow_batches(spark):
+    # tiny Arrow batches cut most groups across batches: the carry must glue them
+    rnd = random.Random(31)
+    data = []
+    for _ in range(400):
+        t = rnd.randint(0, 5 * 60) * M + rnd.randint(0, M - 1)
+        data.append((rnd.choice(["red", "blue", "hot"]), rnd.randint(0, 20), t, t + rnd.choice([0, 2 * M, 30 * M])))
+    df = spark.createDataFrame(data, "team string, score int, timestamp_ms long, arrival_ms long")
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "7")
+    try:
+        got = sorted((r.team, r.ws, r.timing, r.total_score) for r in
+                     replay_panes(df, window_minutes=60, lateness_minutes=120, early_minutes=5,
+                                  late_minutes=10).collect())
+    finally:
+        spark.conf.set(key, old)
+    assert got == brute_replay(data, 60 * M, 120 * M, 5, 10)
