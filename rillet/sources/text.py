@@ -38,7 +38,8 @@ def stream_lines(spark: SparkSession, path: str, max_files_per_trigger: int | No
 
 
 def stream_topic(spark: SparkSession, bootstrap_servers: str, topic: str,
-                 starting_offsets: str = "latest", attribute: str | None = "timestamp_ms") -> DataFrame:
+                 starting_offsets: str = "latest", attribute: str | None = "timestamp_ms",
+                 max_offsets_per_trigger: int | None = None) -> DataFrame:
     """Unbounded ``value`` strings from a Kafka topic (needs the spark-sql-kafka
     connector on the classpath; Spark reports a missing data source otherwise).
 
@@ -52,8 +53,10 @@ def stream_topic(spark: SparkSession, bootstrap_servers: str, topic: str,
           .option("kafka.bootstrap.servers", bootstrap_servers)
           .option("subscribe", topic)
           .option("startingOffsets", starting_offsets)
-          .option("includeHeaders", "true")
-          .load())
+          .option("includeHeaders", "true"))
+    if max_offsets_per_trigger:
+        df = df.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+    df = df.load()
     cols = [F.col("value").cast("string").alias("value")]
     if attribute:
         header = F.filter(F.col("headers"), lambda h: h["key"] == F.lit(attribute))
