@@ -36,3 +36,9 @@ def test_line_count_mismatch_fails(spark):
     df = spark.createDataFrame([("k", "v"), ("j", "w")], "key string, value string").coalesce(1)
     with pytest.raises(Exception, match="returned"):
         external.pipe_values(df, ("head", "-n", "1")).collect()
+
+
+def test_timeout_fails_the_row_task(spark):
+    df = spark.createDataFrame([("k", "v")], "key string, value string")
+    with pytest.raises(Exception, match="(?i)timeout|timed out"):
+        external.pipe_values(df, ("sh", "-c", "sleep 5; cat"), timeout_sec=0.5).collect()
