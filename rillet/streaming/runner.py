@@ -9,20 +9,8 @@ batch DataFrame.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
-from rillet.session import scratch_path
-from rillet.sources.text import stage_lines, stream_lines
-
-
-def stage_and_stream(lines: DataFrame, spark: SparkSession, kind: str, order_col: str | None = None,
-                     num_files: int | None = None, max_files_per_trigger: int | None = None):
-    """Write ``lines.value`` as text files and open a file stream over them."""
-    path = scratch_path(spark, f"{kind}-input")
-    stage_lines(lines, path, order_col, num_files)
-    return stream_lines(spark, path, max_files_per_trigger), path
-
 
 def run_available_now(writer: DataStreamWriter, timeout_sec: float | None = None) -> None:
     """Start with ``availableNow`` and block until every staged file is processed."""
