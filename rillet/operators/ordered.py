@@ -29,7 +29,7 @@ def _chunk(ts_col: str, chunk_ms: int):
 
 
 def _with_chunks(rows: DataFrame, keys: list[str], ts_col: str, chunk_ms: int,
-                 target_rows: int | None) -> DataFrame:
+                 target_rows: int | None, tiebreak: str | None = None) -> DataFrame:
     """Add ``_chunk``: time cells of ``chunk_ms``, and heavy cells cut into sub-chunks.
 
     A cell (key, time cell) with n > ``target_rows`` rows is cut into
@@ -43,18 +43,27 @@ def _with_chunks(rows: DataFrame, keys: list[str], ts_col: str, chunk_ms: int,
     x = rows.withColumn("_cell", cell)
     if not target_rows:
         return x.withColumn("_chunk", F.col("_cell") * F.lit(_SPLIT_BASE)).drop("_cell")
-    counts = x.groupBy(*keys, "_cell").agg(F.count(F.lit(1)).alias("_n_cell"),
-                                            F.min(ts_col).alias("_lo"), F.max(ts_col).alias("_hi"))
+    aggs = [F.count(F.lit(1)).alias("_n_cell"), F.min(ts_col).alias("_lo"), F.max(ts_col).alias("_hi")]
+    if tiebreak:
+        aggs += [F.min(tiebreak).alias("_tlo"), F.max(tiebreak).alias("_thi")]
+    counts = x.groupBy(*keys, "_cell").agg(*aggs)
+    extra = ["_tlo", "_thi"] if tiebreak else []
     heavy = (counts.where(F.col("_n_cell") > target_rows)
-             .select(*keys, "_cell", "_lo", (F.col("_hi") - F.col("_lo") + 1).alias("_span"),
+             .select(*keys, "_cell", "_lo", (F.col("_hi") - F.col("_lo") + 1).alias("_span"), *extra,
                      F.least(F.ceil(F.col("_n_cell") / F.lit(target_rows)),
                              F.lit(_SPLIT_BASE)).cast("bigint").alias("_k")))
     x = x.join(heavy, [*keys, "_cell"], "left")
-    # equal slices of the cell's observed span (rows at one instant stay together)
+    # Equal slices of the cell's observed span.  With a tiebreak column the
+    # position is time + a fraction in [0, 1) from the tiebreak, which keeps
+    # (time, tiebreak) order, so rows at one instant can be cut apart too.
+    pos = (F.col(ts_col) - F.col("_lo")).cast("double")
+    if tiebreak:
+        pos = pos + (F.col(tiebreak) - F.col("_tlo")).cast("double") / (
+            F.col("_thi") - F.col("_tlo") + 1).cast("double")
     sub = F.when(F.col("_k").isNull(), F.lit(0)).otherwise(
-        F.floor((F.col(ts_col) - F.col("_lo")) * F.col("_k") / F.col("_span")).cast("bigint"))
+        F.least(F.floor(pos * F.col("_k") / F.col("_span")), F.col("_k") - 1).cast("bigint"))
     return (x.withColumn("_chunk", F.col("_cell") * F.lit(_SPLIT_BASE) + sub)
-            .drop("_cell", "_k", "_lo", "_span"))
+            .drop("_cell", "_k", "_lo", "_span", *extra))
 
 
 def session_starts(rows: DataFrame, keys: Sequence[str], ts_col: str, gap_ms: int,
@@ -115,7 +124,8 @@ def running_sum(rows: DataFrame, keys: Sequence[str], order_cols: Sequence[str],
     not_null = F.col(ts_col).isNotNull()
     for k in keys:
         not_null = not_null & F.col(k).isNotNull()
-    x = _with_chunks(rows.where(not_null), keys, ts_col, chunk_ms, target_rows)
+    tiebreak = order_cols[1] if len(order_cols) == 2 else None
+    x = _with_chunks(rows.where(not_null), keys, ts_col, chunk_ms, target_rows, tiebreak)
     x = x.where(F.col("_chunk").isNotNull())
     w_in = (Window.partitionBy(*keys, "_chunk").orderBy(*order_cols)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))

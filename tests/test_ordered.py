@@ -142,3 +142,19 @@ def test_hot_key_inside_one_hour_is_spread_over_balanced_chunks(spark):
     assert len(sizes) >= 25 and max(sizes) <= 2_000
     cold = x.where("user = 'cold'").select("_chunk").distinct().count()
     assert cold == 1                                     # light cells are not cut
+
+
+def test_running_sum_cuts_a_same_instant_burst_by_id(spark):
+    # 3,000 events of one team at one millisecond: cut by event id, still exact
+    data = [("hot", (i * 7) % 13, 5_000) for i in range(3_000)] + [("hot", 1, 5_001), ("cold", 2, 5_000)]
+    lv = _lv(spark, data)
+    x = ordered._with_chunks(lv, ["team"], "timestamp_ms", 60 * M, 200, "event_id")
+    sizes = [r["count"] for r in x.where("team = 'hot'").groupBy("_chunk").count().collect()]
+    assert len(sizes) >= 8 and max(sizes) <= 400   # the burst fills half of the 2 ms span: 8 of 16 slices
+    got = rows(ordered.running_sum(lv, ["team"], ["timestamp_ms", "event_id"], "score", "timestamp_ms",
+                                   "total", 60 * M, 200), "event_id", "total")
+    acc, want = {}, []
+    for i, (tm, s, t) in sorted(enumerate(data), key=lambda x: (x[1][2], x[0])):
+        acc[tm] = acc.get(tm, 0) + s
+        want.append((i, acc[tm]))
+    assert got == sorted(want)
