@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillet.llm import lines, minhash, packing, pii, toxicity
+from rillet.llm import lines, minhash, ordering, packing, pii, quality, sampling, toxicity, urls, vectors
 from rillet.llm.common import held
 from rillet.sources.tables import read_table
 
@@ -24,6 +24,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "documents", ["doc_id", "text"])
 
 
+def op1_embedding_near_dedup(spark, sf_dir):
+    return vectors.near_duplicates(read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"]))
+
+
 def op2_minhash_near_dedup(spark, sf_dir):
     return minhash.near_duplicates(documents(spark, sf_dir))
 
@@ -33,6 +37,19 @@ def op3_line_dedup(spark, sf_dir):
     return lines.dedup_lines(held(docs, "doc_id", "text")).select("row.doc_id", "text", "n_removed")
 
 
+def op4_training_order(spark, sf_dir):
+    return ordering.materialise(documents(spark, sf_dir), ordering.OrderOptions(tokenizer_path()))
+
+
+def op5_url_filter(spark, sf_dir):
+    return urls.judge_urls(read_table(spark, sf_dir, "pages", ["page_id", "url"]))
+
+
+def op6_quality(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    return quality.judge(docs, quality.train(docs, read_table(spark, sf_dir, "labels", ["doc_id", "quality"])))
+
+
 def op7_pii(spark, sf_dir):
     return pii.find_pii(documents(spark, sf_dir))
 
@@ -41,6 +58,12 @@ def op8_best_fit_packing(spark, sf_dir):
     return packing.pack(documents(spark, sf_dir), packing.PackingOptions(tokenizer_path()))
 
 
+def op9_sentencepiece_sampling(spark, sf_dir):
+    turns = read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "text"])
+    return sampling.sample_segmentations(turns, ["conv_id", "turn"],
+                                         sampling.SamplingOptions(tokenizer_path("piece_bpe_32k.model")))
+
+
 def op10_toxicity(spark, sf_dir):
     docs = documents(spark, sf_dir)
     model = toxicity.train(docs, read_table(spark, sf_dir, "labels", ["doc_id", "toxic"]))
@@ -51,7 +74,8 @@ def op10_toxicity(spark, sf_dir):
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
-        op2_minhash_near_dedup, op3_line_dedup, op7_pii, op8_best_fit_packing, op10_toxicity)}
+        op1_embedding_near_dedup, op2_minhash_near_dedup, op3_line_dedup, op4_training_order, op5_url_filter,
+        op6_quality, op7_pii, op8_best_fit_packing, op9_sentencepiece_sampling, op10_toxicity)}
 
 
 # Blank lines take no part; a window is three neighbouring non-blank lines of a document.
@@ -82,4 +106,4 @@ FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id LEFT JOIN lost l ON l.d
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": OP3_SQL}
+    return {"op3_line_dedup": OP3_SQL, "op5_url_filter": urls.oracle()}
