@@ -20,7 +20,9 @@ each; a null ``doc_id`` stays null; an empty table gives no rows.
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from dataclasses import dataclass
 
@@ -38,16 +40,32 @@ class PackingOptions:
     capacity: int = 2048
     end_id: int = 0
     bucket_rows: int = 4096         # pieces of one length and bucket, about
-    cached_words: int = 300_000     # per Python worker
+    cached_words: int = 600_000     # per Python worker
+
+
+_SIMPLE = re.compile("[\x00-\u012f\u0131-\u017f]*")       # Latin letters, each with one lower case form
+
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"                   # without the apostrophe, which joins
 
 
 # -- tokens ---------------------------------------------------------------------
 
+def _byte_letters() -> dict[int, str]:
+    """Characters up to U+017F as the letters byte-level vocabularies write their UTF-8 bytes with."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in shown]
+    letter = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+    return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(0x180)}
+
+
 class WordTokenizer:
     """Token ids of texts, word by word through a cache.
 
-    The tokenizer drops white space and never merges across it, so the ids of a text are those of
-    its pieces between spaces and newlines, one after the other (checked in the tests).
+    The tokenizer drops white space, lower-cases and never merges across white space or between
+    letters and punctuation, so the ids of a text are those of its parts, one after the other (the
+    tests compare them).  An unknown word is looked up without case and without the ASCII marks that
+    end it; if it is then all plain Latin letters, normalising would leave it as it is, and it goes
+    straight to the tokenizer's merge model.  All else goes through the whole tokenizer.
     """
 
     def __init__(self, path: str, cached_words: int):
@@ -55,19 +73,50 @@ class WordTokenizer:
         from tokenizers import Tokenizer
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.encode_special_tokens = True
-        self._ids: dict[str, bytes] = {"": b""}
+        self._merge = self._tokenizer.model.tokenize
+        self._letters = _byte_letters()
         self._most = cached_words
+        self._ids: dict[str, bytes] = {"": b""}
+
+    def _each(self, words: list[str]) -> list[bytes]:
+        found = self._tokenizer.encode_batch(words, add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() for e in found]
+
+    def _learn(self, new: set[str]) -> None:
+        ids, merge, letters = self._ids, self._merge, self._letters
+        marks: dict[str, bytes] = {}
+        others = []
+        for word in new:
+            if not word.isascii() and not _SIMPLE.fullmatch(word):
+                others.append(word)
+                continue
+            core, tail = word.lower(), b""
+            if not core.isalpha():
+                core = core.rstrip(_MARKS)
+                if not core.isalpha():
+                    others.append(word)
+                    continue
+                mark = word[len(core):]
+                tail = marks.get(mark)
+                if tail is None:
+                    tail = marks[mark] = self._each([mark])[0]
+            got = ids.get(core)
+            if got is None:
+                tokens = merge(core if core.isascii() else core.translate(letters))
+                got = ids[core] = array("I", [t.id for t in tokens]).tobytes()
+            ids[word] = got + tail
+        ids.update(zip(others, self._each(others)))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit integers."""
         words = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        if len(self._ids) > self._most:
-            self._ids = {"": b""}
-        new = list(set().union(*words).difference(self._ids)) if words else []
-        found = self._tokenizer.encode_batch(new, add_special_tokens=False)
-        ids = self._ids
-        ids.update(zip(new, (np.array(e.ids, "<u4").tobytes() for e in found)))
-        return [b"".join([ids[w] for w in ws]) for ws in words]
+        seen = set().union(*words)
+        if len(self._ids) > self._most:                  # keep the words in use now
+            old = self._ids
+            self._ids = {w: old[w] for w in seen if w in old} | {"": b""}
+        self._learn(seen.difference(self._ids))
+        find = self._ids.__getitem__
+        return [b"".join(map(find, ws)) for ws in words]
 
 
 def _pieces(options: PackingOptions):
