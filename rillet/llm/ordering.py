@@ -41,7 +41,7 @@ class OrderOptions:
     key: int = 20240229
     rounds: int = 6
     shard_rows: int = 16_384
-    cached_words: int = 200_000
+    cached_words: int = 350_000
 
     @property
     def stride(self) -> int:

@@ -40,7 +40,7 @@ class PackingOptions:
     capacity: int = 2048
     end_id: int = 0
     bucket_rows: int = 4096         # pieces of one length and bucket, about
-    cached_words: int = 200_000     # per Python worker
+    cached_words: int = 350_000     # per Python worker
 
 
 _SIMPLE = re.compile("[\x00-\u012f\u0131-\u017f]*")       # Latin letters, each with one lower case form
