@@ -151,6 +151,30 @@ def held(df: DataFrame, *columns: Column) -> DataFrame:
     return df.select(F.struct(*[df[f"`{c}`"] for c in df.columns]).alias("row"), *columns)
 
 
+def runs(frames, keys: list[str]):
+    """The runs of equal ``keys`` in a partition's pandas frames, sorted by them, as dicts of arrays.
+
+    Runs may reach across frames; at most one run and one frame are held.
+    """
+    rest = None
+    for f in frames:
+        if not len(f):
+            continue
+        cols = {c: f[c].to_numpy() for c in f.columns}
+        if rest is not None:
+            cols = {c: np.concatenate((rest[c], v)) for c, v in cols.items()}
+        n = len(cols[keys[0]])
+        new = np.zeros(n, bool)
+        for k in keys:
+            new[1:] |= cols[k][1:] != cols[k][:-1]
+        cuts = [0, *np.flatnonzero(new).tolist()]
+        for a, b in zip(cuts, cuts[1:]):
+            yield {c: v[a:b] for c, v in cols.items()}
+        rest = {c: v[cuts[-1]:] for c, v in cols.items()}
+    if rest is not None:
+        yield rest
+
+
 # -- small models -----------------------------------------------------------------
 
 def sigmoid(z: np.ndarray) -> np.ndarray:
