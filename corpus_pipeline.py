@@ -17,23 +17,27 @@ from rillet.session import materialize
 from rillet.sources.tables import read_table
 
 
-def _with_text(changed: DataFrame) -> DataFrame:
-    """``row`` with its text and length replaced, back as columns."""
-    row = F.col("row").withField("text", F.col("text")) \
-        .withField("n_chars", F.length("text").cast("long"))
-    return changed.select(row.alias("row")).select("row.*")
+def _columns(changed: DataFrame, like: DataFrame, new_text: bool = False) -> DataFrame:
+    """``row`` and ``text`` back as the columns of ``like``, in their order; ``n_chars`` follows a new text."""
+    def column(name):
+        if name == "text":
+            return F.col("text")
+        if name == "n_chars" and new_text:
+            return F.length("text").cast("long").alias(name)
+        return F.col("row")[name].alias(name)
+    return changed.select(*[column(c) for c in like.columns])
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the model, trained on this input's labelled rows, does not reject."""
     model = toxicity.train(docs, read_table(spark, sf_dir, "labels", ["doc_id", "toxic"]))
     scored = toxicity.score(held(docs, "text"), model)
-    return scored.where(F.col("score") < model.options.threshold).select("row.*")
+    return _columns(scored.where(F.col("score") < model.options.threshold), docs)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without lines of three-line windows found earlier."""
-    return _with_text(lines.dedup_lines(held(docs, "doc_id", "text")))
+    return _columns(lines.dedup_lines(held(docs, "doc_id", "text")), docs, new_text=True)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,17 +50,17 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
                       "pipeline")
     twice = materialize(found.where("doc_id is not null").groupBy(F.col("doc_id").alias("key")).count()
                         .where("count > 1").select("key"), "pipeline")
-    rows = join_by_size(held(docs, F.col("doc_id").alias("key")), out, "key", "left_anti")
+    rows = join_by_size(held(docs, F.col("doc_id").alias("key"), "text"), out, "key", "left_anti")
     if twice.limit(1).count():
         again = join_by_size(rows, twice, "key", "left_semi") \
-            .withColumn("body", F.xxhash64("row.text")).dropDuplicates(["key", "body"]).select("key", "row")
-        rows = join_by_size(rows, twice, "key", "left_anti").select("key", "row").unionByName(again)
-    return rows.select("row.*")
+            .withColumn("body", F.xxhash64("text")).dropDuplicates(["key", "body"])
+        rows = join_by_size(rows, twice, "key", "left_anti").unionByName(again.drop("body"))
+    return _columns(rows, docs)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced by its kind."""
-    return _with_text(pii.redact(held(docs, "text")))
+    return _columns(pii.redact(held(docs, "text")), docs, new_text=True)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -146,9 +146,10 @@ def components(edges: DataFrame, kind: str) -> DataFrame:
             return state
 
 
-def held(df: DataFrame, *columns: Column) -> DataFrame:
-    """All columns of ``df`` in one struct ``row`` next to ``columns``: no name can clash."""
-    return df.select(F.struct(*[df[f"`{c}`"] for c in df.columns]).alias("row"), *columns)
+def held(df: DataFrame, *columns) -> DataFrame:
+    """``columns`` next to all others but ``text``, which go into one struct ``row``: no name can clash."""
+    rest = [df[f"`{c}`"] for c in df.columns if c != "text"]
+    return df.select(F.struct(*rest).alias("row"), *columns)
 
 
 def runs(frames, keys: list[str]):

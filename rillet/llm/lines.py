@@ -69,23 +69,24 @@ def strip_lines(text: str, starts, window: int = WINDOW) -> tuple[str, int]:
     return "\n".join(x for i, x in enumerate(pieces) if i not in gone), len(gone)
 
 
-def _strip(window: int, out: str, n_out: str):
+def _strip(window: int):
     def run(batches):
         for batch in batches:
-            texts, counts = [], []
-            for text, starts in zip(batch.column("text").to_pylist(), batch.column("starts").to_pylist()):
-                t, n = (text, 0) if text is None or not starts else strip_lines(text, starts, window)
-                texts.append(t)
-                counts.append(n)
-            keep = [n for n in batch.schema.names if n not in ("text", "starts")]
-            yield pa.RecordBatch.from_arrays([batch.column(n) for n in keep] +
-                                             [pa.array(texts, pa.string()), pa.array(counts, pa.int64())],
-                                             names=[*keep, out, n_out])
+            for lo in range(0, batch.num_rows, 1000):
+                part = batch.slice(lo, 1000)
+                texts, counts = [], []
+                for text, starts in zip(part.column("text").to_pylist(), part.column("starts").to_pylist()):
+                    t, n = (text, 0) if text is None or not starts else strip_lines(text, starts, window)
+                    texts.append(t)
+                    counts.append(n)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("row"), pa.array(texts, pa.string()), pa.array(counts, pa.int64())],
+                    names=["row", "text", "n_removed"])
     return run
 
 
 def dedup_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Every row's ``row`` columns (a struct), ``text`` after removal and ``n_removed``.
+    """Every row's ``row`` (a struct of its other columns), ``text`` after removal and ``n_removed``.
 
     ``docs`` holds ``row, doc_id, text`` (see ``common.held``); windows are taken from all of it.
     """
@@ -95,4 +96,4 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     row = docs.schema["row"].dataType
     from pyspark.sql.types import LongType, StringType, StructType
     schema = StructType().add("row", row).add("text", StringType()).add("n_removed", LongType())
-    return joined.mapInArrow(_strip(window, "text", "n_removed"), schema)
+    return joined.mapInArrow(_strip(window), schema)

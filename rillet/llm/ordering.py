@@ -72,18 +72,21 @@ def feistel(x: np.ndarray, n: int, key: int, rounds: int = 6) -> np.ndarray:
 
 
 def _sequences(options: OrderOptions):
-    end = np.array([options.end_id], "<u4")
+    end = np.array([options.end_id], "<u4").tobytes()
 
     def run(batches):
         tokenizer = WordTokenizer(options.tokenizer, options.cached_words)
         for batch in batches:
-            docs, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
-            for lo in range(0, len(docs), 500):
-                out = []
-                for doc, body in zip(docs[lo:lo + 500], tokenizer.encode(texts[lo:lo + 500])):
-                    ids = np.concatenate((np.frombuffer(body, "<u4"), end)).astype("<u2").tobytes()
-                    out += [(doc, k, ids[at:at + options.stride])
-                            for k, at in enumerate(range(0, len(ids), options.stride))]
+            docs, texts = batch.column("doc_id").to_pylist(), batch.column("text")
+            for lo in range(0, len(docs), 1000):
+                bodies = [tokenizer.encode(t) + end for t in texts[lo:lo + 1000].to_pylist()]
+                narrow = np.frombuffer(b"".join(bodies), "<u4").astype("<u2").tobytes()
+                out, first = [], 0
+                for doc, body in zip(docs[lo:lo + 1000], bodies):
+                    last = first + len(body) // 2
+                    out += [(doc, k, narrow[at:min(at + options.stride, last)])
+                            for k, at in enumerate(range(first, last, options.stride))]
+                    first = last
                 cols = list(zip(*out)) if out else [()] * 3
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.binary())],
@@ -110,7 +113,8 @@ def materialise(docs: DataFrame, options: OrderOptions) -> DataFrame:
 
     def place(batches):
         for batch in batches:
-            first = np.array([before[f] for f in batch.column("file").to_pylist()], np.int64)
+            file = batch.column("file").dictionary_encode()
+            first = np.array([before[f] for f in file.dictionary.to_pylist()], np.int64)[file.indices.to_numpy()]
             slot = feistel(first + batch.column("row").to_numpy(), total, options.key, options.rounds)
             ids = batch.column("ids")
             body = ids.to_pylist()

@@ -58,8 +58,8 @@ def _byte_letters() -> dict[int, str]:
     return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(0x180)}
 
 
-class WordTokenizer:
-    """Token ids of texts, word by word through a cache.
+class WordTokenizer(dict):
+    """Token ids of texts, word by word: a cache from words to ids that learns what it misses.
 
     The tokenizer drops white space, lower-cases and never merges across white space or between
     letters and punctuation, so the ids of a text are those of its parts, one after the other (the
@@ -69,6 +69,7 @@ class WordTokenizer:
     """
 
     def __init__(self, path: str, cached_words: int):
+        super().__init__({"": b""})
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self._tokenizer = Tokenizer.from_file(path)
@@ -76,47 +77,31 @@ class WordTokenizer:
         self._merge = self._tokenizer.model.tokenize
         self._letters = _byte_letters()
         self._most = cached_words
-        self._ids: dict[str, bytes] = {"": b""}
-
-    def _each(self, words: list[str]) -> list[bytes]:
-        found = self._tokenizer.encode_batch(words, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in found]
-
-    def _learn(self, new: set[str]) -> None:
-        ids, merge, letters = self._ids, self._merge, self._letters
-        marks: dict[str, bytes] = {}
-        others = []
-        for word in new:
-            if not word.isascii() and not _SIMPLE.fullmatch(word):
-                others.append(word)
-                continue
-            core, tail = word.lower(), b""
-            if not core.isalpha():
-                core = core.rstrip(_MARKS)
-                if not core.isalpha():
-                    others.append(word)
-                    continue
-                mark = word[len(core):]
-                tail = marks.get(mark)
-                if tail is None:
-                    tail = marks[mark] = self._each([mark])[0]
-            got = ids.get(core)
-            if got is None:
-                tokens = merge(core if core.isascii() else core.translate(letters))
-                got = ids[core] = array("I", [t.id for t in tokens]).tobytes()
-            ids[word] = got + tail
-        ids.update(zip(others, self._each(others)))
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids as little-endian unsigned 32-bit integers."""
-        words = [(t or "").replace("\n", " ").split(" ") for t in texts]
-        seen = set().union(*words)
-        if len(self._ids) > self._most:                  # keep the words in use now
-            old = self._ids
-            self._ids = {w: old[w] for w in seen if w in old} | {"": b""}
-        self._learn(seen.difference(self._ids))
-        find = self._ids.__getitem__
-        return [b"".join(map(find, ws)) for ws in words]
+
+    def __missing__(self, word: str) -> bytes:
+        core = word.lower() if word.isascii() or _SIMPLE.fullmatch(word) else ""
+        mark = ""
+        if not core.isalpha():
+            core = core.rstrip(_MARKS)
+            mark = word[len(core):]
+        if core.isalpha():
+            ids = self.get(core)
+            if ids is None:
+                tokens = self._merge(core if core.isascii() else core.translate(self._letters))
+                ids = self[core] = array("I", [t.id for t in tokens]).tobytes()
+            if mark:
+                ids += self[mark]
+        else:
+            ids = array("I", self._tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+        self[word] = ids
+        return ids
+
+    def encode(self, text: str | None) -> bytes:
+        """The text's ids as little-endian unsigned 32-bit integers."""
+        if len(self) > self._most:
+            self.clear()
+            self[""] = b""
+        return b"".join(map(self.__getitem__, (text or "").replace("\n", " ").split(" ")))
 
 
 def _pieces(options: PackingOptions):
@@ -126,12 +111,11 @@ def _pieces(options: PackingOptions):
     def run(batches):
         tokenizer = WordTokenizer(options.tokenizer, options.cached_words)
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
-            texts = batch.column("text").to_pylist()
-            for lo in range(0, len(ids), 500):
+            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text")
+            for lo in range(0, len(ids), 1000):
                 out = []
-                for doc, body in zip(ids[lo:lo + 500], tokenizer.encode(texts[lo:lo + 500])):
-                    body += end
+                for doc, text in zip(ids[lo:lo + 1000], texts[lo:lo + 1000].to_pylist()):
+                    body = tokenizer.encode(text) + end
                     for k, at in enumerate(range(0, len(body), cut)):
                         part = body[at:at + cut]
                         out.append((doc, k, at // 4, len(part) // 4, zlib.crc32(part)))

@@ -264,8 +264,10 @@ def redact_text(text: str) -> str:
 
 def _redact(batches):
     for batch in batches:
-        texts = [None if t is None else redact_text(t) for t in batch.column("text").to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], names=["row", "text"])
+        for lo in range(0, batch.num_rows, 1000):
+            part = batch.slice(lo, 1000)
+            texts = [None if t is None else redact_text(t) for t in part.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(texts, pa.string())], names=["row", "text"])
 
 
 def redact(docs: DataFrame) -> DataFrame:

@@ -260,7 +260,10 @@ def score(docs: DataFrame, model: ToxicityModel, out: str = "score") -> DataFram
         for batch in batches:
             f = np.array([text_features(raw, tables.value, options) for raw in byte_rows(batch.column("text"))])
             p = sigmoid(f.reshape(-1, N_FEATURES) @ weights[:-1] + weights[-1])
-            yield pa.RecordBatch.from_arrays(batch.columns + [pa.array(p)], names=batch.schema.names + [out])
+            for lo in range(0, len(p), 1000):
+                part = batch.slice(lo, 1000)
+                yield pa.RecordBatch.from_arrays(part.columns + [pa.array(p[lo:lo + 1000])],
+                                                 names=batch.schema.names + [out])
 
     from pyspark.sql.types import DoubleType, StructType
     schema = StructType(docs.schema.fields[:]).add(out, DoubleType())
