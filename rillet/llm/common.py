@@ -19,6 +19,7 @@ from rillet.session import materialize
 
 SPACE_BYTES = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 BROADCAST_CELLS = 3_000_000     # a side is broadcast only if counted below this (some dozen MB)
+TEXT_ROWS = 1_000               # rows of an Arrow batch that holds whole texts
 
 _U = np.uint64
 _BASE = _U(0x9E3779B97F4A7C15)
@@ -152,6 +153,18 @@ def held(df: DataFrame, *columns) -> DataFrame:
     return df.select(F.struct(*rest).alias("row"), *columns)
 
 
+def map_texts(df: DataFrame, function, schema) -> DataFrame:
+    """``mapInArrow`` over rows that hold whole texts, in batches of at most ``TEXT_ROWS`` rows.
+
+    Spark sizes Arrow batches by rows; its default of 10,000 is made for narrow ones.  A lower
+    setting of the session stays.
+    """
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= TEXT_ROWS:
+        conf.set(name, str(TEXT_ROWS))
+    return df.mapInArrow(function, schema)
+
+
 def runs(frames, keys: list[str]):
     """The runs of equal ``keys`` in a partition's pandas frames, sorted by them, as dicts of arrays.
 

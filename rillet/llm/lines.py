@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillet.llm.common import join_by_size
+from rillet.llm.common import join_by_size, map_texts
 from rillet.session import materialize
 
 WINDOW = 3
@@ -72,16 +72,14 @@ def strip_lines(text: str, starts, window: int = WINDOW) -> tuple[str, int]:
 def _strip(window: int):
     def run(batches):
         for batch in batches:
-            for lo in range(0, batch.num_rows, 1000):
-                part = batch.slice(lo, 1000)
-                texts, counts = [], []
-                for text, starts in zip(part.column("text").to_pylist(), part.column("starts").to_pylist()):
-                    t, n = (text, 0) if text is None or not starts else strip_lines(text, starts, window)
-                    texts.append(t)
-                    counts.append(n)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("row"), pa.array(texts, pa.string()), pa.array(counts, pa.int64())],
-                    names=["row", "text", "n_removed"])
+            texts, counts = [], []
+            for text, starts in zip(batch.column("text").to_pylist(), batch.column("starts").to_pylist()):
+                t, n = (text, 0) if text is None or not starts else strip_lines(text, starts, window)
+                texts.append(t)
+                counts.append(n)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("row"), pa.array(texts, pa.string()), pa.array(counts, pa.int64())],
+                names=["row", "text", "n_removed"])
     return run
 
 
@@ -96,4 +94,4 @@ def dedup_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     row = docs.schema["row"].dataType
     from pyspark.sql.types import LongType, StringType, StructType
     schema = StructType().add("row", row).add("text", StringType()).add("n_removed", LongType())
-    return joined.mapInArrow(_strip(window), schema)
+    return map_texts(joined, _strip(window), schema)

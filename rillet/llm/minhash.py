@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillet.llm.common import byte_rows, components, join_by_size, mix, runs, shingles
+from rillet.llm.common import byte_rows, components, join_by_size, map_texts, mix, runs, shingles
 from rillet.session import materialize
 
 
@@ -103,7 +103,7 @@ def _sets(size: int):
 def full_sets(docs: DataFrame, nodes: DataFrame, options: MinHashOptions) -> DataFrame:
     """``node, hashes``: the full shingle sets of the documents in the stored table ``nodes``."""
     texts = join_by_size(docs.select(F.col("doc_id").alias("node"), "text"), nodes, "node", "left_semi")
-    return materialize(texts.mapInArrow(_sets(options.shingle_words), "node long, hashes binary"), "minhash")
+    return materialize(map_texts(texts, _sets(options.shingle_words), "node long, hashes binary"), "minhash")
 
 
 def common_count(a: np.ndarray, b: np.ndarray) -> int:
@@ -213,8 +213,8 @@ def confirm(edges: DataFrame, docs: DataFrame, options: MinHashOptions) -> DataF
 def near_duplicates(docs: DataFrame, options: MinHashOptions = MinHashOptions()) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept`` for every row of ``docs`` (doc_id long, text)."""
     docs = docs.select("doc_id", "text")
-    rows = materialize(docs.mapInArrow(
-        _sketches(options), "doc_id long, n_shingles long, set1 long, set2 long, sketch binary"), "minhash")
+    rows = materialize(map_texts(
+        docs, _sketches(options), "doc_id long, n_shingles long, set1 long, set2 long, sketch binary"), "minhash")
     # equal sets: one representative, whatever the number of copies
     classes = materialize(rows.where("n_shingles > 0").groupBy("set1", "set2", "n_shingles").agg(
         F.min("doc_id").alias("node"), F.first("sketch").alias("sketch")).where("node is not null"), "minhash")

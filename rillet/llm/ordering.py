@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillet.llm.common import mix
+from rillet.llm.common import map_texts, mix
 from rillet.llm.packing import WordTokenizer
 from rillet.session import scratch_path
 
@@ -77,20 +77,18 @@ def _sequences(options: OrderOptions):
     def run(batches):
         tokenizer = WordTokenizer(options.tokenizer, options.cached_words)
         for batch in batches:
-            docs, texts = batch.column("doc_id").to_pylist(), batch.column("text")
-            for lo in range(0, len(docs), 1000):
-                bodies = [tokenizer.encode(t) + end for t in texts[lo:lo + 1000].to_pylist()]
-                narrow = np.frombuffer(b"".join(bodies), "<u4").astype("<u2").tobytes()
-                out, first = [], 0
-                for doc, body in zip(docs[lo:lo + 1000], bodies):
-                    last = first + len(body) // 2
-                    out += [(doc, k, narrow[at:min(at + options.stride, last)])
-                            for k, at in enumerate(range(first, last, options.stride))]
-                    first = last
-                cols = list(zip(*out)) if out else [()] * 3
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.binary())],
-                    names=["doc_id", "piece", "ids"])
+            bodies = [tokenizer.encode(t) + end for t in batch.column("text").to_pylist()]
+            narrow = np.frombuffer(b"".join(bodies), "<u4").astype("<u2").tobytes()
+            out, first = [], 0
+            for doc, body in zip(batch.column("doc_id").to_pylist(), bodies):
+                last = first + len(body) // 2
+                out += [(doc, k, narrow[at:min(at + options.stride, last)])
+                        for k, at in enumerate(range(first, last, options.stride))]
+                first = last
+            cols = list(zip(*out)) if out else [()] * 3
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.binary())],
+                names=["doc_id", "piece", "ids"])
     return run
 
 
@@ -101,7 +99,7 @@ def materialise(docs: DataFrame, options: OrderOptions) -> DataFrame:
     """
     spark = docs.sparkSession
     path = scratch_path(spark, "ordering")
-    docs.select("doc_id", "text").mapInArrow(_sequences(options), "doc_id long, piece int, ids binary") \
+    map_texts(docs.select("doc_id", "text"), _sequences(options), "doc_id long, piece int, ids binary") \
         .write.option("compression", "zstd").parquet(path)
     stored = spark.read.parquet(path).select("*", F.col("_metadata.file_path").alias("file"),
                                              F.col("_metadata.row_index").alias("row"))

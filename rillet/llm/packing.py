@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rillet.llm.common import map_texts
 from rillet.session import materialize
 
 
@@ -111,26 +112,24 @@ def _pieces(options: PackingOptions):
     def run(batches):
         tokenizer = WordTokenizer(options.tokenizer, options.cached_words)
         for batch in batches:
-            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text")
-            for lo in range(0, len(ids), 1000):
-                out = []
-                for doc, text in zip(ids[lo:lo + 1000], texts[lo:lo + 1000].to_pylist()):
-                    body = tokenizer.encode(text) + end
-                    for k, at in enumerate(range(0, len(body), cut)):
-                        part = body[at:at + cut]
-                        out.append((doc, k, at // 4, len(part) // 4, zlib.crc32(part)))
-                cols = list(zip(*out)) if out else [()] * 5
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()),
-                     *[pa.array(c, pa.int64()) for c in cols[2:]]],
-                    names=["doc_id", "piece", "start", "length", "ids_crc32"])
+            out = []
+            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+                body = tokenizer.encode(text) + end
+                for k, at in enumerate(range(0, len(body), cut)):
+                    part = body[at:at + cut]
+                    out.append((doc, k, at // 4, len(part) // 4, zlib.crc32(part)))
+            cols = list(zip(*out)) if out else [()] * 5
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int32()),
+                 *[pa.array(c, pa.int64()) for c in cols[2:]]],
+                names=["doc_id", "piece", "start", "length", "ids_crc32"])
     return run
 
 
 def pieces(docs: DataFrame, options: PackingOptions) -> DataFrame:
     """``doc_id, piece, start, length, ids_crc32`` for every piece of every row of ``docs``."""
-    return docs.select("doc_id", "text").mapInArrow(
-        _pieces(options), "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return map_texts(
+        docs.select("doc_id", "text"), _pieces(options), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 # -- plan -------------------------------------------------------------------------

@@ -26,6 +26,8 @@ import unicodedata
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from rillet.llm.common import map_texts
+
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int, int]          # start, kind, end
 
@@ -247,8 +249,8 @@ def _detect(batches):
 
 def find_pii(docs: DataFrame) -> DataFrame:
     """Counts, digest and spans of every row of ``docs`` (doc_id, text)."""
-    return docs.select("doc_id", "text").mapInArrow(
-        _detect, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+    return map_texts(
+        docs.select("doc_id", "text"), _detect, "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
 
 
 def redact_text(text: str) -> str:
@@ -264,12 +266,11 @@ def redact_text(text: str) -> str:
 
 def _redact(batches):
     for batch in batches:
-        for lo in range(0, batch.num_rows, 1000):
-            part = batch.slice(lo, 1000)
-            texts = [None if t is None else redact_text(t) for t in part.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(texts, pa.string())], names=["row", "text"])
+        texts = [None if t is None else redact_text(t) for t in batch.column("text").to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], names=["row", "text"])
 
 
 def redact(docs: DataFrame) -> DataFrame:
     """``row, text`` with personal data replaced; ``docs`` holds ``row, text`` (see ``common.held``)."""
-    return docs.select("row", "text").mapInArrow(_redact, docs.select("row", "text").schema)
+    docs = docs.select("row", "text")
+    return map_texts(docs, _redact, docs.schema)

@@ -21,8 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillet.llm.common import (IS_WORD, byte_rows, fit_logistic, join_by_size, mix, segment_hashes, sigmoid, spans,
-                               window_hashes)
+from rillet.llm.common import (IS_WORD, byte_rows, fit_logistic, join_by_size, map_texts, mix, segment_hashes,
+                               sigmoid, spans, window_hashes)
 from rillet.session import materialize
 
 
@@ -142,7 +142,7 @@ def train(docs: DataFrame, labels: DataFrame, options: QualityOptions = QualityO
     if total > options.train_rows:
         marks = materialize(marks.where(draw < int((1 << 30) * options.train_rows / total)), "quality")
     rows = join_by_size(docs.select("doc_id", "text"), marks, "doc_id", "inner").select("text", "good", "part")
-    got = rows.mapInArrow(_relative(options.bits), "good int, part int, slots binary, weights binary").toArrow()
+    got = map_texts(rows, _relative(options.bits), "good int, part int, slots binary, weights binary").toArrow()
     y = got.column("good").to_numpy().astype(float)
     part = got.column("part").to_numpy()
     if any((y[side] == c).sum() == 0 for side in (part != 0, part == 0) for c in (0, 1)):
@@ -177,6 +177,6 @@ def judge(docs: DataFrame, model: QualityModel) -> DataFrame:
                  pa.array(~failed & (p >= options.threshold)), pa.array(p, pa.float64())],
                 names=["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                        "base_failed", "kept", "quality"])
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
+    return map_texts(
+        docs.select("doc_id", "text"), run, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, "
              "n_repeat_words long, base_failed boolean, kept boolean, quality double")

@@ -30,6 +30,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from rillet.llm.common import map_texts
+
 SPACE = "▁"
 
 
@@ -253,4 +255,5 @@ def sample_segmentations(rows: DataFrame, keys: list[str], options: SamplingOpti
                                              names=[*keys, "sample", "ids", "log_prob", "perturbed", "inclusion"])
     schema = ", ".join(f"{k} long" for k in keys) + \
         ", sample int, ids array<int>, log_prob double, perturbed double, inclusion double"
-    return rows.selectExpr(*[f"cast({k} as long) {k}" for k in keys], "text").mapInArrow(run, schema)
+    rows = rows.selectExpr(*[f"cast({k} as long) {k}" for k in keys], "text")
+    return map_texts(rows, run, schema)

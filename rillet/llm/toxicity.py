@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillet.llm.common import byte_rows, fit_logistic, join_by_size, mix, sigmoid
+from rillet.llm.common import byte_rows, fit_logistic, join_by_size, map_texts, mix, sigmoid
 from rillet.session import materialize
 
 
@@ -41,7 +41,7 @@ from rillet.session import materialize
 class ToxicityOptions:
     order: int = 6                   # bytes in a gram, 6 at most
     discount: float = 2.0            # D
-    bits: int = 22                   # log2 of the slots of the ratio table
+    bits: int = 21                   # log2 of the slots of the ratio table
     calibration_rows: int = 50_000   # bound on the sample the logistic regression is fitted on
     threshold: float = 0.5
 
@@ -204,7 +204,7 @@ def train(docs: DataFrame, labels: DataFrame, options: ToxicityOptions = Toxicit
         .select("text", F.col("toxic").alias("toxic"), fold().alias("fold"))
     calibrates = F.col("fold") == 1
     cells = rows.select("text", (F.col("toxic") + F.when(calibrates, 2).otherwise(0)).cast("int").alias("cell"))
-    counts = cells.mapInArrow(_gram_counts(options.order), "gram long, cell int, n long").groupBy("gram").agg(
+    counts = map_texts(cells, _gram_counts(options.order), "gram long, cell int, n long").groupBy("gram").agg(
         *[F.sum(F.when(F.col("cell") == c, F.col("n")).otherwise(0)).alias(f"c{c}") for c in range(4)])
     counts = materialize(counts, "toxicity")
     size = rows.groupBy("toxic", calibrates.alias("calibrates")).count().collect()    # four rows
@@ -223,8 +223,8 @@ def train(docs: DataFrame, labels: DataFrame, options: ToxicityOptions = Toxicit
     if held_back > options.calibration_rows:
         rows = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) <
                           int((1 << 20) * options.calibration_rows / held_back))
-    got = rows.where(calibrates).select("text", "toxic") \
-        .mapInArrow(_features(first, options), _FEATURE_SCHEMA + ", toxic int").toArrow()
+    got = map_texts(rows.where(calibrates).select("text", "toxic"), _features(first, options),
+                    _FEATURE_SCHEMA + ", toxic int").toArrow()
     x = np.column_stack([got.column(f"f{i}").to_numpy() for i in range(N_FEATURES)])
     y = got.column("toxic").to_numpy().astype(float)
     weights = fit_logistic(x, y)
@@ -260,11 +260,8 @@ def score(docs: DataFrame, model: ToxicityModel, out: str = "score") -> DataFram
         for batch in batches:
             f = np.array([text_features(raw, tables.value, options) for raw in byte_rows(batch.column("text"))])
             p = sigmoid(f.reshape(-1, N_FEATURES) @ weights[:-1] + weights[-1])
-            for lo in range(0, len(p), 1000):
-                part = batch.slice(lo, 1000)
-                yield pa.RecordBatch.from_arrays(part.columns + [pa.array(p[lo:lo + 1000])],
-                                                 names=batch.schema.names + [out])
+            yield pa.RecordBatch.from_arrays(batch.columns + [pa.array(p)], names=batch.schema.names + [out])
 
     from pyspark.sql.types import DoubleType, StructType
     schema = StructType(docs.schema.fields[:]).add(out, DoubleType())
-    return docs.mapInArrow(run, schema)
+    return map_texts(docs, run, schema)
