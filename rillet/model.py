@@ -122,6 +122,10 @@ class LeaderBoardOptions:
     allowed_lateness_minutes: int = ALLOWED_LATENESS_MINUTES
     early_minutes: int = EARLY_FIRING_MINUTES
     late_minutes: int = LATE_FIRING_MINUTES
+    user_minutes: int = LATE_FIRING_MINUTES       # how often the users' totals fire
+    watermark_delay_seconds: int = 0
+    max_files_per_trigger: int | None = None
+    checkpoint: str = ""                          # folder; default: next to the output
 
 
 @dataclass(frozen=True)
@@ -132,6 +136,9 @@ class GameStatsOptions:
     session_gap_minutes: int = SESSION_GAP_MINUTES
     user_activity_window_minutes: int = SESSION_MEAN_WINDOW_MINUTES
     score_weight: float = SCORE_WEIGHT
+    watermark_delay_seconds: int = 0              # rows this late still count
+    max_files_per_trigger: int | None = None
+    checkpoint: str = ""                          # folder; default: next to the output
 
 
 @dataclass(frozen=True)
@@ -139,6 +146,8 @@ class StatefulTeamScoreOptions:
     input: str
     output: str
     threshold: int = LEVEL_THRESHOLD
+    max_files_per_trigger: int | None = None
+    checkpoint: str = ""                          # folder; default: next to the output
 
 
 @dataclass(frozen=True)
@@ -146,6 +155,8 @@ class PersonOptions:
     input: str
     output: str
     mode: str = "batch"       # batch | stream_topics | stream_table
+    max_files_per_trigger: int | None = None
+    checkpoint: str = ""      # folder; default: next to the output
 
 
 @dataclass(frozen=True)

@@ -18,26 +18,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillet.functions.times import display_time
+from rillet.functions.times import display_time, floor_ms
 from rillet.model import SCORE_WEIGHT, TEAM_WINDOW_MINUTES
 from rillet.session import materialize
 
 
-def _with_window_start(events: DataFrame, minutes: int) -> DataFrame:
-    w = F.window("event_time", f"{minutes} minutes")
-    return events.withColumn("ws", F.unix_millis(w.start))
-
-
 def user_team_sums(events: DataFrame, minutes: int = TEAM_WINDOW_MINUTES) -> DataFrame:
     """``ws, user, team, score_sum``: the pre-aggregate both outputs start from."""
-    return (_with_window_start(events, minutes)
+    return (events.withColumn("ws", floor_ms(F.col("timestamp_ms"), minutes * 60_000))
             .groupBy("ws", "user", "team").agg(F.sum("score").alias("score_sum")))
 
 
 def spammers_from_sums(uts: DataFrame, weight: float = SCORE_WEIGHT) -> DataFrame:
     """``ws, user, total_score`` of users above ``weight`` x the window mean."""
-    per_user = uts.groupBy("ws", "user").agg(F.sum("score_sum").alias("total_score"))
-    mean = per_user.groupBy("ws").agg(F.avg("total_score").alias("mean_score"))
+    return spammers_from_totals(uts.groupBy("ws", "user").agg(F.sum("score_sum").alias("total_score")), weight)
+
+
+def spammers_from_totals(per_user: DataFrame, weight: float = SCORE_WEIGHT) -> DataFrame:
+    """The same from ``ws, user, total_score`` (read twice: hand in a stored table)."""
+    mean = per_user.groupBy("ws").agg((F.sum("total_score") / F.count("*")).alias("mean_score"))
     joined = per_user.join(mean, "ws")
     return (joined.where(F.col("total_score") > F.lit(weight) * F.col("mean_score"))
             .select("ws", "user", "total_score"))
@@ -46,7 +45,9 @@ def spammers_from_sums(uts: DataFrame, weight: float = SCORE_WEIGHT) -> DataFram
 def spammy_users(events: DataFrame, minutes: int = TEAM_WINDOW_MINUTES,
                  weight: float = SCORE_WEIGHT) -> DataFrame:
     """``window_start, user, total_score``."""
-    sp = spammers_from_sums(materialize(user_team_sums(events, minutes), "window-user-team-sums"), weight)
+    totals = (events.withColumn("ws", floor_ms(F.col("timestamp_ms"), minutes * 60_000))
+              .groupBy("ws", "user").agg(F.sum("score").alias("total_score")))
+    sp = spammers_from_totals(materialize(totals, "window-user-sums"), weight)
     return sp.select(display_time(F.col("ws")).alias("window_start"), "user", "total_score")
 
 

@@ -1,10 +1,13 @@
 """Map rows through an external program.
 
-Batch mode (default): every Arrow batch of a partition goes to one run of
-the program on stdin; the program must write one line per input line, so
-keys stay aligned.  Values are escaped (backslash, newline) on the way in
-and unescaped on the way out.  A non-zero exit, a line-count mismatch or a
-timeout fails the task (Spark retries it elsewhere).
+Stream mode (default): each partition has one run of the program, fed the
+values on stdin, one a line, as they are; the program must write one line per
+input line, so keys stay aligned.  A null value is not sent and stays null.
+Only what must be escaped is: newlines inside a value are sent as U+001E and
+come back as newlines; a value that holds both can't be sent and fails the
+task.  A non-zero exit, a line-count mismatch or a timeout fails the task too
+(Spark retries it elsewhere).  A feeding thread keeps the program from
+blocking on a full pipe, whatever it buffers.
 
 Per-row mode: the program runs once per row with the value as its last
 argument; each stdout line becomes a ``(key, line)`` row (0..n per input).
@@ -13,6 +16,8 @@ argument; each stdout line becomes a ``(key, line)`` row (0..n per input).
 from __future__ import annotations
 
 import subprocess
+import threading
+from collections import deque
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -20,50 +25,97 @@ from pyspark.sql import DataFrame
 
 from rillet.model import KV_SCHEMA
 
+OUTPUT_ROWS = 10_000
+LINE_MARK = "\x1e"
 
-def _escape(s: str) -> str:
-    return s.replace("\\", "\\\\").replace("\n", "\\n").replace("\r", "\\r")
 
-
-def _unescape(s: str) -> str:
-    out, i = [], 0
-    while i < len(s):
-        ch = s[i]
-        if ch == "\\" and i + 1 < len(s):
-            nxt = s[i + 1]
-            out.append({"n": "\n", "r": "\r", "\\": "\\"}.get(nxt, nxt))
-            i += 2
-        else:
-            out.append(ch)
-            i += 1
-    return "".join(out)
-
-
-def _run(cmd: Sequence[str], data: str | None, timeout: float) -> str:
-    res = subprocess.run(list(cmd), input=data, capture_output=True, text=True, timeout=timeout)
+def _run(cmd: Sequence[str], timeout: float) -> str:
+    res = subprocess.run(list(cmd), capture_output=True, timeout=timeout)
     if res.returncode != 0:
-        raise RuntimeError(f"external program {cmd[0]!r} exited {res.returncode}: {res.stderr[:500]}")
-    return res.stdout
+        raise RuntimeError(f"external program {cmd[0]!r} exited {res.returncode}: {res.stderr.decode()[:500]}")
+    return res.stdout.decode()
+
+
+class _Feeder(threading.Thread):
+    """Writes the values of ``batches`` to the program, keeping the keys whose line is still due."""
+
+    def __init__(self, batches: Iterator[pd.DataFrame], program: subprocess.Popen):
+        super().__init__(daemon=True)
+        self._batches, self._program = batches, program
+        self.due: deque = deque()            # (key, sent, newlines escaped)
+        self.sent, self.error = 0, None
+
+    def run(self) -> None:
+        try:
+            with self._program.stdin as pipe:
+                for pdf in self._batches:
+                    for key, value in zip(pdf["key"].tolist(), pdf["value"].tolist()):
+                        if value is None:
+                            self.due.append((key, False, False))
+                            continue
+                        inside = "\n" in value
+                        if inside and LINE_MARK in value:
+                            raise ValueError(f"the value of key {key!r} holds a newline and U+001E")
+                        self.due.append((key, True, inside))
+                        self.sent += 1
+                        pipe.write(value.replace("\n", LINE_MARK).encode() + b"\n")
+        except BrokenPipeError:
+            pass                             # the program ended: its exit code or line count tells
+        except Exception as e:  # noqa: BLE001 - raised by the reading side
+            self.error = e
+            self._program.kill()
 
 
 def pipe_values(df: DataFrame, command: Sequence[str] = ("cat",), timeout_sec: float = 3600.0) -> DataFrame:
     """``key, value`` -> ``key, value`` where value is the program's output line."""
     cmd = tuple(command)
 
-    def run_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            values = pdf["value"].fillna("").astype(str)
-            text = "".join(_escape(v) + "\n" for v in values)
-            out = _run(cmd, text, timeout_sec).split("\n")
-            if out and out[-1] == "":
-                out.pop()
-            if len(out) != len(pdf):
-                raise RuntimeError(f"external program returned {len(out)} lines for {len(pdf)} rows")
-            yield pd.DataFrame({"key": pdf["key"].values, "value": [_unescape(v) for v in out]})
-
-    return df.select("key", "value").mapInPandas(run_batches, KV_SCHEMA)
+    def run_partition(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        program = subprocess.Popen(cmd, stdin=subprocess.PIPE, stdout=subprocess.PIPE, stderr=subprocess.DEVNULL)
+        timed_out = threading.Event()
+        timer = threading.Timer(timeout_sec, lambda: (timed_out.set(), program.kill()))
+        timer.daemon = True
+        timer.start()
+        feeder = _Feeder(batches, program)
+        feeder.start()
+        keys, values, lines = [], [], 0
+        try:
+            for line in program.stdout:      # cut at newlines only
+                lines += 1
+                while feeder.due and not feeder.due[0][1]:
+                    keys.append(feeder.due.popleft()[0])
+                    values.append(None)
+                if not feeder.due:
+                    break                    # more lines than rows
+                key, _, inside = feeder.due.popleft()
+                text = line.removesuffix(b"\n").decode()
+                keys.append(key)
+                values.append(text.replace(LINE_MARK, "\n") if inside else text)
+                if len(keys) >= OUTPUT_ROWS:
+                    yield pd.DataFrame({"key": keys, "value": values}, dtype=object)
+                    keys, values = [], []
+            else:
+                feeder.join()
+                code = program.wait()
+                if timed_out.is_set():
+                    raise TimeoutError(f"external program {cmd[0]!r} timed out after {timeout_sec} s")
+                if feeder.error is not None:
+                    raise feeder.error
+                if code:
+                    raise RuntimeError(f"external program {cmd[0]!r} exited {code}")
+            if lines != feeder.sent or any(sent for _, sent, _ in feeder.due):
+                raise RuntimeError(f"external program returned {lines} lines for {feeder.sent} rows")
+            for key, _, _ in feeder.due:
+                keys.append(key)
+                values.append(None)
+            if keys:
+                yield pd.DataFrame({"key": keys, "value": values}, dtype=object)
+        finally:
+            timer.cancel()
+            program.kill()
+            program.wait()
+
+    return df.select("key", "value").mapInPandas(run_partition, KV_SCHEMA)
 
 
 def run_per_row(df: DataFrame, command: Sequence[str], timeout_sec: float = 3600.0) -> DataFrame:
@@ -74,9 +126,10 @@ def run_per_row(df: DataFrame, command: Sequence[str], timeout_sec: float = 3600
         for pdf in batches:
             keys, lines = [], []
             for k, v in zip(pdf["key"], pdf["value"]):
-                for line in _run((*cmd, "" if v is None else str(v)), None, timeout_sec).splitlines():
+                out = _run((*cmd, "" if v is None else str(v)), timeout_sec).split("\n")
+                for line in out[:-1] if out[-1] == "" else out:
                     keys.append(k)
-                    lines.append(line)
+                    lines.append(line.removesuffix("\r"))
             yield pd.DataFrame({"key": keys, "value": lines}, dtype=object)
 
     return df.select("key", "value").mapInPandas(run_rows, KV_SCHEMA)

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillet.functions.times import display_time
+from rillet.functions.times import display_time, floor_ms
 from rillet.model import LEVEL_THRESHOLD
 from rillet.operators.ordered import DEFAULT_CHUNK_MS, running_sum
 
@@ -41,7 +41,6 @@ def windowed_level_crossings(events: DataFrame, window_minutes: int, threshold:
     a hot (team, window): by default a twelfth of the window.
     """
     chunk_ms = chunk_ms or max(1, window_minutes * 60_000 // 12)
-    w = F.window("event_time", f"{window_minutes} minutes")
-    ev = events.withColumn("ws", F.unix_millis(w.start))
+    ev = events.withColumn("ws", floor_ms(F.col("timestamp_ms"), window_minutes * 60_000))
     out = level_crossings(ev, threshold, ["ws", "team"], chunk_ms)
     return out.select(display_time(F.col("ws")).alias("window_start"), "team", "event_id", "total_score")

@@ -25,7 +25,7 @@ _SPLIT_BASE = 1 << 20             # sub-chunks per cell at most; chunk id = cell
 
 
 def _chunk(ts_col: str, chunk_ms: int):
-    return F.floor(F.col(ts_col) / F.lit(chunk_ms)).cast("bigint")
+    return F.expr(f"(`{ts_col}` - pmod(`{ts_col}`, {chunk_ms}L)) div {chunk_ms}L")
 
 
 def _with_chunks(rows: DataFrame, keys: list[str], ts_col: str, chunk_ms: int,

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rillet.functions.strings import java_trim, render_fields, strict_int, strict_long
-from rillet.functions.times import display_time, event_time_from_ms, local_option_to_ms, window_start_ms
+from rillet.functions.times import display_time, event_time_from_ms, floor_ms, local_option_to_ms
 from rillet.model import (
     DEFAULT_START, DEFAULT_STOP, HOURLY_TEAM_TEXT_FIELDS, RANGE_OPTION_FORMAT, TEAM_WINDOW_MINUTES,
     USER_SCORE_TEXT_FIELDS,
@@ -91,16 +91,17 @@ def in_time_range(events: DataFrame, start_min: str = DEFAULT_START, stop_min: s
     return events.where((F.col("timestamp_ms") > lo) & (F.col("timestamp_ms") < hi))
 
 
-def fixed_window(minutes: int, time_col: str = "event_time") -> Column:
-    return F.window(time_col, f"{minutes} minutes")
+def window_start(minutes: int, ms_col: str = "timestamp_ms") -> Column:
+    """Start of an event's fixed window in epoch milliseconds (any BIGINT time has one)."""
+    return floor_ms(F.col(ms_col), minutes * 60_000)
 
 
 def windowed_team_score(events: DataFrame, minutes: int = TEAM_WINDOW_MINUTES,
                         key: str = "team") -> DataFrame:
     """``team, window_start, total_score`` per fixed event-time window."""
-    agg = sum_scores(events, key, [fixed_window(minutes).alias("window")])
+    agg = sum_scores(events, key, [window_start(minutes).alias("ws")])
     k = "team" if key == "team" else "user"
-    return agg.select(k, display_time(window_start_ms()).alias("window_start"), "total_score")
+    return agg.select(k, display_time(F.col("ws")).alias("window_start"), "total_score")
 
 
 def user_score_text(scores: DataFrame) -> DataFrame:

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillet.functions.times import display_time
+from rillet.functions.times import display_time, floor_ms
 from rillet.model import SESSION_GAP_MINUTES, SESSION_MEAN_WINDOW_MINUTES
-from rillet.operators.ordered import DEFAULT_CHUNK_MS, DEFAULT_TARGET_ROWS, session_starts
+from rillet.operators.ordered import DEFAULT_CHUNK_MS, session_starts
 
 
 def sessions(events: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES,
@@ -20,14 +20,12 @@ def sessions(events: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES,
     """
     gap_ms = gap_minutes * 60_000
     # Rows at the same (user, millisecond) are one point of the session scan:
-    # combined map-side first, so a chunk of any user holds at most chunk_ms
-    # distinct points (3.6 million for an hour), however hot or bursty it is.
-    # That bound is already below the heavy-cell target, so the counting pass
-    # that slices heavy cells is skipped here.
+    # combined map-side first, so a chunk of any user holds at most one point
+    # per millisecond of chunk_ms, however hot or bursty it is, and needs no
+    # counting pass that slices heavy cells.
     points = events.groupBy("user", "timestamp_ms").agg(F.count(F.lit(1)).alias("_n"))
-    target = None if chunk_ms <= DEFAULT_TARGET_ROWS else DEFAULT_TARGET_ROWS
     tagged = session_starts(points, ["user"], "timestamp_ms", gap_ms, chunk_ms, extra_order=["_n"],
-                            target_rows=target)
+                            target_rows=None)
     s = tagged.groupBy("user", "session_start").agg(
         F.max("timestamp_ms").alias("_last"), F.sum("_n").alias("n_events"))
     end = F.col("_last") + F.lit(gap_ms)
@@ -54,7 +52,6 @@ def session_mean(events: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES,
     ends exactly on a boundary belongs to the earlier window.
     """
     s = sessions(events, gap_minutes, chunk_ms)
-    at = F.timestamp_millis(F.col("end_ms") - 1)
-    w = F.window(at, f"{window_minutes} minutes")
-    m = s.groupBy(F.unix_millis(w.start).alias("ws")).agg(F.avg("minutes").alias("mean_duration"))
+    ws = floor_ms(F.col("end_ms") - 1, window_minutes * 60_000)
+    m = s.groupBy(ws.alias("ws")).agg(F.avg("minutes").alias("mean_duration"))
     return m.select(display_time(F.col("ws")).alias("window_start"), "mean_duration")

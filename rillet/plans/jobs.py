@@ -19,6 +19,8 @@ from rillet.model import (
 from rillet.operators import abuse, checks, people, scores, sessions, words
 from rillet.sinks import text as text_sink
 from rillet.sinks.table import append_table
+from rillet.functions.times import display_time
+from rillet.session import materialize
 from rillet.sources.text import read_lines
 
 
@@ -40,7 +42,7 @@ def word_count(spark: SparkSession, opts: WordCountOptions) -> dict:
 
 def debugging_word_count(spark: SparkSession, opts: DebuggingWordCountOptions) -> dict:
     """Q3: counts filtered by a full-match pattern, checked against expected pairs."""
-    counts = words.count_words(words.tokenize(read_lines(spark, opts.input)))
+    counts = materialize(words.count_words(words.tokenize(read_lines(spark, opts.input))), "word-counts")
     kept = words.filter_full_match(counts, opts.filter_pattern)
     stats = words.match_stats(counts, opts.filter_pattern).first().asDict()
     if opts.expected:
@@ -71,10 +73,11 @@ def hourly_team_score(spark: SparkSession, opts: HourlyTeamScoreOptions) -> None
     """Q6: parse, keep (start, stop), hourly windows, team sums, three shards per window."""
     events = scores.parse_game_events(read_lines(spark, opts.input))
     events = scores.in_time_range(events, opts.start_min, opts.stop_min)
-    sums = scores.sum_scores(events, "team", [scores.fixed_window(opts.window_minutes).alias("window")])
-    from rillet.functions.times import display_time
-    rendered = sums.select("window", F.concat_ws(", ",
-        F.concat(F.lit("window_start: "), display_time(F.unix_millis(F.col("window.start")))),
+    sums = scores.sum_scores(events, "team", [scores.window_start(opts.window_minutes).alias("ws")])
+    window = F.struct(F.timestamp_millis("ws").alias("start"),
+                      F.timestamp_millis(F.col("ws") + opts.window_minutes * 60_000).alias("end"))
+    rendered = sums.select(window.alias("window"), F.concat_ws(", ",
+        F.concat(F.lit("window_start: "), display_time(F.col("ws"))),
         F.concat(F.lit("total_score: "), F.col("total_score").cast("string")),
         F.concat(F.lit("team: "), F.col("team"))).alias("line"))
     text_sink.write_windowed_text(rendered, opts.output)
@@ -84,9 +87,10 @@ def game_stats(spark: SparkSession, opts: GameStatsOptions) -> None:
     """Q9-Q11 in batch: spam-free team sums and mean session length, appended to tables."""
     events = scores.parse_game_events(read_lines(spark, opts.input))
     teams = abuse.team_score_without_spammers(events, opts.fixed_window_minutes, opts.score_weight)
-    append_table(teams, path=f"{opts.output}/team_scores")
+    append_table(teams.select("team", "total_score", "window_start", _processing_time()),
+                 path=f"{opts.output}/team_scores")
     means = sessions.session_mean(events, opts.session_gap_minutes, opts.user_activity_window_minutes)
-    append_table(means, path=f"{opts.output}/session_means")
+    append_table(means.select("window_start", "mean_duration", _processing_time()), path=f"{opts.output}/session_means")
 
 
 def stateful_team_score(spark: SparkSession, opts: StatefulTeamScoreOptions) -> None:
@@ -95,7 +99,7 @@ def stateful_team_score(spark: SparkSession, opts: StatefulTeamScoreOptions) ->
 
     lines = read_lines(spark, opts.input).withColumn("event_id", F.monotonically_increasing_id())
     events = scores.parse_game_events(lines, keep=("event_id",))
-    append_table(level_crossings(events, opts.threshold), path=opts.output)
+    append_table(level_crossings(events, opts.threshold).select("*", _processing_time()), path=opts.output)
 
 
 def leader_board_batch(spark: SparkSession, opts: LeaderBoardOptions, arrivals: DataFrame) -> DataFrame:
@@ -109,61 +113,67 @@ def leader_board_batch(spark: SparkSession, opts: LeaderBoardOptions, arrivals:
 
 def person_records(spark: SparkSession, opts: PersonOptions) -> None:
     """Q13: split into ``_invalid`` (raw lines) and ``_valid`` (rendered people) text outputs."""
-    lines = read_lines(spark, opts.input)
-    valid, invalid = people.split_lines(lines)
-    text_sink.write_text(invalid.withColumnRenamed("value", "line"), f"{opts.output}_invalid")
-    text_sink.write_text(people.people_text(people.people(valid)), f"{opts.output}_valid")
+    tagged = materialize(people.tag_lines(read_lines(spark, opts.input)), "people")    # read and checked once
+    invalid = tagged.where(F.col("tag") == people.INVALID).select(F.col("value").alias("line"))
+    text_sink.write_text(invalid, f"{opts.output}_invalid")
+    text_sink.write_text(people.people_text(people.people(tagged.where(F.col("tag") == people.VALID))),
+                         f"{opts.output}_valid")
 
 
 # -- live (streaming) jobs -------------------------------------------------------
 # Each returns the started StreamingQuery objects; the caller awaits or stops them.
 
-def _processing_time():
-    from rillet.functions.times import display_time
+# A query's checkpoint has a fixed place (``checkpoint`` option, or next to the output),
+# so a job that is stopped and started again goes on where it was: state kept, each
+# input file read once, each micro-batch's folder written once.
+
+def checkpoint_path(opts, query: str) -> str:
+    return f"{opts.checkpoint or opts.output.rstrip('/') + '_checkpoint'}/{query}"
+
 
+def _processing_time():
     return display_time(F.unix_millis(F.current_timestamp())).alias("processing_time")
 
 
-def leader_board_stream(spark: SparkSession, opts: LeaderBoardOptions, trigger: str = "10 seconds"):
+def leader_board_stream(spark: SparkSession, opts: LeaderBoardOptions, trigger: str = "10 seconds",
+                        user_trigger: str | None = None):
     """Q7 + Q8 live: one text-file stream of game lines feeding two queries.
 
     Teams: exact early/on-time/late panes per hourly window, appended to
     ``<output>/team_panes`` with the window start, timing and processing time.
     Users: the global-window running totals (update mode), appended to
-    ``<output>/user_totals`` with the micro-batch id and processing time.
+    ``<output>/user_totals`` every ``user_minutes`` with the micro-batch id and processing time.
     """
-    from rillet.functions.times import display_time
     from rillet.sinks.table import stream_append
     from rillet.sources.text import stream_lines
     from rillet.streaming import leaderboard
-    from rillet.session import scratch_path
 
-    events = scores.parse_game_events(stream_lines(spark, opts.input))
+    events = scores.parse_game_events(stream_lines(spark, opts.input, opts.max_files_per_trigger))
     panes = leaderboard.team_panes(events, opts.team_window_minutes, opts.allowed_lateness_minutes,
-                                   opts.early_minutes, opts.late_minutes)
+                                   opts.early_minutes, opts.late_minutes,
+                                   delay_seconds=opts.watermark_delay_seconds)
     teams = panes.select("team", "total_score", display_time(F.col("ws")).alias("window_start"),
                          _processing_time(), "timing")
     users = leaderboard.user_totals(events).select("user", "total_score", _processing_time())
-    q_teams = (stream_append(teams, None, f"{opts.output}/team_panes", scratch_path(spark, "ck-teams"), "append")
-               .trigger(processingTime=trigger).start())
-    q_users = (stream_append(users, None, f"{opts.output}/user_totals", scratch_path(spark, "ck-users"), "update")
+    q_teams = (stream_append(teams, None, f"{opts.output}/team_panes", checkpoint_path(opts, "teams"), "append")
                .trigger(processingTime=trigger).start())
+    q_users = (stream_append(users, None, f"{opts.output}/user_totals", checkpoint_path(opts, "users"), "update")
+               .trigger(processingTime=user_trigger or f"{opts.user_minutes} minutes").start())
     return q_teams, q_users
 
 
 def person_records_stream(spark: SparkSession, opts: PersonOptions, trigger: str = "10 seconds"):
-    """Q14 (``mode='stream_topics'``): valid / invalid raw lines to two text topics;
+    """Q14 (``mode='stream_topics'``): valid people and invalid raw lines to two text topics;
     Q15 (``mode='stream_table'``): valid people's five columns appended to a table."""
-    from rillet.session import scratch_path
     from rillet.sources.text import stream_lines
     from rillet.streaming import people as people_stream
 
-    lines = stream_lines(spark, opts.input)
+    lines = stream_lines(spark, opts.input, opts.max_files_per_trigger)
     if opts.mode == "stream_topics":
         writer = people_stream.split_to_topics(lines, f"{opts.output}_valid", f"{opts.output}_invalid",
-                                               scratch_path(spark, "ck-people"))
+                                               checkpoint_path(opts, opts.mode))
     elif opts.mode == "stream_table":
-        writer = people_stream.to_table(lines, opts.output, scratch_path(spark, "ck-people"))
+        writer = people_stream.to_table(lines, opts.output, checkpoint_path(opts, opts.mode))
     else:
         raise ValueError(f"unknown stream mode {opts.mode!r}")
     return writer.trigger(processingTime=trigger).start()
@@ -173,18 +183,20 @@ def game_stats_stream(spark: SparkSession, opts: GameStatsOptions, trigger: str
     """Q9-Q11 live: spammers and spam-free team sums per closed window
     (``<output>/spammers``, ``<output>/team_scores``) and mean session length
     per window (``<output>/session_means``); append mode, default trigger."""
-    from rillet.session import scratch_path
     from rillet.sinks.table import stream_append
     from rillet.sources.text import stream_lines
     from rillet.streaming import gamestats
 
-    events = scores.parse_game_events(stream_lines(spark, opts.input))
-    sums = gamestats.window_user_team_sums(events, opts.fixed_window_minutes)
+    events = scores.parse_game_events(stream_lines(spark, opts.input, opts.max_files_per_trigger))
+    delay = f"{opts.watermark_delay_seconds} seconds"
+    sums = gamestats.window_user_team_sums(events, opts.fixed_window_minutes, delay)
     q_spam = (gamestats.spam_outputs(f"{opts.output}/spammers", f"{opts.output}/team_scores",
-                                     scratch_path(spark, "ck-spam"), sums, opts.score_weight)
+                                     checkpoint_path(opts, "spam"), sums, opts.score_weight)
               .trigger(processingTime=trigger).start())
-    means = gamestats.session_mean_stream(events, opts.session_gap_minutes, opts.user_activity_window_minutes)
-    q_sessions = (stream_append(means, None, f"{opts.output}/session_means", scratch_path(spark, "ck-sessions"))
+    means = gamestats.session_mean_stream(events, opts.session_gap_minutes, opts.user_activity_window_minutes,
+                                          delay).select(display_time(F.col("ws")).alias("window_start"),
+                                                        "mean_duration", _processing_time())
+    q_sessions = (stream_append(means, None, f"{opts.output}/session_means", checkpoint_path(opts, "sessions"))
                   .trigger(processingTime=trigger).start())
     return q_spam, q_sessions
 
@@ -193,19 +205,18 @@ def stateful_team_score_stream(spark: SparkSession, opts: StatefulTeamScoreOptio
     """Q12 live: (team, total) whenever a team's running total passes a multiple
     of the threshold; keyed state per team.  Lines may carry a trailing event id
     (used to order rows of one micro-batch); otherwise the event time alone orders them."""
-    from rillet.session import scratch_path
     from rillet.sinks.table import stream_append
     from rillet.sources.text import stream_lines
     from rillet.streaming import levels
 
-    raw = stream_lines(spark, opts.input)
+    raw = stream_lines(spark, opts.input, opts.max_files_per_trigger)
     parts = F.split("value", ",", -1)
     raw = raw.withColumn("event_id", F.when(F.size(parts) > 5, F.element_at(parts, -1).try_cast("bigint"))
                          .otherwise(F.lit(0).cast("bigint")))
     events = scores.parse_game_events(raw, keep=("event_id",))
     crossings = levels.level_crossings(events, opts.threshold).select(
         "team", "event_id", "total_score", _processing_time())
-    return (stream_append(crossings, None, opts.output, scratch_path(spark, "ck-levels"))
+    return (stream_append(crossings, None, opts.output, checkpoint_path(opts, "levels"))
             .trigger(processingTime=trigger).start())
 
 

@@ -274,7 +274,7 @@ def oracle_sql() -> dict[str, str]:
     q.update(word_sql())
     q.update(game_stats_sql())
     q.update(person_sql())
-    q["external_echo"] = ("SELECT CAST(c_custkey AS VARCHAR) AS key, CAST(c_custkey AS VARCHAR) AS value "
+    q["external_echo"] = ("SELECT CAST(c_custkey AS VARCHAR) AS key, CAST(c_custkey AS VARCHAR) || '-1-2' AS value "
                           "FROM customer")
     # Stream forms: the same results as their batch forms on a bounded input.
     q["leaderboard_user"] = q["user_score"]
@@ -284,6 +284,10 @@ def oracle_sql() -> dict[str, str]:
     q["spammy_users_stream"] = q["spammy_users"]
     q["team_score_no_spam_stream"] = q["team_score_no_spam"]
     q["session_mean_stream"] = q["session_mean"]
-    q["bio_stream_split"] = q["bio_split"]
+    # valid people rendered, invalid lines raw
+    text = q["bio_people_text"].split("SELECT name ||", 1)
+    q["bio_stream_split"] = (f"{text[0]}SELECT 'valid' AS tag, name ||{text[1].replace('AS line', 'AS value')} "
+                             "UNION ALL SELECT 'invalid' AS tag, value FROM person_checks WHERE NOT "
+                             "(name_ok AND sex_ok AND age_ok AND weight_ok AND height_ok AND size_ok)")
     q["bio_table"] = f"WITH {PERSON_CTES}\nSELECT name, sex, age, weight, height FROM person_valid"
     return q

@@ -2,10 +2,10 @@
 with ``availableNow``, return the sink read back.
 
 Append-mode forms hold the last windows until the watermark passes them; a
-bounded input ends with an end-of-input marker line (event time in 2100,
-filtered from every output) that moves the watermark past all real windows,
-as a bounded source's watermark jumps to +inf when it is exhausted; the
-no-data batch that ``availableNow`` runs last then emits them.
+bounded input ends with a mark line (after the latest event, under a name that
+only this run knows, left out of every result) that moves the watermark past
+all real windows, as a bounded source's watermark jumps to +inf when it is
+exhausted; the no-data batch that ``availableNow`` runs last then emits them.
 
 Each stream runs in its own session (``newSession``: same cluster, own SQL
 conf) whose shuffle partitions, and so state-store partitions, match the
@@ -14,6 +14,8 @@ cluster's default parallelism; the caller's session conf is left untouched.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,9 +30,6 @@ from rillet.streaming import people as people_stream
 from rillet.sources.text import stage_lines, stream_lines
 from rillet.streaming.runner import run_available_now
 
-END_MARKER_USER = "~end-of-input~"
-END_MARKER_MS = 4102444800000   # 2100-01-01 00:00:00 UTC
-
 
 def _parse_with_id(lines: DataFrame) -> DataFrame:
     ev = lines.withColumn("event_id", F.element_at(F.split("value", ",", -1), -1).try_cast("bigint"))
@@ -57,21 +56,22 @@ def _stage_game(spark: SparkSession, sf_dir: str, kind: str, with_ids: bool = Fa
     return _stage(spark, src, kind)
 
 
-def _add_end_marker(spark: SparkSession, path: str, name: str) -> None:
-    line = f"{END_MARKER_USER},{END_MARKER_USER},0,{END_MARKER_MS},end"
-    # appended as a file of the watched folder itself (a file stream does not read subfolders)
-    spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("append").text(path)
-
-
 def _run_to_end(spark: SparkSession, path: str, build_writer) -> None:
     """Run an append-mode stream over ``path`` until every real window is emitted.
 
-    The end-of-input marker rides in the batch with the data, so the
-    watermark after it is in 2100; ``availableNow`` then runs one no-data
-    batch that evicts every real window.
+    A bounded input's watermark must pass its last windows.  A mark line two
+    days after the latest event does that; its user and team are a name drawn
+    for this run, which no data can hold, and ``build_writer(lines, mark)``
+    leaves that name out of the results.  The mark rides in the batch with the
+    data; ``availableNow`` then runs one no-data batch that evicts every real
+    window.
     """
-    _add_end_marker(spark, path, "end")
-    run_available_now(build_writer(stream_lines(_stream_session(spark), path)))
+    mark = f"~end-{uuid.uuid4().hex}~"
+    last = parse_game_events(spark.read.text(path)).agg(F.max("timestamp_ms")).first()[0] or 0
+    line = f"{mark},{mark},0,{last + 2 * 86_400_000},end"
+    # appended as a file of the watched folder itself (a file stream does not read subfolders)
+    spark.createDataFrame([(line,)], "value string").coalesce(1).write.mode("append").text(path)
+    run_available_now(build_writer(stream_lines(_stream_session(spark), path), mark))
 
 
 def leaderboard_user(spark, sf_dir):
@@ -105,9 +105,9 @@ def _spam_run(spark, sf_dir):
     spam_p, team_p = (scratch_path(spark, f"gamestats-{k}") for k in ("spam", "team"))
     ck = scratch_path(spark, "checkpoint")
 
-    def writer(lines):
+    def writer(lines, mark):
         sums = gamestats.window_user_team_sums(parse_game_events(lines), 60)
-        return gamestats.spam_outputs(spam_p, team_p, ck, sums, 2.5)
+        return gamestats.spam_outputs(spam_p, team_p, ck, sums, 2.5, without_user=mark)
 
     _run_to_end(spark, path, writer)
     return spam_p, team_p
@@ -115,13 +115,13 @@ def _spam_run(spark, sf_dir):
 
 def spammy_users_stream(spark, sf_dir):
     spam_p, _ = _spam_run(spark, sf_dir)
-    sp = spark.read.parquet(spam_p).where(F.col("user") != END_MARKER_USER)
+    sp = spark.read.parquet(spam_p)
     return sp.select(display_time(F.col("ws")).alias("window_start"), "user", "total_score")
 
 
 def team_score_no_spam_stream(spark, sf_dir):
     _, team_p = _spam_run(spark, sf_dir)
-    t = spark.read.parquet(team_p).where(F.col("team") != END_MARKER_USER)
+    t = spark.read.parquet(team_p)
     return t.select(display_time(F.col("ws")).alias("window_start"), "team", "total_score")
 
 
@@ -129,12 +129,12 @@ def session_mean_stream(spark, sf_dir):
     _, path = _stage_game(spark, sf_dir, "sessions")
     out, ck = scratch_path(spark, "sessions-out"), scratch_path(spark, "checkpoint")
 
-    def writer(lines):
-        means = gamestats.session_mean_stream(parse_game_events(lines), 5, 30)
+    def writer(lines, mark):
+        means = gamestats.session_mean_stream(parse_game_events(lines), 5, 30, without_user=mark)
         return stream_append(means, None, out, ck, "append")
 
     _run_to_end(spark, path, writer)
-    m = spark.read.parquet(out).where(F.col("ws") < F.lit(END_MARKER_MS - 3_600_000))
+    m = spark.read.parquet(out)
     return m.select(display_time(F.col("ws")).alias("window_start"), "mean_duration")
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -25,19 +26,25 @@ SCALE_CONF = {
 }
 
 
-def build_session(master: str | None = None, shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "rillet", extra_conf: dict | None = None) -> SparkSession:
-    """Session for tests and the benchmark (``local[*]`` unless told otherwise)."""
+    """A session with ``SCALE_CONF`` where the submit (or its defaults file) says nothing else.
+
+    ``shuffle_partitions`` is for tests and the benchmark; without it the submitted setting stays.
+    """
     builder = SparkSession.builder.appName(app_name)
     for k, v in (extra_conf or {}).items():
         builder = builder.config(k, v)
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
-    builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for k, v in SCALE_CONF.items():
-        builder = builder.config(k, v)
+    if shuffle_partitions is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
+    submitted = spark.sparkContext.getConf()
+    for k, v in SCALE_CONF.items():
+        if not submitted.contains(k):
+            spark.conf.set(k, v)
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
     return spark
@@ -47,11 +54,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this setting names a shared file system folder and is read,
-    never overridden.  Only when it is unset (tests, a laptop) do we pick one.
+    never overridden; without it there we fail rather than write where other
+    machines can't read.  Only a local master (tests, a laptop) gets a folder
+    of its own.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not d and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share "
+                         f"(master {spark.sparkContext.master})")
     if not d:
         d = os.path.join(os.environ.get("TMPDIR", "/tmp"), "rillet-checkpoints")
         spark.conf.set("spark.checkpoint.dir", d)

@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rillet.functions.times import display_time
 from rillet.model import SCORE_WEIGHT, SESSION_GAP_MINUTES, SESSION_MEAN_WINDOW_MINUTES, TEAM_WINDOW_MINUTES
 from rillet.operators.abuse import spammers_from_sums
 from rillet.sinks.table import batch_path
@@ -27,16 +28,20 @@ def window_user_team_sums(events: DataFrame, window_minutes: int = TEAM_WINDOW_M
 
 
 def spam_outputs(spam_path: str, team_path: str, checkpoint: str, stream: DataFrame,
-                 weight: float = SCORE_WEIGHT):
-    """Write spammers and spam-free team sums for every closed window."""
+                 weight: float = SCORE_WEIGHT, without_user: str | None = None):
+    """Write spammers and spam-free team sums for every closed window, with its start and the processing time."""
+    shown = [display_time(F.col("ws")).alias("window_start"),
+             display_time(F.unix_millis(F.current_timestamp())).alias("processing_time")]
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
+        if without_user is not None:
+            batch = batch.where(F.col("user") != without_user)
         batch.persist()
         try:
             spam = spammers_from_sums(batch, weight)
-            spam.write.mode("overwrite").parquet(batch_path(spam_path, batch_id))
+            spam.select("*", *shown).write.mode("overwrite").parquet(batch_path(spam_path, batch_id))
             clean = batch.join(spam.select("ws", "user"), ["ws", "user"], "left_anti")
-            (clean.groupBy("ws", "team").agg(F.sum("score_sum").alias("total_score"))
+            (clean.groupBy("ws", "team").agg(F.sum("score_sum").alias("total_score")).select("*", *shown)
              .write.mode("overwrite").parquet(batch_path(team_path, batch_id)))
         finally:
             batch.unpersist()
@@ -45,21 +50,26 @@ def spam_outputs(spam_path: str, team_path: str, checkpoint: str, stream: DataFr
 
 
 def session_mean_stream(events: DataFrame, gap_minutes: int = SESSION_GAP_MINUTES,
-                        window_minutes: int = SESSION_MEAN_WINDOW_MINUTES, delay: str = "0 seconds") -> DataFrame:
+                        window_minutes: int = SESSION_MEAN_WINDOW_MINUTES, delay: str = "0 seconds",
+                        without_user: str | None = None) -> DataFrame:
     """``ws, mean_duration`` in append mode.
 
     Spark's session window merges events exactly one gap apart; the gap is
     shortened by 1 microsecond (event times are whole ms) so touching
     activity intervals stay apart, as in the batch form, and the end is
-    rounded back up to the whole millisecond.
+    rounded back up to the whole millisecond.  ``without_user`` moves the
+    watermark but its sessions don't count (a bounded input's end mark).
     """
     gap_ms = gap_minutes * 60_000
     sess = (events.withWatermark("event_time", delay)
             .groupBy("user", F.session_window("event_time", f"{gap_ms * 1000 - 1} microseconds").alias("s"))
-            .agg(F.count(F.lit(1)).alias("n"))
-            .select("user", F.col("s.start").alias("start"),
+            .agg(F.max(F.col("user") == F.lit(without_user)).alias("mark"))
+            .select("mark", F.col("s.start").alias("start"),
                     (F.unix_millis(F.col("s.end")) + 1).alias("end_ms"),
                     F.window_time("s").alias("at")))
+    if without_user is not None:
+        # on an aggregate: a filter on the key itself would be pushed below the watermark
+        sess = sess.where(~F.col("mark"))
     dur = sess.select(F.floor((F.col("end_ms") - F.unix_millis("start")) / 60_000).alias("minutes"), "at")
     return (dur.groupBy(F.window("at", f"{window_minutes} minutes").alias("w"))
             .agg(F.avg("minutes").alias("mean_duration"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from rillet.functions.times import display_time
+from rillet.functions.times import display_time, floor_ms
 from rillet.model import (
     ALLOWED_LATENESS_MINUTES, EARLY_FIRING_MINUTES, LATE_FIRING_MINUTES, TEAM_WINDOW_MINUTES,
 )
@@ -59,9 +59,45 @@ PANE_STATE = T.StructType([
 ])
 
 
+def _sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for f in frames:
+        yield f.groupby(["team", "ws"], as_index=False, dropna=False).agg({"score": "sum", "event_time": "max"})
+
+
+def pane_step(window_end: int, delays: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState,
+              poll_ms: int) -> list[tuple]:
+    """One visit of a (key, window): the panes it fires.
+
+    All rows of a visit share one processing time and watermark, so they count as one element.  A
+    window without state takes its rows before the watermark is looked at, and rows that come
+    beyond the lateness leave no state and no pane.
+    """
+    p, w = state.getCurrentProcessingTimeMs(), state.getCurrentWatermarkMs()
+    m = PaneMachine(window_end, *delays)
+    scores = [int(f["score"].sum()) for f in pdfs if len(f)]
+    if state.exists:
+        total, pending, since, fired = state.get
+        m.total, m.pending, m.pending_since, m.on_time_fired = int(total), bool(pending), since, bool(fired)
+        m.watermark(w, p)
+        m.clock(p)
+        if scores:
+            m.element(sum(scores), p, w)
+    elif scores and m.element(sum(scores), p, w):
+        m.watermark(w, p)
+    else:
+        return []
+    if m.closed:
+        state.remove()
+    else:
+        state.update((m.total, m.pending, int(m.pending_since), m.on_time_fired))
+        state.setTimeoutDuration(poll_ms)
+    return m.panes
+
+
 def team_panes(events: DataFrame, window_minutes: int = TEAM_WINDOW_MINUTES,
                lateness_minutes: int = ALLOWED_LATENESS_MINUTES, early_minutes: int = EARLY_FIRING_MINUTES,
-               late_minutes: int = LATE_FIRING_MINUTES, poll_ms: int = 60_000) -> DataFrame:
+               late_minutes: int = LATE_FIRING_MINUTES, poll_ms: int = 60_000,
+               delay_seconds: int = 0) -> DataFrame:
     """Exact panes on a stream (append mode).
 
     The processing-time timeout revisits each open (team, window) every
@@ -72,32 +108,20 @@ def team_panes(events: DataFrame, window_minutes: int = TEAM_WINDOW_MINUTES,
     """
     wms, lms = window_minutes * 60_000, lateness_minutes * 60_000
     ems, lams = early_minutes * 60_000, late_minutes * 60_000
-    keyed = events.withWatermark("event_time", "0 seconds").select(
-        "team", "score", (F.floor(F.col("timestamp_ms") / wms) * wms).cast("bigint").alias("ws"), "event_time")
+    keyed = events.select("team", F.col("score").cast("bigint").alias("score"),
+                          floor_ms(F.col("timestamp_ms"), wms).alias("ws"), "event_time")
+    # a hot window's rows are summed before the shuffle: one row per Arrow batch and key reaches its
+    # task, with the batch's latest event time, so the watermark is that of the rows
+    keyed = keyed.mapInPandas(_sums, "team string, ws bigint, score bigint, event_time timestamp") \
+        .withWatermark("event_time", f"{delay_seconds} seconds")
 
     def step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         team, ws = key
-        p = state.getCurrentProcessingTimeMs()
-        w = state.getCurrentWatermarkMs()
-        m = PaneMachine(ws + wms, lms, ems, lams)
-        if state.exists:
-            total, pending, since, fired = state.get
-            m.total, m.pending, m.pending_since, m.on_time_fired = int(total), bool(pending), since, bool(fired)
-        m.watermark(w, p)
-        if not m.closed:
-            m.clock(p)
-            for pdf in pdfs:
-                for s in pdf["score"].tolist():
-                    m.element(int(s), p, w)
-        if m.closed or (not state.exists and m.total == 0 and not m.pending):
-            state.remove()
-        else:
-            state.update((m.total, m.pending, int(m.pending_since), m.on_time_fired))
-            state.setTimeoutDuration(poll_ms)
-        if m.panes:
-            yield pd.DataFrame({"team": [team] * len(m.panes), "ws": [int(ws)] * len(m.panes),
-                                "timing": [x[0] for x in m.panes], "total_score": [int(x[1]) for x in m.panes],
-                                "processing_ms": [int(x[2]) for x in m.panes]})
+        panes = pane_step(int(ws) + wms, (lms, ems, lams), pdfs, state, poll_ms)
+        if panes:
+            yield pd.DataFrame({"team": [team] * len(panes), "ws": [int(ws)] * len(panes),
+                                "timing": [x[0] for x in panes], "total_score": [int(x[1]) for x in panes],
+                                "processing_ms": [int(x[2]) for x in panes]})
 
     return keyed.groupBy("team", "ws").applyInPandasWithState(
         step, PANE_OUT, PANE_STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)

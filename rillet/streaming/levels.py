@@ -1,13 +1,15 @@
 """Level crossings on a stream: keyed state holding each team's running total.
 
 Within a micro-batch a team's rows are applied in (event time, event id)
-order; across batches in arrival order, as a stream must.
+order; across batches in arrival order, as a stream must.  A team's rows of one
+micro-batch are held together to be ordered, so bound the batch at the source.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
@@ -18,10 +20,9 @@ from rillet.model import LEVEL_THRESHOLD
 LEVEL_STATE = T.StructType([T.StructField("total", T.LongType())])
 
 
-def _tdiv(a: int, t: int) -> int:
+def _tdiv(a: np.ndarray, t: int) -> np.ndarray:
     """Integer division truncating toward zero (Java semantics)."""
-    q = abs(a) // t
-    return q if a >= 0 else -q
+    return np.sign(a) * (np.abs(a) // t)
 
 
 def level_crossings(events: DataFrame, threshold: int = LEVEL_THRESHOLD,
@@ -36,17 +37,13 @@ def level_crossings(events: DataFrame, threshold: int = LEVEL_THRESHOLD,
     def step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         total = int(state.get[0]) if state.exists else 0
         batch = pd.concat(list(pdfs), ignore_index=True).sort_values(["timestamp_ms", "event_id"])
-        ids, totals = [], []
-        for eid, s in zip(batch["event_id"].tolist(), batch["score"].tolist()):
-            new = total + int(s)
-            if _tdiv(total, t) < _tdiv(new, t):
-                ids.append(int(eid))
-                totals.append(new)
-            total = new
-        state.update((total,))
-        if ids:
-            cols = {k: [v] * len(ids) for k, v in zip(keys, key)}
-            cols.update({"event_id": ids, "total_score": totals})
+        after = total + np.cumsum(batch["score"].to_numpy(np.int64))
+        before = after - batch["score"].to_numpy(np.int64)
+        state.update((int(after[-1]),))
+        hit = _tdiv(before, t) < _tdiv(after, t)
+        if hit.any():
+            cols = {k: [v] * int(hit.sum()) for k, v in zip(keys, key)}
+            cols.update({"event_id": batch["event_id"].to_numpy()[hit], "total_score": after[hit]})
             yield pd.DataFrame(cols)
 
     return (events.select(*keys, "event_id", "timestamp_ms", "score").groupBy(*keys)

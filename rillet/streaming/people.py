@@ -1,12 +1,13 @@
-"""Person records on a stream: valid and invalid raw lines to two topics, or
-valid people appended to a table (invalid lines discarded)."""
+"""Person records on a stream: valid people (rendered, with the minor flag) and
+invalid raw lines to two topics, or valid people appended to a table (invalid
+lines discarded)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillet.operators.people import INVALID, VALID, people, table_rows, tag_lines
+from rillet.operators.people import INVALID, VALID, people, people_text, table_rows, tag_lines
 from rillet.sinks.table import batch_path
 
 
@@ -18,7 +19,7 @@ def split_to_topics(lines: DataFrame, valid_path: str, invalid_path: str, checkp
         batch.persist()
         try:
             # one folder per batch, overwritten if the batch is replayed: exactly once
-            batch.where(F.col("tag") == VALID).select("value").write.mode("overwrite").text(
+            people_text(people(batch.where(F.col("tag") == VALID))).write.mode("overwrite").text(
                 batch_path(valid_path, batch_id))
             batch.where(F.col("tag") == INVALID).select("value").write.mode("overwrite").text(
                 batch_path(invalid_path, batch_id))

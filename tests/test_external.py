@@ -10,11 +10,32 @@ def test_two_programs_in_a_row_are_identity(spark):
     assert rows(out) == rows(df)
 
 
+def test_values_arrive_unaltered_and_null_stays(spark):
+    data = [("a", "back\\slash"), ("b", None), ("c", "u2028\u2028x\x85y\x0bz"), ("d", ""), ("e", None)]
+    df = spark.createDataFrame(data, "key string, value string").coalesce(1)
+    assert [tuple(r) for r in external.pipe_values(df, ("cat",)).collect()] == data
+    length = external.pipe_values(df, ("awk", "{ print length($0) }"))
+    assert dict(map(tuple, length.collect()))["a"] == "10"
+    assert rows(external.run_per_row(df.limit(1), ("printf", "%s\\n"))) == [("a", "back\\slash")]
+
+
 def test_values_with_newlines_survive(spark):
     df = spark.createDataFrame([("a", "x\ny"), ("b", "back\\slash")], "key string, value string")
     assert rows(external.pipe_values(df, ("cat",))) == [("a", "x\ny"), ("b", "back\\slash")]
 
 
+def test_value_that_cannot_be_one_line_is_refused(spark):
+    df = spark.createDataFrame([("a", "x\ny\x1ez")], "key string, value string")
+    with pytest.raises(Exception, match="holds a newline"):
+        external.pipe_values(df, ("cat",)).collect()
+
+
+def test_one_program_run_per_partition(spark):
+    df = spark.range(50_000).selectExpr("cast(id as string) key", "cast(id as string) value").coalesce(1)
+    out = external.pipe_values(df, ("awk", "{ print NR }"))       # a buffering program that counts its lines
+    assert out.selectExpr("max(cast(value as int))").first()[0] == 50_000
+
+
 def test_transforming_program(spark):
     df = spark.createDataFrame([("k", "hello")], "key string, value string")
     assert external.pipe_values(df, ("tr", "a-z", "A-Z")).first().value == "HELLO"

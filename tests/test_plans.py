@@ -8,6 +8,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry
+from rillet.plans import queries as base_queries
 
 SF = "/root/testdata/sf0.001"
 _PLANS = {}
@@ -23,7 +24,7 @@ def final_plan(spark, key):
     return _PLANS[key]
 
 
-@pytest.mark.parametrize("key", sorted(entry.queries()))
+@pytest.mark.parametrize("key", sorted(base_queries.queries()))
 def test_no_cartesian_or_nested_loop_joins(spark, key):
     plan = final_plan(spark, key)
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
