@@ -268,6 +268,30 @@ def game_sql() -> dict[str, str]:
     return q
 
 
+def arrival_sql(parts: int = 4, lateness_min: int = 120) -> dict[str, str]:
+    """Stream keys fed in equal spans of arrival time.
+
+    A row is dropped when its window ended at or before the watermark of the earlier parts (their
+    largest event time less the lateness); running totals see the parts one after the other.
+    """
+    ws = _floor_to("timestamp_ms", 3_600_000)
+    fed = f""",
+span AS (SELECT min(arrival_ms) AS lo, max(arrival_ms) AS hi FROM game_lines),
+fed AS (SELECT g.*, (arrival_ms - lo) * {parts} // (hi - lo + 1) AS part, {ws} AS ws FROM game g, span),
+"""
+    return {
+        "leaderboard_team_totals": with_game(fed + f"""
+seen AS (SELECT part, max(max(timestamp_ms)) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                - {lateness_min * 60_000} AS watermark FROM fed GROUP BY part)
+SELECT {_display('ws')} AS window_start, team, CAST(sum(score) AS BIGINT) AS total_score
+FROM fed JOIN seen USING (part) WHERE watermark IS NULL OR ws + 3600000 > watermark GROUP BY ws, team"""),
+        "team_level_crossings_stream": with_game(fed + """
+r AS (SELECT team, event_id, score, sum(score) OVER (PARTITION BY team ORDER BY part, timestamp_ms, event_id
+             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS total FROM fed)
+SELECT team, event_id, CAST(total AS BIGINT) AS total_score FROM r WHERE (total - score) // 5000 < total // 5000"""),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q.update(game_sql())
@@ -279,8 +303,7 @@ def oracle_sql() -> dict[str, str]:
     # Stream forms: the same results as their batch forms on a bounded input.
     q["leaderboard_user"] = q["user_score"]
     q["leaderboard_user_final"] = q["user_score"]     # every pending pane fires eventually
-    q["leaderboard_team_totals"] = q["hourly_team_score"]
-    q["team_level_crossings_stream"] = q["team_level_crossings"]
+    q.update(arrival_sql())
     q["spammy_users_stream"] = q["spammy_users"]
     q["team_score_no_spam_stream"] = q["team_score_no_spam"]
     q["session_mean_stream"] = q["session_mean"]

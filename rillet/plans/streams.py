@@ -1,6 +1,7 @@
 """Keyed stream queries: stage lines derived from the tables, run the stream
 with ``availableNow``, return the sink read back.
 
+The leader board and level keys get their lines in several parts by arrival time.
 Append-mode forms hold the last windows until the watermark passes them; a
 bounded input ends with a mark line (after the latest event, under a name that
 only this run knows, left out of every result) that moves the watermark past
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from rillet.functions.times import display_time
 from rillet.operators import people as people_ops
 from rillet.operators.scores import parse_game_events
-from rillet.session import scratch_path
+from rillet.session import materialize, scratch_path
 from rillet.sinks.table import stream_append
 from rillet.sources.derived import game_lines, person_lines
 from rillet.streaming import gamestats, leaderboard, levels
@@ -49,11 +50,8 @@ def _stage(spark: SparkSession, lines: DataFrame, kind: str):
     return stream_lines(_stream_session(spark), path), path
 
 
-def _stage_game(spark: SparkSession, sf_dir: str, kind: str, with_ids: bool = False):
-    src = game_lines(spark, sf_dir)
-    if with_ids:
-        src = src.select(F.concat_ws(",", "value", F.col("event_id").cast("string")).alias("value"))
-    return _stage(spark, src, kind)
+def _stage_game(spark: SparkSession, sf_dir: str, kind: str):
+    return _stage(spark, game_lines(spark, sf_dir), kind)
 
 
 def _run_to_end(spark: SparkSession, path: str, build_writer) -> None:
@@ -74,29 +72,47 @@ def _run_to_end(spark: SparkSession, path: str, build_writer) -> None:
     run_available_now(build_writer(stream_lines(_stream_session(spark), path), mark))
 
 
+ARRIVAL_PARTS = 4
+
+
+def _run_by_arrival(spark: SparkSession, sf_dir: str, kind: str, build_writer, with_ids: bool = False) -> None:
+    """Feed the game lines in ``ARRIVAL_PARTS`` equal spans of their arrival time.
+
+    Each part is added to the watched folder and the stream run over it from the same checkpoint:
+    state, watermark and output go on across micro-batches and restarts, and rows that arrive too
+    late for their window are dropped as the watermark of the earlier parts says.
+    """
+    lines = game_lines(spark, sf_dir)
+    lo, hi = lines.agg(F.min("arrival_ms"), F.max("arrival_ms")).first()
+    value = F.concat_ws(",", "value", F.col("event_id").cast("string")) if with_ids else F.col("value")
+    part = F.expr(f"(arrival_ms - {lo or 0}L) * {ARRIVAL_PARTS} div {(hi or 0) - (lo or 0) + 1}L")
+    staged = materialize(lines.select(value.alias("value"), part.alias("part")), f"{kind}-lines")
+    path, session = scratch_path(spark, f"{kind}-input"), _stream_session(spark)
+    for k in range(ARRIVAL_PARTS):
+        staged.where(F.col("part") == k).select("value").write.mode("append").text(path)
+        run_available_now(build_writer(stream_lines(session, path)))
+
+
 def leaderboard_user(spark, sf_dir):
-    lines, _ = _stage_game(spark, sf_dir, "leaderboard-user")
     out, ck = scratch_path(spark, "leaderboard-user-out"), scratch_path(spark, "checkpoint")
-    run_available_now(stream_append(leaderboard.user_totals(parse_game_events(lines)), None, out, ck,
-                                    "update"))
+    _run_by_arrival(spark, sf_dir, "leaderboard-user", lambda lines: stream_append(
+        leaderboard.user_totals(parse_game_events(lines)), None, out, ck, "update"))
     return leaderboard.latest_updates(spark.read.parquet(out), ["user"])
 
 
 def leaderboard_team_totals(spark, sf_dir):
-    lines, _ = _stage_game(spark, sf_dir, "leaderboard-team")
     out, ck = scratch_path(spark, "leaderboard-team-out"), scratch_path(spark, "checkpoint")
-    totals = leaderboard.team_totals(parse_game_events(lines), 60, 120).select(
-        F.unix_millis(F.col("window.start")).alias("ws"), "team", "total_score")
-    run_available_now(stream_append(totals, None, out, ck, "update"))
+    _run_by_arrival(spark, sf_dir, "leaderboard-team", lambda lines: stream_append(
+        leaderboard.team_totals(parse_game_events(lines), 60, 120).select(
+            F.unix_millis(F.col("window.start")).alias("ws"), "team", "total_score"), None, out, ck, "update"))
     last = leaderboard.latest_updates(spark.read.parquet(out), ["ws", "team"])
     return last.select(display_time(F.col("ws")).alias("window_start"), "team", "total_score")
 
 
 def team_level_crossings_stream(spark, sf_dir):
-    lines, _ = _stage_game(spark, sf_dir, "levels", with_ids=True)
     out, ck = scratch_path(spark, "levels-out"), scratch_path(spark, "checkpoint")
-    cross = levels.level_crossings(_parse_with_id(lines), 5000)
-    run_available_now(stream_append(cross, None, out, ck, "append"))
+    _run_by_arrival(spark, sf_dir, "levels", lambda lines: stream_append(
+        levels.level_crossings(_parse_with_id(lines), 5000), None, out, ck, "append"), with_ids=True)
     return spark.read.parquet(out).select("team", "event_id", "total_score")
 
 
