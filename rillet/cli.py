@@ -75,12 +75,19 @@ def main(argv: list[str] | None = None) -> int:
         i = rest.index("--master")
         master = rest[i + 1]
         rest = rest[:i] + rest[i + 2:]
-    from rillet.session import build_session
+    from pyspark.sql import SparkSession
 
+    from rillet.session import build_session, clear_scratch
+
+    own = SparkSession.getActiveSession() is None
     spark = build_session(master)
     if name in BATCH:
         fn, cls = BATCH[name]
-        result = fn(spark, _options(cls, rest))
+        try:
+            result = fn(spark, _options(cls, rest))
+        finally:
+            if own:                  # a caller's session may still read its intermediates
+                clear_scratch(spark)
         if isinstance(result, dict):
             print(json.dumps(result))
         return 0

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillet.model import (
-    DebuggingWordCountOptions, ExternalProgramOptions, GameStatsOptions, HourlyTeamScoreOptions, LeaderBoardOptions, PersonOptions,
+    DISPLAY_ZONE, DebuggingWordCountOptions, ExternalProgramOptions, GameStatsOptions, HourlyTeamScoreOptions, LeaderBoardOptions, PersonOptions,
     StatefulTeamScoreOptions, UserScoreOptions, WindowedWordCountOptions, WordCountOptions,
 )
 from rillet.operators import abuse, checks, people, scores, sessions, words
@@ -80,7 +80,7 @@ def hourly_team_score(spark: SparkSession, opts: HourlyTeamScoreOptions) -> None
         F.concat(F.lit("window_start: "), display_time(F.col("ws"))),
         F.concat(F.lit("total_score: "), F.col("total_score").cast("string")),
         F.concat(F.lit("team: "), F.col("team"))).alias("line"))
-    text_sink.write_windowed_text(rendered, opts.output)
+    text_sink.write_windowed_text(rendered, opts.output, zone=DISPLAY_ZONE)
 
 
 def game_stats(spark: SparkSession, opts: GameStatsOptions) -> None:

@@ -74,8 +74,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, kind: str) -> str:
     """A fresh folder under the shared checkpoint dir for staged data or sinks."""
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/rillet/{kind}/{uuid.uuid4().hex}"
+    return f"{_scratch_root(spark)}/{kind}/{uuid.uuid4().hex}"
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/rillet/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove this application's staged data and intermediates (when its results are written)."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df, kind: str):

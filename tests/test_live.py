@@ -209,3 +209,22 @@ def test_a_huge_timestamp_keeps_its_row(spark):
 def test_valid_topic_holds_rendered_people(spark):
     lines = lines_df(spark, ["Ann,  F,  17,  60,  170"])
     assert rows(people.people_text(people.valid_people(lines)), "line") == [("Ann, F, 17, 60, 170, true",)]
+
+
+def test_a_batch_job_leaves_no_intermediates(tmp_path):
+    (tmp_path / "in").write_text("Ann,  F,  17,  60,  170\nbad line\n")
+    env = dict(os.environ, PYSPARK_SUBMIT_ARGS=f"--conf spark.checkpoint.dir={tmp_path}/ckpt --conf spark.ui.enabled=false pyspark-shell")
+    done = subprocess.run([sys.executable, "-m", "rillet", "person_records", "--master", "local[1]", "--input", str(tmp_path / "in"),
+                           "--output", str(tmp_path / "out")], cwd=ROOT, env=env, capture_output=True, text=True, timeout=120)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert (tmp_path / "out_valid" / "_SUCCESS").exists()
+    assert not list((tmp_path / "ckpt" / "rillet").rglob("*.parquet"))
+
+
+def test_window_folders_are_named_in_local_time(spark, tmp_path):
+    from rillet.model import HourlyTeamScoreOptions
+
+    src = scratch_path(spark, "in")
+    _add(spark, src, ["a,red,5,1447955630000,x"])             # 2015-11-19 09:53:50 in Los Angeles
+    jobs.hourly_team_score(spark, HourlyTeamScoreOptions(src, str(tmp_path / "out")))
+    assert [p.name for p in (tmp_path / "out").glob("window_start=*")] == ["window_start=2015-11-19T09-00-00"]
