@@ -64,8 +64,11 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every piece of every document with its sequence and offset."""
-    return packing.pack(docs, packing.PackingOptions(tokenizer_path()))
+    """Every piece of every document with its sequence and offset.
+
+    The workers have served the other stages before, so their word caches stay smaller here.
+    """
+    return packing.pack(docs, packing.PackingOptions(tokenizer_path(), cached_words=150_000))
 
 
 STAGES = [
