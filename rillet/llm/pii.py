@@ -58,7 +58,7 @@ def _ips(text: str):
         part = run.group()
         if part.count(".") >= 3:
             for m in _IP.finditer(part):
-                if all(len(x.lstrip("0")) <= 3 and int(x) <= 255 for x in m.group().split(".")):
+                if all(len(x) <= 3 and int(x or 0) <= 255 for x in (y.lstrip("0") for y in m.group().split("."))):
                     yield run.start() + m.start(), run.start() + m.end()
 
 
