@@ -15,7 +15,12 @@ logarithm of its length.  A logistic regression, fitted on a fold whose counts
 were left out of the models, turns them into a probability.
 
 Counts cover every training row and are Spark aggregations.  The finished
-ratios go into hash tables of fixed size (``bits``), whatever the corpus.
+ratios are a stored table that grows with the corpus: an entry for every context
+whose classes back off differently and for every gram that adds to its context's
+ratio (all others add exactly nothing).  Scoring adds entries up, so it can take
+the table in slices: one broadcast where it has at most ``slice_rows`` entries,
+otherwise one pass over the texts per slice, with the evidence so far carried
+along.  No entry is left out, and the slices give the scores of the whole.
 
 Defined cases: a null or empty text scores by its (empty) features; without
 training rows of both classes the score is the share of toxic training rows
@@ -26,12 +31,14 @@ that name no document do nothing; null labels are no labels.
 
 from __future__ import annotations
 
+import itertools
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, DoubleType, StructType
 
 from rillet.llm.common import byte_rows, fit_logistic, join_by_size, map_texts, mix, sigmoid
 from rillet.session import materialize
@@ -41,7 +48,7 @@ from rillet.session import materialize
 class ToxicityOptions:
     order: int = 6                   # bytes in a gram, 6 at most
     discount: float = 2.0            # D
-    bits: int = 21                   # log2 of the slots of the ratio table
+    slice_rows: int = 8_000_000      # table entries broadcast at once, about (some 160 MB)
     calibration_rows: int = 50_000   # bound on the sample the logistic regression is fitted on
     threshold: float = 0.5
 
@@ -49,6 +56,7 @@ class ToxicityOptions:
 _U = np.uint64
 _TAG = 57                            # a gram is its bytes, with its length from this bit on
 _LOW = _U((1 << _TAG) - 1)
+_CONTEXT = _U(1 << 61)               # marks the code of a context
 _FOLD_BYTE = np.full(256, 32, np.uint8)
 _FOLD_BYTE[48:58] = np.arange(48, 58)
 _FOLD_BYTE[97:123] = np.arange(97, 123)
@@ -104,8 +112,11 @@ def _gram_counts(order: int):
     return run
 
 
-def _ratio_rows(grams: DataFrame, options: ToxicityOptions) -> tuple[DataFrame, DataFrame]:
-    """``gram, ratio, weight`` and ``ctx, ratio, weight`` from ``gram, n0, n1``."""
+def _ratio_rows(grams: DataFrame, options: ToxicityOptions) -> DataFrame:
+    """``code, value`` from ``gram, n0, n1``: a context's log-ratio, and what a gram adds to it.
+
+    A gram's log-ratio is the sum of both.  Contexts are coded as by ``context_of``.
+    """
     d = float(options.discount)
     tag = F.shiftleft(F.shiftright("gram", _TAG), _TAG)
     size = F.shiftright("gram", _TAG)
@@ -129,53 +140,70 @@ def _ratio_rows(grams: DataFrame, options: ToxicityOptions) -> tuple[DataFrame,
     shared = F.greatest(F.col("shared"), F.lit(1e-6))
     p = [F.greatest(F.col(f"n{c}") - d, F.lit(0.0)) / F.greatest(F.col(f"t{c}"), F.lit(1)) + F.col(f"l{c}") * shared
          for c in (0, 1)]
-    seen = g.join(ctx, "ctx").join(back, "suffix").select(
-        "gram", (F.log(p[1]) - F.log(p[0])).alias("ratio"), (F.col("n0") + F.col("n1")).alias("weight"))
-    return seen, ctx.select("ctx", (F.log("l1") - F.log("l0")).alias("ratio"),
-                            (F.col("t0") + F.col("t1")).alias("weight"))
+    left_ratio = F.log("l1") - F.log("l0")
+    own = g.where((F.col("n0") > d) | (F.col("n1") > d)).join(ctx, "ctx").join(back, "suffix").select(
+        F.col("gram").alias("code"), (F.log(p[1]) - F.log(p[0]) - left_ratio).alias("value"))
+    return own.unionByName(ctx.where("l0 <> l1").select(
+        F.col("ctx").bitwiseOR(F.lit(int(_CONTEXT))).alias("code"), left_ratio.alias("value")))
+
+
+def ratio_table(code: np.ndarray, value: np.ndarray) -> tuple:
+    """A table for ``find``: 64-bit codes sorted by their mixed value (a bijection), indexed by its top bits."""
+    key = mix(code.astype(np.uint64))
+    order = np.argsort(key)
+    key, bits = key[order], max(1, len(key).bit_length())
+    shift = _U(64 - bits)
+    first = np.searchsorted(key >> shift, np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int32)
+    return key, value[order].astype(np.float32), first, shift
+
+
+def find(table: tuple, code: np.ndarray) -> np.ndarray:
+    """The values of ``code``, 0 where there is none; the look-up is exact."""
+    keys, values, first, shift = table
+    out = np.zeros(len(code), np.float32)
+    key = mix(code)
+    top = (key >> shift).astype(np.int64)
+    at, end = first[top], first[top + 1]
+    ask = np.flatnonzero(at < end)
+    at, end, key = at[ask], end[ask], key[ask]
+    while len(ask):                                      # a bucket holds one entry or less on average
+        hit = keys[at] == key
+        out[ask[hit]] = values[at[hit]]
+        on = ~hit & (at + 1 < end)
+        ask, at, end, key = ask[on], at[on] + 1, end[on], key[on]
+    return out
 
 
-def _slot(code: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    h = mix(code.astype(np.uint64))
-    return (h >> _U(64 - bits)).astype(np.int64), ((h & _U(0xFFFF)) | _U(1)).astype(np.uint16)
+@dataclass
+class Ratios:
+    """The stored table ``code, value`` and the number of slices it is broadcast in."""
+    rows: DataFrame
+    slices: int
 
+    def broadcast(self, k: int):
+        """Slice ``k`` as a Spark broadcast; its rows, about ``slice_rows``, pass through the driver."""
+        mine = self.rows if self.slices == 1 else \
+            self.rows.where(F.pmod(F.xxhash64("code"), F.lit(self.slices)) == k)
+        got = mine.toArrow()
+        table = ratio_table(got.column("code").to_numpy(), got.column("value").to_numpy())
+        return self.rows.sparkSession.sparkContext.broadcast(table)
 
-def _table(rows: DataFrame, key: str, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """A hash table of 2^bits slots (ratio, 16-bit check; 0 = free); a slot's most frequent code stays.
 
-    The rows reach the driver one per slot, so at most 2^bits of them.
-    """
-    def slots(batches):
-        for batch in batches:
-            code = batch.column(0).to_numpy(zero_copy_only=False)
-            slot, check = _slot(code, bits)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(slot), pa.array(check.astype(np.int32)), batch.column(1), batch.column(2)],
-                names=["slot", "mark", "ratio", "weight"])
+def _stored(grams: DataFrame, options: ToxicityOptions) -> Ratios:
+    rows = materialize(_ratio_rows(grams, options).withColumn("value", F.col("value").cast("float")), "toxicity")
+    return Ratios(rows, max(1, -(-rows.count() // options.slice_rows)))
+
 
-    placed = rows.select(key, "ratio", "weight").mapInArrow(slots, "slot long, mark int, ratio double, weight long")
-    best = placed.groupBy("slot").agg(F.max_by(F.struct("mark", "ratio"), F.struct("weight", "mark")).alias("b"))
-    got = best.select(F.col("slot").cast("int").alias("slot"), "b.mark",
-                      F.col("b.ratio").cast("float").alias("ratio")).toArrow()
-    ratio, mark = np.zeros(1 << bits, np.float32), np.zeros(1 << bits, np.uint16)
-    at = got.column("slot").to_numpy()
-    ratio[at], mark[at] = got.column("ratio").to_numpy(), got.column("mark").to_numpy().astype(np.uint16)
-    return ratio, mark
+def text_evidence(raw: np.ndarray, table: tuple, order: int) -> np.ndarray:
+    """What the table's entries add to the evidence of each word of one text."""
+    gram, word = text_grams(raw, order)
+    return np.bincount(word, find(table, gram) + find(table, context_of(gram) | _CONTEXT))
 
 
-def text_features(raw: np.ndarray, tables, options: ToxicityOptions) -> np.ndarray:
+def text_features(evidence: np.ndarray) -> np.ndarray:
     """Length-normalised evidence of one text (see the module's head)."""
-    gram, word = text_grams(raw, options.order)
-    if len(gram) == 0:
+    if len(evidence) == 0:
         return np.zeros(N_FEATURES)
-    (ratio, mark), (left, left_mark) = tables
-    slot, check = _slot(gram, options.bits)
-    value = np.where(mark[slot] == check, ratio[slot], np.float32(0))
-    lost = np.flatnonzero(mark[slot] != check)
-    if len(lost):
-        slot, check = _slot(context_of(gram[lost]), options.bits - 1)
-        value[lost] = np.where(left_mark[slot] == check, left[slot], 0)
-    evidence = np.bincount(word, value)
     top = np.sort(evidence)[::-1][:8]
     return np.array([evidence.mean(), top[0], top[:3].sum() / 3, top.sum() / 8, np.log1p(len(evidence))])
 
@@ -187,8 +215,9 @@ def fold(doc_id="doc_id"):
 
 @dataclass
 class ToxicityModel:
-    """Ratio tables (a Spark broadcast of fixed size) and the calibration; or the constant share."""
-    tables: object
+    """The ratio table (with its broadcast, if it is one slice) and the calibration; or the constant share."""
+    ratios: Ratios | None
+    table: object
     weights: np.ndarray | None
     share: float
     options: ToxicityOptions
@@ -212,39 +241,57 @@ def train(docs: DataFrame, labels: DataFrame, options: ToxicityOptions = Toxicit
     total = sum(n.values())
     share = sum(v for k, v in n.items() if k[0]) / total if total else 0.0
     if any(n.get((c, f), 0) == 0 for c in (0, 1) for f in (False, True)):
-        return ToxicityModel(None, None, share, options)
-
-    def tables(grams):
-        seen, left = _ratio_rows(grams, options)
-        return _table(seen, "gram", options.bits), _table(left, "ctx", options.bits - 1)
-
-    first = spark.sparkContext.broadcast(tables(counts.selectExpr("gram", "c0 n0", "c1 n1").where("n0 + n1 > 0")))
+        return ToxicityModel(None, None, None, share, options)
+    first = _stored(counts.selectExpr("gram", "c0 n0", "c1 n1").where("n0 + n1 > 0"), options)
     held_back = n[(0, True)] + n[(1, True)]
     if held_back > options.calibration_rows:
         rows = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) <
                           int((1 << 20) * options.calibration_rows / held_back))
-    got = map_texts(rows.where(calibrates).select("text", "toxic"), _features(first, options),
-                    _FEATURE_SCHEMA + ", toxic int").toArrow()
-    x = np.column_stack([got.column(f"f{i}").to_numpy() for i in range(N_FEATURES)])
-    y = got.column("toxic").to_numpy().astype(float)
-    weights = fit_logistic(x, y)
-    first.destroy()
-    full = spark.sparkContext.broadcast(tables(counts.selectExpr("gram", "c0 + c2 n0", "c1 + c3 n1")))
-    return ToxicityModel(full, weights, share, options)
+    got = _map_evidence(rows.where(calibrates).select("text", "toxic"), first, None, options,
+                        lambda f: [pa.array(f[:, i]) for i in range(N_FEATURES)], _FEATURES).toArrow()
+    x = np.column_stack([got.column(name).to_numpy() for name in _FEATURES])
+    weights = fit_logistic(x, got.column("toxic").to_numpy().astype(float))
+    full = _stored(counts.selectExpr("gram", "c0 + c2 n0", "c1 + c3 n1"), options)
+    return ToxicityModel(full, full.broadcast(0) if full.slices == 1 else None, weights, share, options)
 
 
-_FEATURE_SCHEMA = ", ".join(f"f{i} double" for i in range(N_FEATURES))
+_FEATURES = [f"f{i}" for i in range(N_FEATURES)]
 
 
-def _features(tables, options):
-    def run(batches):
-        for batch in batches:
-            f = np.array([text_features(raw, tables.value, options) for raw in byte_rows(batch.column("text"))])
-            f = f.reshape(-1, N_FEATURES)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(f[:, i]) for i in range(N_FEATURES)] + [batch.column("toxic")],
-                names=[f"f{i}" for i in range(N_FEATURES)] + ["toxic"])
-    return run
+def _map_evidence(docs: DataFrame, ratios: Ratios, table, options: ToxicityOptions, finish, names: list[str]) -> DataFrame:
+    """``docs`` with the double columns ``names`` that ``finish`` makes of the texts' features.
+
+    ``table`` is the broadcast of a table of one slice, if there already is one.
+    """
+    carried = "evidence"
+    while carried in map(str.lower, docs.columns):
+        carried += "_"
+    order, fields = options.order, docs.schema.fields
+
+    def add(shared, begun: bool, ends: bool):
+        def run(batches):
+            for batch in batches:
+                done = [np.frombuffer(b) for b in batch.column(carried).to_pylist()] if begun else itertools.repeat(0.0)
+                sums = [e + text_evidence(raw, shared.value, order)
+                        for e, raw in zip(done, byte_rows(batch.column("text")))]
+                if ends:
+                    new, called = finish(np.array([text_features(e) for e in sums]).reshape(-1, N_FEATURES)), names
+                else:
+                    new, called = [pa.array([e.tobytes() for e in sums], pa.binary())], [carried]
+                kept = batch.columns[:-1] if begun else batch.columns
+                yield pa.RecordBatch.from_arrays(kept + new, names=batch.schema.names[:len(kept)] + called)
+        return run
+
+    for k in range(ratios.slices - 1):
+        shared = ratios.broadcast(k)
+        docs = materialize(map_texts(docs, add(shared, k > 0, False), StructType(fields[:]).add(carried, BinaryType())),
+                           "toxicity")
+        shared.destroy()
+    schema = StructType(fields[:])
+    for name in names:
+        schema = schema.add(name, DoubleType())
+    last = ratios.slices - 1
+    return map_texts(docs, add(table or ratios.broadcast(last), last > 0, True), schema)
 
 
 def score(docs: DataFrame, model: ToxicityModel, out: str = "score") -> DataFrame:
@@ -254,14 +301,6 @@ def score(docs: DataFrame, model: ToxicityModel, out: str = "score") -> DataFram
     """
     if model.weights is None:
         return docs.withColumn(out, F.lit(float(model.share)))
-    tables, weights, options = model.tables, model.weights, model.options
-
-    def run(batches):
-        for batch in batches:
-            f = np.array([text_features(raw, tables.value, options) for raw in byte_rows(batch.column("text"))])
-            p = sigmoid(f.reshape(-1, N_FEATURES) @ weights[:-1] + weights[-1])
-            yield pa.RecordBatch.from_arrays(batch.columns + [pa.array(p)], names=batch.schema.names + [out])
-
-    from pyspark.sql.types import DoubleType, StructType
-    schema = StructType(docs.schema.fields[:]).add(out, DoubleType())
-    return map_texts(docs, run, schema)
+    weights = model.weights
+    return _map_evidence(docs, model.ratios, model.table, model.options,
+                         lambda f: [pa.array(sigmoid(f @ weights[:-1] + weights[-1]))], [out])
