@@ -1,5 +1,8 @@
 """SentencePiece encoding, decoding and sampling of segmentations (operator 9).
 
+``encode_texts`` gives each row the model's own segmentation, ``decode_ids`` turns ids into text again, and
+``sample_segmentations`` draws further segmentations:
+
 A text's lattice has every vocabulary piece that matches at a position (a character outside the
 vocabulary becomes its byte pieces).  A segmentation's weight is the product of its pieces' weights,
 ``(rank + 2) ** -alpha`` for the piece of that merge rank; backward sums over the lattice give each
@@ -17,6 +20,7 @@ Draws are seeded by the row's key, so a row gets the same samples in any run and
 
 Defined cases: a null or empty text has one segmentation, the empty one; texts with fewer than ``k``
 segmentations give all of them; rows with equal keys draw alike; a null key counts as its own value.
+Null and empty texts encode to no ids; null ids and no ids decode to the empty text.
 """
 
 from __future__ import annotations
@@ -131,7 +135,7 @@ class Sampler:
         return self._sp.encode(text or "")
 
     def decode(self, ids) -> str:
-        return self._sp.decode(list(map(int, ids)))
+        return self._sp.decode(list(map(int, ids if ids is not None else ())))
 
     def sample(self, text: str | None, seed: int) -> list[tuple[list[int], float, float, float]]:
         """Up to ``k`` distinct segmentations: ids, log-probability, perturbed value, inclusion score."""
@@ -238,6 +242,29 @@ def row_seed(seed: int, *key) -> int:
     return (seed << 32) ^ zlib.crc32(repr(key).encode())
 
 
+def _by_row(rows: DataFrame, keys: list[str], options: SamplingOptions, source: str, convert, name: str, kind) -> DataFrame:
+    """The ``keys`` columns (long) and ``name``, which ``convert`` makes of ``source``, for every row."""
+    def run(batches):
+        sampler = Sampler(options)
+        for batch in batches:
+            made = [convert(sampler, x) for x in batch.column(source).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), pa.array(made, kind)], names=[*keys, name])
+
+    spark_kind = "string" if kind == pa.string() else "array<int>"
+    schema = ", ".join([*(f"{k} long" for k in keys), f"{name} {spark_kind}"])
+    return map_texts(rows.selectExpr(*[f"cast({k} as long) {k}" for k in keys], source), run, schema)
+
+
+def encode_texts(rows: DataFrame, keys: list[str], options: SamplingOptions) -> DataFrame:
+    """The ``keys`` columns (long) and ``ids``, the model's own segmentation of ``text``."""
+    return _by_row(rows, keys, options, "text", Sampler.encode, "ids", pa.list_(pa.int32()))
+
+
+def decode_ids(rows: DataFrame, keys: list[str], options: SamplingOptions) -> DataFrame:
+    """The ``keys`` columns (long) and ``text``, what ``ids`` stand for."""
+    return _by_row(rows, keys, options, "ids", Sampler.decode, "text", pa.string())
+
+
 def sample_segmentations(rows: DataFrame, keys: list[str], options: SamplingOptions) -> DataFrame:
     """The ``keys`` columns (long), ``sample``, ``ids``, ``log_prob``, ``perturbed``, ``inclusion``.
 

@@ -468,6 +468,26 @@ def test_samples_decode_and_repeat(spark, sampler):
     assert sampling.sample_segmentations(df.limit(0), ["conv_id", "turn"], options).count() == 0
 
 
+def test_encode_and_decode_frames(spark, sampler):
+    """Every turn's ids are the model's, and decode to its normalised text; samples of a turn decode alike."""
+    options = sampling.SamplingOptions(Q.tokenizer_path("piece_bpe_32k.model"), k=2)
+    keys = ["conv_id", "turn"]
+    turns = spark.read.parquet(f"{SF}/conversations.parquet").select(*keys, "text")
+    turns = turns.union(spark.createDataFrame([(-1, 0, None), (-2, 0, ""), (None, None, "Zwei  Wörter ☃")], turns.schema))
+    encoded = sampling.encode_texts(turns, keys, options).cache()
+    source = {(r.conv_id, r.turn): r.text for r in turns.collect()}
+    got = {(r.conv_id, r.turn): r.ids for r in encoded.collect()}
+    assert got == {k: sampler.encode(t) for k, t in source.items()}
+    back = {(r.conv_id, r.turn): r.text for r in sampling.decode_ids(encoded, keys, options).collect()}
+    assert back == {k: sampler.decode(ids) for k, ids in got.items()} and back[(-1, 0)] == back[(-2, 0)] == ""
+    assert back[(None, None)] == source[(None, None)]           # this vocabulary keeps double spaces
+    drawn = sampling.sample_segmentations(turns.where("conv_id < 20"), keys, options)
+    for r in sampling.decode_ids(drawn, keys, options).collect():
+        assert r.text == back[(r.conv_id, r.turn)]
+    none = spark.createDataFrame([(1, 1, None), (2, 1, [])], "conv_id long, turn long, ids array<int>")
+    assert {r.text for r in sampling.decode_ids(none, keys, options).collect()} == {""}
+
+
 # -- 10 ----------------------------------------------------------------------------
 
 def test_grams_stay_inside_words():
