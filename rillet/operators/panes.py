@@ -281,7 +281,8 @@ def replay_panes(events: DataFrame, window_minutes: int | None = TEAM_WINDOW_MIN
     # window in one task, and this stage is Python-bound, so it must not be
     # coalesced to a few tasks.
     n_parts = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    g = (per_min if global_window else per_min.join(clocks, "window_idx"))
+    # Rows that arrive after their window closed are dropped before the stage.
+    g = per_min if global_window else per_min.join(clocks, "window_idx").where("minute < close_at")
     g = (g.repartition(n_parts, "team", "window_idx")
          .sortWithinPartitions("team", "window_idx", "minute"))
     early, late = early_minutes, late_minutes
@@ -317,21 +318,23 @@ def replay_panes(events: DataFrame, window_minutes: int | None = TEAM_WINDOW_MIN
         })
 
     def scan(batches):
-        # Rows of a group are contiguous (sorted within the partition); a group
-        # cut by a batch boundary is carried into the next batch.
-        carry = None
+        # Rows of a group are contiguous (sorted within the partition); the group
+        # at a batch's end is held until it is over, its frames joined once.
+        # It has one row per arrival minute at most.
+        held = []
         for pdf in batches:
-            if carry is not None and len(carry):
-                pdf = pd.concat([carry, pdf], ignore_index=True)
             if pdf.empty:
                 continue
-            last = (pdf["team"] == pdf["team"].iloc[-1]) & (pdf["window_idx"] == pdf["window_idx"].iloc[-1])
-            carry = pdf[last]
-            done = pdf[~last]
-            if len(done):
-                yield replay_batch(done)
-        if carry is not None and len(carry):
-            yield replay_batch(carry)
+            team, widx = pdf["team"].iloc[-1], pdf["window_idx"].iloc[-1]
+            last = (pdf["team"] == team) & (pdf["window_idx"] == widx)
+            goes_on = not held or (held[-1]["team"].iloc[-1] == team and held[-1]["window_idx"].iloc[-1] == widx)
+            if last.all() and goes_on:
+                held.append(pdf)
+                continue
+            yield replay_batch(pd.concat([*held, pdf[~last]], ignore_index=True))
+            held = [pdf[last]]
+        if held:
+            yield replay_batch(pd.concat(held, ignore_index=True))
 
     cols = ["team", "window_idx", "minute", "score_sum", "on_time_at", "close_at"]
     return g.select(*cols).mapInPandas(scan, PANE_SCHEMA)

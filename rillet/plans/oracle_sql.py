@@ -247,6 +247,51 @@ WHERE wm_before IS NULL OR wm_before < ws + {wms + lms}
 GROUP BY ws, team""")
 
 
+def panes_sql(key: str, early_min: int, late_min: int, window_min: int | None = None, lateness_min: int = 0) -> str:
+    """Every pane by a recursion over firings, in arrival minutes.
+
+    Per key and window: ``opens`` is the minute that fires ON_TIME, ``closes`` the one after which rows are
+    dropped.  After a firing at tick ``t`` the rows from ``t`` on are pending; the first of them fires EARLY
+    ``early_min`` later (ON_TIME if that comes first), and past ON_TIME LATE ``late_min`` later (or at ``closes``).
+    A pane's total is the sum of all rows before its tick.
+    """
+    never = 1 << 60
+    if window_min is None:
+        ws, clocks = "0", f"clocks AS (SELECT 0 AS ws, {never} AS opens, {never} AS closes),"
+        start = ""
+    else:
+        wms, lms = window_min * 60_000, lateness_min * 60_000
+        ws, start = _floor_to("timestamp_ms", wms), f"{_display('f.ws')} AS window_start, "
+        clocks = f"""
+minutes AS (SELECT am, max(timestamp_ms) AS latest FROM rows GROUP BY am),
+ends AS (SELECT max(am) + 1 AS finish FROM minutes),
+clocks AS (SELECT ws, coalesce(min(am) FILTER (latest >= ws + {wms}) + 1, any_value(finish)) AS opens,
+                  coalesce(min(am) FILTER (latest >= ws + {wms + lms}) + 1, any_value(finish)) AS closes
+           FROM (SELECT DISTINCT ws FROM rows), minutes, ends GROUP BY ws),"""
+    return with_game(f""",
+rows AS (SELECT "{key}" AS k, score, timestamp_ms, {ws} AS ws, arrival_ms // 60000 AS am FROM game),
+{clocks}
+sums AS (SELECT k, ws, am, sum(sum(score)) OVER (PARTITION BY k, ws ORDER BY am) AS total, any_value(opens) AS opens,
+                any_value(closes) AS closes FROM rows JOIN clocks USING (ws) WHERE am < closes GROUP BY k, ws, am),
+groups AS (SELECT k, ws, list(am ORDER BY am) AS ams, greatest(any_value(opens), min(am) + 1) AS opens,
+                  any_value(closes) AS closes FROM sums GROUP BY k, ws),
+fired AS (
+  WITH RECURSIVE step AS (
+    SELECT k, ws, -1 AS n, ams[1] AS tick, '' AS timing, ams AS pending, opens, closes FROM groups
+    UNION ALL
+    SELECT k, ws, n + 1, next.tick, next.timing, list_filter(pending, lambda x: x >= next.tick), opens, closes
+    FROM (SELECT *, CASE
+        WHEN tick < opens AND pending[1] + {early_min} < opens
+          THEN {{'tick': pending[1] + {early_min}, 'timing': 'EARLY'}}
+        WHEN tick < opens AND opens < {never} THEN {{'tick': opens, 'timing': 'ON_TIME'}}
+        WHEN tick >= opens AND len(pending) > 0
+          THEN {{'tick': least(pending[1] + {late_min}, closes), 'timing': 'LATE'}} END AS next FROM step)
+    WHERE next IS NOT NULL)
+  SELECT * FROM step WHERE n >= 0)
+SELECT {start}f.k AS "{key}", CAST(n AS INTEGER) AS pane_index, timing, CAST(total AS BIGINT) AS total_score
+FROM fired f ASOF JOIN (SELECT k, ws, am, total FROM sums) s ON f.k = s.k AND f.ws = s.ws AND f.tick > s.am""")
+
+
 def game_sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["parse_game_events"] = with_game(
@@ -265,6 +310,8 @@ def game_sql() -> dict[str, str]:
     lo, hi = _la_option_ms("2024-01-05-00-00"), _la_option_ms("2024-01-20-12-30")
     q["hourly_team_score_range"] = hourly_team(60, f"timestamp_ms > {lo} AND timestamp_ms < {hi}")
     q["leaderboard_team_final"] = leaderboard_final_sql()
+    q["leaderboard_team_panes"] = panes_sql("team", 5, 10, 60, 120)
+    q["leaderboard_user_panes"] = panes_sql("user", 10, 10)
     return q
 
 

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from rillet.operators.panes import INF, PaneMachine, replay_panes, run_script
+from rillet.operators.panes import INF, PaneMachine, replay_panes, run_script, user_panes
 
 M = 60_000
 W, L = 20 * M, 60 * M
@@ -212,3 +212,19 @@ def test_replay_groups_cut_by_arrow_batches(spark):
     finally:
         spark.conf.set(key, old)
     assert got == brute_replay(data, 60 * M, 120 * M, 5, 10)
+
+
+def test_replay_does_not_depend_on_arrow_batches(spark):
+    """Groups cut by batch ends, one batch inside a group, and many groups in one batch."""
+    rows = [(u, s, (m * 60 + s) * 1000, (m * 60 + s) * 1000) for u in ("a", "b", "c") for m in range(0, 90, 3) for s in (1, 2)]
+    events = spark.createDataFrame(rows, "user string, score long, timestamp_ms long, arrival_ms long").coalesce(1)
+    whole = sorted(tuple(r) for r in user_panes(events).collect())
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    old = spark.conf.get(name)
+    try:
+        for size in (1, 7, 31):
+            spark.conf.set(name, str(size))
+            assert sorted(tuple(r) for r in user_panes(events).collect()) == whole
+    finally:
+        spark.conf.set(name, old)
+    assert len(whole) > 15
