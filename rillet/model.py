@@ -124,6 +124,7 @@ class LeaderBoardOptions:
     late_minutes: int = LATE_FIRING_MINUTES
     user_minutes: int = LATE_FIRING_MINUTES       # how often the users' totals fire
     watermark_delay_seconds: int = 0
+    timestamp_attribute: str = ""                 # input is JSON messages; event time is this attribute
     max_files_per_trigger: int | None = None
     checkpoint: str = ""                          # folder; default: next to the output
 
@@ -137,6 +138,7 @@ class GameStatsOptions:
     user_activity_window_minutes: int = SESSION_MEAN_WINDOW_MINUTES
     score_weight: float = SCORE_WEIGHT
     watermark_delay_seconds: int = 0              # rows this late still count
+    timestamp_attribute: str = ""                 # input is JSON messages; event time is this attribute
     max_files_per_trigger: int | None = None
     checkpoint: str = ""                          # folder; default: next to the output
 
@@ -146,6 +148,7 @@ class StatefulTeamScoreOptions:
     input: str
     output: str
     threshold: int = LEVEL_THRESHOLD
+    timestamp_attribute: str = ""                 # input is JSON messages; event time is this attribute
     max_files_per_trigger: int | None = None
     checkpoint: str = ""                          # folder; default: next to the output
 

@@ -40,17 +40,21 @@ def tag_game_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
     return x.select(*base, "user", "team", "score", "timestamp_ms", ok.alias("parse_ok"))
 
 
-def parse_game_events(lines: DataFrame, value_col: str = "value", keep: Sequence[str] = ()) -> DataFrame:
+def parse_game_events(lines: DataFrame, value_col: str = "value", keep: Sequence[str] = (),
+                      attribute_col: str | None = None) -> DataFrame:
     """Parse ``user,team,score,ms[,...]`` lines; bad lines are dropped.
 
+    With ``attribute_col`` the event time is that column's (ms; the line's own where it is null).
+
     Output: ``*keep, user, team, score, timestamp_ms, event_time``.  Written as
     a 0-or-1-output flat map (``inline`` of an empty or one-element array)
     rather than a filter: a filter on the parsed flag would be pushed below
     the projections and re-evaluate the line's expression once per field.
     """
     tagged = tag_game_lines(lines, value_col)
-    row = F.struct(*[F.col(k) for k in keep], "user", "team", "score", "timestamp_ms",
-                   event_time_from_ms(F.col("timestamp_ms")).alias("event_time"))
+    ms = F.coalesce(attribute_col, "timestamp_ms") if attribute_col else F.col("timestamp_ms")
+    row = F.struct(*[F.col(k) for k in keep], "user", "team", "score", ms.alias("timestamp_ms"),
+                   event_time_from_ms(ms).alias("event_time"))
     # NULL (bad line) -> no output row
     return tagged.select(F.inline(F.when(F.col("parse_ok"), F.array(row))))
 

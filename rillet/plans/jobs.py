@@ -135,6 +135,16 @@ def _processing_time():
     return display_time(F.unix_millis(F.current_timestamp())).alias("processing_time")
 
 
+def _live_events(spark: SparkSession, opts, keep=(), prepare=lambda lines: lines) -> DataFrame:
+    """Game events of a live job's input: lines, or messages whose event time is an attribute."""
+    from rillet.sources.text import stream_lines, stream_messages
+
+    if opts.timestamp_attribute:
+        lines = stream_messages(spark, opts.input, opts.timestamp_attribute, opts.max_files_per_trigger)
+        return scores.parse_game_events(prepare(lines), keep=keep, attribute_col="attribute_ms")
+    return scores.parse_game_events(prepare(stream_lines(spark, opts.input, opts.max_files_per_trigger)), keep=keep)
+
+
 def leader_board_stream(spark: SparkSession, opts: LeaderBoardOptions, trigger: str = "10 seconds",
                         user_trigger: str | None = None):
     """Q7 + Q8 live: one text-file stream of game lines feeding two queries.
@@ -145,10 +155,9 @@ def leader_board_stream(spark: SparkSession, opts: LeaderBoardOptions, trigger:
     ``<output>/user_totals`` every ``user_minutes`` with the micro-batch id and processing time.
     """
     from rillet.sinks.table import stream_append
-    from rillet.sources.text import stream_lines
     from rillet.streaming import leaderboard
 
-    events = scores.parse_game_events(stream_lines(spark, opts.input, opts.max_files_per_trigger))
+    events = _live_events(spark, opts)
     panes = leaderboard.team_panes(events, opts.team_window_minutes, opts.allowed_lateness_minutes,
                                    opts.early_minutes, opts.late_minutes,
                                    delay_seconds=opts.watermark_delay_seconds)
@@ -184,10 +193,9 @@ def game_stats_stream(spark: SparkSession, opts: GameStatsOptions, trigger: str
     (``<output>/spammers``, ``<output>/team_scores``) and mean session length
     per window (``<output>/session_means``); append mode, default trigger."""
     from rillet.sinks.table import stream_append
-    from rillet.sources.text import stream_lines
     from rillet.streaming import gamestats
 
-    events = scores.parse_game_events(stream_lines(spark, opts.input, opts.max_files_per_trigger))
+    events = _live_events(spark, opts)
     delay = f"{opts.watermark_delay_seconds} seconds"
     sums = gamestats.window_user_team_sums(events, opts.fixed_window_minutes, delay)
     q_spam = (gamestats.spam_outputs(f"{opts.output}/spammers", f"{opts.output}/team_scores",
@@ -206,14 +214,11 @@ def stateful_team_score_stream(spark: SparkSession, opts: StatefulTeamScoreOptio
     of the threshold; keyed state per team.  Lines may carry a trailing event id
     (used to order rows of one micro-batch); otherwise the event time alone orders them."""
     from rillet.sinks.table import stream_append
-    from rillet.sources.text import stream_lines
     from rillet.streaming import levels
 
-    raw = stream_lines(spark, opts.input, opts.max_files_per_trigger)
     parts = F.split("value", ",", -1)
-    raw = raw.withColumn("event_id", F.when(F.size(parts) > 5, F.element_at(parts, -1).try_cast("bigint"))
-                         .otherwise(F.lit(0).cast("bigint")))
-    events = scores.parse_game_events(raw, keep=("event_id",))
+    event_id = F.when(F.size(parts) > 5, F.element_at(parts, -1).try_cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+    events = _live_events(spark, opts, ("event_id",), lambda lines: lines.withColumn("event_id", event_id))
     crossings = levels.level_crossings(events, opts.threshold).select(
         "team", "event_id", "total_score", _processing_time())
     return (stream_append(crossings, None, opts.output, checkpoint_path(opts, "levels"))

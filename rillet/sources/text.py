@@ -37,6 +37,19 @@ def stream_lines(spark: SparkSession, path: str, max_files_per_trigger: int | No
     return reader.text(path)
 
 
+def stream_messages(spark: SparkSession, path: str, attribute: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Unbounded ``value`` and ``attribute_ms`` (BIGINT) from JSON-line files of messages arriving in ``path``.
+
+    A message is ``{"value": "...", "attributes": {"<attribute>": "<ms>"}}``; ``attribute_ms`` is null
+    where the attribute is missing or no number.
+    """
+    from pyspark.sql import functions as F
+
+    lines = stream_lines(spark, path, max_files_per_trigger)
+    message = F.from_json("value", "value string, attributes map<string, string>").alias("m")
+    return lines.select(message).select("m.value", F.col("m.attributes")[attribute].try_cast("bigint").alias("attribute_ms"))
+
+
 def stream_topic(spark: SparkSession, bootstrap_servers: str, topic: str,
                  starting_offsets: str = "latest", attribute: str | None = "timestamp_ms",
                  max_offsets_per_trigger: int | None = None) -> DataFrame:

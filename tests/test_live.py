@@ -1,5 +1,6 @@
 """Live jobs over restarts and late rows, pane steps on a stub state, and odd times in the batch keys."""
 
+import json
 import os
 import subprocess
 import sys
@@ -106,6 +107,20 @@ def test_game_stats_job_goes_on_after_a_restart(spark):
     assert {"window_start", "processing_time"} <= set(teams.columns)
 
 
+def test_event_time_from_a_message_attribute(spark):
+    """A window is that of the attribute, not of the line's own time; a missing attribute falls back on the line."""
+    src, out = scratch_path(spark, "in"), scratch_path(spark, "out")
+    far = 9 * 60 * M                                   # one bad payload time must not move the watermark
+    said = [(f"a,red,1,{far},x", "1000"), ("b,red,1,2000,x", None), ("c,blue,1,5,x", "2500"), ("s,red,50,3000,x", "soon")]
+    for messages in (said, [("z,z,0,0,x", str(3 * 60 * M))]):
+        _add(spark, src, [json.dumps({"value": v, "attributes": {} if t is None else {"ts": t}}) for v, t in messages])
+        for q in jobs.game_stats_stream(spark, GameStatsOptions(src, out, timestamp_attribute="ts"), trigger="100 milliseconds"):
+            _settle(q)
+    teams = spark.read.parquet(f"{out}/team_scores")
+    assert rows(teams.where("ws = 0"), "team", "total_score") == [("blue", 1), ("red", 2)]
+    assert rows(spark.read.parquet(f"{out}/spammers").where("ws = 0"), "user", "total_score") == [("s", 50)]
+
+
 # -- lateness --------------------------------------------------------------------------
 
 @pytest.mark.parametrize("delay, total", [("0 seconds", 1), ("7200 seconds", 8)])
