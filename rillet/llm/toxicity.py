@@ -248,7 +248,8 @@ def train(docs: DataFrame, labels: DataFrame, options: ToxicityOptions = Toxicit
         rows = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) <
                           int((1 << 20) * options.calibration_rows / held_back))
     got = _map_evidence(rows.where(calibrates).select("text", "toxic"), first, None, options,
-                        lambda f: [pa.array(f[:, i]) for i in range(N_FEATURES)], _FEATURES).toArrow()
+                        lambda f: [pa.array(f[:, i]) for i in range(N_FEATURES)], _FEATURES) \
+        .select(*_FEATURES, "toxic").toArrow()
     x = np.column_stack([got.column(name).to_numpy() for name in _FEATURES])
     weights = fit_logistic(x, got.column("toxic").to_numpy().astype(float))
     full = _stored(counts.selectExpr("gram", "c0 + c2 n0", "c1 + c3 n1"), options)
