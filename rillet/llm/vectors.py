@@ -13,8 +13,8 @@
 4. Every vector searches greedily from the block's medoids; once its beam settles, the search expands
    through all members in range until no neighbour of a member in range is left, which finds a whole
    group of near-copies.  Only links with cosine >= ``threshold``, computed in double, are kept.
-5. A block emits per vector its number of links and the smallest vector it reaches in the block, not
-   pairs.  A link that two shards could find is counted in the first shard both ends share.
+5. A block joins all its links (union-find) and emits per vector its number of links and the smallest
+   vector that links of the block lead to, not pairs.  A link that two shards could find is counted in the first shard both ends share.
    Components are joined over those edges.
 6. Audit: ids divisible by 50 are compared with all rows of their label in blocks; ``audit_links``
    holds their exact number of links, so the result carries its own recall.
@@ -236,6 +236,21 @@ def _build(options: GraphOptions):
     return run
 
 
+def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct ids in the pairs (``a``, ``b``), and of each the smallest id that pairs lead to."""
+    ids, at = np.unique(np.concatenate((a, b)), return_inverse=True)
+    u, v = at[:len(a)], at[len(a):]
+    up = np.arange(len(ids))
+    while len(u):
+        low, high = np.minimum(up[u], up[v]), np.maximum(up[u], up[v])
+        np.minimum.at(up, high, low)                       # a root joins the smallest root next to it
+        while (up[up] != up).any():
+            up = up[up]
+        open_ = up[u] != up[v]
+        u, v = u[open_], v[open_]
+    return ids, ids[up]
+
+
 def _search(options: GraphOptions):
     def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
         members = pdf[pdf.member].reset_index(drop=True)
@@ -259,11 +274,11 @@ def _search(options: GraphOptions):
             b = members.shards.tolist()
             first = np.array([min(set(a[i]).intersection(b[j])) == shard for i, j in zip(q, m)])
         count = np.bincount(q[first], members.copies.to_numpy()[m[first]], minlength=len(mine)).astype(np.int64)
-        least = mine.copy()
-        np.minimum.at(least, q, theirs[m])
-        linked = np.flatnonzero((count > 0) | (least < mine))
-        up = mine.copy()                                   # a smaller end sees its group through the larger one
-        return pd.DataFrame({"vec_id": up[linked], "n": count[linked], "least": least[linked]})
+        linked = np.flatnonzero(count)
+        ids, root = spanning(mine[q], theirs[m])           # both ends of every link, whichever of them asks
+        return pd.DataFrame({"vec_id": np.concatenate((mine[linked], ids)),
+                             "n": np.concatenate((count[linked], np.zeros(len(ids), np.int64))),
+                             "least": np.concatenate((mine[linked], root))})
     return run
 
 
