@@ -10,7 +10,8 @@ the source characters it came from:
   runs of spelled digits (English, French, German, Spanish), with ``plus`` and ``dot``, become digits.
 
 The same detectors run on the rewritten text, and their spans go back to source characters.  A span
-that rewriting made possible is added if it overlaps no base span of its kind; base spans stay.
+that rewriting made possible is added unless a base span of its kind holds it whole; base spans stay,
+also those that are a fragment of an added one.
 
 ``n_*`` count base spans.  Defined cases: a null text is empty and has no spans; offsets are code
 points, the end exclusive; empty and very long texts are read whole (each detector is linear in the
@@ -221,7 +222,7 @@ def all_spans(text: str, base: list[Span] | None = None) -> list[Span]:
     for start, kind, end in base_spans(new.text):
         a, b = new.start[start], new.end[end - 1]
         if any(s < b and a < e for s, e in new.changed) and \
-                not any(k == kind and s < b and a < e for s, k, e in base):
+                not any(k == kind and s <= a and b <= e for s, k, e in base):
             out.append((a, kind, b))
     return sorted(out)
 
@@ -254,7 +255,7 @@ def find_pii(docs: DataFrame) -> DataFrame:
 
 
 def redact_text(text: str) -> str:
-    """``text`` with every span replaced by its kind, like ``<email>`` (overlapping ones by the first)."""
+    """``text`` with spans replaced by their kind, like ``<email>``: overlapping ones whole, by the first."""
     out, done = [], 0
     for s, k, e in all_spans(text):
         if s >= done:

@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from rillet.llm import vectors
+from rillet.llm import pii, vectors
 from test_ops import brute_links
 
 
@@ -42,3 +42,16 @@ def test_spanning_joins_every_pair():
         ids, root = vectors.spanning(a, b)
         assert dict(zip(ids.tolist(), root.tolist())) == up
     assert len(vectors.spanning(np.zeros(0, np.int64), np.zeros(0, np.int64))[0]) == 0
+
+
+# -- 7 -----------------------------------------------------------------------------
+
+@pytest.mark.parametrize("address", [
+    "jоhn@example.com", "foo(dot)bar@example.com", "a@mail.exаmple.com", "john@mail.example(dot)com"])
+def test_pii_disguise_beside_a_base_span(address):
+    text = f"mail {address} now"
+    base = pii.base_spans(text)
+    spans = pii.all_spans(text)
+    assert base and set(base) < set(spans) and (5, 0, 5 + len(address)) in spans
+    assert pii.redact_text(text) == "mail <email> now"
+    assert spans == sorted(set(spans))
