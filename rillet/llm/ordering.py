@@ -11,7 +11,8 @@ Sequences are range-partitioned and sorted by slot.  A shard is ``shard_rows`` n
 
 ``materialise`` gives the rows in training order, payload included; ``write_shards`` writes them as
 binary files (temporary name, then rename: a task that runs again replaces its own file), and
-``read_slots`` reads any range of slots.
+``read_slots`` reads any range of slots.  ``training_order`` does the whole: the partitions write their
+shards, and the rows it gives take their payload from the files again, held against its checksum.
 
 Defined cases: a null or empty text is its end id alone; repeated rows are sequences of their own; a
 null ``doc_id`` stays null; an empty table gives no rows and no files.
@@ -19,6 +20,7 @@ null ``doc_id`` stays null; an empty table gives no rows and no files.
 
 from __future__ import annotations
 
+import uuid
 import zlib
 from dataclasses import dataclass
 
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 
 from rillet.llm.common import map_texts, mix
 from rillet.llm.packing import WordTokenizer
-from rillet.session import scratch_path
+from rillet.session import materialize, scratch_path
 
 
 @dataclass(frozen=True)
@@ -92,11 +94,12 @@ def _sequences(options: OrderOptions):
     return run
 
 
-def materialise(docs: DataFrame, options: OrderOptions) -> DataFrame:
-    """``slot, shard, byte_offset, doc_id, piece, n_tokens, ids_crc32, ids`` in training order.
+_PLACE = "slot long, shard long, byte_offset long, doc_id long, piece int, n_tokens int, ids_crc32 long"
+_PLACED = f"{_PLACE}, ids binary"
 
-    ``ids`` are little-endian unsigned 16-bit, unpadded.
-    """
+
+def _placed(docs: DataFrame, options: OrderOptions) -> tuple[DataFrame, int]:
+    """The stored sequences with their slots, in no order, and the number of shards (1 at least)."""
     spark = docs.sparkSession
     path = scratch_path(spark, "ordering")
     map_texts(docs.select("doc_id", "text"), _sequences(options), "doc_id long, piece int, ids binary") \
@@ -123,48 +126,98 @@ def materialise(docs: DataFrame, options: OrderOptions) -> DataFrame:
                  ids],
                 names=["slot", "shard", "byte_offset", "doc_id", "piece", "n_tokens", "ids_crc32", "ids"])
 
-    rows = stored.mapInArrow(place, "slot long, shard long, byte_offset long, doc_id long, piece int, "
-                                    "n_tokens int, ids_crc32 long, ids binary")
-    parts = max(1, -(-total // options.shard_rows))
+    return stored.mapInArrow(place, _PLACED), max(1, -(-total // options.shard_rows))
+
+
+def materialise(docs: DataFrame, options: OrderOptions) -> DataFrame:
+    """``slot, shard, byte_offset, doc_id, piece, n_tokens, ids_crc32, ids`` in training order.
+
+    ``ids`` are little-endian unsigned 16-bit, unpadded.
+    """
+    rows, parts = _placed(docs, options)
     return rows.repartitionByRange(parts, "slot").sortWithinPartitions("slot")
 
 
+def training_order(docs: DataFrame, options: OrderOptions, path: str | None = None) -> DataFrame:
+    """The rows of ``materialise``, after their shards are written below ``path`` and with ``ids`` read from them.
+
+    Without ``path`` the shards go to a fresh folder in the shared one.  The sequences are shuffled
+    once; what is put in order after the writing are the rows without payload.
+    """
+    path = path or scratch_path(docs.sparkSession, "shards")
+    rows, parts = _placed(docs, options)
+
+    def write(batches):
+        sink = _Shards(path, options)
+        for batch in batches:
+            sink.add(batch)
+            yield batch.drop_columns(["ids"])
+        sink.close()
+
+    def read(batches):
+        for batch in batches:
+            if batch.num_rows:
+                slot = batch.column("slot").to_numpy()
+                first = int(slot[0])
+                held = read_slots(path, first, int(slot[-1]) - first + 1, options)
+                ids = [held[s, :n].tobytes() for s, n in zip(slot - first, batch.column("n_tokens").to_pylist())]
+                if [zlib.crc32(x) for x in ids] != batch.column("ids_crc32").to_pylist():
+                    raise ValueError(f"shards below {path} don't hold slots {first} to {slot[-1]} as written")
+                yield batch.append_column("ids", pa.array(ids, pa.binary()))
+
+    written = materialize(rows.repartitionByRange(parts, "shard").sortWithinPartitions("slot").mapInArrow(write, _PLACE),
+                          "ordering")
+    return written.repartitionByRange(parts, "slot").sortWithinPartitions("slot").mapInArrow(read, _PLACED)
+
+
 def _files(path: str):
     from pyarrow.fs import FileSystem
     return FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
 
 
+class _Shards:
+    """Writes the shards whose rows come in order; ``out`` holds ``shard, rows, bytes, crc32`` of each closed one."""
+
+    def __init__(self, path: str, options: OrderOptions):
+        self._fs, self._root = _files(path)
+        self._fs.create_dir(self._root, recursive=True)
+        self._stride = options.stride
+        self._pad = np.array([options.pad_id], "<u2").tobytes()
+        self._sink = None
+        self.out = []
+
+    def add(self, batch) -> None:
+        for s, body in zip(batch.column("shard").to_pylist(), batch.column("ids").to_pylist()):
+            if self._sink is None or s != self._shard:
+                self.close()
+                self._shard, self._rows, self._crc = s, 0, 0
+                self._temp = f"{self._root}/.{uuid.uuid4().hex}.tmp"
+                self._sink = self._fs.open_output_stream(self._temp)
+            body += self._pad * ((self._stride - len(body)) // 2)
+            self._sink.write(body)
+            self._rows, self._crc = self._rows + 1, zlib.crc32(body, self._crc)
+
+    def close(self) -> None:
+        if self._sink is not None:
+            self._sink.close()
+            self._fs.move(self._temp, f"{self._root}/shard-{self._shard:06d}.bin")
+            self.out.append((self._shard, self._rows, self._rows * self._stride, self._crc))
+            self._sink = None
+
+
 def write_shards(ordered: DataFrame, path: str, options: OrderOptions) -> DataFrame:
     """Write ``shard-NNNNNN.bin`` files below the shared folder ``path``; ``shard, rows, bytes, crc32`` of each.
 
     A shard's rows meet in one partition (``shard_rows`` of them at most) and stream to its file.
     """
     whole = ordered.select("slot", "shard", "ids").repartitionByRange("shard").sortWithinPartitions("slot")
-    pad = np.array([options.pad_id], "<u2").tobytes()
 
     def run(batches):
-        import uuid
-        fs, root = _files(path)
-        fs.create_dir(root, recursive=True)
-        out, shard, sink, temp, rows, crc = [], None, None, None, 0, 0
-
-        def close():
-            if sink is not None:
-                sink.close()
-                fs.move(temp, f"{root}/shard-{shard:06d}.bin")
-                out.append((shard, rows, rows * options.stride, crc))
-
+        sink = _Shards(path, options)
         for batch in batches:
-            for s, body in zip(batch.column("shard").to_pylist(), batch.column("ids").to_pylist()):
-                if s != shard:
-                    close()
-                    shard, rows, crc, temp = s, 0, 0, f"{root}/.{uuid.uuid4().hex}.tmp"
-                    sink = fs.open_output_stream(temp)
-                body += pad * ((options.stride - len(body)) // 2)
-                sink.write(body)
-                rows, crc = rows + 1, zlib.crc32(body, crc)
-        close()
-        cols = list(zip(*out)) if out else [()] * 4
+            sink.add(batch)
+        sink.close()
+        cols = list(zip(*sink.out)) if sink.out else [()] * 4
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols],
                                          names=["shard", "rows", "bytes", "crc32"])
     return whole.mapInArrow(run, "shard long, rows long, bytes long, crc32 long")

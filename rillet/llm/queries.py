@@ -38,7 +38,7 @@ def op3_line_dedup(spark, sf_dir):
 
 
 def op4_training_order(spark, sf_dir):
-    return ordering.materialise(documents(spark, sf_dir), ordering.OrderOptions(tokenizer_path()))
+    return ordering.training_order(documents(spark, sf_dir), ordering.OrderOptions(tokenizer_path()))
 
 
 def op5_url_filter(spark, sf_dir):

@@ -3,8 +3,9 @@
 import numpy as np
 import pytest
 
-from rillet.llm import pii, vectors
-from test_ops import brute_links
+from rillet.llm import ordering, pii, vectors
+from rillet.llm import queries as Q
+from test_ops import AWKWARD, DOC, SF, brute_links, docs
 
 
 # -- 1 -----------------------------------------------------------------------------
@@ -44,6 +45,32 @@ def test_spanning_joins_every_pair():
     assert len(vectors.spanning(np.zeros(0, np.int64), np.zeros(0, np.int64))[0]) == 0
 
 
+# -- 4 -----------------------------------------------------------------------------
+
+def test_training_order_writes_its_shards(spark, tmp_path):
+    options = ordering.OrderOptions(Q.tokenizer_path(), seq_len=16, shard_rows=8)
+    source = docs(spark, AWKWARD).coalesce(1)
+    rows = ordering.training_order(source, options, str(tmp_path)).toPandas()
+    assert rows.equals(ordering.materialise(source, options).toPandas())
+    assert sorted(x.name for x in tmp_path.iterdir() if x.suffix != ".crc") == \
+        [f"shard-{k:06d}.bin" for k in range(rows.shard.max() + 1)]
+    for shard, part in rows.groupby("shard"):
+        body = (tmp_path / f"shard-{shard:06d}.bin").read_bytes()
+        assert len(body) == len(part) * options.stride
+        for at, ids in zip(part.byte_offset, part.ids):
+            assert body[at:at + options.stride] == ids + b"\xff" * (options.stride - len(ids))
+    assert ordering.training_order(spark.createDataFrame([], DOC), options).count() == 0
+
+
+def test_training_order_query_writes_shards(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(ordering, "scratch_path", lambda s, kind, real=ordering.scratch_path: made.append(real(s, kind)) or made[-1])
+    rows = Q.op4_training_order(spark, SF).count()
+    options = ordering.OrderOptions(Q.tokenizer_path())
+    held = [ordering.read_slots(p, 0, rows, options) for p in made if "/shards/" in p]
+    assert len(held) == 1 and held[0].shape == (rows, options.seq_len)
+
+
 # -- 7 -----------------------------------------------------------------------------
 
 @pytest.mark.parametrize("address", [
