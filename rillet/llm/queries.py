@@ -60,8 +60,10 @@ def op8_best_fit_packing(spark, sf_dir):
 
 def op9_sentencepiece_sampling(spark, sf_dir):
     turns = read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "text"])
-    return sampling.sample_segmentations(turns, ["conv_id", "turn"],
-                                         sampling.SamplingOptions(tokenizer_path("piece_bpe_32k.model")))
+    texts = documents(spark, sf_dir).selectExpr("'documents' source", "doc_id id", "cast(null as long) turn", "text") \
+        .union(turns.selectExpr("'conversations' source", "conv_id id", "turn", "text"))
+    return sampling.segmentations(texts, ["source", "id", "turn"],
+                                  sampling.SamplingOptions(tokenizer_path("piece_bpe_32k.model")))
 
 
 def op10_toxicity(spark, sf_dir):

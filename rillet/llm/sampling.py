@@ -16,6 +16,9 @@ once, keeps one open value per tree node, and branches next where that value is
 left when ``k`` are drawn is the threshold kappa; a sample's inclusion score is
 ``1 - exp(-exp(log_prob - kappa))``, 1 if the lattice is exhausted.
 
+``segmentations`` does the whole for every row: the model's own segmentation and the drawn ones, each
+with the text that its ids decode to.
+
 Draws are seeded by the row's key, so a row gets the same samples in any run and partitioning.
 
 Defined cases: a null or empty text has one segmentation, the empty one; texts with fewer than ``k``
@@ -284,3 +287,34 @@ def sample_segmentations(rows: DataFrame, keys: list[str], options: SamplingOpti
         ", sample int, ids array<int>, log_prob double, perturbed double, inclusion double"
     rows = rows.selectExpr(*[f"cast({k} as long) {k}" for k in keys], "text")
     return map_texts(rows, run, schema)
+
+
+def segmentations(rows: DataFrame, keys: list[str], options: SamplingOptions) -> DataFrame:
+    """``keys`` (string or long), ``sample``, ``ids``, ``text``, ``log_prob``, ``perturbed``, ``inclusion``.
+
+    Per row of ``rows`` (the key columns and ``text``) one output row with ``sample`` -1, the model's own
+    segmentation, and one per drawn segmentation; ``text`` is what ``ids`` decode to.
+    """
+    kind = {k: t for k, t in rows.select(*keys).dtypes}
+    kind = {k: ("string", pa.string()) if t == "string" else ("long", pa.int64()) for k, t in kind.items()}
+
+    def run(batches):
+        sampler = Sampler(options)
+        for whole in batches:
+            for at in range(0, whole.num_rows, 100):       # four lists of ids a row: long texts make them large
+                batch = whole.slice(at, 100)
+                out = []
+                for *key, text in zip(*(batch.column(k).to_pylist() for k in keys), batch.column("text").to_pylist()):
+                    own = sampler.encode(text)
+                    out.append((*key, -1, own, sampler.decode(own), None, None, None))
+                    for s, (ids, *scores) in enumerate(sampler.sample(text, row_seed(options.seed, *key))):
+                        out.append((*key, s, ids, sampler.decode(ids), *scores))
+                kinds = [kind[k][1] for k in keys] + [pa.int32(), pa.list_(pa.int32()), pa.string()] + [pa.float64()] * 3
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*out), kinds)],
+                    names=[*keys, "sample", "ids", "text", "log_prob", "perturbed", "inclusion"])
+
+    schema = ", ".join(f"{k} {kind[k][0]}" for k in keys) + \
+        ", sample int, ids array<int>, text string, log_prob double, perturbed double, inclusion double"
+    rows = rows.selectExpr(*[f"cast({k} as {kind[k][0]}) {k}" for k in keys], "text")
+    return map_texts(rows, run, schema)

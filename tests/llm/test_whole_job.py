@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from rillet.llm import ordering, pii, vectors
+from rillet.llm import ordering, pii, sampling, vectors
 from rillet.llm import queries as Q
 from test_ops import AWKWARD, DOC, SF, brute_links, docs
 
@@ -82,3 +82,22 @@ def test_pii_disguise_beside_a_base_span(address):
     assert base and set(base) < set(spans) and (5, 0, 5 + len(address)) in spans
     assert pii.redact_text(text) == "mail <email> now"
     assert spans == sorted(set(spans))
+
+
+# -- 9 -----------------------------------------------------------------------------
+
+def test_segmentations_of_documents_and_turns(spark, tmp_path):
+    rows = [(1, "Hello wörld ☃ and more"), (2, None), (3, ""), (None, "words without an id")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, 0, "a turn")], "conv_id long, turn long, text string") \
+        .write.parquet(str(tmp_path / "conversations.parquet"))
+    got = Q.op9_sentencepiece_sampling(spark, str(tmp_path)).collect()
+    sampler = sampling.Sampler(sampling.SamplingOptions(Q.tokenizer_path("piece_bpe_32k.model")))
+    source = {("documents", i, None): t for i, t in rows} | {("conversations", 1, 0): "a turn"}
+    own = {(r.source, r.id, r.turn): r.ids for r in got if r.sample == -1}
+    assert own == {k: sampler.encode(t) for k, t in source.items()}
+    for k, t in source.items():
+        mine = [r for r in got if (r.source, r.id, r.turn) == k]
+        assert {r.text for r in mine} == {sampler.decode(sampler.encode(t))}
+        drawn = sampler.sample(t, sampling.row_seed(17, *k))
+        assert [r.ids for r in sorted(mine, key=lambda r: r.sample) if r.sample >= 0] == [x[0] for x in drawn]
