@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillet.session import materialize
@@ -210,3 +210,25 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, steps: int =
         if np.abs(step).max() < 1e-8:
             break
     return w
+
+
+# -- running sums over a whole table ----------------------------------------------
+
+def prefix_sums(df: DataFrame, order: list[str], amounts: dict[str, str], kind: str, by: str | None = None) -> DataFrame:
+    """``df`` (stored) with, per ``{new: amount}``, the sum of ``amount`` over the rows before each.
+
+    The order is by the columns ``order``, together unique or their ties alike; ``by`` (a non-null
+    column) starts the sums anew per value.  The rows are range-partitioned by ``by`` and ``order``,
+    summed within each range, and the ranges' totals (one row per range and value of ``by``) carry
+    over, so a value that holds most rows is spread over many tasks.
+    """
+    group = [by] if by else []
+    part = "_range"
+    ranged = materialize(df.repartitionByRange(*group, *order).withColumn(part, F.spark_partition_id()), kind)
+    inner = Window.partitionBy(part, *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    outer = Window.partitionBy(*group).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    totals = ranged.groupBy(part, *group).agg(*[F.sum(a).alias(n) for n, a in amounts.items()])
+    carry = totals.select(part, *group, *[F.coalesce(F.sum(n).over(outer), F.lit(0)).alias(f"_carry_{n}") for n in amounts])
+    out = ranged.withColumns({n: F.coalesce(F.sum(a).over(inner), F.lit(0)) for n, a in amounts.items()})
+    out = out.join(carry, [part, *group])
+    return out.select(*df.columns, *[(F.col(n) + F.col(f"_carry_{n}")).alias(n) for n in amounts])

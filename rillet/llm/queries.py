@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillet.llm import lines, minhash, ordering, packing, pii, quality, sampling, toxicity, urls, vectors
+from rillet.llm import (lines, minhash, mixing, ordering, packing, pii, quality, sampling, toxicity, urls,
+                        vectors)
 from rillet.llm.common import held
 from rillet.sources.tables import read_table
 
@@ -74,10 +75,18 @@ def op10_toxicity(spark, sf_dir):
                          (F.col("score") >= model.options.threshold).cast("int").alias("predicted"))
 
 
+def op11_curriculum_mix(spark, sf_dir):
+    """Every document with its source's target and the words taken of it, in training order (untaken ones last)."""
+    mixed = mixing.mix(read_table(spark, sf_dir, "documents", ["doc_id", "source", "text"]))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", F.size("occurrences").alias("n_copies"),
+                        F.get("occurrences", F.lit(0))["position"].alias("first_position")) \
+        .orderBy(F.asc_nulls_last("first_position"), "doc_id")
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_embedding_near_dedup, op2_minhash_near_dedup, op3_line_dedup, op4_training_order, op5_url_filter,
-        op6_quality, op7_pii, op8_best_fit_packing, op9_sentencepiece_sampling, op10_toxicity)}
+        op6_quality, op7_pii, op8_best_fit_packing, op9_sentencepiece_sampling, op10_toxicity, op11_curriculum_mix)}
 
 
 # Blank lines take no part; a window is three neighbouring non-blank lines of a document.
@@ -108,4 +117,4 @@ FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id LEFT JOIN lost l ON l.d
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_line_dedup": OP3_SQL, "op5_url_filter": urls.oracle()}
+    return {"op3_line_dedup": OP3_SQL, "op5_url_filter": urls.oracle(), "op11_curriculum_mix": mixing.oracle()}
