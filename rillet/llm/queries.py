@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillet.llm import (lines, minhash, mixing, ordering, packing, phrases, pii, quality, sampling, toxicity,
-                        urls, vectors)
+from rillet.llm import (lines, minhash, mixing, negatives, ordering, packing, phrases, pii, quality, sampling,
+                        toxicity, urls, vectors)
 from rillet.llm.common import held
 from rillet.sources.tables import read_table
 
@@ -88,11 +88,16 @@ def op12_collocations(spark, sf_dir):
     return phrases.collocations(read_table(spark, sf_dir, "documents", ["lang", "text"]))
 
 
+def op13_hard_negatives(spark, sf_dir):
+    """The hard negatives of every anchor (ids divisible by 50) and each of its positives."""
+    return negatives.hard_negatives(read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"]))
+
+
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (
         op1_embedding_near_dedup, op2_minhash_near_dedup, op3_line_dedup, op4_training_order, op5_url_filter,
         op6_quality, op7_pii, op8_best_fit_packing, op9_sentencepiece_sampling, op10_toxicity, op11_curriculum_mix,
-        op12_collocations)}
+        op12_collocations, op13_hard_negatives)}
 
 
 # Blank lines take no part; a window is three neighbouring non-blank lines of a document.
@@ -124,4 +129,5 @@ FROM documents d LEFT JOIN kept k ON k.doc_id = d.doc_id LEFT JOIN lost l ON l.d
 
 def oracle_sql() -> dict[str, str]:
     return {"op3_line_dedup": OP3_SQL, "op5_url_filter": urls.oracle(), "op11_curriculum_mix": mixing.oracle(),
-            "op12_collocations": phrases.oracle()}
+            "op12_collocations": phrases.oracle(),
+            "op13_hard_negatives": negatives.oracle()}
