@@ -2,8 +2,8 @@
 
 Every component x of a vector is ``floor(256 * x)``; scores are integer inner products.  The vectors are
 range-sorted by label and by their place on a Hilbert curve (``curve_dims`` dimensions of greatest
-variance, ``curve_bits`` bits each, cut at quantiles of a sample of at most ``sample_rows`` rows) and
-stored in Parquet, one row per block of ``block_rows`` neighbours, with the least and greatest value of
+variance, ``curve_bits`` bits each, cells of equal width over 99% of a sample of ``sample_rows`` rows or so)
+and stored in Parquet, one row per block of ``block_rows`` neighbours, with the least and greatest value of
 each dimension and of the label.  Every vector is in a block; the sample only shapes the curve.
 
 Anchors are packed into tiles.  A tile reads the zone maps of all blocks, in pages; interval arithmetic
@@ -104,7 +104,8 @@ def fit_curve(sample: list, options: NegativeOptions) -> tuple[np.ndarray, np.nd
         row[:len(v)] = v
     dims = np.sort(np.argsort(-x.var(axis=0), kind="stable")[:options.curve_dims])
     cells = 1 << options.curve_bits
-    return dims, np.quantile(x[:, dims], np.arange(1, cells) / cells, axis=0).T
+    low, high = np.quantile(x[:, dims], [0.005, 0.995], axis=0)
+    return dims, low[:, None] + (high - low)[:, None] * np.arange(1, cells) / cells
 
 
 def _matrix(column) -> np.ndarray:
@@ -309,19 +310,19 @@ def _zones(batch, row: int):
     least, most = ([z[c] + [0] * (width - len(z[c])) for z in zones] for c in ("least", "most"))
     return (np.array([z["pack"] for z in zones], np.int64), np.array(least, np.int64).reshape(len(zones), width),
             np.array(most, np.int64).reshape(len(zones), width), np.array([z["label_least"] for z in zones], np.int64),
-            np.array([z["label_most"] for z in zones], np.int64))
+            np.array([z["label_most"] for z in zones], np.int64), np.array([z["size"] for z in zones], np.int64))
 
 
 def _chosen(needs):
-    """Pairs (tile, block) where ``needs(tile row, anchors, low, high, label_least, label_most)`` holds for an anchor."""
+    """Pairs (tile, block) where ``needs(batch, row, anchors, low, high, label_least, label_most, size)`` holds for an anchor."""
     def run(batches):
         for batch in batches:
             tiles, found = [], []
             for row in range(batch.num_rows):
                 anchors = _Rows(*[batch.column(c)[row].as_py() for c in ("ids", "labels", "rows")])
-                packs, least, most, first, last = _zones(batch, row)
+                packs, least, most, *labels_and_size = _zones(batch, row)
                 low, high = bounds(anchors.x, least, most)
-                read = packs[needs(batch, row, anchors, low, high, first, last).any(axis=0)]
+                read = packs[needs(batch, row, anchors, low, high, *labels_and_size).any(axis=0)]
                 tiles.append(np.full(len(read), batch.column("pack")[row].as_py(), np.int64))
                 found.append(read)
             if found:
@@ -333,7 +334,7 @@ def _chosen(needs):
 def _of_page(tiles: DataFrame, blocks: DataFrame, pages: int):
     """``tiles`` times the pages of zone maps, each page holding ``page_blocks`` blocks or so."""
     zones = blocks.select(F.pmod(F.xxhash64("pack"), F.lit(pages)).alias("page"), F.struct(
-        "pack", "least", "most", "label_least", "label_most").alias("z")).groupBy("page") \
+        "pack", "least", "most", "label_least", "label_most", "size").alias("z")).groupBy("page") \
         .agg(F.collect_list("z").alias("zones"))
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(pages - 1).cast("long")))
     return tiles.withColumn("page", every).join(zones, "page")
@@ -352,6 +353,18 @@ def _units(batch):
                _Rows(*[batch.column(c)[row].as_py() for c in ("b_ids", "b_labels", "b_rows")]))
 
 
+def _reaches(options: NegativeOptions):
+    """Blocks that may hold one of an anchor's positives."""
+    def needs(batch, row, anchors, low, high, first, last, size):
+        own = anchors.labels[:, None]
+        floors = np.array(batch.column("floors")[row].as_py())
+        # all rows of a block of the anchor's label score its lower bound at least
+        sure = (first[None, :] == own) & (last[None, :] == own) & (size > options.positives)[None, :]
+        floors = np.maximum(floors, np.where(sure, low, -np.inf).max(axis=1, initial=-np.inf))
+        return (first[None, :] <= own) & (own <= last[None, :]) & (high >= floors[:, None])
+    return needs
+
+
 def _positive_rows(options: NegativeOptions):
     def run(batches):
         for batch in batches:
@@ -378,7 +391,7 @@ def window(score: int, options: NegativeOptions) -> tuple[int, int]:
 
 def _windows(options: NegativeOptions):
     """Tiles with their anchors' positives (a list of ``nth, positive_id, score``)."""
-    def needs(batch, row, anchors, low, high, first, last):
+    def needs(batch, row, anchors, low, high, first, last, size):
         own = anchors.labels[:, None]
         other = (first[None, :] != own) | (last[None, :] != own)
         out = np.zeros(low.shape, bool)
@@ -448,13 +461,8 @@ def hard_negatives(vectors: DataFrame, options: NegativeOptions = NegativeOption
     blocks = store_blocks(usable(vectors, options), options)
     tiles = materialize(blocks.select("ids", "labels", "rows").mapInArrow(_tiles(options), _TILE_DDL), "negatives")
     pages = max(1, -(-blocks.count() // options.page_blocks))
-
-    def reaches(batch, row, anchors, low, high, first, last):
-        floors = np.array(batch.column("floors")[row].as_py())[:, None]
-        own = anchors.labels[:, None]
-        return (first[None, :] <= own) & (own <= last[None, :]) & (high >= floors)
-
-    pairs = materialize(_of_page(tiles, blocks, pages).mapInArrow(_chosen(reaches), "tile long, block long"), "negatives")
+    pairs = materialize(_of_page(tiles, blocks, pages).mapInArrow(_chosen(_reaches(options)), "tile long, block long"),
+                        "negatives")
     found = _read(pairs, tiles, blocks).mapInArrow(
         _positive_rows(options), "tile long, nth int, anchor_id long, positive_id long, score string")
     best = materialize(_ranked(found, ["anchor_id"], "positive_id", options.positives), "negatives")
