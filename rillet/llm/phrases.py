@@ -11,8 +11,8 @@ over all shards:
 3. a bidirectional FM-index (the BWT of the ids and of their reversal, intervals kept in step) extends
    the pairs to the right and those to the left, up to four words, each with its count.
 
-Counts are summed across shards.  What is rare goes back to the shards by joins on shard and words, so
-neither the lexicon nor the frequent phrases need to fit in one place.  Suffixes are sorted by their first
+Counts are summed across shards.  What is frequent goes back to the shards by joins on words and a window
+over pairs (one row a shard and pair), so neither the lexicon nor the phrases need to fit in one place.  Suffixes are sorted by their first
 four ids only: deeper order changes no interval of four words or fewer.
 
 Scores are integers (products in decimals of 38 digits).  Words are told apart within a shard by 64-bit
@@ -57,7 +57,7 @@ _KIND[[*b".,;:!?", 0x0A, 0x0B, 0x0C, 0x0D]] = 2
 
 def stable_order(key: np.ndarray, top: int) -> np.ndarray:
     """The stable sorted order of integers in 0..top, 16 bits at a time."""
-    order = np.argsort(key.astype(np.uint16), kind="stable")
+    order = np.argsort(key.astype(np.uint16), kind="stable").astype(np.int32)
     for at in range(16, max(int(top).bit_length(), 1), 16):
         digit = (key >> at).astype(np.uint16)
         order = order[np.argsort(digit[order], kind="stable")]
@@ -79,8 +79,8 @@ class _Bwt:
             top, width = int(rank[order[-1]]), 2 * width
         self.symbols = ids[order - 1]
         to = stable_order(self.symbols, sigma - 1)
-        self.lf = np.empty(len(ids), np.int64)         # row of the rotation that starts one id earlier
-        self.lf[to] = np.arange(len(ids))
+        self.lf = np.empty(len(ids), np.int32)         # row of the rotation that starts one id earlier
+        self.lf[to] = np.arange(len(ids), dtype=np.int32)
 
 
 class FMIndex:
@@ -104,10 +104,8 @@ class FMIndex:
 
     def _extend(self, bwt: _Bwt, low, size, other):
         base = np.cumsum(size) - size
-        owner = np.repeat(np.arange(len(size)), size)
-        rows = np.arange(len(owner)) - np.repeat(base - low, size)
-        symbol = bwt.symbols[rows].astype(np.int64)
-        key = owner * self.sigma + symbol
+        rows = np.arange(int(size.sum()), dtype=np.int32) - np.repeat((base - low).astype(np.int32), size)
+        key = np.repeat(np.arange(len(size)) * self.sigma, size) + bwt.symbols[rows]
         order = stable_order(key, max(len(size), 1) * self.sigma)
         key = key[order]
         first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1]))) if len(key) else np.zeros(0, np.int64)
@@ -185,7 +183,11 @@ class _Gather:
         """One row: the shard's ids, and its words with language and count (id 1 first)."""
         _, first, ids, counts = np.unique(np.concatenate(self.hashes), return_index=True, return_inverse=True,
                                           return_counts=True)
-        body = with_breaks(ids.astype(np.int64) + 1, np.concatenate(self.cuts))
+        common = np.argsort(-counts, kind="stable")       # frequent words get small ids
+        rank = np.empty_like(common)
+        rank[common] = np.arange(1, len(common) + 1)
+        body = _squeeze(with_breaks(rank[ids], np.concatenate(self.cuts)))
+        first, counts = first[common], counts[common]
         start, end = np.concatenate(self.starts)[first], np.concatenate(self.ends)[first]
         length = end - start
         offsets = np.concatenate(([0], np.cumsum(length)))
@@ -196,7 +198,7 @@ class _Gather:
         langs = names.take(pa.array(np.concatenate(self.langs)[first]))
         whole = pa.array([0, len(first)], pa.int32())
         return pa.RecordBatch.from_arrays(
-            [pa.array([number]), pa.array([body.astype("<i4").tobytes()], pa.binary()),
+            [pa.array([number]), pa.array([body], pa.binary()),
              pa.ListArray.from_arrays(whole, words), pa.ListArray.from_arrays(whole, langs),
              pa.ListArray.from_arrays(whole, pa.array(counts.astype(np.int64)))],
             names=["shard", "body", "words", "langs", "counts"])
@@ -215,60 +217,71 @@ def _shards(options: PhraseOptions):
     return run
 
 
-def _ids(table: pa.Table) -> np.ndarray:
-    return np.frombuffer(table.column("body")[0].as_py(), "<i4")
+def _squeeze(ids: np.ndarray) -> bytes:
+    """Ids as bytes: their number, then 32 bits each, compressed."""
+    return np.array([len(ids)], "<i8").tobytes() + pa.compress(ids.astype("<i4").tobytes(), codec="zstd", asbytes=True)
 
 
-def _pairs(left: pa.Table, right: pa.Table) -> pa.Table:
-    """Round 2 for one shard: its frequent words' pairs with counts, and (in one row) what is left of its ids."""
-    if not len(left) or not len(right):
-        return _PAIRS.empty_table()
-    ids = _ids(left)
-    lid, wid = right.column("lid").to_numpy(), right.column("wid").to_numpy()
-    order = np.argsort(lid)
+def _ids(body: bytes) -> np.ndarray:
+    size = int(np.frombuffer(body, "<i8", 1)[0])
+    return np.frombuffer(pa.decompress(memoryview(body)[8:], 4 * size, codec="zstd", asbytes=True), "<i4")
+
+
+_BITS = 32                           # of a word id in a pair
+_PAIRS = pa.schema([("shard", pa.int64()), ("pair", pa.int64()), ("n", pa.int64())])
+_LONGER = pa.schema([("pair", pa.int64()), ("rest", pa.int64()), ("n", pa.int64())])
+
+
+def _frequent(left: pa.Table, right: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A shard's ids of frequent words only (from 1, others are breaks), their word ids, and its frequent pairs.
+
+    ``right`` holds a row ``lid, id`` per frequent word, and a row -1 and the pair per frequent pair.
+    """
+    ids = _ids(left.column("body")[0].as_py())
+    lid, wid = right.column("lid").to_numpy(), right.column("id").to_numpy()
+    pairs = wid[lid < 0]
+    lid, wid = lid[lid >= 0], wid[lid >= 0]
+    order = np.argsort(wid)
     lid, wid = lid[order], wid[order]
-    small = np.zeros(int(max(ids.max(), lid.max())) + 1, np.int64)
+    small = np.zeros(int(max(ids.max(initial=0), lid.max(initial=0))) + 1, np.int32)
     small[lid] = np.arange(1, len(lid) + 1)
-    ids = with_breaks(small[ids], np.zeros(len(ids), bool))
-    index = FMIndex(ids, len(lid) + 1, depth=1, both=False)
-    (a, b), _, n, _ = index.left(index.words())
-    shard = left.column("shard")[0].as_py()
-    rows = len(a)
-    return pa.table([
-        pa.array(np.full(rows + 1, shard)), pa.array(np.append(wid[a - 1], 0)), pa.array(np.append(wid[b - 1], 0)),
-        pa.array(np.append(n, 0)), pa.array([None] * rows + [ids.astype("<i4").tobytes()], pa.binary()),
-        pa.array([None] * rows + [wid.astype("<i8").tobytes()], pa.binary())], schema=_PAIRS)
+    return with_breaks(small[ids], np.zeros(len(ids), bool)), wid, pairs
 
 
-_PAIRS = pa.schema([("shard", pa.int64()), ("w1", pa.int64()), ("w2", pa.int64()), ("n", pa.int64()),
-                    ("body", pa.binary()), ("ids", pa.binary())])
-_LONGER = pa.schema([("w1", pa.int64()), ("w2", pa.int64()), ("w3", pa.int64()), ("w4", pa.int64()), ("n", pa.int64())])
+def _pairs(left: pa.Table, right: pa.Table) -> pa.Table:
+    """Round 2 for one shard: its frequent words' pairs with counts."""
+    if not len(left) or not len(right):
+        return _PAIRS.empty_table()
+    ids, wid, _ = _frequent(left, right)
+    index = FMIndex(ids, len(wid) + 1, depth=1, both=False)
+    (a, b), _, n, _ = index.left(index.words())
+    return pa.table([pa.array(np.full(len(a), left.column("shard")[0].as_py())),
+                     pa.array(wid[a - 1] << _BITS | wid[b - 1]), pa.array(n)], schema=_PAIRS)
 
 
 def _longer(left: pa.Table, right: pa.Table) -> pa.Table:
     """Round 3 for one shard: its phrases of three and four words whose pairs are frequent."""
     if not len(left) or not len(right):
         return _LONGER.empty_table()
-    ids, wid = _ids(left), np.frombuffer(left.column("ids")[0].as_py(), "<i8")
-    by_wid = np.argsort(wid)
-
-    def small(column):
-        return by_wid[np.searchsorted(wid, right.column(column).to_numpy(), sorter=by_wid)] + 1
-
+    ids, wid, pairs = _frequent(left, right)
+    if not len(pairs):
+        return _LONGER.empty_table()
     sigma = len(wid) + 1
-    good = np.sort(small("w1") * sigma + small("w2"))
+    place = np.searchsorted(wid, np.concatenate((pairs >> _BITS, pairs & ((1 << _BITS) - 1)))) + 1
+    good = np.sort(place[:len(pairs)] * sigma + place[len(pairs):])
     pair = ids[:-1].astype(np.int64) * sigma + ids[1:]
-    place = np.minimum(np.searchsorted(good, pair), len(good) - 1)
-    cut = np.concatenate(([True], good[place] != pair))
+    at = np.minimum(np.searchsorted(good, pair), len(good) - 1)
+    cut = np.concatenate(([True], good[at] != pair))
     # words next to no frequent pair are breaks
     alone = cut & np.append(cut[1:], True)
     ids = with_breaks(np.where(alone, 0, ids), cut)
     index = FMIndex(ids, sigma)
     three = index.right(index.left(index.words()))
     four = index.left(three)
-    columns = [np.concatenate((wid[three[0][k] - 1], wid[four[0][k] - 1])) for k in range(3)]
-    columns.append(np.concatenate((np.zeros(len(three[2]), np.int64), wid[four[0][3] - 1])))
-    return pa.table([pa.array(c) for c in [*columns, np.concatenate((three[2], four[2]))]], schema=_LONGER)
+    (a, b, c), (e, f, g, h) = three[0], four[0]
+    return pa.table([pa.array(np.concatenate((wid[a - 1] << _BITS | wid[b - 1], wid[e - 1] << _BITS | wid[f - 1]))),
+                     pa.array(np.concatenate((wid[c - 1] << _BITS, wid[g - 1] << _BITS | wid[h - 1]))),
+                     pa.array(np.concatenate((three[2], four[2])))], schema=_LONGER)
 
 
 def _stored(df: DataFrame, kind: str) -> DataFrame:
@@ -297,19 +310,27 @@ def count_phrases(docs: DataFrame, options: PhraseOptions = PhraseOptions()) ->
     words = vocabulary.groupBy("lang", "word").agg(F.sum("n").alias("a")).where(F.col("a") >= options.least)
     lexicon = prefix_sums(words.withColumn("one", F.lit(1).cast("long")), ["lang", "word"], {"wid": "one"}, "phrases")
     lexicon = materialize(lexicon.select((F.col("wid") + 1).alias("wid"), "lang", "word", "a"), "phrases")
+    if lexicon.count() >= 1 << (_BITS - 1):
+        raise ValueError(f"more than {(1 << (_BITS - 1)) - 1} different words occur {options.least} times")
     known = join_by_size(vocabulary.select("shard", "lid", "lang", "word"), lexicon.select("wid", "lang", "word"),
-                         ["lang", "word"], "inner").select(F.col("shard").alias("of"), "lid", "wid")
-    pairs = shards.select("shard", "body").groupBy("shard").cogroup(known.groupBy("of")).applyInArrow(
-        _pairs, "shard long, w1 long, w2 long, n long, body binary, ids binary")
-    pairs = _stored(pairs, "phrases")
-    found = pairs.where("w1 > 0").select("shard", "w1", "w2", "n")
-    two = materialize(found.groupBy("w1", "w2").agg(F.sum("n").alias("a")).where(F.col("a") >= options.least), "phrases")
-    frequent = join_by_size(found.select(F.col("shard").alias("of"), "w1", "w2"), two.select("w1", "w2"), ["w1", "w2"], "left_semi")
-    longer = pairs.where("w1 = 0").select("shard", "body", "ids").groupBy("shard") \
-        .cogroup(frequent.groupBy("of")).applyInArrow(_longer, "w1 long, w2 long, w3 long, w4 long, n long")
-    longer = longer.groupBy("w1", "w2", "w3", "w4").agg(F.sum("n").alias("a")).where(F.col("a") >= options.least)
-    none = F.lit(0).cast("long")
-    phrases = materialize(longer.unionByName(two.select("w1", "w2", none.alias("w3"), none.alias("w4"), "a")), "phrases")
+                         ["lang", "word"], "inner").select(F.col("shard").alias("of"), "lid", F.col("wid").alias("id"))
+    bodies = shards.select("shard", "body")
+    pairs = bodies.groupBy("shard").cogroup(known.groupBy("of")).applyInArrow(_pairs, "shard long, pair long, n long")
+    # one row a shard and pair: the total goes to each, so one exchange serves the counting and the way back
+    each = Window.partitionBy("pair")
+    pairs = materialize(pairs.select("shard", "pair", F.sum("n").over(each).alias("a"))
+                        .where(F.col("a") >= options.least), "phrases")
+    told = known.unionByName(pairs.select(F.col("shard").alias("of"), F.lit(-1).cast("long").alias("lid"),
+                                          F.col("pair").alias("id")))
+    longer = bodies.groupBy("shard").cogroup(told.groupBy("of")).applyInArrow(_longer, "pair long, rest long, n long")
+    longer = longer.groupBy("pair", "rest").agg(F.sum("n").alias("a")).where(F.col("a") >= options.least)
+    two = pairs.groupBy("pair").agg(F.max("a").alias("a")).select("pair", F.lit(0).cast("long").alias("rest"), "a")
+
+    def word(column, high):
+        return F.shiftright(column, _BITS) if high else F.col(column).bitwiseAND(F.lit((1 << _BITS) - 1))
+    phrases = materialize(longer.unionByName(two).select(
+        word("pair", True).alias("w1"), word("pair", False).alias("w2"), word("rest", True).alias("w3"),
+        word("rest", False).alias("w4"), "a"), "phrases")
     return Counts(sizes, lexicon, phrases)
 
 
