@@ -29,8 +29,10 @@ def _columns(changed: DataFrame, like: DataFrame, new_text: bool = False) -> Dat
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the model, trained on this input's labelled rows, does not reject."""
+    """Documents that the model, trained on this input's labelled rows, does not reject; without a model, all."""
     model = toxicity.train(docs, read_table(spark, sf_dir, "labels", ["doc_id", "toxic"]))
+    if model.weights is None:
+        return docs
     scored = toxicity.score(held(docs, "text"), model)
     return _columns(scored.where(F.col("score") < model.options.threshold), docs)
 
