@@ -25,7 +25,7 @@ from rillet.session import materialize
 
 WINDOW = 3
 LAST = (1 << 63) - 1         # order of a null doc_id
-BLANK = "^[ \\t\\n\\x0B\\f\\r]*$"
+BLANK = "^[ \\t\\n\\x0B\\f\\r]*\\z"     # not $, which also matches before a last U+0085, U+2028 or U+2029
 _BLANKS = " \t\n\x0b\x0c\r"
 
 
