@@ -66,7 +66,8 @@ class WordTokenizer(dict):
     letters and punctuation, so the ids of a text are those of its parts, one after the other (the
     tests compare them).  An unknown word is looked up without case and without the ASCII marks that
     end it; if it is then all plain Latin letters, normalising would leave it as it is, and it goes
-    straight to the tokenizer's merge model.  All else goes through the whole tokenizer.
+    straight to the tokenizer's merge model.  All else goes through the whole tokenizer, as do texts
+    that hold the text of an added token anywhere (the tokenizer looks for those first).
     """
 
     def __init__(self, path: str, cached_words: int):
@@ -74,7 +75,7 @@ class WordTokenizer(dict):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
+        self._added = [t.content for t in self._tokenizer.get_added_tokens_decoder().values()]
         self._merge = self._tokenizer.model.tokenize
         self._letters = _byte_letters()
         self._most = cached_words
@@ -102,7 +103,10 @@ class WordTokenizer(dict):
         if len(self) > self._most:
             self.clear()
             self[""] = b""
-        return b"".join(map(self.__getitem__, (text or "").replace("\n", " ").split(" ")))
+        text = text or ""
+        if any(t in text for t in self._added):
+            return array("I", self._tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 def _pieces(options: PackingOptions):
