@@ -183,10 +183,14 @@ def usable(vectors: DataFrame) -> DataFrame:
     v = F.transform("embedding", lambda e: e.cast("double"))
     sound = F.col("label").isNotNull() & F.col("v").isNotNull() & F.forall(
         "v", lambda e: e.isNotNull() & ~F.isnan(e) & (F.abs(e) < float("inf")))
+    # scaled by a power of two first (exactly), so that no square leaves the range of doubles
+    peak = F.array_max(F.transform("v", lambda e: F.abs(e)))
+    scale = F.pow(F.lit(2.0), F.floor(F.log2(F.col("peak"))))
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda a, e: a + e * e))
     return vectors.where("vec_id is not null").select("vec_id", "label", v.alias("v")).where(sound) \
-        .withColumn("norm", norm).where("norm > 0 and norm < double('infinity')") \
-        .select("vec_id", F.struct(F.col("label").cast("string"), F.size("v")).cast("string").alias("label"),
+        .withColumn("peak", peak).where("peak > 0") \
+        .withColumn("scale", scale).withColumn("v", F.transform("v", lambda e: e / F.col("scale"))) \
+        .withColumn("norm", norm).select("vec_id", F.struct(F.col("label").cast("string"), F.size("v")).cast("string").alias("label"),
                 F.transform("v", lambda e: e / F.col("norm")).alias("unit"))
 
 
@@ -251,6 +255,15 @@ def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ids, ids[up]
 
 
+def _shard_matrix(shards, none: int) -> np.ndarray:
+    """A row of shard numbers per vector, filled up with ``none``."""
+    rows = [np.asarray(s) for s in shards]
+    out = np.full((len(rows), max(map(len, rows), default=0)), none, np.int64)
+    for r, s in zip(out, rows):
+        r[:len(s)] = s
+    return out
+
+
 def _search(options: GraphOptions):
     def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
         members = pdf[pdf.member].reset_index(drop=True)
@@ -270,9 +283,12 @@ def _search(options: GraphOptions):
         shard = key[1]
         first = np.full(len(q), True)                      # of the shards both belong to, this is the first
         if len(q):
-            a = asking.shards.tolist()
-            b = members.shards.tolist()
-            first = np.array([min(set(a[i]).intersection(b[j])) == shard for i, j in zip(q, m)])
+            a, b = _shard_matrix(asking.shards, -1)[q], _shard_matrix(members.shards, -2)[m]
+            least = np.full(len(q), np.iinfo(np.int64).max)
+            for x in a.T:
+                both = (x[:, None] == b).any(axis=1)
+                least[both] = np.minimum(least[both], x[both])
+            first = least == shard
         count = np.bincount(q[first], members.copies.to_numpy()[m[first]], minlength=len(mine)).astype(np.int64)
         linked = np.flatnonzero(count)
         ids, root = spanning(mine[q], theirs[m])           # both ends of every link, whichever of them asks
