@@ -22,6 +22,9 @@ the table in slices: one broadcast where it has at most ``slice_rows`` entries,
 otherwise one pass over the texts per slice, with the evidence so far carried
 along.  No entry is left out, and the slices give the scores of the whole.
 
+Rows of crc32 remainder 1 calibrate; a class with none or only such rows has its row of the
+smallest hash on the other side, and its only row on both.
+
 Defined cases: a null or empty text scores by its (empty) features; without
 training rows of both classes the score is the share of toxic training rows
 (0 without any) and nothing is learned; a null ``doc_id`` is never held out
@@ -213,6 +216,10 @@ def fold(doc_id="doc_id"):
     return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(5))
 
 
+def _draw():
+    return F.xxhash64("doc_id").alias("draw")
+
+
 @dataclass
 class ToxicityModel:
     """The ratio table (with its broadcast, if it is one slice) and the calibration; or the constant share."""
@@ -230,24 +237,36 @@ def train(docs: DataFrame, labels: DataFrame, options: ToxicityOptions = Toxicit
         .agg(F.max((F.col("toxic") != 0).cast("int")).alias("toxic")).where(fold() != 0)
     marks = materialize(marks, "toxicity")
     rows = join_by_size(docs.select("doc_id", "text"), marks, "doc_id", "inner") \
-        .select("text", F.col("toxic").alias("toxic"), fold().alias("fold"))
-    calibrates = F.col("fold") == 1
-    cells = rows.select("text", (F.col("toxic") + F.when(calibrates, 2).otherwise(0)).cast("int").alias("cell"))
+        .select("text", "toxic", fold().alias("fold"), _draw())
+    known = join_by_size(docs.select("doc_id"), marks, "doc_id", "inner").select("toxic", _draw(), (fold() == 1).alias("c"))
+    sides = known.groupBy("toxic").agg(                                               # two rows
+        F.count("*").alias("n"), F.sum(F.col("c").cast("long")).alias("checks"), F.min("draw").alias("least"),
+        F.max("draw").alias("most")).collect()
+    total = sum(r["n"] for r in sides)
+    share = sum(r["n"] for r in sides if r["toxic"]) / total if total else 0.0
+    if len(sides) < 2:
+        return ToxicityModel(None, None, None, share, options)
+    checks, counted = F.col("fold") == 1, F.lit(True)                  # counted: in the model that is calibrated
+    for r in sides:
+        if r["checks"] in (0, r["n"]):
+            checks = F.when(F.col("toxic") == r["toxic"], F.col("draw") == r["least"]).otherwise(checks)
+    for r in sides:
+        only = r["least"] == r["most"]
+        counted = F.when(F.col("toxic") == r["toxic"], F.lit(True) if only else ~checks).otherwise(counted)
+    rows = rows.withColumn("checks", checks).withColumn("counted", counted)
+    cells = rows.select("text", (F.col("toxic") + F.when(F.col("counted"), 0).otherwise(2)).cast("int").alias("cell"))
     counts = map_texts(cells, _gram_counts(options.order), "gram long, cell int, n long").groupBy("gram").agg(
         *[F.sum(F.when(F.col("cell") == c, F.col("n")).otherwise(0)).alias(f"c{c}") for c in range(4)])
     counts = materialize(counts, "toxicity")
-    size = rows.groupBy("toxic", calibrates.alias("calibrates")).count().collect()    # four rows
-    n = {(r["toxic"], r["calibrates"]): r["count"] for r in size}
-    total = sum(n.values())
-    share = sum(v for k, v in n.items() if k[0]) / total if total else 0.0
-    if any(n.get((c, f), 0) == 0 for c in (0, 1) for f in (False, True)):
-        return ToxicityModel(None, None, None, share, options)
     first = _stored(counts.selectExpr("gram", "c0 n0", "c1 n1").where("n0 + n1 > 0"), options)
-    held_back = n[(0, True)] + n[(1, True)]
+    held_back = sum(r["checks"] or 1 for r in sides)
     if held_back > options.calibration_rows:
-        rows = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) <
-                          int((1 << 20) * options.calibration_rows / held_back))
-    got = _map_evidence(rows.where(calibrates).select("text", "toxic"), first, None, options,
+        limit = F.lit(0)                                 # a rare class in greater part
+        for r in sides:
+            part = options.calibration_rows * max(1 / held_back, 1 / 8 / (r["checks"] or 1))
+            limit = F.when(F.col("toxic") == r["toxic"], F.lit(int((1 << 20) * min(1.0, part)))).otherwise(limit)
+        rows = rows.where(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < limit)
+    got = _map_evidence(rows.where("checks").select("text", "toxic"), first, None, options,
                         lambda f: [pa.array(f[:, i]) for i in range(N_FEATURES)], _FEATURES) \
         .select(*_FEATURES, "toxic").toArrow()
     x = np.column_stack([got.column(name).to_numpy() for name in _FEATURES])
