@@ -364,8 +364,7 @@ def test_tokenizer_equals_whole_text_encoding(corpus):
     from tokenizers import Tokenizer
     path = Q.tokenizer_path()
     whole = Tokenizer.from_file(path)
-    whole.encode_special_tokens = True
-    odd = ["É É'S don't DON'T I'll. 12,5 ΣΑΣ ΑΣ, é İstanbul a\xa0b  x <|endoftext|> ok.., 中文. ½ x² ǅ ﬁ. ß ẞ  \t\x1cq a,b '.,", "", "\n"]
+    odd = ["a <|endoftext|> b", "x<|startoftext|>Y.<|endoftext|>", "<|EndOfText|> <|endoftext", "É É'S don't DON'T I'll. 12,5 ΣΑΣ ΑΣ, é İstanbul a\xa0b  x <|endoftext|> ok.., 中文. ½ x² ǅ ﬁ. ß ẞ  \t\x1cq a,b '.,", "", "\n"]
     ours = packing.WordTokenizer(path, 500)
     for t in [*odd, *corpus.text[:300]]:
         assert ours.encode(t) == np.array(whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes()

@@ -1,11 +1,16 @@
 """Cases in which an operator once did less than its whole job."""
 
+import zlib
+
 import numpy as np
 import pytest
 
-from rillet.llm import ordering, pii, sampling, vectors
+from pyspark.sql import functions as F
+
+from rillet.llm import lines, ordering, packing, pii, quality, sampling, toxicity, vectors
 from rillet.llm import queries as Q
-from test_ops import AWKWARD, DOC, SF, brute_links, docs
+from rillet.llm.common import held
+from test_ops import AWKWARD, DOC, SF, brute_lines, brute_links, docs
 
 
 # -- 1 -----------------------------------------------------------------------------
@@ -101,3 +106,96 @@ def test_segmentations_of_documents_and_turns(spark, tmp_path):
         assert {r.text for r in mine} == {sampler.decode(sampler.encode(t))}
         drawn = sampler.sample(t, sampling.row_seed(17, *k))
         assert [r.ids for r in sorted(mine, key=lambda r: r.sample) if r.sample >= 0] == [x[0] for x in drawn]
+
+
+# -- results that once were wrong ---------------------------------------------------
+
+def test_lines_of_unicode_separators_are_no_blanks(spark):
+    for odd in ("\u2028", "\u0085", "\u2029", "x\u2028"):
+        rows = [(1, "a\nb\nc"), (2, f"{odd}\nkeep1\na\nb\nc\nend"), (3, f"q\n{odd}\nr\na\nb\nc"), (4, f"{odd}\n{odd}\n{odd}")]
+        got = lines.dedup_lines(held(docs(spark, rows), "doc_id", "text")).select("row.doc_id", "text", "n_removed").collect()
+        assert {r.doc_id: (r.text, r.n_removed) for r in got} == {i: (t, n) for i, t, n in brute_lines(rows)}
+        assert dict((r.doc_id, r.text) for r in got)[2] == f"{odd}\nkeep1\nend"
+
+
+def test_packing_follows_the_tokenizer_on_added_tokens(spark):
+    from tokenizers import Tokenizer
+    whole = Tokenizer.from_file(Q.tokenizer_path())
+    text = "a <|endoftext|> b <|startoftext|>"
+    row = packing.pack(docs(spark, [(1, text)]), packing.PackingOptions(Q.tokenizer_path())).first()
+    ids = [*whole.encode(text, add_special_tokens=False).ids, 0]
+    assert (row.length, row.ids_crc32) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())) and 49407 in ids
+
+
+def test_vectors_of_any_finite_size_link(spark):
+    rows = [(i, [x * 10.0 ** e, y * 10.0 ** e], e) for e in (-322, -200, 0, 200, 307)
+            for i, x, y in ((1000 + 3 * e, 3.0, 4.0), (1001 + 3 * e, 3.0, 4.0), (1002 + 3 * e, 4.0, -3.0))]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vectors.near_duplicates(df).collect()}
+    assert got == {i: ((0, i) if i % 3 == (1002 % 3) else (1, i - (i % 3 + 3 - 1000 % 3) % 3)) for i, _, _ in rows}
+
+
+def test_vectors_recall_on_planted_links(spark):
+    rng = np.random.default_rng(7)
+    x = rng.normal(size=(3000, 24))
+    near = np.concatenate((np.repeat(np.arange(0, 600, 50), 25), np.arange(600, 900)))
+    x[2000:2000 + len(near)] = x[near] + rng.normal(size=(len(near), 24)) * 0.06
+    ids = rng.permutation(3000)
+    df = spark.createDataFrame([(int(i), [float(e) for e in v], int(k % 2)) for i, v, k in zip(ids, x, np.zeros(3000))],
+                               "vec_id long, embedding array<double>, label int")
+    options = vectors.GraphOptions(shard_rows=300, block=200, audit_every=5)
+    out = vectors.near_duplicates(df, options).where("audit_links is not null").toPandas()
+    exact = out.audit_links.sum()
+    assert exact > 500 and 0.9 * exact <= out.n_links.sum() <= exact and (out.n_links <= out.audit_links).all()
+
+
+def labelled(spark, n, remainders, name, rare=None):
+    """Rows whose crc32 remainders are among ``remainders``, half of them labelled 1 (or ``rare`` rows only)."""
+    ids = [i for i in range(20 * n) if zlib.crc32(str(i).encode()) % 5 in remainders][:n]
+    marks = [(i, int(k < rare if rare is not None else k % 2)) for k, i in enumerate(ids)]
+    words = ("calm harbour lists quiet letters for every reader", "zorgul blaxx snarf the vile wretched mob of trash")
+    rows = [(i, " ".join(f"{words[m]} {w}{(i * 7 + w) % 90}" for w in range(6))) for i, m in marks]
+    return rows, spark.createDataFrame(marks, f"doc_id long, {name} int")
+
+
+@pytest.mark.parametrize("remainders,rare", [((2, 3, 4), None), ((1,), None), ((1, 2), 1), ((2,), 1), ((1,), 1)])
+def test_toxicity_learns_whenever_both_classes_are_there(spark, remainders, rare):
+    rows, labels = labelled(spark, 80, remainders, "toxic", rare)
+    model = toxicity.train(docs(spark, rows).drop("score"), labels)
+    assert model.weights is not None
+    marks = {r.doc_id: r.toxic for r in labels.collect()}
+    got = {r.doc_id: r.score for r in toxicity.score(docs(spark, rows).drop("score"), model).collect()}
+    toxic, clean = ([got[i] for i in marks if marks[i] == c] for c in (1, 0))
+    assert min(toxic) > max(clean)
+    if rare is None:
+        assert min(toxic) > 0.5 > max(clean)
+
+
+def test_pipeline_keeps_documents_without_a_model(spark, tmp_path):
+    import corpus_pipeline
+    rows = docs(spark, [(i, f"text {i}") for i in range(20)])
+    for toxic in ([], [(3, 1), (4, 1)], [(3, 0)]):
+        path = str(tmp_path / str(len(toxic)))
+        spark.createDataFrame(toxic, "doc_id long, toxic int").write.parquet(f"{path}/labels.parquet")
+        assert corpus_pipeline.drop_toxic(spark, rows, path).count() == 20
+
+
+@pytest.mark.parametrize("remainder,rare", [(1, None), (0, None), (None, 1), (None, 3)])
+def test_quality_learns_whenever_both_classes_are_there(spark, remainder, rare):
+    rows, labels = labelled(spark, 120, range(5), "quality", rare)
+    if remainder is not None:                            # all of one part of the hash split
+        part = F.pmod(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)), F.lit(4))
+        labels = labels.where((part == 0) == (remainder == 0))
+    options = quality.QualityOptions()
+    model = quality.train(docs(spark, rows), labels, options)
+    assert model.weights is not None
+    marks = {r.doc_id: r.quality for r in labels.collect()}
+    got = {r.doc_id: r.quality for r in quality.judge(docs(spark, rows), model).collect()}
+    good, bad = ([got[i] for i in marks if marks[i] == c] for c in (1, 0))
+    assert min(good) > max(bad)
+
+
+def test_quality_sample_keeps_a_rare_class(spark):
+    rows, labels = labelled(spark, 400, range(5), "quality", 6)
+    model = quality.train(docs(spark, rows), labels, quality.QualityOptions(train_rows=80))
+    assert model.weights is not None
