@@ -1,29 +1,33 @@
 """URL filter: host and path rules, then a weighted vocabulary found by Aho-Corasick (operator 5).
 
-The automaton holds strict and soft terms and reads host and path once.  A hit counts only between
-boundaries (no letter or digit before or after it).  A URL without a fitting rule is blocked by one
-strict hit or by soft hits whose distinct terms weigh ``limit`` or more together.
+The automaton holds strict and soft terms and reads the whole URL once: scheme, host, path, query and
+fragment, A-Z lower-cased after ASCII letters, digits and ``- . _ ~`` written as ``%XX`` are decoded.  A
+hit counts only between boundaries (no letter or digit before or after it).  A URL without a fitting rule
+is blocked by one strict hit, or by soft hits of ``distinct`` terms or more that weigh ``limit`` or more
+together.  ``load_vocabulary`` takes terms and weights from a table.
 
 Rules look like ``host/path``: a rule fits its host and all subdomains if the URL's path starts with
 the rule's; the longest fitting rule decides.
 
-Defined cases: a null URL or one without ``://`` has an empty host and path, fits no rule and is
-allowed; letters outside A-Z are compared as they are; repeated rows are judged each.
+Defined cases: a null URL or one without ``://`` has an empty host and path and fits no rule (the
+vocabulary still reads it; a null URL has no terms and is allowed); letters outside A-Z are compared as they are; repeated rows are judged each.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-# The default vocabulary.
-STRICT = ("porn", "xxx", "hentai", "escort", "adult-x", "casino-win", "cheap-pills", "spam-farm", "free-bets",
-          "malware", "warez", "phishing")
-SOFT = {"casino": 1, "bets": 1, "betting": 1, "poker": 1, "pills": 1, "pharmacy": 1, "adult": 1, "sex": 1,
-        "cheap": 1, "free": 1, "win": 1, "ads": 1, "track": 1, "tracker": 1, "spam": 1, "farm": 1, "loan": 1,
-        "crack": 1, "torrent": 1, "dating": 1}
+# The default vocabulary: strict terms, and soft terms with weights, in several languages.
+STRICT = ("porn", "porno", "pornos", "xxx", "hentai", "escort", "escorte", "putas", "sexkontakte", "adult-x", "casino-win",
+          "cheap-pills", "spam-farm", "free-bets", "malware", "warez", "phishing")
+SOFT = {"casino": 3, "poker": 2, "bets": 2, "betting": 2, "apuestas": 2, "wetten": 2, "paris-sportifs": 3, "gluecksspiel": 3,
+        "pills": 2, "pharmacy": 1, "viagra": 3, "adult": 2, "sex": 3, "sexe": 3, "erotik": 3, "dating": 1, "loan": 1,
+        "kredit": 1, "prestamos": 1, "crack": 2, "keygen": 3, "torrent": 2, "cheap": 1, "free": 1, "gratis": 1, "gratuit": 1,
+        "win": 1, "ads": 1, "track": 1, "tracker": 1, "spam": 2, "farm": 1}
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
 
 
@@ -32,12 +36,35 @@ class UrlOptions:
     rules: tuple = RULES
     strict: tuple = STRICT
     soft: tuple = tuple(SOFT.items())     # term, weight
-    limit: int = 2                        # weight of distinct soft terms that blocks
+    limit: int = 3                        # weight of distinct soft terms that blocks
+    distinct: int = 2                     # and how many they must be
 
 
 _LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 
 
+_ESCAPED = re.compile("%([0-9A-Fa-f]{2})")
+_PLAIN = {f"{ord(c):02x}": c for c in "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789-._~"}
+
+
+def load_vocabulary(terms: DataFrame, **options) -> UrlOptions:
+    """Options with the vocabulary of ``terms`` (term string, weight int; 0 or null: strict).
+
+    A vocabulary is a list for the automaton of every task, so it goes through the driver.
+    """
+    rows = [(r[0].translate(_LOWER), r[1] or 0) for r in terms.select("term", "weight").collect() if r[0]]
+    return UrlOptions(strict=tuple(sorted({t for t, w in rows if not w})),
+                      soft=tuple(sorted((t, w) for t, w in dict(rows).items() if w)), **options)
+
+
+def readable(url: str | None) -> str:
+    """The text that the vocabulary reads: plain characters decoded (once), A-Z lower-cased."""
+    url = url or ""
+    if "%" in url:
+        url = _ESCAPED.sub(lambda m: _PLAIN.get(m[1].lower(), m[0]), url)
+    return url.translate(_LOWER)
+
+
 def split_url(url: str | None) -> tuple[str, str]:
     """Host (A-Z lower-cased) and path; both empty without ``://``."""
     at = (url or "").find("://")
@@ -57,7 +84,7 @@ class UrlJudge:
         for rule, verdict in options.rules:
             host, path = rule.split("/", 1)
             self._rules.setdefault(host, []).append(("/" + path, rule, verdict))
-        self._limit = options.limit
+        self._limit, self._distinct = options.limit, options.distinct
         self._words = ahocorasick.Automaton()
         for term, weight in options.soft:
             self._words.add_word(term, (term, weight))
@@ -77,9 +104,9 @@ class UrlJudge:
             at = host.find(".", at) + 1 or -1
         return best
 
-    def hits(self, host: str, path: str) -> tuple[list[str], int, int]:
-        """Distinct terms hit between boundaries, strict hits, and the weight of the soft terms."""
-        text = host + path.translate(_LOWER)
+    def hits(self, url: str | None) -> tuple[list[str], int, int]:
+        """Distinct terms hit between boundaries, how many are strict, and the weight of the soft ones."""
+        text = readable(url)
         found = {}
         if len(self._words):
             for end, (term, weight) in self._words.iter(text):
@@ -91,9 +118,10 @@ class UrlJudge:
     def judge(self, url: str | None) -> tuple:
         host, path = split_url(url)
         rule, verdict = self.rule(host, path) or (None, None)
-        terms, strict, soft = self.hits(host, path)
+        terms, strict, soft = self.hits(url)
         if verdict is None:
-            verdict = "block" if strict or soft >= self._limit else "allow"
+            enough = soft >= self._limit and len(terms) - strict >= self._distinct
+            verdict = "block" if strict or enough else "allow"
         return host, path, rule, verdict, strict, soft, ",".join(terms)
 
 
@@ -118,28 +146,36 @@ def oracle(options: UrlOptions = UrlOptions()) -> str:
     terms = [(t, 0) for t in options.strict] + list(options.soft)
     values = ", ".join(f"('{t}', {w})" for t, w in terms)
     rules = ", ".join(f"('{r}', '{r.split('/', 1)[0]}', '/{r.split('/', 1)[1]}', '{v}')" for r, v in options.rules)
+    plain = ", ".join(f"('%{code}', '{c}')" for code, c in _PLAIN.items())
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     return rf"""
 WITH terms(term, weight) AS (VALUES {values}), rules(rule, rhost, rpath, rverdict) AS (VALUES {rules}),
 cut AS (
-  SELECT page_id, row_number() OVER () AS r, CASE WHEN contains(coalesce(url, ''), '://')
+  SELECT page_id, url, row_number() OVER () AS r, CASE WHEN contains(coalesce(url, ''), '://')
     THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
 ), parts AS (
-  SELECT page_id, r, translate(regexp_extract(rest, '^[^/?#]*'), '{upper}', '{lower}') AS host,
+  SELECT page_id, r, url, translate(regexp_extract(rest, '^[^/?#]*'), '{upper}', '{lower}') AS host,
          regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM cut
 ), ruled AS (
   SELECT r, arg_max(rule, length(rule)) AS rule, arg_max(rverdict, length(rule)) AS rverdict
   FROM parts, rules WHERE (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY r
+), tokens AS (
+  SELECT r, unnest(regexp_extract_all(coalesce(url, ''), '%[0-9A-Fa-f]{{2}}|[^%]+|%')) AS token,
+         generate_subscripts(regexp_extract_all(coalesce(url, ''), '%[0-9A-Fa-f]{{2}}|[^%]+|%'), 1) AS i FROM parts
+), plain(code, c) AS (VALUES {plain}), readable AS (
+  SELECT t.r, translate(string_agg(coalesce(p.c, t.token), '' ORDER BY t.i), '{upper}', '{lower}') AS body
+  FROM tokens t LEFT JOIN plain p ON p.code = lower(t.token) GROUP BY t.r
 ), hit AS (
-  SELECT r, term, weight FROM parts, terms
-  WHERE regexp_matches(host || translate(path, '{upper}', '{lower}'),
+  SELECT r, term, weight FROM readable, terms
+  WHERE contains(body, term) AND regexp_matches(body,
                        '(^|[^\p{{L}}\p{{N}}])' || term || '($|[^\p{{L}}\p{{N}}])')
 ), hits AS (
-  SELECT r, count(*) FILTER (WHERE weight = 0) AS n_strict, sum(weight) AS soft_weight,
+  SELECT r, count(*) FILTER (WHERE weight = 0) AS n_strict, count(*) FILTER (WHERE weight > 0) AS n_soft,
+         sum(weight) AS soft_weight,
          string_agg(term, ',' ORDER BY term) AS terms FROM hit GROUP BY r
 )
 SELECT p.page_id, p.host, p.path, u.rule, coalesce(u.rverdict,
-         CASE WHEN h.n_strict > 0 OR h.soft_weight >= {options.limit} THEN 'block' ELSE 'allow' END) AS verdict,
+         CASE WHEN h.n_strict > 0 OR h.soft_weight >= {options.limit} AND h.n_soft >= {options.distinct} THEN 'block' ELSE 'allow' END) AS verdict,
        coalesce(h.n_strict, 0)::BIGINT AS n_strict, coalesce(h.soft_weight, 0)::BIGINT AS soft_weight,
        coalesce(h.terms, '') AS terms
 FROM parts p LEFT JOIN ruled u ON u.r = p.r LEFT JOIN hits h ON h.r = p.r

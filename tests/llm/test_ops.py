@@ -255,7 +255,10 @@ def test_training_order_round_trip(spark, tmp_path):
 URLS = [None, "", "no scheme", "http://", "http://A.Example.NET/en/x?q#f", "https://x.net", "ftp://x.net/", "http://net/",
         "http://my-net/", "http://sub.example.com/de/1", "http://example.com/DE/1", "http://a.org/fr/", "http://a.org/fr",
         "http://casino-win.example.com/", "http://casinowin.example.com/", "http://a.com/free/bets", "http://a.com/FREE",
-        "http://a.com/free-free", "http://a.com/xxx?porn", "http://a.com/?xxx", "http://xxxl.com/", "a://b://c/xxx", "http://é.com/sexé"]
+        "http://a.com/free-free", "http://a.com/xxx?porn", "http://a.com/?xxx", "http://xxxl.com/", "a://b://c/xxx", "http://é.com/sexé",
+        "http://a.com/?q=porn", "www.porn.com/xxx", "//porn.com/", "http://a.com/p%6Frn#x", "http://a.com/p%256frn", "http://a.com/%%70orn",
+        "http://a.com/?q=poker", "http://a.com/poker?free=1", "http://a.com/gratis#win", "http://a.com/CASINO&KREDIT", "http://a.net/poker?porn",
+        "http://a.com/" + "x/" * 200_000 + "porn", "http://a.com/100%", "http://a.com/%zz%"]
 
 
 def test_urls(spark):
@@ -265,7 +268,10 @@ def test_urls(spark):
     assert (got[4]["host"], got[4]["path"], got[4]["rule"], got[4]["verdict"]) == ("a.example.net", "/en/x", "example.net/en/", "allow")
     assert [got[i]["verdict"] for i in range(len(URLS))] == [
         "allow", "allow", "allow", "allow", "allow", "allow", "block", "block", "allow", "block", "allow", "allow", "allow",
-        "block", "allow", "block", "allow", "allow", "block", "allow", "allow", "block", "allow"]
+        "block", "allow", "block", "allow", "allow", "block", "block", "allow", "block", "allow",
+        "block", "block", "block", "block", "allow", "block", "allow", "block", "allow", "block", "block", "block", "allow", "allow"]
+    assert (got[32]["n_strict"], got[32]["soft_weight"], got[32]["terms"]) == (0, 4, "casino,kredit")
+    assert (got[24]["host"], got[24]["path"], got[24]["n_strict"]) == ("", "", 2)
     assert (got[0]["host"], got[0]["path"], got[0]["rule"]) == ("", "", None) and len(got) == len(URLS) + 1
     duck = pytest.importorskip("duckdb").connect()
     duck.register("pages", pd.DataFrame({"page_id": range(len(URLS)), "url": URLS}))
@@ -274,6 +280,10 @@ def test_urls(spark):
     assert sorted(map(str, want.astype(object).where(want.notna(), None).values.tolist())) == sorted(
         str([r[c] for c in cols]) for i, r in got.items() if i is not None)
     assert urls.judge_urls(df.limit(0)).count() == 0
+    table = spark.createDataFrame([("Bad", None), ("meh", 2), ("so", 1), ("meh", 2), (None, 1)], "term string, weight int")
+    own = urls.load_vocabulary(table, rules=(), limit=3)
+    judge = urls.UrlJudge(own).judge
+    assert [judge(u)[3] for u in ("x.bad", "x/meh", "x/meh?so", "x/so?so", "xbad")] == ["block", "allow", "block", "allow", "allow"]
 
 
 # -- 6 -----------------------------------------------------------------------------
