@@ -151,8 +151,8 @@ def leader_board_stream(spark: SparkSession, opts: LeaderBoardOptions, trigger:
 
     Teams: exact early/on-time/late panes per hourly window, appended to
     ``<output>/team_panes`` with the window start, timing and processing time.
-    Users: the global-window running totals (update mode), appended to
-    ``<output>/user_totals`` every ``user_minutes`` with the micro-batch id and processing time.
+    Users: the global-window running totals, each user's ``user_minutes`` after the first row not yet
+    told, appended to ``<output>/user_totals`` with the processing time.
     """
     from rillet.sinks.table import stream_append
     from rillet.streaming import leaderboard
@@ -163,11 +163,11 @@ def leader_board_stream(spark: SparkSession, opts: LeaderBoardOptions, trigger:
                                    delay_seconds=opts.watermark_delay_seconds)
     teams = panes.select("team", "total_score", display_time(F.col("ws")).alias("window_start"),
                          _processing_time(), "timing")
-    users = leaderboard.user_totals(events).select("user", "total_score", _processing_time())
+    users = leaderboard.user_panes(events, opts.user_minutes).select("user", "total_score", _processing_time())
     q_teams = (stream_append(teams, None, f"{opts.output}/team_panes", checkpoint_path(opts, "teams"), "append")
                .trigger(processingTime=trigger).start())
-    q_users = (stream_append(users, None, f"{opts.output}/user_totals", checkpoint_path(opts, "users"), "update")
-               .trigger(processingTime=user_trigger or f"{opts.user_minutes} minutes").start())
+    q_users = (stream_append(users, None, f"{opts.output}/user_totals", checkpoint_path(opts, "users"), "append")
+               .trigger(processingTime=user_trigger or trigger).start())
     return q_teams, q_users
 
 

@@ -332,6 +332,27 @@ seen AS (SELECT part, max(max(timestamp_ms)) OVER (ORDER BY part ROWS BETWEEN UN
                 - {lateness_min * 60_000} AS watermark FROM fed GROUP BY part)
 SELECT {_display('ws')} AS window_start, team, CAST(sum(score) AS BIGINT) AS total_score
 FROM fed JOIN seen USING (part) WHERE watermark IS NULL OR ws + 3600000 > watermark GROUP BY ws, team"""),
+        # every part fires what it adds: before the window's end as early, after it as late; the on-time
+        # pane comes when the parts' largest event time reaches the end, or with the first rows if later
+        "leaderboard_team_live_panes": with_game(fed + f"""
+seen AS (SELECT part, coalesce(max(max(timestamp_ms)) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), -1)
+                AS before, max(max(timestamp_ms)) OVER (ORDER BY part) AS upto FROM fed GROUP BY part),
+sums AS (SELECT ws, ws + 3600000 AS we, team, part, before, sum(score) AS score FROM fed JOIN seen USING (part)
+         WHERE before < ws + {3_600_000 + lateness_min * 60_000} GROUP BY ALL),
+runs AS (SELECT *, sum(score) OVER (PARTITION BY ws, team ORDER BY part) AS total,
+                min(part) OVER (PARTITION BY ws, team) AS first FROM sums),
+panes AS (
+  SELECT ws, team, 2 * part AS nth, total,
+         CASE WHEN before < we THEN 'EARLY' WHEN part = first THEN 'ON_TIME' ELSE 'LATE' END AS timing FROM runs
+  UNION ALL
+  SELECT ws, team, 2 * s.part + 1, arg_max(total, r.part), 'ON_TIME' FROM runs r JOIN seen s ON r.part <= s.part
+  WHERE s.before < we AND s.upto >= we GROUP BY ws, team, s.part)
+SELECT {_display('ws')} AS window_start, team, timing, CAST(total AS BIGINT) AS total_score,
+       CAST(row_number() OVER (PARTITION BY ws, team ORDER BY nth) - 1 AS INT) AS pane_index FROM panes"""),
+        "leaderboard_user_live_panes": with_game(fed + """
+sums AS (SELECT "user", part, sum(score) AS score FROM fed GROUP BY ALL)
+SELECT "user", CAST(row_number() OVER w - 1 AS INT) AS pane_index, CAST(sum(score) OVER w AS BIGINT) AS total_score
+FROM sums WINDOW w AS (PARTITION BY "user" ORDER BY part)"""),
         "team_level_crossings_stream": with_game(fed + """
 r AS (SELECT team, event_id, score, sum(score) OVER (PARTITION BY team ORDER BY part, timestamp_ms, event_id
              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS total FROM fed)

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rillet.functions.times import display_time
@@ -109,6 +109,29 @@ def leaderboard_team_totals(spark, sf_dir):
     return last.select(display_time(F.col("ws")).alias("window_start"), "team", "total_score")
 
 
+def _pane_numbers(panes: DataFrame, keys: list[str]) -> DataFrame:
+    """Panes numbered from 0 in the order of their micro-batches (a key fires once a batch at most)."""
+    order = Window.partitionBy(*keys).orderBy("batch_id")
+    return panes.withColumn("pane_index", (F.row_number().over(order) - 1).cast("int"))
+
+
+def leaderboard_team_live_panes(spark, sf_dir):
+    """Early panes with every part's rows, the on-time pane as the watermark passes, then late ones."""
+    out, ck = scratch_path(spark, "leaderboard-panes-out"), scratch_path(spark, "checkpoint")
+    _run_by_arrival(spark, sf_dir, "leaderboard-panes", lambda lines: stream_append(
+        leaderboard.team_panes(parse_game_events(lines), 60, 120, 0, 0, poll_ms=None), None, out, ck))
+    panes = _pane_numbers(spark.read.parquet(out), ["team", "ws"])
+    return panes.select(display_time(F.col("ws")).alias("window_start"), "team", "pane_index", "timing", "total_score")
+
+
+def leaderboard_user_live_panes(spark, sf_dir):
+    """Each user's running total after every part that has rows of the user."""
+    out, ck = scratch_path(spark, "leaderboard-users-out"), scratch_path(spark, "checkpoint")
+    _run_by_arrival(spark, sf_dir, "leaderboard-users", lambda lines: stream_append(
+        leaderboard.user_panes(parse_game_events(lines), 0), None, out, ck))
+    return _pane_numbers(spark.read.parquet(out), ["user"]).select("user", "pane_index", "total_score")
+
+
 def team_level_crossings_stream(spark, sf_dir):
     out, ck = scratch_path(spark, "levels-out"), scratch_path(spark, "checkpoint")
     _run_by_arrival(spark, sf_dir, "levels", lambda lines: stream_append(
@@ -174,6 +197,8 @@ def bio_table(spark, sf_dir):
 STREAM_QUERIES = {
     "leaderboard_user": leaderboard_user,
     "leaderboard_team_totals": leaderboard_team_totals,
+    "leaderboard_team_live_panes": leaderboard_team_live_panes,
+    "leaderboard_user_live_panes": leaderboard_user_live_panes,
     "team_level_crossings_stream": team_level_crossings_stream,
     "spammy_users_stream": spammy_users_stream,
     "team_score_no_spam_stream": team_score_no_spam_stream,

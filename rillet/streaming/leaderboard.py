@@ -1,8 +1,9 @@
 """Leader board streams: per-user totals in the global window, per-team totals in
 hourly windows with allowed lateness, and the exact early/on-time/late panes.
 
-Simple forms use Spark's own state (update mode, watermark for lateness);
-the exact pane form runs ``PaneMachine`` inside ``applyInPandasWithState``.
+Simple forms use Spark's own state (update mode, watermark for lateness); the
+exact forms keep their panes in ``applyInPandasWithState``, with timers at the
+deadlines (``user_panes``) or at the windows' ends (``team_panes``).
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from rillet.functions.times import display_time, floor_ms
 from rillet.model import (
     ALLOWED_LATENESS_MINUTES, EARLY_FIRING_MINUTES, LATE_FIRING_MINUTES, TEAM_WINDOW_MINUTES,
 )
-from rillet.operators.panes import PaneMachine
+from rillet.operators.panes import INF, PaneMachine
 
 
 def user_totals(events: DataFrame) -> DataFrame:
@@ -65,14 +66,19 @@ def _sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def pane_step(window_end: int, delays: tuple, pdfs: Iterator[pd.DataFrame], state: GroupState,
-              poll_ms: int) -> list[tuple]:
+              poll_ms: int | None = None, slack_ms: int = 0) -> list[tuple]:
     """One visit of a (key, window): the panes it fires.
 
     All rows of a visit share one processing time and watermark, so they count as one element.  A
     window without state takes its rows before the watermark is looked at, and rows that come
     beyond the lateness leave no state and no pane.
+
+    With ``poll_ms`` the next visit is due at the pending deadline or after ``poll_ms``, whichever is
+    sooner (processing time); without, when the watermark reaches the window's end or its close
+    (event time).  ``slack_ms`` is how far the query's watermark lags behind the greatest event time.
     """
-    p, w = state.getCurrentProcessingTimeMs(), state.getCurrentWatermarkMs()
+    p, lagging = state.getCurrentProcessingTimeMs(), state.getCurrentWatermarkMs()
+    w = lagging + slack_ms if lagging > 0 or not slack_ms else -INF        # 0: no watermark yet
     m = PaneMachine(window_end, *delays)
     scores = [int(f["score"].sum()) for f in pdfs if len(f)]
     if state.exists:
@@ -86,45 +92,122 @@ def pane_step(window_end: int, delays: tuple, pdfs: Iterator[pd.DataFrame], stat
         m.watermark(w, p)
     else:
         return []
+    m.clock(p)                                             # a delay of 0 is due at once
     if m.closed:
         state.remove()
     else:
         state.update((m.total, m.pending, int(m.pending_since), m.on_time_fired))
-        state.setTimeoutDuration(poll_ms)
+        if poll_ms is not None:
+            state.setTimeoutDuration(int(max(1, min(poll_ms, m.next_deadline() - p))))
+        else:
+            due = window_end + (delays[0] if m.on_time_fired else 0) - slack_ms
+            # a timer runs when the watermark is past it
+            state.setTimeoutTimestamp(int(max(due - 1, lagging + 1, 1)))
     return m.panes
 
 
 def team_panes(events: DataFrame, window_minutes: int = TEAM_WINDOW_MINUTES,
                lateness_minutes: int = ALLOWED_LATENESS_MINUTES, early_minutes: int = EARLY_FIRING_MINUTES,
-               late_minutes: int = LATE_FIRING_MINUTES, poll_ms: int = 60_000,
+               late_minutes: int = LATE_FIRING_MINUTES, poll_ms: int | None = 60_000,
                delay_seconds: int = 0) -> DataFrame:
     """Exact panes on a stream (append mode).
 
-    The processing-time timeout revisits each open (team, window) every
-    ``poll_ms`` so the watermark checks (on-time, close) run even without new
-    rows; the early/late clock is checked on every visit.  Pending timeouts
-    keep the query scheduling batches, so run it with a processing-time
-    trigger (a live leader board), not ``availableNow``.
+    Spark gives a keyed state timers of one kind, so there are two forms:
+
+    * with ``poll_ms`` (a live leader board on a processing-time trigger): a processing-time timer
+      revisits each open (team, window) at its pending deadline, and every ``poll_ms`` at least, so
+      early and late panes come on time without new rows and the watermark is looked at;
+    * with ``poll_ms=None``: event-time timers at the window's end and close, so on-time panes and
+      closing follow the watermark without new rows and ``availableNow`` ends.  The early and late
+      clock is looked at when rows arrive or a timer runs; with delays of 0 every micro-batch with
+      rows of a window fires it.
+
+    Rows are dropped by their window (too late once the watermark is at its end plus the lateness),
+    not by their own time.  Spark drops rows older than its watermark where event-time timers are
+    used, so that watermark lags by window and lateness, and the step adds them back.
     """
     wms, lms = window_minutes * 60_000, lateness_minutes * 60_000
     ems, lams = early_minutes * 60_000, late_minutes * 60_000
+    slack = wms + lms if poll_ms is None else 0
     keyed = events.select("team", F.col("score").cast("bigint").alias("score"),
                           floor_ms(F.col("timestamp_ms"), wms).alias("ws"), "event_time")
     # a hot window's rows are summed before the shuffle: one row per Arrow batch and key reaches its
     # task, with the batch's latest event time, so the watermark is that of the rows
     keyed = keyed.mapInPandas(_sums, "team string, ws bigint, score bigint, event_time timestamp") \
-        .withWatermark("event_time", f"{delay_seconds} seconds")
+        .withWatermark("event_time", f"{delay_seconds * 1000 + slack} milliseconds")
 
     def step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         team, ws = key
-        panes = pane_step(int(ws) + wms, (lms, ems, lams), pdfs, state, poll_ms)
+        panes = pane_step(int(ws) + wms, (lms, ems, lams), pdfs, state, poll_ms, slack)
         if panes:
             yield pd.DataFrame({"team": [team] * len(panes), "ws": [int(ws)] * len(panes),
                                 "timing": [x[0] for x in panes], "total_score": [int(x[1]) for x in panes],
                                 "processing_ms": [int(x[2]) for x in panes]})
 
-    return keyed.groupBy("team", "ws").applyInPandasWithState(
-        step, PANE_OUT, PANE_STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
+    timers = GroupStateTimeout.EventTimeTimeout if poll_ms is None else GroupStateTimeout.ProcessingTimeTimeout
+    return keyed.groupBy("team", "ws").applyInPandasWithState(step, PANE_OUT, PANE_STATE, "append", timers)
+
+
+USER_OUT = T.StructType([
+    T.StructField("user", T.StringType()),
+    T.StructField("total_score", T.LongType()),
+    T.StructField("processing_ms", T.LongType()),
+])
+USER_STATE = T.StructType([
+    T.StructField("total", T.LongType()),
+    T.StructField("pending", T.BooleanType()),
+    T.StructField("deadline", T.LongType()),
+])
+
+
+def user_step(delay_ms: int, pdfs: Iterator[pd.DataFrame], state: GroupState) -> tuple | None:
+    """One visit of a user: ``(total, processing time)`` if the total fires.
+
+    The first row after a firing sets the deadline, and a timer at the deadline is the only one.  A
+    visit fires once at most: a due total fires before the visit's own rows are added (they start the
+    next deadline), unless nothing was due and the delay is 0.
+    """
+    p = state.getCurrentProcessingTimeMs()
+    total, pending, deadline = state.get if state.exists else (0, False, 0)
+    fired = None
+    if pending and p >= deadline:
+        fired, pending = (int(total), p), False
+    scores = [int(f["score"].sum()) for f in pdfs if len(f)]
+    if scores:
+        total += sum(scores)
+        if not pending:
+            pending, deadline = True, p + delay_ms
+        if fired is None and p >= deadline:
+            fired, pending = (int(total), p), False
+    state.update((int(total), bool(pending), int(deadline)))
+    if pending:
+        state.setTimeoutDuration(int(max(1, deadline - p)))
+    return fired
+
+
+def user_panes(events: DataFrame, delay_minutes: float = LATE_FIRING_MINUTES) -> DataFrame:
+    """``user, total_score, processing_ms``: the running total of each user in the global window.
+
+    A user fires ``delay_minutes`` after the first row that no firing has told yet (append mode, exact
+    to the trigger's interval).  Nothing is too late; the state holds one row per user.  With a delay of 0 every
+    micro-batch with rows of a user fires it; no timers are needed then, so ``availableNow`` ends.
+    """
+    delay_ms = int(delay_minutes * 60_000)
+
+    def sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            yield f.groupby("user", as_index=False, dropna=False).agg({"score": "sum"})
+
+    def step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        fired = user_step(delay_ms, pdfs, state)
+        if fired:
+            yield pd.DataFrame({"user": [key[0]], "total_score": [fired[0]], "processing_ms": [fired[1]]})
+
+    # a hot user's rows are summed before the shuffle
+    keyed = events.select("user", F.col("score").cast("bigint").alias("score")) \
+        .mapInPandas(sums, "user string, score bigint")
+    timers = GroupStateTimeout.ProcessingTimeTimeout if delay_ms else GroupStateTimeout.NoTimeout
+    return keyed.groupBy("user").applyInPandasWithState(step, USER_OUT, USER_STATE, "append", timers)
 
 
 def with_display_window(df: DataFrame) -> DataFrame:

@@ -120,7 +120,7 @@ def test_live_leader_board_job(spark):
     spark.createDataFrame([(x,) for x in GOOD + ["late,BananaEmu,5,1447965690000,x"]], "value string") \
         .coalesce(1).write.text(src)
     out = scratch_path(spark, "lb-out")
-    q_teams, q_users = jobs.leader_board_stream(spark, LeaderBoardOptions(src, out), trigger="200 milliseconds",
+    q_teams, q_users = jobs.leader_board_stream(spark, LeaderBoardOptions(src, out, user_minutes=0), trigger="200 milliseconds",
                                                 user_trigger="200 milliseconds")
     try:
         deadline = time.time() + 90
