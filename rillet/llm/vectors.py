@@ -43,7 +43,7 @@ class GraphOptions:
     threshold: float = 0.98
     shard_rows: int = 1024         # vectors per centroid, about
     overlap: int = 2
-    block: int = 1024              # vectors in one graph; queries searched in it at once
+    block: int = 2048              # vectors in one graph; queries searched in it at once
     sample_rows: int = 20_000      # bound on the sample the centroids are fitted on
     degree: int = 24
     near: int = 48                 # nearest candidates per vector
@@ -255,6 +255,18 @@ def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ids, ids[up]
 
 
+def _here(members: pd.DataFrame) -> list[np.ndarray]:
+    """The members' links as rows of ``members``, without those to vectors elsewhere."""
+    ids = members.vec_id.to_numpy()
+    order = np.argsort(ids, kind="stable")
+    rows = [np.zeros(0, np.int64) if r is None else np.asarray(r, np.int64) for r in members.links]
+    flat = np.concatenate([*rows, np.zeros(0, np.int64)])
+    at = np.minimum(np.searchsorted(ids[order], flat), max(len(ids) - 1, 0))
+    known = ids[order][at] == flat if len(ids) else np.zeros(0, bool)
+    owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])[known]
+    return np.split(order[at[known]], np.cumsum(np.bincount(owner, minlength=len(rows)))[:-1])
+
+
 def _shard_matrix(shards, none: int) -> np.ndarray:
     """A row of shard numbers per vector, filled up with ``none``."""
     rows = [np.asarray(s) for s in shards]
@@ -268,13 +280,8 @@ def _search(options: GraphOptions):
     def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
         members = pdf[pdf.member].reset_index(drop=True)
         asking = pdf[~pdf.member].reset_index(drop=True)
-        at = pd.Series(members.index.to_numpy(), index=members.vec_id)
-        at = at[~at.index.duplicated()]
         x = _matrix(members.unit)
-        lists = []
-        for row in members.links:
-            here = at.reindex(row).dropna().to_numpy().astype(np.int64) if row is not None else []
-            lists.append(np.asarray(here, np.int64))
+        lists = _here(members)
         q, m = range_search(x, lists, _matrix(asking.unit), options) if len(members) and len(asking) else ([], [])
         q, m = np.asarray(q, np.int64), np.asarray(m, np.int64)
         mine, theirs = asking.vec_id.to_numpy(), members.vec_id.to_numpy()
