@@ -74,6 +74,13 @@ KV_SCHEMA = T.StructType([
 # ---------------------------------------------------------------------------
 # Job options (typed, with defaults; required ones have no default)
 # ---------------------------------------------------------------------------
+def _need(source: str, target: str) -> None:
+    if not source:
+        raise ValueError("a job needs an input or an input topic")
+    if not target:
+        raise ValueError("a job needs an output")
+
+
 @dataclass(frozen=True)
 class WordCountOptions:
     input: str
@@ -116,8 +123,8 @@ class HourlyTeamScoreOptions:
 
 @dataclass(frozen=True)
 class LeaderBoardOptions:
-    input: str
-    output: str
+    input: str = ""
+    output: str = ""
     team_window_minutes: int = TEAM_WINDOW_MINUTES
     allowed_lateness_minutes: int = ALLOWED_LATENESS_MINUTES
     early_minutes: int = EARLY_FIRING_MINUTES
@@ -127,12 +134,16 @@ class LeaderBoardOptions:
     timestamp_attribute: str = ""                 # input is JSON messages; event time is this attribute
     max_files_per_trigger: int | None = None
     checkpoint: str = ""                          # folder; default: next to the output
+    input_topic: str = ""                         # a topic of messages (sources.topics) instead of `input`
+
+    def __post_init__(self):
+        _need(self.input or self.input_topic, self.output)
 
 
 @dataclass(frozen=True)
 class GameStatsOptions:
-    input: str
-    output: str
+    input: str = ""
+    output: str = ""
     fixed_window_minutes: int = TEAM_WINDOW_MINUTES
     session_gap_minutes: int = SESSION_GAP_MINUTES
     user_activity_window_minutes: int = SESSION_MEAN_WINDOW_MINUTES
@@ -141,25 +152,39 @@ class GameStatsOptions:
     timestamp_attribute: str = ""                 # input is JSON messages; event time is this attribute
     max_files_per_trigger: int | None = None
     checkpoint: str = ""                          # folder; default: next to the output
+    input_topic: str = ""                         # a topic of messages (sources.topics) instead of `input`
+
+    def __post_init__(self):
+        _need(self.input or self.input_topic, self.output)
 
 
 @dataclass(frozen=True)
 class StatefulTeamScoreOptions:
-    input: str
-    output: str
+    input: str = ""
+    output: str = ""
     threshold: int = LEVEL_THRESHOLD
     timestamp_attribute: str = ""                 # input is JSON messages; event time is this attribute
     max_files_per_trigger: int | None = None
     checkpoint: str = ""                          # folder; default: next to the output
+    input_topic: str = ""                         # a topic of messages (sources.topics) instead of `input`
+
+    def __post_init__(self):
+        _need(self.input or self.input_topic, self.output)
 
 
 @dataclass(frozen=True)
 class PersonOptions:
-    input: str
-    output: str
+    input: str = ""
+    output: str = ""
     mode: str = "batch"       # batch | stream_topics | stream_table
     max_files_per_trigger: int | None = None
     checkpoint: str = ""      # folder; default: next to the output
+    input_topic: str = ""                         # a topic of messages (sources.topics) instead of `input`
+    output_topic: str = ""                        # topic of the valid people instead of `output` (stream_topics)
+    invalid_topic: str = ""                       # default: the output topic with _invalid
+
+    def __post_init__(self):
+        _need(self.input or self.input_topic, self.output or self.output_topic)
 
 
 @dataclass(frozen=True)

@@ -128,7 +128,8 @@ def person_records(spark: SparkSession, opts: PersonOptions) -> None:
 # input file read once, each micro-batch's folder written once.
 
 def checkpoint_path(opts, query: str) -> str:
-    return f"{opts.checkpoint or opts.output.rstrip('/') + '_checkpoint'}/{query}"
+    output = opts.output or opts.output_topic
+    return f"{opts.checkpoint or output.rstrip('/') + '_checkpoint'}/{query}"
 
 
 def _processing_time():
@@ -136,9 +137,13 @@ def _processing_time():
 
 
 def _live_events(spark: SparkSession, opts, keep=(), prepare=lambda lines: lines) -> DataFrame:
-    """Game events of a live job's input: lines, or messages whose event time is an attribute."""
+    """Game events of a live job's input: lines, or messages (of files or a topic) whose event time is an attribute."""
+    from rillet.sources import topics
     from rillet.sources.text import stream_lines, stream_messages
 
+    if opts.input_topic:
+        lines = topics.stream_messages(spark, opts.input_topic, opts.timestamp_attribute or topics.TIMESTAMP_ATTRIBUTE)
+        return scores.parse_game_events(prepare(lines), keep=keep, attribute_col="attribute_ms")
     if opts.timestamp_attribute:
         lines = stream_messages(spark, opts.input, opts.timestamp_attribute, opts.max_files_per_trigger)
         return scores.parse_game_events(prepare(lines), keep=keep, attribute_col="attribute_ms")
@@ -172,13 +177,21 @@ def leader_board_stream(spark: SparkSession, opts: LeaderBoardOptions, trigger:
 
 
 def person_records_stream(spark: SparkSession, opts: PersonOptions, trigger: str = "10 seconds"):
-    """Q14 (``mode='stream_topics'``): valid people and invalid raw lines to two text topics;
+    """Q14 (``mode='stream_topics'``): valid people and invalid raw lines to two topics (messages, or text folders);
     Q15 (``mode='stream_table'``): valid people's five columns appended to a table."""
+    from rillet.sources import topics
     from rillet.sources.text import stream_lines
     from rillet.streaming import people as people_stream
 
-    lines = stream_lines(spark, opts.input, opts.max_files_per_trigger)
-    if opts.mode == "stream_topics":
+    if opts.input_topic:
+        lines = topics.stream_messages(spark, opts.input_topic)
+    else:
+        lines = stream_lines(spark, opts.input, opts.max_files_per_trigger)
+    if opts.mode == "stream_topics" and opts.output_topic:
+        writer = people_stream.split_to_message_topics(
+            lines, opts.output_topic, opts.invalid_topic or f"{opts.output_topic.rstrip('/')}_invalid",
+            checkpoint_path(opts, opts.mode))
+    elif opts.mode == "stream_topics":
         writer = people_stream.split_to_topics(lines, f"{opts.output}_valid", f"{opts.output}_invalid",
                                                checkpoint_path(opts, opts.mode))
     elif opts.mode == "stream_table":

@@ -25,6 +25,7 @@ from rillet.operators import people as people_ops
 from rillet.operators.scores import parse_game_events
 from rillet.session import materialize, scratch_path
 from rillet.sinks.table import stream_append
+from rillet.sources import topics
 from rillet.sources.derived import game_lines, person_lines
 from rillet.streaming import gamestats, leaderboard, levels
 from rillet.streaming import people as people_stream
@@ -178,13 +179,15 @@ def session_mean_stream(spark, sf_dir):
 
 
 def bio_stream_split(spark, sf_dir):
-    lines, _ = _stage(spark, person_lines(spark, sf_dir), "people")
-    valid_p, invalid_p = scratch_path(spark, "topic-valid"), scratch_path(spark, "topic-invalid")
+    """A topic of person lines, split by one query into a topic of people and one of the other lines."""
+    source, valid, invalid = (scratch_path(spark, f"topic-{k}") for k in ("people", "valid", "invalid"))
     ck = scratch_path(spark, "checkpoint")
-    run_available_now(people_stream.split_to_topics(lines, valid_p, invalid_p, ck))
-    valid = spark.read.text(valid_p).select(F.lit(people_ops.VALID).alias("tag"), "value")
-    invalid = spark.read.text(invalid_p).select(F.lit(people_ops.INVALID).alias("tag"), "value")
-    return valid.unionByName(invalid)
+    topics.send(person_lines(spark, sf_dir).select("value"), source)
+    lines = topics.stream_messages(spark, source)
+    run_available_now(people_stream.split_to_message_topics(lines, valid, invalid, ck))
+    told = [topics.read_messages(spark, t).select(F.lit(tag).alias("tag"), "value")
+            for tag, t in ((people_ops.VALID, valid), (people_ops.INVALID, invalid))]
+    return told[0].unionByName(told[1])
 
 
 def bio_table(spark, sf_dir):

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rillet.operators.people import INVALID, VALID, people, people_text, table_rows, tag_lines
 from rillet.sinks.table import batch_path
+from rillet.sources import topics
 
 
 def split_to_topics(lines: DataFrame, valid_path: str, invalid_path: str, checkpoint: str):
@@ -29,6 +30,23 @@ def split_to_topics(lines: DataFrame, valid_path: str, invalid_path: str, checkp
     return tagged.writeStream.option("checkpointLocation", checkpoint).foreachBatch(publish)
 
 
+def split_to_message_topics(lines: DataFrame, valid_topic: str, invalid_topic: str, checkpoint: str):
+    """One query, two topics of messages: a micro-batch is tagged once and published once to each."""
+    producer = topics.producer_of(lines.sparkSession, checkpoint)
+    tagged = tag_lines(lines)
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            valid = people_text(people(batch.where(F.col("tag") == VALID))).select(F.col("line").alias("value"))
+            topics.send(valid, valid_topic, producer, batch_id)
+            topics.send(batch.where(F.col("tag") == INVALID).select("value"), invalid_topic, producer, batch_id)
+        finally:
+            batch.unpersist()
+
+    return tagged.writeStream.option("checkpointLocation", checkpoint).foreachBatch(publish)
+
+
 def to_table(lines: DataFrame, path: str, checkpoint: str):
     """Valid people's five columns appended to a Parquet table."""
     valid = tag_lines(lines).where(F.col("tag") == VALID).select("value")

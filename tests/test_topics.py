@@ -1,0 +1,160 @@
+"""Topics of messages: publish, read, offsets and commits over restarts and repeated attempts."""
+
+import glob
+import json
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from rillet.model import GameStatsOptions, LeaderBoardOptions, PersonOptions
+from rillet.plans import jobs
+from rillet.session import scratch_path
+from rillet.sources import topics
+from rillet.streaming.runner import run_available_now
+
+M = 60_000
+
+
+def messages(spark, values, attributes=None):
+    return spark.createDataFrame([(None, v, a) for v, a in zip(values, attributes or [None] * len(values))],
+                                 topics.MESSAGE_SCHEMA)
+
+
+def test_messages_come_back_whole(spark):
+    topic = scratch_path(spark, "topic")
+    assert topics.read_messages(spark, topic).count() == 0                 # nothing there yet
+    odd = ["", "two\nlines", '{"value": 1}', "é \x00☃", None, "x" * 1_000_000]
+    df = spark.createDataFrame([(f"k{i}", v, {"a": "1", "b": None} if i % 2 else {}) for i, v in enumerate(odd)],
+                               topics.MESSAGE_SCHEMA)
+    topics.send(df, topic)
+    got = {r.key: (r.value, r.attributes) for r in topics.read_messages(spark, topic).collect()}
+    assert got == {r.key: (r.value, r.attributes) for r in df.collect()}
+    topics.send(df.select("value"), topic)                                 # another producer; no key, no attributes
+    topics.send(df.limit(0), topic)
+    assert topics.read_messages(spark, topic).where("key is null").count() == len(odd)
+
+
+def test_wrong_columns_are_refused(spark):
+    for df in (spark.range(3), spark.createDataFrame([("v", 1)], "value string, extra int")):
+        with pytest.raises(Exception, match="messages have the columns"):
+            topics.send(df, scratch_path(spark, "topic"))
+
+
+def test_a_commit_is_published_once(spark):
+    topic = scratch_path(spark, "topic")
+    for _ in range(3):
+        topics.send(messages(spark, ["a", "b"]), topic, "me", 0)
+    topics.send(messages(spark, ["c"]), topic, "me", 1)
+    assert rows(topics.read_messages(spark, topic).select("value")) == [("a",), ("b",), ("c",)]
+    named = [f for c in glob.glob(f"{topic}/me/commit-*.json") for f in json.load(open(c))["files"]]
+    assert sorted(named) == sorted(os.path.relpath(f, topic) for f in glob.glob(f"{topic}/me/data/*.parquet"))
+
+
+def test_a_failed_write_shows_nothing(spark):
+    topic = scratch_path(spark, "topic")
+
+    def broken(frames):
+        for f in frames:
+            yield f
+        raise RuntimeError("task lost")
+    df = spark.range(100).select(F.col("id").cast("string").alias("value")).repartition(4)
+    with pytest.raises(Exception, match="task lost"):
+        topics.send(df.mapInPandas(broken, "value string"), topic, "me", 0)
+    assert topics.read_messages(spark, topic).count() == 0
+    topics.send(df, topic, "me", 0)
+    assert topics.read_messages(spark, topic).count() == 100
+
+
+def copy(spark, source, target, ck):
+    stream = topics.stream_messages(spark, source).select("value")
+    run_available_now(topics.publish(stream, target, ck))
+
+
+def values(spark, topic):
+    return sorted(r.value for r in topics.read_messages(spark, topic).collect())
+
+
+def test_a_restart_neither_loses_nor_repeats(spark):
+    source, target, ck = (scratch_path(spark, k) for k in ("topic", "topic", "ck"))
+    topics.send(messages(spark, ["a", "b"]), source, "one", 0)
+    copy(spark, source, target, ck)
+    topics.send(messages(spark, ["c"]), source, "one", 1)
+    topics.send(messages(spark, ["d"]), source, "two", 0)                  # a producer the query has not seen
+    copy(spark, source, target, ck)
+    copy(spark, source, target, ck)                                        # nothing new
+    assert values(spark, target) == ["a", "b", "c", "d"]
+    # killed between the topic's commit and the query's: the micro-batch runs again and publishes nothing new
+    last = max(glob.glob(f"{ck}/commits/[0-9]*"), key=lambda p: int(os.path.basename(p)))
+    for path in (last, f"{os.path.dirname(last)}/.{os.path.basename(last)}.crc"):
+        if os.path.exists(path):
+            os.remove(path)
+    topics.send(messages(spark, ["e"]), source, "two", 1)
+    copy(spark, source, target, ck)                                        # what was begun
+    assert values(spark, target) == ["a", "b", "c", "d"]
+    copy(spark, source, target, ck)
+    assert values(spark, target) == ["a", "b", "c", "d", "e"]
+
+
+def test_a_new_checkpoint_is_a_new_producer(spark):
+    source, target = scratch_path(spark, "topic"), scratch_path(spark, "topic")
+    topics.send(messages(spark, ["a"]), source)
+    for _ in range(2):
+        copy(spark, source, target, scratch_path(spark, "ck"))
+    assert values(spark, target) == ["a", "a"]
+    with pytest.raises(Exception, match="producer"):
+        run_available_now(topics.stream_messages(spark, source).select("value").writeStream.format(topics.FORMAT)
+                          .option("path", target).option("checkpointLocation", scratch_path(spark, "ck")))
+
+
+def test_latest_starts_behind_what_is_there(spark):
+    source, target, ck = (scratch_path(spark, k) for k in ("topic", "topic", "ck"))
+    topics.send(messages(spark, ["old"]), source)
+
+    def run():
+        stream = topics.stream_messages(spark, source, starting="latest").select("value")
+        run_available_now(topics.publish(stream, target, ck))
+    run()
+    topics.send(messages(spark, ["new"]), source)
+    run()
+    assert values(spark, target) == ["new"]
+
+
+# -- jobs ----------------------------------------------------------------------------
+
+def settle(queries):
+    for q in queries if isinstance(queries, tuple) else (queries,):
+        try:
+            q.processAllAvailable()
+        finally:
+            q.stop()
+
+
+def test_game_jobs_take_event_time_from_the_topic(spark):
+    topic, out = scratch_path(spark, "topic"), scratch_path(spark, "out")
+    far = 9 * 60 * M
+    said = [(f"a,red,1,{far},x", "1000"), ("b,red,1,2000,x", None), ("c,blue,1,5,x", "2500"), ("s,red,50,3000,x", "soon")]
+    for part in (said, [("z,z,0,0,x", str(3 * 60 * M))]):
+        topics.send(messages(spark, [v for v, _ in part], [t and {"timestamp_ms": t} for _, t in part]), topic)
+        settle(jobs.game_stats_stream(spark, GameStatsOptions(output=out, input_topic=topic), trigger="100 milliseconds"))
+    teams = spark.read.parquet(f"{out}/team_scores")
+    assert rows(teams.where("ws = 0"), "team", "total_score") == [("blue", 1), ("red", 2)]
+    assert rows(spark.read.parquet(f"{out}/spammers").where("ws = 0"), "user", "total_score") == [("s", 50)]
+
+
+def test_person_job_from_topic_to_topics(spark):
+    people, valid = scratch_path(spark, "topic"), scratch_path(spark, "topic")
+    options = PersonOptions(mode="stream_topics", input_topic=people, output_topic=valid)
+    for line in (["Ann,  F,  17,  60,  170", "bad line"], ["Bob,  M,  40,  80,  180"]):
+        topics.send(messages(spark, line), people)
+        settle(jobs.person_records_stream(spark, options, "100 milliseconds"))
+    assert values(spark, valid) == ["Ann, F, 17, 60, 170, true", "Bob, M, 40, 80, 180, false"]
+    assert values(spark, f"{valid}_invalid") == ["bad line"]
+
+
+def test_a_job_needs_an_input_and_an_output():
+    for options in ({"output": "o"}, {"input": "i"}, {"input_topic": "t"}):
+        with pytest.raises(ValueError, match="needs an"):
+            LeaderBoardOptions(**options)
+    assert LeaderBoardOptions("i", "o").input_topic == ""
