@@ -41,10 +41,11 @@ def tag_game_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
 
 
 def parse_game_events(lines: DataFrame, value_col: str = "value", keep: Sequence[str] = (),
-                      attribute_col: str | None = None) -> DataFrame:
+                      attribute_col: str | None = None, counter: str | None = None) -> DataFrame:
     """Parse ``user,team,score,ms[,...]`` lines; bad lines are dropped.
 
     With ``attribute_col`` the event time is that column's (ms; the line's own where it is null).
+    With ``counter`` the plan observes ``n_lines`` and ``n_errors`` under that name, in a batch or a stream.
 
     Output: ``*keep, user, team, score, timestamp_ms, event_time``.  Written as
     a 0-or-1-output flat map (``inline`` of an empty or one-element array)
@@ -52,6 +53,8 @@ def parse_game_events(lines: DataFrame, value_col: str = "value", keep: Sequence
     the projections and re-evaluate the line's expression once per field.
     """
     tagged = tag_game_lines(lines, value_col)
+    if counter:
+        tagged = tagged.observe(counter, F.count(F.lit(1)).alias("n_lines"), F.count_if(~F.col("parse_ok")).alias("n_errors"))
     ms = F.coalesce(attribute_col, "timestamp_ms") if attribute_col else F.col("timestamp_ms")
     row = F.struct(*[F.col(k) for k in keep], "user", "team", "score", ms.alias("timestamp_ms"),
                    event_time_from_ms(ms).alias("event_time"))

@@ -136,18 +136,32 @@ def _processing_time():
     return display_time(F.unix_millis(F.current_timestamp())).alias("processing_time")
 
 
-def _live_events(spark: SparkSession, opts, keep=(), prepare=lambda lines: lines) -> DataFrame:
+def counter_path(opts) -> str:
+    return f"{opts.output.rstrip('/')}_counters"
+
+
+def live_counters(opts) -> dict:
+    """A live game job's counters so far: ``n_lines`` and ``n_errors`` read, for game statistics ``n_spammers`` too."""
+    from rillet.streaming import counters
+
+    return counters.totals(counter_path(opts))
+
+
+def _live_events(spark: SparkSession, opts, keep=(), prepare=lambda lines: lines, counted: bool = True) -> DataFrame:
     """Game events of a live job's input: lines, or messages (of files or a topic) whose event time is an attribute."""
     from rillet.sources import topics
     from rillet.sources.text import stream_lines, stream_messages
+    from rillet.streaming import counters
 
+    counter = counters.metric(counters.listen(spark, counter_path(opts)), "lines") if counted else None
     if opts.input_topic:
         lines = topics.stream_messages(spark, opts.input_topic, opts.timestamp_attribute or topics.TIMESTAMP_ATTRIBUTE)
-        return scores.parse_game_events(prepare(lines), keep=keep, attribute_col="attribute_ms")
+        return scores.parse_game_events(prepare(lines), keep=keep, attribute_col="attribute_ms", counter=counter)
     if opts.timestamp_attribute:
         lines = stream_messages(spark, opts.input, opts.timestamp_attribute, opts.max_files_per_trigger)
-        return scores.parse_game_events(prepare(lines), keep=keep, attribute_col="attribute_ms")
-    return scores.parse_game_events(prepare(stream_lines(spark, opts.input, opts.max_files_per_trigger)), keep=keep)
+        return scores.parse_game_events(prepare(lines), keep=keep, attribute_col="attribute_ms", counter=counter)
+    lines = stream_lines(spark, opts.input, opts.max_files_per_trigger)
+    return scores.parse_game_events(prepare(lines), keep=keep, counter=counter)
 
 
 def leader_board_stream(spark: SparkSession, opts: LeaderBoardOptions, trigger: str = "10 seconds",
@@ -168,7 +182,8 @@ def leader_board_stream(spark: SparkSession, opts: LeaderBoardOptions, trigger:
                                    delay_seconds=opts.watermark_delay_seconds)
     teams = panes.select("team", "total_score", display_time(F.col("ws")).alias("window_start"),
                          _processing_time(), "timing")
-    users = leaderboard.user_panes(events, opts.user_minutes).select("user", "total_score", _processing_time())
+    told = _live_events(spark, opts, counted=False)                    # the same lines: the other query counts them
+    users = leaderboard.user_panes(told, opts.user_minutes).select("user", "total_score", _processing_time())
     q_teams = (stream_append(teams, None, f"{opts.output}/team_panes", checkpoint_path(opts, "teams"), "append")
                .trigger(processingTime=trigger).start())
     q_users = (stream_append(users, None, f"{opts.output}/user_totals", checkpoint_path(opts, "users"), "append")
@@ -212,9 +227,10 @@ def game_stats_stream(spark: SparkSession, opts: GameStatsOptions, trigger: str
     delay = f"{opts.watermark_delay_seconds} seconds"
     sums = gamestats.window_user_team_sums(events, opts.fixed_window_minutes, delay)
     q_spam = (gamestats.spam_outputs(f"{opts.output}/spammers", f"{opts.output}/team_scores",
-                                     checkpoint_path(opts, "spam"), sums, opts.score_weight)
+                                     checkpoint_path(opts, "spam"), sums, opts.score_weight, counters=counter_path(opts))
               .trigger(processingTime=trigger).start())
-    means = gamestats.session_mean_stream(events, opts.session_gap_minutes, opts.user_activity_window_minutes,
+    told = _live_events(spark, opts, counted=False)                    # the same lines: the other query counts them
+    means = gamestats.session_mean_stream(told, opts.session_gap_minutes, opts.user_activity_window_minutes,
                                           delay).select(display_time(F.col("ws")).alias("window_start"),
                                                         "mean_duration", _processing_time())
     q_sessions = (stream_append(means, None, f"{opts.output}/session_means", checkpoint_path(opts, "sessions"))

@@ -10,13 +10,16 @@ aggregate into a fixed-window mean, both in append mode.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillet.functions.times import display_time
 from rillet.model import SCORE_WEIGHT, SESSION_GAP_MINUTES, SESSION_MEAN_WINDOW_MINUTES, TEAM_WINDOW_MINUTES
-from rillet.operators.abuse import spammers_from_sums
+from rillet.operators.abuse import observe_spammers, spammers_from_sums
 from rillet.sinks.table import batch_path
+from rillet.streaming.counters import record
 
 
 def window_user_team_sums(events: DataFrame, window_minutes: int = TEAM_WINDOW_MINUTES,
@@ -28,8 +31,12 @@ def window_user_team_sums(events: DataFrame, window_minutes: int = TEAM_WINDOW_M
 
 
 def spam_outputs(spam_path: str, team_path: str, checkpoint: str, stream: DataFrame,
-                 weight: float = SCORE_WEIGHT, without_user: str | None = None):
-    """Write spammers and spam-free team sums for every closed window, with its start and the processing time."""
+                 weight: float = SCORE_WEIGHT, without_user: str | None = None, counters: str | None = None):
+    """Write spammers and spam-free team sums for every closed window, with its start and the processing time.
+
+    The spammers are found once a micro-batch and read back for the sums.  ``counters`` is a counter
+    folder for their number.
+    """
     shown = [display_time(F.col("ws")).alias("window_start"),
              display_time(F.unix_millis(F.current_timestamp())).alias("processing_time")]
 
@@ -38,8 +45,12 @@ def spam_outputs(spam_path: str, team_path: str, checkpoint: str, stream: DataFr
             batch = batch.where(F.col("user") != without_user)
         batch.persist()
         try:
-            spam = spammers_from_sums(batch, weight)
-            spam.select("*", *shown).write.mode("overwrite").parquet(batch_path(spam_path, batch_id))
+            found, seen = observe_spammers(spammers_from_sums(batch, weight), f"spammers-{uuid.uuid4().hex}")
+            found = found.select("*", *shown)
+            found.write.mode("overwrite").parquet(batch_path(spam_path, batch_id))
+            if counters:
+                record(counters, "spammers", batch_id, seen.get)
+            spam = batch.sparkSession.read.schema(found.schema).parquet(batch_path(spam_path, batch_id))
             clean = batch.join(spam.select("ws", "user"), ["ws", "user"], "left_anti")
             (clean.groupBy("ws", "team").agg(F.sum("score_sum").alias("total_score")).select("*", *shown)
              .write.mode("overwrite").parquet(batch_path(team_path, batch_id)))

@@ -1,0 +1,68 @@
+"""Counters of live jobs against the batch counts, over restarts and repeated micro-batches."""
+
+import time
+
+from conftest import lines_df
+from rillet.model import GameStatsOptions, LeaderBoardOptions, StatefulTeamScoreOptions
+from rillet.operators import abuse, scores
+from rillet.plans import jobs
+from rillet.session import scratch_path
+from rillet.streaming import counters
+
+M = 60_000
+LINES = [["a,red,1,1000,x", "no line", "b,red,1,2000,x", "c,blue,1,2500,x", "s,red,50,3000,x"], ["", "t,red,xx,3500,x"],
+         [f"a,red,1,{70 * M},x", f"b,red,1,{70 * M},x", f"c,red,1,{71 * M},x", f"s,red,99,{70 * M},x", "1,2"],
+         [f"z,z,0,{190 * M},x"]]
+
+
+def settle(queries):
+    for q in queries if isinstance(queries, tuple) else (queries,):
+        try:
+            q.processAllAvailable()
+        finally:
+            q.stop()
+
+
+def await_counts(opts, want, seconds=30):
+    """The listener hears of a micro-batch a moment after it."""
+    end = time.time() + seconds
+    while jobs.live_counters(opts) != want and time.time() < end:
+        time.sleep(0.2)
+    return jobs.live_counters(opts)
+
+
+def test_game_stats_count_errors_and_spammers_over_restarts(spark):
+    src, out = scratch_path(spark, "in"), scratch_path(spark, "out")
+    opts = GameStatsOptions(src, out)
+    for lines in LINES:
+        lines_df(spark, lines).coalesce(1).write.mode("append").text(src)
+        settle(jobs.game_stats_stream(spark, opts, trigger="100 milliseconds"))
+    every = lines_df(spark, [x for part in LINES for x in part])
+    events = scores.parse_game_events(every)
+    want = {"n_lines": every.count(), "n_errors": scores.parse_error_count(every).first().n_errors,
+            "n_spammers": abuse.spammy_users(events).count()}
+    assert want == {"n_lines": 13, "n_errors": 4, "n_spammers": 2}
+    assert await_counts(opts, want) == want
+    assert spark.read.parquet(f"{out}/spammers").count() == want["n_spammers"]
+
+
+def test_lines_of_two_queries_count_once(spark):
+    src, out = scratch_path(spark, "in"), scratch_path(spark, "out")
+    lines_df(spark, LINES[0]).coalesce(1).write.text(src)
+    opts = LeaderBoardOptions(src, out, user_minutes=0)
+    settle(jobs.leader_board_stream(spark, opts, trigger="100 milliseconds")[1])
+    board = StatefulTeamScoreOptions(src, scratch_path(spark, "out"), 100)
+    settle(jobs.stateful_team_score_stream(spark, board, trigger="100 milliseconds"))
+    assert await_counts(board, {"n_lines": 5, "n_errors": 1}) == {"n_lines": 5, "n_errors": 1}
+    for q in spark.streams.active:
+        q.stop()
+    assert jobs.live_counters(opts).get("n_lines", 0) in (0, 5)
+
+
+def test_a_repeated_batch_replaces_its_counts(tmp_path):
+    path = str(tmp_path / "counts")
+    assert counters.totals(path) == {}
+    for batch, n in ((0, 3), (1, 4), (1, 4), (2, 5), (2, 7)):
+        counters.record(path, "q", batch, {"n": n, "none": None})
+    counters.record(path, "other", 0, {"n": 100})
+    assert counters.totals(path) == {"n": 114, "none": 0}
