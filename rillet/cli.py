@@ -33,6 +33,7 @@ STREAM = {
     "leader_board": (jobs.leader_board_stream, model.LeaderBoardOptions),
     "game_stats_stream": (jobs.game_stats_stream, model.GameStatsOptions),
     "stateful_team_score_stream": (jobs.stateful_team_score_stream, model.StatefulTeamScoreOptions),
+    "windowed_word_count_stream": (jobs.windowed_word_count_stream, model.WindowedWordCountOptions),
     "person_records_stream": (jobs.person_records_stream, model.PersonOptions),
 }
 

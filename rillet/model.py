@@ -102,8 +102,13 @@ class WindowedWordCountOptions:
     window_minutes: int = WORD_WINDOW_MINUTES
     min_timestamp_ms: int | None = None     # default: now
     max_timestamp_ms: int | None = None     # default: min + 1 hour
-    num_shards: int | None = None
+    num_shards: int | None = None           # stream: 3 if not given
     seed: int = 0
+    watermark_delay_seconds: int = 0        # stream: lines this late still count
+    input_topic: str = ""                   # stream: a topic of messages with their event time as an attribute
+    timestamp_attribute: str = ""
+    max_files_per_trigger: int | None = None
+    checkpoint: str = ""
 
 
 @dataclass(frozen=True)
@@ -196,3 +201,4 @@ class ExternalProgramOptions:
     passes: int = 2              # the program is applied this many times in a row
     timeout_sec: float = 3600.0
     per_row: bool = False
+    framed: bool = False         # the program speaks frames: 0..n values per row from one run per partition

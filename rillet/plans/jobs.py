@@ -128,7 +128,7 @@ def person_records(spark: SparkSession, opts: PersonOptions) -> None:
 # input file read once, each micro-batch's folder written once.
 
 def checkpoint_path(opts, query: str) -> str:
-    output = opts.output or opts.output_topic
+    output = opts.output or getattr(opts, "output_topic", "")
     return f"{opts.checkpoint or output.rstrip('/') + '_checkpoint'}/{query}"
 
 
@@ -164,31 +164,46 @@ def _live_events(spark: SparkSession, opts, keep=(), prepare=lambda lines: lines
     return scores.parse_game_events(prepare(lines), keep=keep, counter=counter)
 
 
-def leader_board_stream(spark: SparkSession, opts: LeaderBoardOptions, trigger: str = "10 seconds",
-                        user_trigger: str | None = None):
-    """Q7 + Q8 live: one text-file stream of game lines feeding two queries.
+def leader_board_stream(spark: SparkSession, opts: LeaderBoardOptions, trigger: str = "10 seconds"):
+    """Q7 + Q8 live: one query that reads and parses its input once and keeps both boards.
 
-    Teams: exact early/on-time/late panes per hourly window, appended to
-    ``<output>/team_panes`` with the window start, timing and processing time.
-    Users: the global-window running totals, each user's ``user_minutes`` after the first row not yet
-    told, appended to ``<output>/user_totals`` with the processing time.
+    Teams: exact early/on-time/late panes per hourly window, appended to ``<output>/team_panes`` with the
+    window start, timing and processing time.  Users: the global-window running totals, each user's
+    ``user_minutes`` after the first row not yet told, appended to ``<output>/user_totals`` with the
+    processing time.
     """
-    from rillet.sinks.table import stream_append
     from rillet.streaming import leaderboard
 
-    events = _live_events(spark, opts)
-    panes = leaderboard.team_panes(events, opts.team_window_minutes, opts.allowed_lateness_minutes,
-                                   opts.early_minutes, opts.late_minutes,
-                                   delay_seconds=opts.watermark_delay_seconds)
-    teams = panes.select("team", "total_score", display_time(F.col("ws")).alias("window_start"),
-                         _processing_time(), "timing")
-    told = _live_events(spark, opts, counted=False)                    # the same lines: the other query counts them
-    users = leaderboard.user_panes(told, opts.user_minutes).select("user", "total_score", _processing_time())
-    q_teams = (stream_append(teams, None, f"{opts.output}/team_panes", checkpoint_path(opts, "teams"), "append")
-               .trigger(processingTime=trigger).start())
-    q_users = (stream_append(users, None, f"{opts.output}/user_totals", checkpoint_path(opts, "users"), "append")
-               .trigger(processingTime=user_trigger or trigger).start())
-    return q_teams, q_users
+    board = leaderboard.leader_board(_live_events(spark, opts), opts.team_window_minutes, opts.allowed_lateness_minutes,
+                                     opts.early_minutes, opts.late_minutes, opts.user_minutes,
+                                     delay_seconds=opts.watermark_delay_seconds)
+    return (leaderboard.board_outputs(board, f"{opts.output}/team_panes", f"{opts.output}/user_totals",
+                                      checkpoint_path(opts, "board"))
+            .trigger(processingTime=trigger).start())
+
+
+def windowed_word_count_stream(spark: SparkSession, opts: WindowedWordCountOptions, trigger: str = "10 seconds"):
+    """Q4 live: word counts per window, written as ``num_shards`` text files when the watermark passes the window.
+
+    A line's event time is its message's attribute, or the time it is read.
+    """
+    from rillet.sinks.windows import stream_per_window
+    from rillet.sources import topics
+    from rillet.sources.text import stream_lines, stream_messages
+
+    if opts.input_topic or opts.timestamp_attribute:
+        name = opts.timestamp_attribute or topics.TIMESTAMP_ATTRIBUTE
+        lines = topics.stream_messages(spark, opts.input_topic, name) if opts.input_topic else \
+            stream_messages(spark, opts.input, name, opts.max_files_per_trigger)
+        at = F.coalesce(F.timestamp_millis("attribute_ms"), F.current_timestamp())
+    else:
+        lines, at = stream_lines(spark, opts.input, opts.max_files_per_trigger), F.current_timestamp()
+    lines = lines.select("value", at.alias("event_time")).withWatermark("event_time", f"{opts.watermark_delay_seconds} seconds")
+    toks = words.tokenize(lines, keep=["event_time"])
+    counts = words.count_words(toks, [F.window("event_time", f"{opts.window_minutes} minutes").alias("window")])
+    out = counts.select("window", F.concat(F.col("word"), F.lit(": "), F.col("cnt").cast("string")).alias("line"))
+    return (stream_per_window(out, opts.output, checkpoint_path(opts, "windows"), opts.num_shards or 3)
+            .trigger(processingTime=trigger).start())
 
 
 def person_records_stream(spark: SparkSession, opts: PersonOptions, trigger: str = "10 seconds"):
@@ -266,6 +281,6 @@ def external_program(spark: SparkSession, opts: ExternalProgramOptions) -> None:
         rows = spark.range(opts.n_rows).select(F.col("id").cast("string").alias("key"),
                                                F.col("id").cast("string").alias("value"))
     for _ in range(opts.passes):
-        rows = (external.run_per_row(rows, opts.command, opts.timeout_sec) if opts.per_row
-                else external.pipe_values(rows, opts.command, opts.timeout_sec))
+        through = external.run_per_row if opts.per_row else external.exchange_frames if opts.framed else external.pipe_values
+        rows = through(rows, opts.command, opts.timeout_sec)
     text_sink.write_text(rows.select(F.concat_ws(",", "key", "value").alias("line")), opts.output)

@@ -27,6 +27,8 @@ from pyspark.sql.datasource import (
     InputPartition, WriterCommitMessage,
 )
 
+from rillet.functions.files import is_file, open_folder, put, read_bytes, remove
+
 FORMAT = "message_folder"
 MESSAGE_SCHEMA = "key string, value string, attributes map<string, string>"
 #: Fixed value: the attribute that holds a message's event time.
@@ -40,14 +42,13 @@ class _Folder:
         from pyarrow import fs
 
         self._files = fs
-        self.fs, self.root = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
-        self.root = self.root.rstrip("/")
+        self.fs, self.root = open_folder(path)
 
     def _commit(self, producer: str, number: int) -> str:
         return f"{self.root}/{producer}/commit-{number:012d}.json"
 
     def _exists(self, path: str) -> bool:
-        return self.fs.get_file_info(path).type == self._files.FileType.File
+        return is_file(self.fs, path)
 
     def offsets(self, known: dict) -> dict:
         """Commits of each producer; one known before is only looked at from there on."""
@@ -70,8 +71,8 @@ class _Folder:
         out = []
         for producer, last in sorted(end.items()):
             for number in range(start.get(producer, 0), last):
-                with self.fs.open_input_stream(self._commit(producer, number)) as f:
-                    out += [_File(f"{self.root}/{x}") for x in json.loads(f.read())["files"]]
+                named = json.loads(read_bytes(self.fs, self._commit(producer, number)))["files"]
+                out += [_File(f"{self.root}/{x}") for x in named]
         return out
 
     def stage(self, producer: str, batches) -> _Staged:
@@ -106,18 +107,14 @@ class _Folder:
         if self._exists(target):
             self.discard(staged)
             return False
-        self.fs.create_dir(f"{self.root}/{producer}", recursive=True)
-        temporary = f"{self.root}/{producer}/.{uuid.uuid4().hex}.tmp"
-        with self.fs.open_output_stream(temporary) as f:
-            f.write(json.dumps({"files": [x.name for x in staged if x and x.name],
-                                "rows": sum(x.rows for x in staged if x)}).encode())
-        self.fs.move(temporary, target)
+        put(self.fs, target, json.dumps({"files": [x.name for x in staged if x and x.name],
+                                         "rows": sum(x.rows for x in staged if x)}).encode())
         return True
 
     def discard(self, staged: list) -> None:
         for x in staged:
-            if x and x.name and self._exists(f"{self.root}/{x.name}"):
-                self.fs.delete_file(f"{self.root}/{x.name}")
+            if x and x.name:
+                remove(self.fs, f"{self.root}/{x.name}")
 
     def read(self, path: str):
         import pyarrow.parquet as pq

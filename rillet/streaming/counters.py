@@ -18,30 +18,26 @@ from pathlib import PurePosixPath
 from pyspark.sql import SparkSession
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
+from rillet.functions.files import is_file, open_folder, put, read_bytes
+
 
 class _Store:
     def __init__(self, path: str):
-        from pyarrow import fs
-
-        self._kind = fs
-        self.fs, self.root = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+        self.fs, self.root = open_folder(path)
 
     def load(self, name: str) -> dict:
         path = f"{self.root}/{name}.json"
-        if self.fs.get_file_info(path).type != self._kind.FileType.File:
+        if not is_file(self.fs, path):
             return {"batch": -1, "before": {}, "total": {}}
-        with self.fs.open_input_stream(path) as f:
-            return json.loads(f.read())
+        return json.loads(read_bytes(self.fs, path))
 
     def save(self, name: str, state: dict) -> None:
-        self.fs.create_dir(self.root, recursive=True)
-        temporary = f"{self.root}/.{uuid.uuid4().hex}.tmp"
-        with self.fs.open_output_stream(temporary) as f:
-            f.write(json.dumps(state).encode())
-        self.fs.move(temporary, f"{self.root}/{name}.json")
+        put(self.fs, f"{self.root}/{name}.json", json.dumps(state).encode())
 
     def names(self) -> list[str]:
-        found = self.fs.get_file_info(self._kind.FileSelector(self.root, allow_not_found=True))
+        from pyarrow.fs import FileSelector
+
+        found = self.fs.get_file_info(FileSelector(self.root, allow_not_found=True))
         return [PurePosixPath(x.path).stem for x in found if x.path.endswith(".json")]
 
 

@@ -21,6 +21,7 @@ from rillet.model import (
     ALLOWED_LATENESS_MINUTES, EARLY_FIRING_MINUTES, LATE_FIRING_MINUTES, TEAM_WINDOW_MINUTES,
 )
 from rillet.operators.panes import INF, PaneMachine
+from rillet.sinks.table import batch_path
 
 
 def user_totals(events: DataFrame) -> DataFrame:
@@ -210,6 +211,90 @@ def user_panes(events: DataFrame, delay_minutes: float = LATE_FIRING_MINUTES) ->
     return keyed.groupBy("user").applyInPandasWithState(step, USER_OUT, USER_STATE, "append", timers)
 
 
+TEAM, USER = "team", "user"
+BOARD_OUT = T.StructType([T.StructField("kind", T.StringType()), T.StructField("name", T.StringType()),
+                          *PANE_OUT.fields[1:]])
+BOARD_STATE = T.StructType([*PANE_STATE.fields, T.StructField("deadline", T.LongType())])
+
+
+class _Part:
+    """A group state as one of the two steps sees it: the fields of its own."""
+
+    def __init__(self, state: GroupState, fields: tuple):
+        self._state, self._fields = state, fields
+
+    def __getattr__(self, name):
+        return getattr(self._state, name)
+
+    @property
+    def get(self) -> tuple:
+        held = dict(zip(BOARD_STATE.names, self._state.get))
+        return tuple(held[f] for f in self._fields)
+
+    def update(self, values: tuple) -> None:
+        held = dict(zip(self._fields, values))
+        self._state.update(tuple(held.get(f) for f in BOARD_STATE.names))
+
+
+def leader_board(events: DataFrame, window_minutes: int = TEAM_WINDOW_MINUTES,
+                 lateness_minutes: int = ALLOWED_LATENESS_MINUTES, early_minutes: int = EARLY_FIRING_MINUTES,
+                 late_minutes: int = LATE_FIRING_MINUTES, user_minutes: float = LATE_FIRING_MINUTES,
+                 poll_ms: int = 60_000, delay_seconds: int = 0) -> DataFrame:
+    """Both leader boards from one reading of ``events``: ``kind, name, ws, timing, total_score, processing_ms``.
+
+    Each row goes to its team's window and to its user (``ws`` -1) as a key of one stateful operator, so the
+    input is read and parsed once and one checkpoint holds both.  Steps and timers are those of
+    ``team_panes`` and ``user_panes``.
+    """
+    wms, user_ms = window_minutes * 60_000, int(user_minutes * 60_000)
+    delays = (lateness_minutes * 60_000, early_minutes * 60_000, late_minutes * 60_000)
+    rows = events.select("team", "user", F.col("score").cast("bigint").alias("score"),
+                         floor_ms(F.col("timestamp_ms"), wms).alias("ws"), "event_time")
+
+    def sums(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in frames:
+            for kind, part in ((TEAM, f), (USER, f.assign(ws=-1))):
+                found = part.groupby([kind, "ws"], as_index=False, dropna=False).agg({"score": "sum", "event_time": "max"})
+                yield found.rename(columns={kind: "name"}).assign(kind=kind)[["kind", "name", "ws", "score", "event_time"]]
+
+    # hot teams and users are summed before the shuffle
+    keyed = rows.mapInPandas(sums, "kind string, name string, ws bigint, score bigint, event_time timestamp") \
+        .withWatermark("event_time", f"{delay_seconds} seconds")
+
+    def step(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        kind, name, ws = key
+        if kind == TEAM:
+            panes = pane_step(int(ws) + wms, delays, pdfs, _Part(state, tuple(PANE_STATE.names)), poll_ms)
+        else:
+            fired = user_step(user_ms, pdfs, _Part(state, tuple(USER_STATE.names)))
+            panes = [(None, *fired)] if fired else []
+        if panes:
+            yield pd.DataFrame({"kind": [kind] * len(panes), "name": [name] * len(panes), "ws": [int(ws)] * len(panes),
+                                "timing": [x[0] for x in panes], "total_score": [int(x[1]) for x in panes],
+                                "processing_ms": [int(x[2]) for x in panes]})
+
+    return keyed.groupBy("kind", "name", "ws").applyInPandasWithState(
+        step, BOARD_OUT, BOARD_STATE, "append", GroupStateTimeout.ProcessingTimeTimeout)
+
+
+def board_outputs(board: DataFrame, team_path: str, user_path: str, checkpoint: str):
+    """Team panes and user totals of ``leader_board``, each micro-batch written once to a folder of its own in both."""
+    shown = display_time(F.unix_millis(F.current_timestamp())).alias("processing_time")
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            teams = batch.where(F.col("kind") == TEAM).select(
+                F.col("name").alias("team"), "total_score", display_time(F.col("ws")).alias("window_start"), shown, "timing")
+            users = batch.where(F.col("kind") == USER).select(F.col("name").alias("user"), "total_score", shown)
+            for part, path in ((teams, team_path), (users, user_path)):
+                part.write.mode("overwrite").parquet(batch_path(path, batch_id))
+        finally:
+            batch.unpersist()
+
+    return board.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(per_batch)
+
+
 def with_display_window(df: DataFrame) -> DataFrame:
     return df.select(display_time(F.unix_millis(F.col("window.start"))).alias("window_start"),
                      *[c for c in df.columns if c != "window"])

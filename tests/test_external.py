@@ -63,3 +63,55 @@ def test_timeout_fails_the_row_task(spark):
     df = spark.createDataFrame([("k", "v")], "key string, value string")
     with pytest.raises(Exception, match="(?i)timeout|timed out"):
         external.pipe_values(df, ("sh", "-c", "sleep 5; cat"), timeout_sec=0.5).collect()
+
+
+# a program of the framed kind: answers a value's words, upper-cased
+FRAMES = """
+import sys
+i, o = sys.stdin.buffer, sys.stdout.buffer
+while line := i.readline():
+    value = i.read(int(line)).decode()
+    %s
+    words = [w.upper().encode() for w in value.split(" ") if w]
+    o.write(b"%%d\\n" %% len(words) + b"".join(b"%%d\\n" %% len(w) + w for w in words))
+    o.flush()
+"""
+
+
+def framed(extra="pass"):
+    import sys
+    return (sys.executable, "-c", FRAMES % extra)
+
+
+def test_frames_answer_any_number_of_values(spark):
+    data = [("a", "one"), ("b", ""), ("c", "x y\nz  w"), ("d", None), ("e", "é\x1e \u2028\x00"), ("f", "w " * 50_000)]
+    df = spark.createDataFrame(data, "key string, value string").coalesce(1)
+    got = [tuple(r) for r in external.exchange_frames(df, framed()).collect()]
+    want = [(k, None) if v is None else (k, w.upper()) for k, v in data for w in ([None] if v is None else v.split(" ")) if w != ""]
+    assert got == want
+    assert external.exchange_frames(df.limit(0), framed()).count() == 0
+
+
+def test_frames_run_the_program_once_per_partition_with_few_rows_under_way(spark):
+    df = spark.range(20_000).selectExpr("cast(id as string) key", "concat('v', id) value").repartition(2)
+    counter = "global_n = globals().get('global_n', 0) + 1; globals().update(global_n=global_n); value = str(global_n)"
+    out = external.exchange_frames(df, framed(counter), window=3)
+    assert out.selectExpr("max(cast(value as int))").first()[0] > 9_000 and out.count() == 20_000
+
+
+@pytest.mark.parametrize("extra, said", [
+    ("import time; value == 'bad' and time.sleep(60)", "key 'k7'.*no answer in 2"),
+    ("value == 'bad' and sys.exit(3)", "key 'k7'.*it ended"),
+    ("value == 'bad' and o.write(b'many\\n')", "key 'k7'.*no number"),
+    ("value == 'bad' and o.write(b'1\\n5\\nabc') and o.flush() is None and sys.exit(0)", "key 'k7'.*within a value"),
+])
+def test_frames_name_the_row_that_fails(spark, extra, said):
+    df = spark.createDataFrame([(f"k{i}", "bad" if i == 7 else "v") for i in range(20)], "key string, value string").coalesce(1)
+    with pytest.raises(Exception, match=said):
+        external.exchange_frames(df, framed(extra), timeout_sec=2.0).collect()
+
+
+def test_frames_of_a_program_that_fails_at_its_end(spark):
+    df = spark.createDataFrame([("k", "v")], "key string, value string")
+    with pytest.raises(Exception, match="exited 5|key 'k'"):
+        external.exchange_frames(df, (*framed()[:2], framed()[2] + "\nsys.exit(5)")).collect()

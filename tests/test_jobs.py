@@ -120,8 +120,7 @@ def test_live_leader_board_job(spark):
     spark.createDataFrame([(x,) for x in GOOD + ["late,BananaEmu,5,1447965690000,x"]], "value string") \
         .coalesce(1).write.text(src)
     out = scratch_path(spark, "lb-out")
-    q_teams, q_users = jobs.leader_board_stream(spark, LeaderBoardOptions(src, out, user_minutes=0), trigger="200 milliseconds",
-                                                user_trigger="200 milliseconds")
+    query = jobs.leader_board_stream(spark, LeaderBoardOptions(src, out, user_minutes=0), trigger="200 milliseconds")
     try:
         deadline = time.time() + 90
         while time.time() < deadline:
@@ -132,8 +131,7 @@ def test_live_leader_board_job(spark):
                 pass
             time.sleep(0.5)
     finally:
-        q_teams.stop()
-        q_users.stop()
+        query.stop()
     users = spark.read.parquet(out + "/user_totals")
     assert set(users.columns) == {"user", "total_score", "processing_time", "batch_id"}
     assert users.where("user = 'user7_AndroidGreenKookaburra'").first().total_score == 23

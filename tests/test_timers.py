@@ -1,5 +1,7 @@
 """Leader board timers: user deadlines in processing time, window ends in event time, over restarts."""
 
+import glob
+import os
 import time
 
 import pandas as pd
@@ -128,17 +130,49 @@ def test_user_deadlines_go_on_over_a_restart(spark):
 def test_the_job_waits_for_the_deadline(spark):
     src, out = scratch_path(spark, "in"), scratch_path(spark, "out")
     add(spark, src, ["a,red,1,1000,x"])
-    queries = jobs.leader_board_stream(spark, LeaderBoardOptions(src, out), trigger="200 milliseconds")
+    query = jobs.leader_board_stream(spark, LeaderBoardOptions(src, out), trigger="200 milliseconds")
     try:
         end = time.time() + 30
-        while time.time() < end and not any(p["numInputRows"] for p in queries[1].recentProgress):
+        while time.time() < end and not any(p["numInputRows"] for p in query.recentProgress):
             time.sleep(0.1)
         time.sleep(1)
         assert spark.read.schema("user string").option("recursiveFileLookup", "true").parquet(f"{out}/user_totals").count() == 0
     finally:
-        for q in queries:
+        query.stop()
+
+def test_both_boards_from_one_reading(spark):
+    """Input rows are counted once, and a micro-batch that runs again writes both outputs once."""
+    src, out, ck = (scratch_path(spark, k) for k in ("in", "out", "ck"))
+    t = 6000 * M
+
+    def run():
+        lines = spark.readStream.schema("value string").text(src)
+        board = leaderboard.leader_board(parse_game_events(lines), 60, 120, 0, 0, 0, poll_ms=100)
+        q = leaderboard.board_outputs(board, f"{out}/teams", f"{out}/users", ck).trigger(processingTime="100 milliseconds").start()
+        try:
+            q.processAllAvailable()
+            return [p for p in q.recentProgress if p["numInputRows"]]
+        finally:
             q.stop()
 
+    add(spark, src, [f"a,red,1,{t},x", f"b,red,2,{t},x", "no line"])
+    assert [p["numInputRows"] for p in run()] == [3]
+    add(spark, src, [f"a,blue,4,{t + 61 * M},x"])
+    assert [p["numInputRows"] for p in run()] == [1]
+    commits = [p for p in glob.glob(f"{ck}/commits/*") if os.path.basename(p).isdigit()]
+    for p in (last := max(commits, key=lambda p: int(os.path.basename(p))), f"{ck}/commits/.{os.path.basename(last)}.crc"):
+        if os.path.exists(p):
+            os.remove(p)                                   # the query was killed before its commit
+    run()
+    users = spark.read.parquet(f"{out}/users").orderBy("batch_id")
+    assert [(r.user, r.total_score) for r in users.where("user = 'a'").collect()] == [("a", 1), ("a", 5)]
+    assert rows(users.where("user = 'b'"), "total_score") == [(2,)]
+    teams = spark.read.parquet(f"{out}/teams").orderBy("batch_id")
+    assert [(r.timing, r.total_score) for r in teams.where("team = 'red'").collect()] == [("EARLY", 3), ("ON_TIME", 3)]
+    assert rows(teams.where("team = 'blue'"), "timing", "total_score") == [("EARLY", 4)]
+
+
+
 
 # -- windows -------------------------------------------------------------------------
 
