@@ -255,17 +255,15 @@ def game_stats_stream(spark: SparkSession, opts: GameStatsOptions, trigger: str
 
 def stateful_team_score_stream(spark: SparkSession, opts: StatefulTeamScoreOptions, trigger: str = "10 seconds"):
     """Q12 live: (team, total) whenever a team's running total passes a multiple
-    of the threshold; keyed state per team.  Lines may carry a trailing event id
+    of the threshold; the running totals are a table per micro-batch.  Lines may carry a trailing event id
     (used to order rows of one micro-batch); otherwise the event time alone orders them."""
-    from rillet.sinks.table import stream_append
     from rillet.streaming import levels
 
     parts = F.split("value", ",", -1)
     event_id = F.when(F.size(parts) > 5, F.element_at(parts, -1).try_cast("bigint")).otherwise(F.lit(0).cast("bigint"))
     events = _live_events(spark, opts, ("event_id",), lambda lines: lines.withColumn("event_id", event_id))
-    crossings = levels.level_crossings(events, opts.threshold).select(
-        "team", "event_id", "total_score", _processing_time())
-    return (stream_append(crossings, None, opts.output, checkpoint_path(opts, "levels"))
+    return (levels.crossings_sink(events, opts.output, f"{opts.output.rstrip('/')}_totals", checkpoint_path(opts, "levels"),
+                                  opts.threshold, shown=[_processing_time()])
             .trigger(processingTime=trigger).start())
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from rillet.functions.times import display_time
 from rillet.operators import people as people_ops
 from rillet.operators.scores import parse_game_events
-from rillet.session import materialize, scratch_path
+from rillet.session import scratch_path
 from rillet.sinks.table import stream_append
 from rillet.sources import topics
 from rillet.sources.derived import game_lines, person_lines
@@ -87,7 +87,10 @@ def _run_by_arrival(spark: SparkSession, sf_dir: str, kind: str, build_writer, w
     lo, hi = lines.agg(F.min("arrival_ms"), F.max("arrival_ms")).first()
     value = F.concat_ws(",", "value", F.col("event_id").cast("string")) if with_ids else F.col("value")
     part = F.expr(f"(arrival_ms - {lo or 0}L) * {ARRIVAL_PARTS} div {(hi or 0) - (lo or 0) + 1}L")
-    staged = materialize(lines.select(value.alias("value"), part.alias("part")), f"{kind}-lines")
+    # stored by part, so that each part reads its own files only
+    store = scratch_path(spark, f"{kind}-lines")
+    lines.select(value.alias("value"), part.cast("int").alias("part")).write.partitionBy("part").parquet(store)
+    staged = spark.read.schema("value string, part int").parquet(store)
     path, session = scratch_path(spark, f"{kind}-input"), _stream_session(spark)
     for k in range(ARRIVAL_PARTS):
         staged.where(F.col("part") == k).select("value").write.mode("append").text(path)
@@ -134,9 +137,9 @@ def leaderboard_user_live_panes(spark, sf_dir):
 
 
 def team_level_crossings_stream(spark, sf_dir):
-    out, ck = scratch_path(spark, "levels-out"), scratch_path(spark, "checkpoint")
-    _run_by_arrival(spark, sf_dir, "levels", lambda lines: stream_append(
-        levels.level_crossings(_parse_with_id(lines), 5000), None, out, ck, "append"), with_ids=True)
+    out, totals, ck = (scratch_path(spark, k) for k in ("levels-out", "levels-totals", "checkpoint"))
+    _run_by_arrival(spark, sf_dir, "levels", lambda lines: levels.crossings_sink(
+        _parse_with_id(lines), out, totals, ck, 5000), with_ids=True)
     return spark.read.parquet(out).select("team", "event_id", "total_score")
 
 

@@ -1,8 +1,12 @@
-"""Level crossings on a stream: keyed state holding each team's running total.
+"""Level crossings on a stream: each team's running total, kept from micro-batch to micro-batch.
 
 Within a micro-batch a team's rows are applied in (event time, event id)
-order; across batches in arrival order, as a stream must.  A team's rows of one
-micro-batch are held together to be ordered, so bound the batch at the source.
+order; across batches in arrival order, as a stream must.
+
+* ``crossings_sink``: the totals are a small table per micro-batch, and a micro-batch is a
+  batch scan (``ordered.running_sum``), so a hot team's rows are spread over many tasks.
+* ``level_crossings``: the same with keyed state, as a plain stream; a team's rows of one
+  micro-batch are held together to be ordered, so bound the batch at the source.
 """
 
 from __future__ import annotations
@@ -11,11 +15,15 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from rillet.model import LEVEL_THRESHOLD
+from rillet.operators.levels import crossed
+from rillet.operators.ordered import DEFAULT_CHUNK_MS, DEFAULT_TARGET_ROWS, running_sum
+from rillet.sinks.table import batch_path
 
 LEVEL_STATE = T.StructType([T.StructField("total", T.LongType())])
 
@@ -48,3 +56,37 @@ def level_crossings(events: DataFrame, threshold: int = LEVEL_THRESHOLD,
 
     return (events.select(*keys, "event_id", "timestamp_ms", "score").groupBy(*keys)
             .applyInPandasWithState(step, out_schema, LEVEL_STATE, "append", GroupStateTimeout.NoTimeout))
+
+
+def crossings_sink(events: DataFrame, path: str, totals_path: str, checkpoint: str, threshold: int = LEVEL_THRESHOLD,
+                   keys: Sequence[str] = ("team",), shown: Sequence[Column] = (), chunk_ms: int = DEFAULT_CHUNK_MS,
+                   target_rows: int | None = DEFAULT_TARGET_ROWS):
+    """A writer of ``*keys, event_id, total_score, *shown`` to a folder per micro-batch (start it yourself).
+
+    A micro-batch reads the totals that the one before it left (one row per key), adds its own running
+    sums and leaves the new totals.  Both folders are its own, so one that runs again replaces them.
+    """
+    keys = list(keys)
+    totals_type = T.StructType([events.schema[k] for k in keys] + [T.StructField("total", T.LongType())])
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        batch.persist()
+        try:
+            before = spark.read.schema(totals_type).parquet(batch_path(totals_path, batch_id - 1)) if batch_id else \
+                spark.createDataFrame([], totals_type)
+            base = before.withColumnRenamed("total", "_base")
+            runs = running_sum(batch, keys, ["timestamp_ms", "event_id"], "score", "timestamp_ms", "_run", chunk_ms,
+                               target_rows)
+            total = (F.coalesce("_base", F.lit(0)) + F.col("_run")).cast("bigint")
+            runs = runs.join(base, keys, "left").withColumn("total_score", total)
+            runs.where(crossed("total_score", "score", threshold)).select(*keys, "event_id", "total_score", *shown) \
+                .write.mode("overwrite").parquet(batch_path(path, batch_id))
+            added = batch.select(*keys, F.col("score").cast("bigint").alias("total"))
+            before.unionByName(added).groupBy(*keys).agg(F.sum("total").alias("total")) \
+                .write.mode("overwrite").parquet(batch_path(totals_path, batch_id))
+        finally:
+            batch.unpersist()
+
+    return (events.select(*keys, "event_id", "timestamp_ms", "score").writeStream.outputMode("append")
+            .option("checkpointLocation", checkpoint).foreachBatch(per_batch))

@@ -2,10 +2,12 @@
 
 import glob
 import os
+import random
 import time
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import lines_df, rows
 from rillet.model import LeaderBoardOptions
@@ -222,3 +224,39 @@ def test_panes_of_parts_end_with_available_now(spark):
     red = spark.read.parquet(out).where("team = 'red'").orderBy("batch_id")
     assert [(r.timing, r.total_score) for r in red.collect()] == [
         ("EARLY", 3), ("EARLY", 6), ("ON_TIME", 6), ("LATE", 10)]           # the last row is beyond the lateness
+
+
+# -- levels --------------------------------------------------------------------------
+
+def test_level_totals_go_on_from_batch_to_batch_and_repeat_once(spark):
+    from rillet.streaming import levels
+
+    src, out, totals, ck = (scratch_path(spark, k) for k in ("in", "out", "totals", "ck"))
+
+    def run():
+        lines = spark.readStream.schema("value string").text(src)
+        events = parse_game_events(lines.withColumn("event_id", F.element_at(F.split("value", ","), -1).cast("bigint")),
+                                   keep=("event_id",))
+        run_available_now(levels.crossings_sink(events, out, totals, ck, 100, chunk_ms=1000, target_rows=20))
+
+    rng = random.Random(4)
+    parts = [[("hot" if rng.random() < 0.8 else f"t{rng.randrange(3)}", rng.randrange(-20, 60), rng.choice([0, 0, 0, 1, 2500, 9000]), i)
+              for i in range(k * 200, k * 200 + 200)] for k in range(3)]            # most of a team's rows at one instant
+    parts.insert(2, [])
+    for part in parts:
+        add(spark, src, [f"u,{team},{score},{ms},{i}" for team, score, ms, i in part] or ["no line"])
+        run()
+    commits = [p for p in glob.glob(f"{ck}/commits/*") if os.path.basename(p).isdigit()]
+    last = max(commits, key=lambda p: int(os.path.basename(p)))
+    for p in (last, f"{ck}/commits/.{os.path.basename(last)}.crc"):
+        if os.path.exists(p):
+            os.remove(p)
+    run()
+    want, held = [], {}
+    for part in parts:
+        for team, score, ms, i in sorted(part, key=lambda x: (x[2], x[3])):
+            old = held.get(team, 0)
+            held[team] = old + score
+            if int(old / 100) < int(held[team] / 100):
+                want.append((i, held[team], team))
+    assert rows(spark.read.parquet(out), "event_id", "total_score", "team") == sorted(want) and len(want) > 20
