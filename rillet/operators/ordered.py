@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rillet.session import materialize
+
 # Cell length: the summary holds one row per (key, cell with rows), and a
 # cell with more than DEFAULT_TARGET_ROWS rows is sliced, so no task holds
 # much more than that many rows of one key whatever the data volume.
@@ -32,38 +34,59 @@ def _with_chunks(rows: DataFrame, keys: list[str], ts_col: str, chunk_ms: int,
                  target_rows: int | None, tiebreak: str | None = None) -> DataFrame:
     """Add ``_chunk``: time cells of ``chunk_ms``, and heavy cells cut into sub-chunks.
 
-    A cell (key, time cell) with n > ``target_rows`` rows is cut into
-    ceil(n / target) equal slices of its observed time span, so a key that
-    is hot inside one cell is spread too.  Chunk ids grow with time within a
+    A cell (key, time cell) with n > ``target_rows`` rows is cut into about n / target slices,
+    so a key that is hot inside one cell is spread too.  Chunk ids grow with time within a
     key.  The heavy cells are found by a partial-aggregated count; there are
-    at most total rows / target of them, so that table stays small (AQE
-    broadcasts it; with none, the join is removed).
+    at most total rows / target of them, so that table stays small.
+
+    Without ``tiebreak`` the slices are equal parts of the cell's observed time span.  With it
+    they hold equal numbers of rows, see ``_even_slices``; nothing of that is planned where the
+    count, which runs now, finds no heavy cell.
     """
     cell = _chunk(ts_col, chunk_ms)
     x = rows.withColumn("_cell", cell)
     if not target_rows:
         return x.withColumn("_chunk", F.col("_cell") * F.lit(_SPLIT_BASE)).drop("_cell")
-    aggs = [F.count(F.lit(1)).alias("_n_cell"), F.min(ts_col).alias("_lo"), F.max(ts_col).alias("_hi")]
+    counts = x.groupBy(*keys, "_cell")
     if tiebreak:
-        aggs += [F.min(tiebreak).alias("_tlo"), F.max(tiebreak).alias("_thi")]
-    counts = x.groupBy(*keys, "_cell").agg(*aggs)
-    extra = ["_tlo", "_thi"] if tiebreak else []
-    heavy = (counts.where(F.col("_n_cell") > target_rows)
-             .select(*keys, "_cell", "_lo", (F.col("_hi") - F.col("_lo") + 1).alias("_span"), *extra,
-                     F.least(F.ceil(F.col("_n_cell") / F.lit(target_rows)),
-                             F.lit(_SPLIT_BASE)).cast("bigint").alias("_k")))
+        heavy = materialize(counts.agg(F.count(F.lit(1)).alias("_n_cell"))
+                            .where(F.col("_n_cell") > target_rows).select(*keys, "_cell"), "heavy-cells")
+        if not heavy.limit(1).count():
+            return x.withColumn("_chunk", F.col("_cell") * F.lit(_SPLIT_BASE)).drop("_cell")
+        light = x.join(heavy, [*keys, "_cell"], "left_anti").withColumn("_sub", F.lit(0).cast("bigint"))
+        dense = x.join(heavy, [*keys, "_cell"], "left_semi")
+        x = light.unionByName(_even_slices(dense, keys, ts_col, target_rows, tiebreak))
+        return x.withColumn("_chunk", F.col("_cell") * F.lit(_SPLIT_BASE) + F.col("_sub")).drop("_cell", "_sub")
+    heavy = counts.agg(F.count(F.lit(1)).alias("_n_cell"), F.min(ts_col).alias("_lo"), F.max(ts_col).alias("_hi")) \
+        .where(F.col("_n_cell") > target_rows).select(
+            *keys, "_cell", "_lo", (F.col("_hi") - F.col("_lo") + 1).alias("_span"),
+            F.least(F.ceil(F.col("_n_cell") / F.lit(target_rows)), F.lit(_SPLIT_BASE)).cast("bigint").alias("_k"))
     x = x.join(heavy, [*keys, "_cell"], "left")
-    # Equal slices of the cell's observed span.  With a tiebreak column the
-    # position is time + a fraction in [0, 1) from the tiebreak, which keeps
-    # (time, tiebreak) order, so rows at one instant can be cut apart too.
     pos = (F.col(ts_col) - F.col("_lo")).cast("double")
-    if tiebreak:
-        pos = pos + (F.col(tiebreak) - F.col("_tlo")).cast("double") / (
-            F.col("_thi") - F.col("_tlo") + 1).cast("double")
     sub = F.when(F.col("_k").isNull(), F.lit(0)).otherwise(
         F.least(F.floor(pos * F.col("_k") / F.col("_span")), F.col("_k") - 1).cast("bigint"))
     return (x.withColumn("_chunk", F.col("_cell") * F.lit(_SPLIT_BASE) + sub)
-            .drop("_cell", "_k", "_lo", "_span", *extra))
+            .drop("_cell", "_k", "_lo", "_span"))
+
+
+def _even_slices(rows: DataFrame, keys: list[str], ts_col: str, target_rows: int, tiebreak: str) -> DataFrame:
+    """Add ``_sub`` to the rows of heavy cells: slices of ``target_rows`` rows in (time, tiebreak) order.
+
+    The rows are counted by instant (map-side combined; a cell has as many instants as milliseconds at
+    most) and the counts summed up along the cell.  A row's slice follows from the rows before its instant
+    and its own place in it, which is taken from where the tiebreak stands between the instant's least and
+    greatest: an instant that holds most of a cell is cut as evenly as its tiebreaks are spread.
+    """
+    instant = [*keys, "_cell", ts_col]
+    counts = rows.groupBy(*instant).agg(F.count(F.lit(1)).alias("_n"), F.min(tiebreak).alias("_tlo"),
+                                        F.max(tiebreak).alias("_thi"))
+    earlier = Window.partitionBy(*keys, "_cell").orderBy(ts_col).rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    x = rows.join(counts, instant)
+    place = (F.col(tiebreak) - F.col("_tlo")).cast("double") / (F.col("_thi") - F.col("_tlo") + 1).cast("double")
+    rank = F.col("_before") + F.floor(F.coalesce(place, F.lit(0.0)) * F.col("_n"))
+    sub = F.least(F.floor(rank / F.lit(target_rows)), F.lit(_SPLIT_BASE - 1)).cast("bigint")
+    return x.withColumn("_sub", sub).drop("_n", "_tlo", "_thi", "_before")
 
 
 def session_starts(rows: DataFrame, keys: Sequence[str], ts_col: str, gap_ms: int,

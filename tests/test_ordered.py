@@ -150,7 +150,7 @@ def test_running_sum_cuts_a_same_instant_burst_by_id(spark):
     lv = _lv(spark, data)
     x = ordered._with_chunks(lv, ["team"], "timestamp_ms", 60 * M, 200, "event_id")
     sizes = [r["count"] for r in x.where("team = 'hot'").groupBy("_chunk").count().collect()]
-    assert len(sizes) >= 8 and max(sizes) <= 400   # the burst fills half of the 2 ms span: 8 of 16 slices
+    assert len(sizes) >= 15 and max(sizes) <= 210
     got = rows(ordered.running_sum(lv, ["team"], ["timestamp_ms", "event_id"], "score", "timestamp_ms",
                                    "total", 60 * M, 200), "event_id", "total")
     acc, want = {}, []
@@ -158,3 +158,25 @@ def test_running_sum_cuts_a_same_instant_burst_by_id(spark):
         acc[tm] = acc.get(tm, 0) + s
         want.append((i, acc[tm]))
     assert got == sorted(want)
+
+
+def test_a_burst_among_spread_rows_is_cut_evenly(spark):
+    # one instant holds 90 % of a cell's rows, the others are spread over the hour
+    rnd = random.Random(12)
+    data = [("hot", rnd.randint(-5, 9), 20 * M) for _ in range(9_000)] \
+        + [("hot", 1, rnd.randrange(60 * M)) for _ in range(1_000)] + [("cold", 3, t) for t in (5, 70 * M)]
+    rnd.shuffle(data)
+    lv = _lv(spark, data)
+    x = ordered._with_chunks(lv, ["team"], "timestamp_ms", 60 * M, 500, "event_id")
+    sizes = [r["count"] for r in x.where("team = 'hot'").groupBy("_chunk").count().collect()]
+    assert len(sizes) == 20 and max(sizes) <= 600
+    assert x.where("team = 'cold'").groupBy("_chunk").count().count() == 2
+    last = x.orderBy("team", "timestamp_ms", "event_id").select("team", "_chunk").collect()
+    assert all(a._chunk <= b._chunk for a, b in zip(last, last[1:]) if a.team == b.team)
+    got = rows(ordered.running_sum(lv, ["team"], ["timestamp_ms", "event_id"], "score", "timestamp_ms",
+                                   "total", 60 * M, 500), "event_id", "total")
+    acc, want = {}, []
+    for i, (tm, s, t) in sorted(enumerate(data), key=lambda x: (x[1][2], x[0])):
+        acc[tm] = acc.get(tm, 0) + s
+        want.append((i, acc[tm]))
+    assert got == sorted(want)
