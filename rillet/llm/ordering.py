@@ -15,7 +15,8 @@ binary files (temporary name, then rename: a task that runs again replaces its o
 shards, and the rows it gives take their payload from the files again, held against its checksum.
 
 Defined cases: a null or empty text is its end id alone; repeated rows are sequences of their own; a
-null ``doc_id`` stays null; an empty table gives no rows and no files.
+null ``doc_id`` stays null; an empty table gives no rows and no files; a vocabulary with ids of ``pad_id``
+or more is refused when one turns up (ids are stored in 16 bits).
 """
 
 from __future__ import annotations
@@ -80,7 +81,10 @@ def _sequences(options: OrderOptions):
         tokenizer = WordTokenizer(options.tokenizer, options.cached_words)
         for batch in batches:
             bodies = [tokenizer.encode(t) + end for t in batch.column("text").to_pylist()]
-            narrow = np.frombuffer(b"".join(bodies), "<u4").astype("<u2").tobytes()
+            ids = np.frombuffer(b"".join(bodies), "<u4")
+            if len(ids) and ids.max() >= options.pad_id:
+                raise ValueError(f"id {ids.max()} does not fit below the padding {options.pad_id}: ids are stored in 16 bits")
+            narrow = ids.astype("<u2").tobytes()
             out, first = [], 0
             for doc, body in zip(batch.column("doc_id").to_pylist(), bodies):
                 last = first + len(body) // 2
@@ -200,7 +204,10 @@ class _Shards:
     def close(self) -> None:
         if self._sink is not None:
             self._sink.close()
-            self._fs.move(self._temp, f"{self._root}/shard-{self._shard:06d}.bin")
+            target = f"{self._root}/shard-{self._shard:06d}.bin"
+            if self._fs.get_file_info(target).is_file:         # of an attempt before; not all file systems rename over it
+                self._fs.delete_file(target)
+            self._fs.move(self._temp, target)
             self.out.append((self._shard, self._rows, self._rows * self._stride, self._crc))
             self._sink = None
 

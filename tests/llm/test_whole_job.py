@@ -199,3 +199,21 @@ def test_quality_sample_keeps_a_rare_class(spark):
     rows, labels = labelled(spark, 400, range(5), "quality", 6)
     model = quality.train(docs(spark, rows), labels, quality.QualityOptions(train_rows=80))
     assert model.weights is not None
+
+
+def test_training_order_holds_the_tokenizers_ids(spark):
+    """Every document's sequences, put together, are what the tokenizer as loaded gives for the text, and the end id."""
+    from tokenizers import Tokenizer
+    whole = Tokenizer.from_file(Q.tokenizer_path())
+    rows = [(i, t) for i, t in Q.documents(spark, SF).limit(60).collect()] + [(10 ** 6, "a <|endoftext|> b"), (10 ** 6 + 1, "x " * 40_000)]
+    options = ordering.OrderOptions(Q.tokenizer_path(), seq_len=64)
+    got = ordering.materialise(docs(spark, rows), options).orderBy("doc_id", "piece").toPandas()
+    for i, text in rows:
+        ids = np.frombuffer(b"".join(got.ids[got.doc_id == i]), "<u2").tolist()
+        assert ids == [*whole.encode(text or "", add_special_tokens=False).ids, 0]
+
+
+def test_ids_beyond_16_bits_are_refused(spark):
+    options = ordering.OrderOptions(Q.tokenizer_path(), pad_id=300)
+    with pytest.raises(Exception, match="16 bits"):
+        ordering.materialise(docs(spark, [(1, "some words here")]), options).count()
