@@ -50,11 +50,12 @@ def test_lines_of_two_queries_count_once(spark):
     src, out = scratch_path(spark, "in"), scratch_path(spark, "out")
     lines_df(spark, LINES[0]).coalesce(1).write.text(src)
     opts = LeaderBoardOptions(src, out, user_minutes=0)
-    settle(jobs.leader_board_stream(spark, opts, trigger="100 milliseconds"))
+    query = jobs.leader_board_stream(spark, opts, trigger="1 hour")
     board = StatefulTeamScoreOptions(src, scratch_path(spark, "out"), 100)
     settle(jobs.stateful_team_score_stream(spark, board, trigger="100 milliseconds"))
     assert await_counts(board, {"n_lines": 5, "n_errors": 1}) == {"n_lines": 5, "n_errors": 1}
     assert await_counts(opts, {"n_lines": 5, "n_errors": 1}) == {"n_lines": 5, "n_errors": 1}
+    query.stop()
 
 
 def test_a_repeated_batch_replaces_its_counts(tmp_path):
