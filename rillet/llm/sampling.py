@@ -16,6 +16,9 @@ once, keeps one open value per tree node, and branches next where that value is
 left when ``k`` are drawn is the threshold kappa; a sample's inclusion score is
 ``1 - exp(-exp(log_prob - kappa))``, 1 if the lattice is exhausted.
 
+A unit is a word with the space before it; no piece crosses its ends.  A Python worker keeps the lattices and
+own ids of the units it met in flat arrays, and the paths of a batch of rows grow side by side, a piece a step.
+
 ``segmentations`` does the whole for every row: the model's own segmentation and the drawn ones, each
 with the text that its ids decode to.
 
@@ -30,16 +33,24 @@ from __future__ import annotations
 
 import math
 import zlib
-from bisect import bisect_right
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import chain, islice, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from rillet.llm.common import map_texts
 
 SPACE = "▁"
+NEAR = 8                     # edges of a node that are compared at once
+STRIDE = 16                  # pieces that rows walked side by side take at a time
+FEW = 48                     # so many rows are walked one by one
+LEARNT = 40_000              # units whose lattices are made at once
+LONG_UNIT = 64               # characters; the lattices of longer units are made one by one
+BATCH_CHARS = 2_500_000      # of texts that are sampled side by side
 
 
 @dataclass(frozen=True)
@@ -48,7 +59,7 @@ class SamplingOptions:
     k: int = 3
     alpha: float = 1.0
     seed: int = 17
-    cached_units: int = 100_000      # per Python worker
+    cached_edges: int = 2_000_000    # of lattices, per Python worker (with all that belongs to them some 130 bytes each)
 
 
 class Lattice:
@@ -85,6 +96,80 @@ class Lattice:
             self.rest[i] = [math.log1p(-math.exp(x)) if x < -1e-12 and len(logs) > 1 else -math.inf for x in logs]
 
 
+class _Column:
+    """A numpy array that grows at its end."""
+
+    def __init__(self, kind):
+        self._held, self._n = np.empty(1024, kind), 0
+
+    def extend(self, values) -> None:
+        n = self._n + len(values)
+        if n > len(self._held):
+            self._held = np.concatenate((self._held[:self._n], np.empty((n, *self._held.shape[1:]), self._held.dtype)))
+        self._held[self._n:n] = values
+        self._n = n
+
+    @property
+    def all(self) -> np.ndarray:
+        return self._held[:self._n]
+
+
+class _Numbers(dict):
+    """Numbers names as they are first asked for."""
+
+    def __missing__(self, name: str) -> int:
+        self[name] = number = len(self)
+        return number
+
+
+class _Units:
+    """The units met so far, as flat columns.
+
+    What may follow at a character depends on the rest of its unit alone, so a node stands for a rest,
+    whatever units end with it.  Per unit its node of every character (``place_at``, ``chars`` in
+    ``place``) and its own ids (``own_at``, ``own_n`` in ``own``); per node its log-weight ``beta``,
+    its first edge, their number, and the running probabilities of its first ``NEAR`` edges; per edge its
+    length ``step``, ``id`` (below zero: the byte pieces of a character), running probability ``sum``, ``log``,
+    and log of what is left ``rest``.
+    """
+
+    def __init__(self):
+        self.index = _Numbers()
+        self.nodes: dict[str, int] = {}
+        self.odd: set[int] = set()           # units whose own ids depend on the text around them
+        self.place, self.place_at, self.chars = _Column(np.int32), _Column(np.int64), _Column(np.int32)
+        self.own, self.own_at, self.own_n = _Column(np.int32), _Column(np.int64), _Column(np.int32)
+        self.beta, self.near = _Column(np.float64), _Column((np.float64, NEAR))
+        self.edge, self.edges = _Column(np.int32), _Column(np.uint8)
+        self.step, self.id = _Column(np.int32), _Column(np.int32)
+        self.sum, self.log, self.rest = (_Column(np.float64) for _ in range(3))
+
+    def add_own(self, own: list[list[int]]) -> None:
+        size = np.array([len(x) for x in own], np.int64)
+        self.own_at.extend(len(self.own.all) + np.cumsum(size) - size)
+        self.own_n.extend(size)
+        self.own.extend(np.fromiter(chain.from_iterable(own), np.int32, int(size.sum())))
+
+    def add_nodes(self, beta, counts, step, ids, sums, logs, rest, order=slice(None)) -> None:
+        """Nodes with their numbers of edges, and the edges; the nodes' order may be another."""
+        sums, last = np.asarray(sums), np.cumsum(counts) - 1
+        self.near.extend(sums[np.minimum((last + 1 - counts)[:, None] + np.arange(NEAR), last[:, None])][order])
+        self.beta.extend(beta[order])
+        self.edge.extend((len(self.step.all) + last + 1 - counts)[order])
+        self.edges.extend(counts[order])
+        for column, values in zip((self.step, self.id, self.sum, self.log, self.rest), (step, ids, sums, logs, rest)):
+            column.extend(values)
+
+
+@dataclass
+class _Layout:
+    """A batch of texts as units: the node of every character, and each row's and unit's place among them."""
+    unit_at: np.ndarray          # first character of every unit's occurrence, and the number of characters
+    row_units: np.ndarray        # row r has the occurrences row_units[r] up to row_units[r + 1]
+    nodes: np.ndarray
+    units: np.ndarray            # unit of every occurrence
+
+
 class Sampler:
     def __init__(self, options: SamplingOptions):
         import sentencepiece
@@ -92,26 +177,74 @@ class Sampler:
         self._options = options
         self._pieces, self._bytes = {}, {}
         worst = 0.0
-        for i in range(self._sp.get_piece_size()):
+        size = self._sp.get_piece_size()
+        self._weights = np.zeros(size)
+        shown = [""] * size                        # what a piece decodes to; None: depends on its neighbours
+        for i in range(size):
             piece = self._sp.id_to_piece(i)
+            shown[i] = piece.replace(SPACE, " ")
             if self._sp.is_byte(i):
                 self._bytes[int(piece[3:5], 16)] = i
-            elif not (self._sp.is_control(i) or self._sp.is_unknown(i) or self._sp.is_unused(i)):
+                shown[i] = chr(int(piece[3:5], 16)) if int(piece[3:5], 16) < 128 else None
+            elif self._sp.is_control(i) or self._sp.is_unknown(i) or self._sp.is_unused(i):
+                shown[i] = None
+            else:
                 weight = -options.alpha * math.log(2.0 - self._sp.get_score(i))
                 worst = min(worst, weight)
                 self._pieces[piece] = ((i,), weight)
+                self._weights[i] = weight
         assert all(SPACE not in p.lstrip(SPACE) for p in self._pieces), "pieces must not cross a word's start"
         self._byte_weight = worst
         self._longest = max(map(len, self._pieces))
-        self._cache: dict[str, Lattice] = {}
+        self._plain = np.array([x is not None for x in shown])
+        self._leads = np.array([bool(x) and x[0] == " " for x in shown]) & self._dummy_prefix()
+        shown = [x or "" for x in shown]
+        self._shown = pa.array(shown + [x[1:] for x in shown], pa.large_string())   # then: as a text's first piece
+        self._char_codes: list[tuple] = []
+        self._char_ids: dict[tuple, int] = {}
+        self._trie()
+        self._units = _Units()
+
+    def _dummy_prefix(self) -> bool:
+        """Whether decoding drops one leading space mark and keeps all others."""
+        mark = self._sp.piece_to_id(SPACE)
+        return not self._sp.is_unknown(mark) and [self._sp.decode([mark] * n) for n in (1, 2, 3)] == ["", " ", "  "]
+
+    def _trie(self) -> None:
+        """The pieces' prefixes as states: ``child`` of (state, character), found in the sorted ``keys``; ``piece`` of a state."""
+        state, edges, piece = {"": 0}, {}, [-1]
+        for text, ((i,), _) in self._pieces.items():
+            at = 0
+            for j, char in enumerate(text, 1):
+                to = state.setdefault(text[:j], len(piece))
+                if to == len(piece):
+                    piece.append(-1)
+                    edges[at << 21 | ord(char)] = to
+                at = to
+            piece[at] = i
+        self._keys = np.array(sorted(edges), np.int64)
+        self._child = np.array([edges[k] for k in self._keys.tolist()], np.int64)
+        self._piece = np.array(piece, np.int32)
 
     def _byte_edges(self, char: str):
         codes = tuple(self._bytes.get(b, self._sp.unk_id()) for b in char.encode())
         return codes, self._byte_weight * len(codes)
 
+    def _char_id(self, codes: tuple) -> int:
+        """The id itself of a character that is one byte piece; else a number below zero for its ids."""
+        if len(codes) == 1:
+            return codes[0]
+        if codes not in self._char_ids:
+            self._char_codes.append(codes)
+            self._char_ids[codes] = -len(self._char_codes)
+        return self._char_ids[codes]
+
     def units(self, text: str) -> list[str]:
         """The normalised text cut before every first space mark: pieces never cross these cuts."""
-        norm = self._sp.normalize(text) if text else ""
+        return self._cut(self._sp.normalize(text) if text else "")
+
+    @staticmethod
+    def _cut(norm: str) -> list[str]:
         out, start = [], 0
         at = norm.find(SPACE, 1)
         while at >= 0:
@@ -124,14 +257,7 @@ class Sampler:
         return out
 
     def lattice(self, unit: str) -> Lattice:
-        found = self._cache.get(unit)
-        if found is None:
-            found = Lattice(unit, self._pieces, self._longest, self._byte_edges)
-            if len(unit) <= 48:
-                if len(self._cache) >= self._options.cached_units:
-                    self._cache.clear()
-                self._cache[unit] = found
-        return found
+        return Lattice(unit, self._pieces, self._longest, self._byte_edges)
 
     def encode(self, text: str | None) -> list[int]:
         """The model's own segmentation."""
@@ -142,96 +268,311 @@ class Sampler:
 
     def sample(self, text: str | None, seed: int) -> list[tuple[list[int], float, float, float]]:
         """Up to ``k`` distinct segmentations: ids, log-probability, perturbed value, inclusion score."""
-        lattices = [self.lattice(u) for u in self.units(text or "")]
-        rng = np.random.Generator(np.random.PCG64(seed))
-        value = -math.log(rng.standard_exponential())      # the root's Gumbel; its log-probability is 0
-        paths: list[_Path] = []
-        out = []
-        while True:
-            if not paths:
-                path = _Path.grow(lattices, [], [], [], value, rng, ())
-            else:
-                host = max(paths, key=lambda p: p.best)
-                value = host.best
-                if value == -math.inf or len(out) == self._options.k:
-                    break
-                path = host.branch(lattices, value, rng)
-            paths.append(path)
-            out.append((path.codes(lattices), path.log_prob, value))
-        kappa = max(p.best for p in paths)
-        return [(ids, lp, g, 1.0 if kappa == -math.inf else -math.expm1(-math.exp(min(lp - kappa, 50.0))))
-                for ids, lp, g in out]
+        _, drawn = self.segment([text], [seed], own=False)
+        return [(ids.tolist(), *scores) for ids, *scores in drawn[0]]
+
+    def segment(self, texts: list, seeds: list[int], own: bool = True) -> tuple[list[np.ndarray], list[list[tuple]]]:
+        """Of each text the model's own ids (if ``own``) and the drawn segmentations, as ``sample`` gives them."""
+        if len(self._units.step.all) > self._options.cached_edges:
+            self._units = _Units()
+        layout = self._lay_out(texts)
+        return self._own(texts, layout) if own else [], _Draw(self._units, self._codes, layout, self._longest, seeds, self._options.k).run()
+
+    def texts(self, ids: np.ndarray, at: np.ndarray) -> pa.Array:
+        """What the segmentations ``ids[at[r]:at[r + 1]]`` decode to."""
+        full = np.flatnonzero(np.diff(at))
+        first = at[full]
+        place = ids.astype(np.int64)
+        place[first] += len(self._plain)
+        pieces = self._shown.take(pa.array(place))
+        ends = np.frombuffer(pieces.buffers()[1], np.int64)[:len(ids) + 1] if len(ids) else np.zeros(1, np.int64)
+        odd = set(full[~self._leads[ids[first]]].tolist())
+        odd.update((np.searchsorted(at, np.flatnonzero(~self._plain[ids]), "right") - 1).tolist())
+        if odd or ends[-1] >= 1 << 31:
+            data = pieces.buffers()[2]
+            raw = memoryview(data) if data is not None else b""
+            cut = ends[at].tolist()
+            return pa.array([self.decode(ids[at[r]:at[r + 1]]) if r in odd else str(raw[a:b], "utf-8")
+                             for r, (a, b) in enumerate(zip(cut, cut[1:]))], pa.string())
+        return pa.StringArray.from_buffers(len(at) - 1, pa.py_buffer(ends[at].astype(np.int32)), pieces.buffers()[2])
+
+    def _names(self, text: str | None) -> list[str]:
+        """The text's units without the space mark that leads them; others are marked by one of their own."""
+        norm = self._sp.normalize(text) if text else ""
+        if norm.startswith(SPACE) and SPACE + SPACE not in norm:
+            return norm[1:].split(SPACE)
+        return [u[1:] if u[0] == SPACE and SPACE not in u[1:] else SPACE + u for u in self._cut(norm)]
+
+    def _lay_out(self, texts: list) -> _Layout:
+        rows = [self._names(t) for t in texts]
+        index, known = self._units.index, len(self._units.index)
+        units = np.fromiter(map(index.__getitem__, chain.from_iterable(rows)), np.int64, sum(map(len, rows)))
+        new = list(islice(index, known, None))
+        for at in range(0, len(new), LEARNT):
+            self._learn(new[at:at + LEARNT])
+        chars = self._units.chars.all[units]
+        unit_at = np.concatenate(([0], np.cumsum(chars, dtype=np.int64)))
+        nodes = self._units.place.all[np.repeat(self._units.place_at.all[units] - unit_at[:-1], chars) + np.arange(unit_at[-1])]
+        return _Layout(unit_at, np.cumsum([0, *map(len, rows)]), nodes, units)
+
+    def _learn(self, names: list[str]) -> None:
+        """The lattices and own ids of new units, in the order of their numbers."""
+        known = self._units
+        units = [x[1:] if SPACE in x else SPACE + x for x in names]
+        parts = [x.lstrip(SPACE) for x in names]
+        base, place_at = len(known.chars.all), len(known.place.all)
+        known.odd.update(base + k for k, (x, part, unit) in enumerate(zip(names, parts, units))
+                         if SPACE in x or self._sp.normalize(part) != unit)
+        known.add_own(self._sp.encode(parts, num_threads=1))
+        chars = np.array([len(u) for u in units], np.int64)
+        order = np.argsort(chars > LONG_UNIT, kind="stable")          # long ones last
+        at = np.empty(len(units), np.int64)
+        at[order] = place_at + np.cumsum(chars[order]) - chars[order]
+        known.place_at.extend(at)
+        known.chars.extend(chars)
+        if short := [u for u in units if len(u) <= LONG_UNIT]:
+            known.place.extend(self._nodes(short, chars[chars <= LONG_UNIT]))
+        for unit in (u for u in units if len(u) > LONG_UNIT):
+            x = self.lattice(unit)
+            ids = [c[0] if unit[at:e] in self._pieces else self._char_id(c)
+                   for at, (ends, codes) in enumerate(zip(x.ends, x.ids)) for e, c in zip(ends, codes)]
+            first = len(known.beta.all)
+            known.place.extend(np.arange(first, first + len(unit)))
+            known.add_nodes(np.zeros(len(unit)), np.array([len(e) for e in x.ends]),
+                            [e - at for at, ends in enumerate(x.ends) for e in ends], ids,
+                            *(list(chain.from_iterable(v)) for v in (x.sums, x.logs, x.rest)))
+
+    def _nodes(self, units: list[str], chars: np.ndarray) -> np.ndarray:
+        """The node of every character of ``units``; new ones are made as ``Lattice`` does, all at once."""
+        known, base = self._units.nodes, len(self._units.beta.all)
+        ahead, number = base - len(known), known.setdefault
+        place = np.array([number(u[i:], len(known) + ahead) for u in units for i in range(len(u))], np.int32)
+        most = np.maximum.accumulate(np.concatenate((np.array([base - 1], np.int32), place)))
+        where = np.flatnonzero(place > most[:-1]).astype(np.int32)      # a character of each new node
+        n = len(where)
+        if not n:
+            return place
+        end = np.repeat(np.cumsum(chars, dtype=np.int32), chars)[where]
+        by_left = np.argsort((end - where).astype(np.uint8), kind="stable")
+        where, end = where[by_left], end[by_left]                      # from here on the shortest rests come first
+        code = np.frombuffer("".join(units).encode("utf-32-le"), "<u4").astype(np.int64)
+        end = np.repeat(np.cumsum(chars), chars)[where]
+        at, state, single = np.arange(n, dtype=np.int32), np.zeros(n, np.int64), np.zeros(n, bool)
+        found = []
+        for size in range(1, self._longest + 1):
+            key = state << 21 | code[where[at] + size - 1]
+            spot = np.minimum(np.searchsorted(self._keys, key), len(self._keys) - 1)
+            hit = self._keys[spot] == key
+            at, state = at[hit], self._child[spot[hit]]
+            piece = self._piece[state]
+            good = piece >= 0
+            found.append((at[good], np.full(good.sum(), size, np.int32), piece[good], self._weights[piece[good]]))
+            if size == 1:
+                single[at[good]] = True
+            inside = where[at] + size < end[at]
+            at, state = at[inside], state[inside]
+            if not len(at):
+                break
+        bare = np.flatnonzero(~single)                       # the character itself is no piece
+        chars_bare, which = np.unique(code[where[bare]], return_inverse=True)
+        spelt = [self._byte_edges(chr(c)) for c in chars_bare.tolist()]
+        found.append((bare.astype(np.int32), np.ones(len(bare), np.int32), np.array([self._char_id(c) for c, _ in spelt], np.int32)[which],
+                      np.array([w for _, w in spelt])[which]))
+        start, step, ids, weight = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(start, kind="stable")
+        start, step, ids, weight = start[order], step[order], ids[order], weight[order]
+        counts = np.bincount(start, minlength=n)
+        first = np.cumsum(counts) - counts
+        stop = where[start] + step
+        to = np.where(stop == end[start], base + n, place[np.minimum(stop, len(place) - 1)])
+        beta, logs = np.concatenate((self._units.beta.all, np.zeros(n + 1))), np.empty(len(start))
+        gid = place[where]
+        left = end - where
+        for a, b in pairwise(np.searchsorted(left, np.arange(1, left[-1] + 2)).tolist()):
+            if a == b:
+                continue
+            e, cuts, each = slice(first[a], first[b - 1] + counts[b - 1]), first[a:b] - first[a], counts[a:b]
+            score = weight[e] + beta[to[e]]
+            top = np.maximum.reduceat(score, cuts)
+            total = top + np.log(np.add.reduceat(np.exp(score - np.repeat(top, each)), cuts))
+            beta[gid[a:b]] = total
+            logs[e] = score - np.repeat(total, each)
+        sums, run, node, k = np.exp(logs), np.zeros(n), np.arange(n), 0
+        while len(node):                                     # the k-th edge of each node
+            run = sums[first[node] + k] = run + sums[first[node] + k]
+            k += 1
+            more = counts[node] > k
+            run, node = run[more], node[more]
+        sums[first + counts - 1] = 1.0
+        rest = np.full(len(logs), -np.inf)
+        part = logs < -1e-12
+        rest[part] = np.log1p(-np.exp(logs[part]))
+        order = np.empty(n, np.int64)
+        order[gid - base] = np.arange(n)
+        self._units.add_nodes(beta[gid], counts, step, ids, sums, logs, rest, order)
+        return place
+
+    def _own(self, texts: list, layout: _Layout) -> list[np.ndarray]:
+        """The own ids of every text, unit by unit; of the whole text where a unit's depend on it."""
+        n, odd = self._units.own_n.all[layout.units], self._units.odd
+        at = np.concatenate(([0], np.cumsum(n, dtype=np.int64)))
+        ids = self._units.own.all[np.repeat(self._units.own_at.all[layout.units] - at[:-1], n) + np.arange(at[-1])]
+        cuts = at[layout.row_units].tolist()
+        out = [ids[a:b] for a, b in zip(cuts, cuts[1:])]
+        if odd:
+            hit = np.flatnonzero(np.isin(layout.units, list(odd)))
+            for r in set((np.searchsorted(layout.row_units, hit, "right") - 1).tolist()):
+                out[r] = np.array(self.encode(texts[r]), np.int32)
+        return out
+
+    def _codes(self, ids: np.ndarray) -> np.ndarray:
+        """The edges' ids with the byte pieces of characters spelt out."""
+        if not len(ids) or ids.min() >= 0:
+            return ids
+        return np.array([c for i in ids.tolist() for c in ((i,) if i >= 0 else self._char_codes[-1 - i])], np.int32)
 
 
 class _Path:
-    """A complete segmentation: the tree nodes along it, and the open value of each that it owns."""
+    """A complete segmentation: its edges before the nodes it owns, and of these edges, log-probabilities before and open values."""
 
-    def __init__(self):
-        self.unit, self.at, self.pick = [], [], []       # per node: unit number, position, child taken
-        self.best = -math.inf
-
-    @classmethod
-    def grow(cls, lattices, unit, at, pick, value, rng, done) -> "_Path":
-        """Complete the prefix (unit, at, pick) by drawing child after child.
-
-        ``done`` holds the children already drawn at the prefix's last node, itself included.
-        """
-        p = cls()
-        p.unit, p.at, p.pick = list(unit), list(at), list(pick)
-        p.own = max(len(pick) - 1, 0)
-        p.done = done
-        if p.pick:
-            u = p.unit[-1]
-            i = lattices[u].ends[p.at[-1]][p.pick[-1]]
-        else:
-            u, i = 0, 0
-        draws = iter(rng.random(sum(len(x.ends) for x in lattices[u:]) or 1).tolist())
-        add_unit, add_at, add_pick = p.unit.append, p.at.append, p.pick.append
-        for u in range(u, len(lattices)):
-            lattice = lattices[u]
-            ends, sums, n = lattice.ends, lattice.sums, len(lattice.ends)
-            while i < n:
-                j = bisect_right(sums[i], next(draws))
-                add_unit(u)
-                add_at(i)
-                add_pick(j)
-                i = ends[i][j]
-            i = 0
-        logs = np.array([lattices[u].logs[i][j] for u, i, j in zip(p.unit, p.at, p.pick)])
-        rest = np.array([lattices[u].rest[i][j] for u, i, j in zip(p.unit[p.own:], p.at[p.own:], p.pick[p.own:])])
-        before = np.concatenate(([0.0], np.cumsum(logs)))
-        p.log_prob = float(before[-1])
-        p.start = before[:-1]
-        if done and len(rest):
-            lattice, i = lattices[p.unit[p.own]], p.at[p.own]
-            left = 1.0 - math.fsum(math.exp(lattice.logs[i][j]) for j in done)
-            rest[0] = math.log(left) if left > 1e-12 and len(done) < len(lattice.logs[i]) else -math.inf
-        p.open = _truncated(p.start[p.own:] + rest, value, rng)
-        p._settle()
-        return p
+    __slots__ = ("before", "edges", "place", "start", "open", "done", "log_prob", "value", "top", "best")
 
-    def _settle(self) -> None:
+    def settle(self) -> None:
         self.top = int(np.argmax(self.open)) if len(self.open) else -1
         self.best = float(self.open[self.top]) if self.top >= 0 else -math.inf
 
-    def branch(self, lattices, value, rng) -> "_Path":
+
+@dataclass
+class _Growth:
+    """A prefix to be completed: the first node it owns, and the edge taken there (None at the root)."""
+    row: int
+    before: np.ndarray
+    place: int               # character of the first own node
+    edge: int | None
+    done: tuple              # edges already drawn at that node
+    start: float             # its log-probability
+    value: float
+    draws: np.ndarray
+
+
+class _Draw:
+    """The drawn segmentations of a batch of texts; all rows' paths grow side by side, a piece a step."""
+
+    def __init__(self, units: _Units, codes, layout: _Layout, longest: int, seeds: list[int], k: int):
+        self.k, self.codes, self.layout = k, codes, layout
+        self.edges = units.edges.all
+        self.nodes = np.concatenate((layout.nodes, np.zeros(STRIDE * longest, layout.nodes.dtype)))
+        self.edge, self.step, self.id = units.edge.all, units.step.all, units.id.all
+        self.sum, self.log, self.rest, self.near = units.sum.all, units.log.all, units.rest.all, units.near.all
+        self.limits = layout.unit_at[layout.row_units].tolist()
+        self.rng = [np.random.Generator(np.random.PCG64(s)) for s in seeds]
+
+    def run(self) -> list[list[tuple]]:
+        nothing = np.zeros(0, np.int32)
+        grow = []
+        for r, (rng, a, b) in enumerate(zip(self.rng, self.limits, self.limits[1:])):
+            value = -math.log(rng.standard_exponential())     # the root's Gumbel; its log-probability is 0
+            grow.append(_Growth(r, nothing, a, None, (), 0.0, value, rng.random(b - a or 1)))
+        paths: list[list[_Path]] = [[] for _ in self.rng]
+        while grow:
+            for g, edges in zip(grow, self._walk(grow)):
+                paths[g.row].append(self._complete(g, edges))
+            grow = [x for g in grow if len(paths[g.row]) != self.k and (x := self._branch(g.row, paths[g.row]))]
+        out = []
+        for mine in paths:
+            kappa = max(p.best for p in mine)
+            out.append([(self.codes(self.id[np.concatenate((p.before, p.edges))]), p.log_prob, p.value,
+                         1.0 if kappa == -math.inf else -math.expm1(-math.exp(min(p.log_prob - kappa, 50.0)))) for p in mine])
+        return out
+
+    def _walk(self, grow: list[_Growth]) -> list[np.ndarray]:
+        """The edges that complete each prefix: per piece one draw, and the first edge whose sum exceeds it."""
+        size = np.array([len(g.draws) for g in grow])
+        draws = np.concatenate([*(g.draws for g in grow), np.zeros(STRIDE)])
+        out = np.empty(len(draws), np.int32)
+        first = np.cumsum(size) - size
+        at = np.array([g.place if g.edge is None else g.place + self.step[g.edge] for g in grow])
+        end = np.array([self.limits[g.row + 1] for g in grow])
+        last = first.copy()
+        row = np.flatnonzero(at < end)
+        at, end, now = at[row], end[row], first[row]
+        node_edge, nodes, sums, step, near = self.edge, self.nodes, self.sum, self.step, self.near
+        ones, eight, ahead = np.uint64(0x0101010101010101), np.uint64(56), np.arange(STRIDE)
+        while len(row) > FEW:                              # STRIDE pieces; what lies beyond a row's end is not kept
+            steps = now + ahead[:, None]
+            draw = draws[steps][:, :, None]
+            edges, places = np.empty(steps.shape, np.int32), np.empty(steps.shape, np.int64)
+            for k in range(STRIDE):
+                places[k] = at
+                node = nodes.take(at)
+                passed = (near.take(node, axis=0) <= draw[k]).view(np.uint64)[:, 0] * ones >> eight     # the bytes' sum
+                edge = node_edge.take(node) + passed.view(np.int64)
+                if passed.max() == NEAR:
+                    more = np.flatnonzero(passed == NEAR)
+                    more = more[sums[edge[more]] <= draw[k, more, 0]]
+                    while len(more):
+                        edge[more] += 1
+                        more = more[sums[edge[more]] <= draw[k, more, 0]]
+                edges[k] = edge
+                at = at + step.take(edge)
+            kept = places < end
+            out[steps[kept]] = edges[kept]
+            now = now + kept.sum(axis=0)
+            going = at < end
+            last[row[~going]] = now[~going]
+            row, at, end, now = row[going], at[going], end[going], now[going]
+        node_edge, nodes, sums, step, slots = map(memoryview, (node_edge, nodes, sums, step, out))
+        single = memoryview(draws)
+        for r, i, e, t in zip(row.tolist(), at.tolist(), end.tolist(), now.tolist()):   # few are left: one by one
+            while i < e:
+                draw, edge = single[t], node_edge[nodes[i]]
+                while sums[edge] <= draw:
+                    edge += 1
+                slots[t] = edge
+                i += step[edge]
+                t += 1
+            last[r] = t
+        return [out[a:b] for a, b in zip(first.tolist(), last.tolist())]
+
+    def _complete(self, g: _Growth, edges: np.ndarray) -> _Path:
+        p = _Path()
+        p.before, p.place, p.done, p.value = g.before, g.place, g.done, g.value
+        p.edges = edges.copy() if g.edge is None else np.concatenate((np.array([g.edge], np.int32), edges))
+        sums = np.cumsum(np.concatenate(([g.start], self.log[p.edges])))
+        p.start, p.log_prob = sums[:-1], float(sums[-1])
+        rest = self.rest[p.edges]
+        if g.done:
+            a, b = self._edges(g.place)
+            left = 1.0 - math.fsum(math.exp(self.log[e]) for e in g.done)
+            rest[0] = math.log(left) if left > 1e-12 and len(g.done) < b - a else -math.inf
+        p.open = _truncated(p.start + rest, g.value, self.rng[g.row])
+        p.settle()
+        return p
+
+    def _edges(self, place: int) -> tuple[int, int]:
+        node = int(self.layout.nodes[place])
+        return int(self.edge[node]), int(self.edge[node]) + int(self.edges[node])
+
+    def _branch(self, row: int, paths: list[_Path]) -> _Growth | None:
         """The next child of the node with the best open value; the node's open value passes to the new path."""
-        node = self.own + self.top
-        done = self.done if node == self.own and self.done else (self.pick[node],)
-        lattice, i = lattices[self.unit[node]], self.at[node]
-        left = [(j, math.exp(x)) for j, x in enumerate(lattice.logs[i]) if j not in done]
+        host, rng = max(paths, key=lambda p: p.best), self.rng[row]
+        value, k = host.best, host.top
+        if value == -math.inf:
+            return None
+        done = host.done if k == 0 and host.done else (int(host.edges[k]),)
+        place = host.place + int(self.step[host.edges[:k]].sum())
+        left = [(e, math.exp(self.log[e])) for e in range(*self._edges(place)) if e not in done]
         goal = rng.random() * math.fsum(w for _, w in left)
-        for j, w in left:
+        for e, w in left:
             goal -= w
             if goal < 0:
                 break
-        self.open[self.top] = -math.inf
-        self._settle()
-        return _Path.grow(lattices, self.unit[:node + 1], self.at[:node + 1], [*self.pick[:node], j], value, rng,
-                          (*done, j))
-
-    def codes(self, lattices) -> list[int]:
-        return [c for u, i, j in zip(self.unit, self.at, self.pick) for c in lattices[u].ids[i][j]]
+        start = float(host.start[k])
+        host.open[k] = -math.inf
+        host.settle()
+        unit = np.searchsorted(self.layout.unit_at, place, "right") - 1
+        return _Growth(row, np.concatenate((host.before, host.edges[:k])), place, e, (*done, e), start, value,
+                       rng.random(self.limits[row + 1] - int(self.layout.unit_at[unit])))
 
 
 def _truncated(mass: np.ndarray, most: float, rng) -> np.ndarray:
@@ -241,10 +582,43 @@ def _truncated(mass: np.ndarray, most: float, rng) -> np.ndarray:
         return np.where(np.isneginf(mass), -np.inf, mass - np.log(np.exp(np.minimum(mass - most, 700)) + noise))
 
 
+@lru_cache(maxsize=1)
+def _sampler(options: SamplingOptions) -> Sampler:
+    """The sampler of a Python worker: its tasks share the units it has met."""
+    return Sampler(options)
+
+
+def _slices(batch, column: str):
+    """The batch in runs of rows with about ``BATCH_CHARS`` characters (one row at least)."""
+    sizes = pc.fill_null(pc.utf8_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).cumsum()
+    at = 0
+    while at < batch.num_rows:
+        end = max(at + 1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + BATCH_CHARS, "right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def row_seed(seed: int, *key) -> int:
     return (seed << 32) ^ zlib.crc32(repr(key).encode())
 
 
+def _repeated(column, times) -> pa.Array:
+    return column.take(pa.array(np.repeat(np.arange(len(column)), np.fromiter(times, np.int64, len(column)))))
+
+
+def _drawn_columns(every: list[list[tuple]], first: int):
+    """The rows' segmentations one after the other: their numbers from ``first`` on, ids; these also flat, with offsets."""
+    parts = [x[0] for mine in every for x in mine]
+    at = np.cumsum([0, *map(len, parts)])
+    flat = np.concatenate(parts).astype(np.int32)
+    sample = pa.array([s for mine in every for s in range(first, first + len(mine))], pa.int32())
+    return sample, pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat)), flat, at
+
+
+def _scores(every: list[list[tuple]]) -> list[pa.Array]:
+    return [pa.array(c, pa.float64()) for c in zip(*(x[1:] for mine in every for x in mine))]
+
+
 def _by_row(rows: DataFrame, keys: list[str], options: SamplingOptions, source: str, convert, name: str, kind) -> DataFrame:
     """The ``keys`` columns (long) and ``name``, which ``convert`` makes of ``source``, for every row."""
     def run(batches):
@@ -274,15 +648,14 @@ def sample_segmentations(rows: DataFrame, keys: list[str], options: SamplingOpti
     ``rows`` holds the key columns and ``text``; every row gives one output row per sample.
     """
     def run(batches):
-        sampler = Sampler(options)
-        for batch in batches:
+        sampler = _sampler(options)
+        for batch in (x for whole in batches for x in _slices(whole, "text")):
             key = list(zip(*(batch.column(k).to_pylist() for k in keys)))
-            out = [(*k, s, *x) for k, text in zip(key, batch.column("text").to_pylist())
-                   for s, x in enumerate(sampler.sample(text, row_seed(options.seed, *k)))]
-            cols = list(zip(*out)) if out else [()] * (len(keys) + 5)
-            kinds = [pa.int64()] * len(keys) + [pa.int32(), pa.list_(pa.int32())] + [pa.float64()] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)],
+            _, drawn = sampler.segment(batch.column("text").to_pylist(), [row_seed(options.seed, *k) for k in key], own=False)
+            cols = [_repeated(batch.column(k), map(len, drawn)) for k in keys]
+            yield pa.RecordBatch.from_arrays([*cols, *_drawn_columns(drawn, 0)[:2], *_scores(drawn)],
                                              names=[*keys, "sample", "ids", "log_prob", "perturbed", "inclusion"])
+
     schema = ", ".join(f"{k} long" for k in keys) + \
         ", sample int, ids array<int>, log_prob double, perturbed double, inclusion double"
     rows = rows.selectExpr(*[f"cast({k} as long) {k}" for k in keys], "text")
@@ -299,20 +672,17 @@ def segmentations(rows: DataFrame, keys: list[str], options: SamplingOptions) ->
     kind = {k: ("string", pa.string()) if t == "string" else ("long", pa.int64()) for k, t in kind.items()}
 
     def run(batches):
-        sampler = Sampler(options)
-        for whole in batches:
-            for at in range(0, whole.num_rows, 100):       # four lists of ids a row: long texts make them large
-                batch = whole.slice(at, 100)
-                out = []
-                for *key, text in zip(*(batch.column(k).to_pylist() for k in keys), batch.column("text").to_pylist()):
-                    own = sampler.encode(text)
-                    out.append((*key, -1, own, sampler.decode(own), None, None, None))
-                    for s, (ids, *scores) in enumerate(sampler.sample(text, row_seed(options.seed, *key))):
-                        out.append((*key, s, ids, sampler.decode(ids), *scores))
-                kinds = [kind[k][1] for k in keys] + [pa.int32(), pa.list_(pa.int32()), pa.string()] + [pa.float64()] * 3
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out), kinds)],
-                    names=[*keys, "sample", "ids", "text", "log_prob", "perturbed", "inclusion"])
+        sampler = _sampler(options)
+        for batch in (x for whole in batches for x in _slices(whole, "text")):
+            key = list(zip(*(batch.column(k).to_pylist() for k in keys)))
+            own, drawn = sampler.segment(batch.column("text").to_pylist(), [row_seed(options.seed, *k) for k in key])
+            every = [[(ids, None, None, None), *rest] for ids, rest in zip(own, drawn)]
+            sample, ids, flat, at = _drawn_columns(every, -1)
+            out = pa.RecordBatch.from_arrays(
+                [*(_repeated(batch.column(k), map(len, every)) for k in keys), sample, ids, sampler.texts(flat, at),
+                 *_scores(every)],
+                names=[*keys, "sample", "ids", "text", "log_prob", "perturbed", "inclusion"])
+            yield from (out.slice(k, 400) for k in range(0, out.num_rows, 400))
 
     schema = ", ".join(f"{k} {kind[k][0]}" for k in keys) + \
         ", sample int, ids array<int>, text string, log_prob double, perturbed double, inclusion double"

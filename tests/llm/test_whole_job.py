@@ -1,6 +1,7 @@
 """Cases in which an operator once did less than its whole job."""
 
 import zlib
+from bisect import bisect_right
 
 import numpy as np
 import pytest
@@ -108,6 +109,32 @@ def test_segmentations_of_documents_and_turns(spark, tmp_path):
         assert [r.ids for r in sorted(mine, key=lambda r: r.sample) if r.sample >= 0] == [x[0] for x in drawn]
 
 
+def test_segment_draws_piece_by_piece():
+    """Batches of any size draw what a walk over each text's lattices draws; long texts and long words included."""
+    random = np.random.default_rng(5)
+    made = ["".join(random.choice(list("ab  \n▁éthe漢"), n)) for n in random.integers(1, 300, 120)]
+    texts = [None, "", "  ", "x" * 400 + " end", "a long text " * 3000, *made]
+    sampler = sampling.Sampler(sampling.SamplingOptions(Q.tokenizer_path("piece_bpe_32k.model"), cached_edges=4000))
+    own, drawn = sampler.segment(texts, list(range(len(texts))))
+    for r, text in enumerate(texts):
+        units = [sampler.lattice(u) for u in sampler.units(text or "")]
+        rng = np.random.Generator(np.random.PCG64(r))
+        rng.standard_exponential()
+        draws, want, log = iter(rng.random(sum(len(x.ends) for x in units) or 1)), [], 0.0
+        for x in units:
+            i = 0
+            while i < len(x.ends):
+                j = bisect_right(x.sums[i], next(draws))
+                want, log, i = [*want, *x.ids[i][j]], log + x.logs[i][j], x.ends[i][j]
+        assert drawn[r][0][0].tolist() == want and abs(drawn[r][0][1] - log) < 1e-6
+        assert own[r].tolist() == sampler.encode(text)
+        assert [x[0] for x in sampler.sample(text, r)] == [x[0].tolist() for x in drawn[r]]
+        assert len({tuple(x[0].tolist()) for x in drawn[r]}) == len(drawn[r])
+    parts = [ids for mine in zip(own, drawn) for ids in (mine[0], *(x[0] for x in mine[1]))]
+    got = sampler.texts(np.concatenate(parts).astype(np.int32), np.cumsum([0, *map(len, parts)]))
+    assert got.to_pylist() == [sampler.decode(x) for x in parts]
+
+
 # -- results that once were wrong ---------------------------------------------------
 
 def test_lines_of_unicode_separators_are_no_blanks(spark):
