@@ -6,7 +6,7 @@ without a sort.  A keyed Feistel network over the smallest even number of bits t
 until the value is below their number, maps ordinals one to one to global slots: no slot is drawn
 twice, none is left out, and no table of the permutation exists.
 
-Sequences are range-partitioned and sorted by slot.  A shard is ``shard_rows`` neighbouring slots of
+Sequences are partitioned by ranges of slots, a shard each, and sorted by slot.  A shard is ``shard_rows`` neighbouring slots of
 ``stride`` bytes each, so a slot's shard and offset are arithmetic, and a reader resumes anywhere.
 
 ``materialise`` gives the rows in training order, payload included; ``write_shards`` writes them as
@@ -23,7 +23,9 @@ from __future__ import annotations
 
 import uuid
 import zlib
+from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +46,8 @@ class OrderOptions:
     key: int = 20240229
     rounds: int = 6
     shard_rows: int = 16_384
-    cached_words: int = 350_000
+    cached_words: int = 350_000       # per Python worker
+    passes: int = 2                   # parts of the shuffle of the sequences
 
     @property
     def stride(self) -> int:
@@ -74,11 +77,17 @@ def feistel(x: np.ndarray, n: int, key: int, rounds: int = 6) -> np.ndarray:
     return out.astype(np.int64)
 
 
+@lru_cache(maxsize=1)
+def _tokenizer(path: str, cached_words: int) -> WordTokenizer:
+    """The tokenizer of a Python worker: its tasks share the words it has met."""
+    return WordTokenizer(path, cached_words)
+
+
 def _sequences(options: OrderOptions):
     end = np.array([options.end_id], "<u4").tobytes()
 
     def run(batches):
-        tokenizer = WordTokenizer(options.tokenizer, options.cached_words)
+        tokenizer = _tokenizer(options.tokenizer, options.cached_words)
         for batch in batches:
             bodies = [tokenizer.encode(t) + end for t in batch.column("text").to_pylist()]
             ids = np.frombuffer(b"".join(bodies), "<u4")
@@ -102,8 +111,11 @@ _PLACE = "slot long, shard long, byte_offset long, doc_id long, piece int, n_tok
 _PLACED = f"{_PLACE}, ids binary"
 
 
-def _placed(docs: DataFrame, options: OrderOptions) -> tuple[DataFrame, int]:
-    """The stored sequences with their slots, in no order, and the number of shards (1 at least)."""
+def _stored(docs: DataFrame, options: OrderOptions):
+    """The sequences, stored, and ``placed(first, last)``: those of some shards, with their slots, a shard a partition.
+
+    Also the number of shards (1 at least).
+    """
     spark = docs.sparkSession
     path = scratch_path(spark, "ordering")
     map_texts(docs.select("doc_id", "text"), _sequences(options), "doc_id long, piece int, ids binary") \
@@ -116,21 +128,34 @@ def _placed(docs: DataFrame, options: OrderOptions) -> tuple[DataFrame, int]:
         before[r["file"]] = total
         total += r["count"]
 
-    def place(batches):
-        for batch in batches:
-            file = batch.column("file").dictionary_encode()
-            first = np.array([before[f] for f in file.dictionary.to_pylist()], np.int64)[file.indices.to_numpy()]
-            slot = feistel(first + batch.column("row").to_numpy(), total, options.key, options.rounds)
-            ids = batch.column("ids")
-            body = ids.to_pylist()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(slot), pa.array(slot // options.shard_rows),
-                 pa.array(slot % options.shard_rows * options.stride), batch.column("doc_id"), batch.column("piece"),
-                 pa.array([len(x) // 2 for x in body], pa.int32()), pa.array([zlib.crc32(x) for x in body], pa.int64()),
-                 ids],
-                names=["slot", "shard", "byte_offset", "doc_id", "piece", "n_tokens", "ids_crc32", "ids"])
+    def placed(first_shard: int, last_shard: int) -> DataFrame:
+        def place(batches):
+            for batch in batches:
+                file = batch.column("file").dictionary_encode()
+                first = np.array([before[f] for f in file.dictionary.to_pylist()], np.int64)[file.indices.to_numpy()]
+                slot = feistel(first + batch.column("row").to_numpy(), total, options.key, options.rounds)
+                shard = slot // options.shard_rows
+                batch = pa.RecordBatch.from_arrays(
+                    [pa.array(slot), pa.array(shard), *map(batch.column, ("doc_id", "piece", "ids"))],
+                    names=["slot", "shard", "doc_id", "piece", "ids"])
+                yield batch.filter(pa.array((shard >= first_shard) & (shard < last_shard)))
+
+        rows = stored.mapInArrow(place, "slot long, shard long, doc_id long, piece int, ids binary")
+        return rows.repartitionById(last_shard - first_shard, (F.col("shard") - first_shard).cast("int")) \
+            .sortWithinPartitions("slot")
+
+    return placed, max(1, -(-total // options.shard_rows))
 
-    return stored.mapInArrow(place, _PLACED), max(1, -(-total // options.shard_rows))
+
+def _described(batch, options: OrderOptions):
+    """The columns of ``_PLACED`` for sequences with their slots."""
+    slot, ids = batch.column("slot").to_numpy(), batch.column("ids")
+    body = ids.to_pylist()
+    return pa.RecordBatch.from_arrays(
+        [batch.column("slot"), batch.column("shard"), pa.array(slot % options.shard_rows * options.stride),
+         batch.column("doc_id"), batch.column("piece"), pa.array([len(x) // 2 for x in body], pa.int32()),
+         pa.array([zlib.crc32(x) for x in body], pa.int64()), ids],
+        names=["slot", "shard", "byte_offset", "doc_id", "piece", "n_tokens", "ids_crc32", "ids"])
 
 
 def materialise(docs: DataFrame, options: OrderOptions) -> DataFrame:
@@ -138,24 +163,26 @@ def materialise(docs: DataFrame, options: OrderOptions) -> DataFrame:
 
     ``ids`` are little-endian unsigned 16-bit, unpadded.
     """
-    rows, parts = _placed(docs, options)
-    return rows.repartitionByRange(parts, "slot").sortWithinPartitions("slot")
+    placed, shards = _stored(docs, options)
+    return placed(0, shards).mapInArrow(lambda batches: (_described(b, options) for b in batches), _PLACED)
 
 
 def training_order(docs: DataFrame, options: OrderOptions, path: str | None = None) -> DataFrame:
     """The rows of ``materialise``, after their shards are written below ``path`` and with ``ids`` read from them.
 
     Without ``path`` the shards go to a fresh folder in the shared one.  The sequences are shuffled
-    once; what is put in order after the writing are the rows without payload.
+    once, in ``passes`` parts, so that a part's shuffle files can go before the next is dealt; what is
+    put in order after the writing are the rows without payload.
     """
-    path = path or scratch_path(docs.sparkSession, "shards")
-    rows, parts = _placed(docs, options)
+    spark = docs.sparkSession
+    path = path or scratch_path(spark, "shards")
+    placed, shards = _stored(docs, options)
 
     def write(batches):
         sink = _Shards(path, options)
         for batch in batches:
             sink.add(batch)
-            yield batch.drop_columns(["ids"])
+            yield _described(batch, options).drop_columns(["ids"])
         sink.close()
 
     def read(batches):
@@ -169,9 +196,23 @@ def training_order(docs: DataFrame, options: OrderOptions, path: str | None = No
                     raise ValueError(f"shards below {path} don't hold slots {first} to {slot[-1]} as written")
                 yield batch.append_column("ids", pa.array(ids, pa.binary()))
 
-    written = materialize(rows.repartitionByRange(parts, "shard").sortWithinPartitions("slot").mapInArrow(write, _PLACE),
-                          "ordering")
-    return written.repartitionByRange(parts, "slot").sortWithinPartitions("slot").mapInArrow(read, _PLACED)
+    cuts = [shards * k // options.passes for k in range(options.passes + 1)]
+    with _clean_shuffles(spark):
+        written = [materialize(placed(a, b).mapInArrow(write, _PLACE), "ordering") for a, b in zip(cuts, cuts[1:]) if a < b]
+    return reduce(DataFrame.union, written).repartitionById(shards, F.col("shard").cast("int")) \
+        .sortWithinPartitions("slot").mapInArrow(read, _PLACED)
+
+
+@contextmanager
+def _clean_shuffles(spark):
+    """Shuffle files of the queries run within go when their query ends."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if was is None else spark.conf.set(name, was)
 
 
 def _files(path: str):

@@ -68,6 +68,20 @@ def test_training_order_writes_its_shards(spark, tmp_path):
     assert ordering.training_order(spark.createDataFrame([], DOC), options).count() == 0
 
 
+def test_training_order_in_passes(spark, tmp_path):
+    """However many parts the shuffle has, the rows and files are the same; the session's settings stay."""
+    source, name = docs(spark, AWKWARD).coalesce(2), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was, made = spark.conf.get(name, None), []
+    for passes in (1, 2, 5):
+        options = ordering.OrderOptions(Q.tokenizer_path(), seq_len=16, shard_rows=8, passes=passes)
+        path = tmp_path / str(passes)
+        rows = ordering.training_order(source, options, str(path)).toPandas()
+        assert rows.slot.tolist() == list(range(len(rows)))
+        made.append((rows, {x.name: x.read_bytes() for x in path.glob("*.bin")}))
+    assert all(rows.equals(made[0][0]) and files == made[0][1] for rows, files in made)
+    assert spark.conf.get(name, None) == was
+
+
 def test_training_order_query_writes_shards(spark, monkeypatch):
     made = []
     monkeypatch.setattr(ordering, "scratch_path", lambda s, kind, real=ordering.scratch_path: made.append(real(s, kind)) or made[-1])
