@@ -47,10 +47,11 @@ from rillet.llm.common import map_texts
 SPACE = "▁"
 NEAR = 8                     # edges of a node that are compared at once
 STRIDE = 16                  # pieces that rows walked side by side take at a time
+WIDTH = 512                  # rows walked side by side; the next row takes the place of one that is done
 FEW = 48                     # so many rows are walked one by one
 LEARNT = 40_000              # units whose lattices are made at once
 LONG_UNIT = 64               # characters; the lattices of longer units are made one by one
-BATCH_CHARS = 2_500_000      # of texts that are sampled side by side
+BATCH_CHARS = 5_000_000      # of texts that are sampled side by side
 
 
 @dataclass(frozen=True)
@@ -130,12 +131,13 @@ class _Units:
     ``place``) and its own ids (``own_at``, ``own_n`` in ``own``); per node its log-weight ``beta``,
     its first edge, their number, and the running probabilities of its first ``NEAR`` edges; per edge its
     length ``step``, ``id`` (below zero: the byte pieces of a character), running probability ``sum``, ``log``,
-    and log of what is left ``rest``.
+    and log of what is left ``rest``.  A rest is found by its first character and the node behind it:
+    ``keys`` are these, sorted, and ``rests`` their nodes.
     """
 
     def __init__(self):
         self.index = _Numbers()
-        self.nodes: dict[str, int] = {}
+        self.keys, self.rests = np.zeros(0, np.int64), np.zeros(0, np.int32)
         self.odd: set[int] = set()           # units whose own ids depend on the text around them
         self.place, self.place_at, self.chars = _Column(np.int32), _Column(np.int64), _Column(np.int32)
         self.own, self.own_at, self.own_n = _Column(np.int32), _Column(np.int64), _Column(np.int32)
@@ -150,13 +152,13 @@ class _Units:
         self.own_n.extend(size)
         self.own.extend(np.fromiter(chain.from_iterable(own), np.int32, int(size.sum())))
 
-    def add_nodes(self, beta, counts, step, ids, sums, logs, rest, order=slice(None)) -> None:
-        """Nodes with their numbers of edges, and the edges; the nodes' order may be another."""
+    def add_nodes(self, beta, counts, step, ids, sums, logs, rest) -> None:
+        """Nodes with their numbers of edges, and the edges."""
         sums, last = np.asarray(sums), np.cumsum(counts) - 1
-        self.near.extend(sums[np.minimum((last + 1 - counts)[:, None] + np.arange(NEAR), last[:, None])][order])
-        self.beta.extend(beta[order])
-        self.edge.extend((len(self.step.all) + last + 1 - counts)[order])
-        self.edges.extend(counts[order])
+        self.near.extend(sums[np.minimum((last + 1 - counts)[:, None] + np.arange(NEAR), last[:, None])])
+        self.beta.extend(beta)
+        self.edge.extend(len(self.step.all) + last + 1 - counts)
+        self.edges.extend(counts)
         for column, values in zip((self.step, self.id, self.sum, self.log, self.rest), (step, ids, sums, logs, rest)):
             column.extend(values)
 
@@ -344,19 +346,13 @@ class Sampler:
 
     def _nodes(self, units: list[str], chars: np.ndarray) -> np.ndarray:
         """The node of every character of ``units``; new ones are made as ``Lattice`` does, all at once."""
-        known, base = self._units.nodes, len(self._units.beta.all)
-        ahead, number = base - len(known), known.setdefault
-        place = np.array([number(u[i:], len(known) + ahead) for u in units for i in range(len(u))], np.int32)
-        most = np.maximum.accumulate(np.concatenate((np.array([base - 1], np.int32), place)))
-        where = np.flatnonzero(place > most[:-1]).astype(np.int32)      # a character of each new node
+        code = np.frombuffer("".join(units).encode("utf-32-le"), "<u4").astype(np.int64)
+        base = len(self._units.beta.all)
+        place, where, left = self._rests(code, chars)                  # the shortest rests come first
         n = len(where)
         if not n:
             return place
-        end = np.repeat(np.cumsum(chars, dtype=np.int32), chars)[where]
-        by_left = np.argsort((end - where).astype(np.uint8), kind="stable")
-        where, end = where[by_left], end[by_left]                      # from here on the shortest rests come first
-        code = np.frombuffer("".join(units).encode("utf-32-le"), "<u4").astype(np.int64)
-        end = np.repeat(np.cumsum(chars), chars)[where]
+        end = where + left
         at, state, single = np.arange(n, dtype=np.int32), np.zeros(n, np.int64), np.zeros(n, bool)
         found = []
         for size in range(1, self._longest + 1):
@@ -386,8 +382,6 @@ class Sampler:
         stop = where[start] + step
         to = np.where(stop == end[start], base + n, place[np.minimum(stop, len(place) - 1)])
         beta, logs = np.concatenate((self._units.beta.all, np.zeros(n + 1))), np.empty(len(start))
-        gid = place[where]
-        left = end - where
         for a, b in pairwise(np.searchsorted(left, np.arange(1, left[-1] + 2)).tolist()):
             if a == b:
                 continue
@@ -395,7 +389,7 @@ class Sampler:
             score = weight[e] + beta[to[e]]
             top = np.maximum.reduceat(score, cuts)
             total = top + np.log(np.add.reduceat(np.exp(score - np.repeat(top, each)), cuts))
-            beta[gid[a:b]] = total
+            beta[base + a:base + b] = total
             logs[e] = score - np.repeat(total, each)
         sums, run, node, k = np.exp(logs), np.zeros(n), np.arange(n), 0
         while len(node):                                     # the k-th edge of each node
@@ -407,11 +401,45 @@ class Sampler:
         rest = np.full(len(logs), -np.inf)
         part = logs < -1e-12
         rest[part] = np.log1p(-np.exp(logs[part]))
-        order = np.empty(n, np.int64)
-        order[gid - base] = np.arange(n)
-        self._units.add_nodes(beta[gid], counts, step, ids, sums, logs, rest, order)
+        self._units.add_nodes(beta[base:-1], counts, step, ids, sums, logs, rest)
         return place
 
+    def _rests(self, code: np.ndarray, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The node of every character of units; of each new node a character that has it, and the rest's length."""
+        known, base, made = self._units, len(self._units.beta.all), 0
+        place, stop = np.empty(len(code), np.int32), np.cumsum(chars)
+        behind = np.zeros(len(chars), np.int64)              # 1 + the node of the rest behind the character; 0: none
+        where, lefts, added = [], [], []
+        for left in range(1, int(chars.max()) + 1):
+            longer = chars >= left
+            if not longer.all():
+                chars, stop, behind = chars[longer], stop[longer], behind[longer]
+            at = stop - left
+            key, node = behind << 21 | code[at], np.full(len(at), -1, np.int32)
+            old = np.flatnonzero(behind <= base)
+            if len(known.keys) and len(old):
+                spot = np.minimum(np.searchsorted(known.keys, key[old]), len(known.keys) - 1)
+                hit = known.keys[spot] == key[old]
+                node[old[hit]] = known.rests[spot[hit]]
+            new = np.flatnonzero(node < 0)
+            if len(new):
+                keys, first, same = np.unique(key[new], return_index=True, return_inverse=True)
+                node[new] = base + made + same
+                where.append(at[new[first]])
+                lefts.append(np.full(len(keys), left))
+                added.append(keys)
+                made += len(keys)
+            place[at] = node
+            behind = node + np.int64(1)
+        if not made:
+            return place, np.zeros(0, np.int64), np.zeros(0, np.int64)
+        keys = np.concatenate(added)
+        order = np.argsort(keys)
+        spot = np.searchsorted(known.keys, keys[order])
+        known.keys = np.insert(known.keys, spot, keys[order])
+        known.rests = np.insert(known.rests, spot, (base + order).astype(np.int32))
+        return place, np.concatenate(where), np.concatenate(lefts)
+
     def _own(self, texts: list, layout: _Layout) -> list[np.ndarray]:
         """The own ids of every text, unit by unit; of the whole text where a unit's depend on it."""
         n, odd = self._units.own_n.all[layout.units], self._units.odd
@@ -468,84 +496,49 @@ class _Draw:
         self.rng = [np.random.Generator(np.random.PCG64(s)) for s in seeds]
 
     def run(self) -> list[list[tuple]]:
-        nothing = np.zeros(0, np.int32)
-        grow = []
-        for r, (rng, a, b) in enumerate(zip(self.rng, self.limits, self.limits[1:])):
-            value = -math.log(rng.standard_exponential())     # the root's Gumbel; its log-probability is 0
-            grow.append(_Growth(r, nothing, a, None, (), 0.0, value, rng.random(b - a or 1)))
+        out: list = [None] * len(self.rng)
         paths: list[list[_Path]] = [[] for _ in self.rng]
-        while grow:
-            for g, edges in zip(grow, self._walk(grow)):
-                paths[g.row].append(self._complete(g, edges))
-            grow = [x for g in grow if len(paths[g.row]) != self.k and (x := self._branch(g.row, paths[g.row]))]
-        out = []
-        for mine in paths:
-            kappa = max(p.best for p in mine)
-            out.append([(self.codes(self.id[np.concatenate((p.before, p.edges))]), p.log_prob, p.value,
-                         1.0 if kappa == -math.inf else -math.expm1(-math.exp(min(p.log_prob - kappa, 50.0)))) for p in mine])
+        longest = np.argsort(-np.diff(self.limits), kind="stable").tolist()      # the first to start
+        waiting = map(self._start, longest)
+        walks = _Walks(self, self.limits[-1])
+        while grow := walks.add(waiting):
+            following = []
+            for g, edges in grow:
+                mine = paths[g.row]
+                mine.append(self._complete(g, edges))
+                if len(mine) != self.k and (x := self._branch(g.row, mine)):
+                    following.append(x)
+                else:
+                    out[g.row], paths[g.row] = self._drawn(mine), []
+            waiting = chain(following, waiting)
         return out
 
-    def _walk(self, grow: list[_Growth]) -> list[np.ndarray]:
-        """The edges that complete each prefix: per piece one draw, and the first edge whose sum exceeds it."""
-        size = np.array([len(g.draws) for g in grow])
-        draws = np.concatenate([*(g.draws for g in grow), np.zeros(STRIDE)])
-        out = np.empty(len(draws), np.int32)
-        first = np.cumsum(size) - size
-        at = np.array([g.place if g.edge is None else g.place + self.step[g.edge] for g in grow])
-        end = np.array([self.limits[g.row + 1] for g in grow])
-        last = first.copy()
-        row = np.flatnonzero(at < end)
-        at, end, now = at[row], end[row], first[row]
-        node_edge, nodes, sums, step, near = self.edge, self.nodes, self.sum, self.step, self.near
-        ones, eight, ahead = np.uint64(0x0101010101010101), np.uint64(56), np.arange(STRIDE)
-        while len(row) > FEW:                              # STRIDE pieces; what lies beyond a row's end is not kept
-            steps = now + ahead[:, None]
-            draw = draws[steps][:, :, None]
-            edges, places = np.empty(steps.shape, np.int32), np.empty(steps.shape, np.int64)
-            for k in range(STRIDE):
-                places[k] = at
-                node = nodes.take(at)
-                passed = (near.take(node, axis=0) <= draw[k]).view(np.uint64)[:, 0] * ones >> eight     # the bytes' sum
-                edge = node_edge.take(node) + passed.view(np.int64)
-                if passed.max() == NEAR:
-                    more = np.flatnonzero(passed == NEAR)
-                    more = more[sums[edge[more]] <= draw[k, more, 0]]
-                    while len(more):
-                        edge[more] += 1
-                        more = more[sums[edge[more]] <= draw[k, more, 0]]
-                edges[k] = edge
-                at = at + step.take(edge)
-            kept = places < end
-            out[steps[kept]] = edges[kept]
-            now = now + kept.sum(axis=0)
-            going = at < end
-            last[row[~going]] = now[~going]
-            row, at, end, now = row[going], at[going], end[going], now[going]
-        node_edge, nodes, sums, step, slots = map(memoryview, (node_edge, nodes, sums, step, out))
-        single = memoryview(draws)
-        for r, i, e, t in zip(row.tolist(), at.tolist(), end.tolist(), now.tolist()):   # few are left: one by one
-            while i < e:
-                draw, edge = single[t], node_edge[nodes[i]]
-                while sums[edge] <= draw:
-                    edge += 1
-                slots[t] = edge
-                i += step[edge]
-                t += 1
-            last[r] = t
-        return [out[a:b] for a, b in zip(first.tolist(), last.tolist())]
+    def _start(self, row: int) -> _Growth:
+        rng, a, b = self.rng[row], self.limits[row], self.limits[row + 1]
+        value = -math.log(rng.standard_exponential())         # the root's Gumbel; its log-probability is 0
+        return _Growth(row, np.zeros(0, np.int32), a, None, (), 0.0, value, rng.random(b - a or 1))
+
+    def _drawn(self, mine: list[_Path]) -> list[tuple]:
+        kappa = max(p.best for p in mine)
+        return [(self.codes(self.id.take(np.concatenate((p.before, p.edges)))), p.log_prob, p.value,
+                 1.0 if kappa == -math.inf else -math.expm1(-math.exp(min(p.log_prob - kappa, 50.0)))) for p in mine]
 
     def _complete(self, g: _Growth, edges: np.ndarray) -> _Path:
         p = _Path()
         p.before, p.place, p.done, p.value = g.before, g.place, g.done, g.value
         p.edges = edges.copy() if g.edge is None else np.concatenate((np.array([g.edge], np.int32), edges))
-        sums = np.cumsum(np.concatenate(([g.start], self.log[p.edges])))
+        sums = np.empty(len(p.edges) + 1)
+        sums[0] = g.start
+        self.log.take(p.edges, out=sums[1:], mode="clip")
+        np.cumsum(sums, out=sums)
         p.start, p.log_prob = sums[:-1], float(sums[-1])
-        rest = self.rest[p.edges]
+        rest = self.rest.take(p.edges, mode="clip")
         if g.done:
             a, b = self._edges(g.place)
             left = 1.0 - math.fsum(math.exp(self.log[e]) for e in g.done)
             rest[0] = math.log(left) if left > 1e-12 and len(g.done) < b - a else -math.inf
-        p.open = _truncated(p.start + rest, g.value, self.rng[g.row])
+        rest += p.start
+        p.open = _truncated(rest, g.value, self.rng[g.row])
         p.settle()
         return p
 
@@ -575,11 +568,98 @@ class _Draw:
                        rng.random(self.limits[row + 1] - int(self.layout.unit_at[unit])))
 
 
+class _Walks:
+    """Prefixes that are completed side by side: per piece one draw, and the first edge whose sum exceeds it.
+
+    A row's draws and edges lie where its characters do in ``draws`` and ``out``; a row has one walk at a time.
+    """
+
+    def __init__(self, draw: _Draw, chars: int):
+        self.of = draw
+        self.draws, self.out = np.zeros(chars + STRIDE), np.empty(chars + STRIDE, np.int32)
+        self.at = self.end = self.now = np.zeros(0, np.int64)
+        self.growths: list[_Growth] = []
+
+    def add(self, waiting) -> list[tuple[_Growth, np.ndarray]]:
+        """Takes in what waits, as far as there is room, and walks until some are complete: these, with their edges."""
+        limits, step, complete, more = self.of.limits, self.of.step, [], []
+        for g in islice(waiting, WIDTH - len(self.growths)):
+            first, end = limits[g.row], limits[g.row + 1]
+            at = g.place if g.edge is None else g.place + int(step[g.edge])
+            if at < end:
+                self.draws[first:first + len(g.draws)] = g.draws
+                self.growths.append(g)
+                more.append((at, end, first))
+            else:
+                complete.append((g, self.out[:0]))
+        if more:
+            self.at, self.end, self.now = (np.concatenate(x) for x in zip((self.at, self.end, self.now), np.array(more).T))
+        while self.growths and not complete:
+            going = self._side_by_side() if len(self.growths) > FEW else self._one_by_one()
+            complete = [(g, self.out[limits[g.row]:t]) for g, t, more in zip(self.growths, self.now.tolist(), going) if not more]
+            if complete:
+                self.growths = [g for g, more in zip(self.growths, going) if more]
+                self.at, self.end, self.now = self.at[going], self.end[going], self.now[going]
+        return complete
+
+    def _side_by_side(self) -> np.ndarray:
+        """``STRIDE`` pieces of every walk; what lies beyond a row's end is not kept.  Which ones go on."""
+        x, at, end = self.of, self.at, self.end
+        node_edge, nodes, sums, step, near = x.edge, x.nodes, x.sum, x.step, x.near
+        ones, eight, most = np.uint64(0x0101010101010101), np.uint64(56), np.maximum.reduce
+        steps = self.now + np.arange(STRIDE)[:, None]
+        draw = self.draws.take(steps)[:, :, None]
+        edges, places = np.empty(steps.shape, np.int32), np.empty(steps.shape, np.int64)
+        for k in range(STRIDE):
+            places[k] = at
+            node = nodes.take(at, mode="clip")               # faster than with a check of bounds
+            passed = ((near.take(node, axis=0, mode="clip") <= draw[k]).view(np.uint64)[:, 0] * ones >> eight).view(np.int64)     # the bytes' sum
+            edge = node_edge.take(node, mode="clip") + passed
+            if most(passed) == NEAR:
+                more = np.flatnonzero(passed == NEAR)
+                more = more[sums[edge[more]] <= draw[k, more, 0]]
+                while len(more):
+                    edge[more] += 1
+                    more = more[sums[edge[more]] <= draw[k, more, 0]]
+            edges[k] = edge
+            at = at + step.take(edge, mode="clip")
+        kept = places < end
+        self.out[steps[kept]] = edges[kept]
+        self.now = self.now + kept.sum(axis=0)
+        self.at = at
+        return at < end
+
+    def _one_by_one(self) -> np.ndarray:
+        """Every walk to its end."""
+        x = self.of
+        node_edge, nodes, sums, step = map(memoryview, (x.edge, x.nodes, x.sum, x.step))
+        for k, (i, e, t) in enumerate(zip(self.at.tolist(), self.end.tolist(), self.now.tolist())):
+            edges = []
+            for draw in self.draws[t:t + e - i].tolist():
+                edge = node_edge[nodes[i]]
+                while sums[edge] <= draw:
+                    edge += 1
+                edges.append(edge)
+                i += step[edge]
+                if i >= e:
+                    break
+            self.now[k] = t + len(edges)
+            self.out[t:t + len(edges)] = edges
+        return np.zeros(len(self.growths), bool)
+
+
 def _truncated(mass: np.ndarray, most: float, rng) -> np.ndarray:
     """Largest perturbed value in sets of log-mass ``mass``, given that it is below ``most``."""
     noise = rng.standard_exponential(len(mass))
+    part = mass - most
+    np.minimum(part, 700, out=part)
+    np.exp(part, out=part)
+    part += noise
     with np.errstate(divide="ignore"):
-        return np.where(np.isneginf(mass), -np.inf, mass - np.log(np.exp(np.minimum(mass - most, 700)) + noise))
+        np.log(part, out=part)
+    np.subtract(mass, part, out=part)
+    part[mass == -np.inf] = -np.inf
+    return part
 
 
 @lru_cache(maxsize=1)
@@ -610,7 +690,7 @@ def _drawn_columns(every: list[list[tuple]], first: int):
     """The rows' segmentations one after the other: their numbers from ``first`` on, ids; these also flat, with offsets."""
     parts = [x[0] for mine in every for x in mine]
     at = np.cumsum([0, *map(len, parts)])
-    flat = np.concatenate(parts).astype(np.int32)
+    flat = np.concatenate(parts).astype(np.int32, copy=False)
     sample = pa.array([s for mine in every for s in range(first, first + len(mine))], pa.int32())
     return sample, pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat)), flat, at
 
@@ -671,18 +751,22 @@ def segmentations(rows: DataFrame, keys: list[str], options: SamplingOptions) ->
     kind = {k: t for k, t in rows.select(*keys).dtypes}
     kind = {k: ("string", pa.string()) if t == "string" else ("long", pa.int64()) for k, t in kind.items()}
 
+    some = max(1, 400 // (options.k + 1))
+
     def run(batches):
         sampler = _sampler(options)
         for batch in (x for whole in batches for x in _slices(whole, "text")):
             key = list(zip(*(batch.column(k).to_pylist() for k in keys)))
             own, drawn = sampler.segment(batch.column("text").to_pylist(), [row_seed(options.seed, *k) for k in key])
             every = [[(ids, None, None, None), *rest] for ids, rest in zip(own, drawn)]
-            sample, ids, flat, at = _drawn_columns(every, -1)
-            out = pa.RecordBatch.from_arrays(
-                [*(_repeated(batch.column(k), map(len, every)) for k in keys), sample, ids, sampler.texts(flat, at),
-                 *_scores(every)],
-                names=[*keys, "sample", "ids", "text", "log_prob", "perturbed", "inclusion"])
-            yield from (out.slice(k, 400) for k in range(0, out.num_rows, 400))
+            del own, drawn
+            for first in range(0, len(every), some):             # a few rows at a time: little is held twice
+                mine, every[first:first + some] = every[first:first + some], [()] * len(every[first:first + some])
+                sample, ids, flat, at = _drawn_columns(mine, -1)
+                yield pa.RecordBatch.from_arrays(
+                    [*(_repeated(batch.column(k).slice(first, some), map(len, mine)) for k in keys), sample, ids,
+                     sampler.texts(flat, at), *_scores(mine)],
+                    names=[*keys, "sample", "ids", "text", "log_prob", "perturbed", "inclusion"])
 
     schema = ", ".join(f"{k} {kind[k][0]}" for k in keys) + \
         ", sample int, ids array<int>, text string, log_prob double, perturbed double, inclusion double"

@@ -149,6 +149,23 @@ def test_segment_draws_piece_by_piece():
     assert got.to_pylist() == [sampler.decode(x) for x in parts]
 
 
+def test_rows_waiting_for_a_place_draw_alike(monkeypatch):
+    """With few places, rows that start when others end draw the same; equal rests of words are one node."""
+    model = sampling.SamplingOptions(Q.tokenizer_path("piece_bpe_32k.model"))
+    random = np.random.default_rng(9)
+    texts = [" ".join(random.choice(["then", "other", "ether", "wörld", "☃x"], n)) for n in random.integers(0, 90, 60)]
+    want = [sampling.Sampler(model).sample(t, r) for r, t in enumerate(texts)]
+    monkeypatch.setattr(sampling, "WIDTH", 9)
+    monkeypatch.setattr(sampling, "FEW", 2)
+    sampler = sampling.Sampler(model)
+    _, drawn = sampler.segment(texts, list(range(len(texts))), own=False)
+    assert [[(ids.tolist(), *scores) for ids, *scores in mine] for mine in drawn] == want
+    words = {u for t in texts for u in sampler.units(t)}
+    known = sampler._units
+    assert len(known.keys) == len(known.beta.all) == len({u[i:] for u in words for i in range(len(u))})
+    assert (np.diff(known.keys) > 0).all() and sorted(known.rests.tolist()) == list(range(len(known.keys)))
+
+
 # -- results that once were wrong ---------------------------------------------------
 
 def test_lines_of_unicode_separators_are_no_blanks(spark):
